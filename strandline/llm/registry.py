@@ -6,16 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strandline.llm import mixing, packing, tokens
+from strandline.llm import chat, language, mixing, packing, quality, search, tokens, warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_token_counts": tokens.op1_token_counts,
+        "op3_language_id": language.op3_language_id,
         "op4_best_fit_packing": packing.op4_best_fit_packing,
+        "op5_exact_top_k": search.op5_exact_top_k,
+        "op6_quality_rules": quality.op6_quality_rules,
+        "op7_warc": warc.op7_warc,
+        "op8_chat_formatting": chat.op8_chat_formatting,
         "op10_source_mixing": mixing.op10_source_mixing,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op10_source_mixing": mixing.OP10_SQL}
+    return {"op5_exact_top_k": search.OP5_SQL, "op10_source_mixing": mixing.OP10_SQL}

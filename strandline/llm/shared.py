@@ -38,16 +38,20 @@ def word_count(text: str) -> Column:
     return F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("long")
 
 
-#: A key is hot when it holds over 1/HOT_SHARE of all rows, so there are never more than HOT_SHARE hot keys: that bounds what is broadcast.
+#: A table of at most so many rows is broadcast whole.
+SMALL = 50_000
+#: A key is hot when it holds over 1/HOT_SHARE of all rows, so there are never more than HOT_SHARE hot keys: that bounds what is broadcast beyond SMALL.
 HOT_SHARE = 1000
 
 
-def lookup(df: DataFrame, found: DataFrame, keys: list[str], rows: str, total: int) -> DataFrame:
+def lookup(df: DataFrame, found: DataFrame, keys: list[str], rows: str, total: int, small: int = SMALL) -> DataFrame:
     """``df`` left-joined to ``found`` (one row a key; its column ``rows`` counts the rows of ``df`` with that key) without a hot task.
 
-    Rows of hot keys meet a broadcast of at most HOT_SHARE rows; the others are shuffled. Null keys match nothing.
+    If ``found`` has over ``small`` rows, rows of hot keys meet a broadcast of HOT_SHARE rows at most and the others are shuffled. Null keys match nothing.
     """
     gets = [c for c in found.columns if c not in keys and c != rows]
+    if found.limit(small + 1).count() <= small:
+        return df.join(F.broadcast(found.drop(rows)), keys, "left")
     floor = max(total // HOT_SHARE, 1000)
     hot = found.where(F.col(rows) > floor).select(*keys, F.struct(*gets).alias("_hot"))
     cold = found.where(F.col(rows) <= floor).select(*keys, *gets)
