@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strandline.llm import chat, language, mixing, packing, quality, search, tokens, warc
+from strandline.llm import chat, jaccard, language, mixing, packing, quality, search, tokens, warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -18,6 +18,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op6_quality_rules": quality.op6_quality_rules,
         "op7_warc": warc.op7_warc,
         "op8_chat_formatting": chat.op8_chat_formatting,
+        "op9_jaccard_join": jaccard.op9_jaccard_join,
         "op10_source_mixing": mixing.op10_source_mixing,
     }
 
