@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strandline.llm import chat, jaccard, language, mixing, packing, quality, search, tokens, warc
+from strandline.llm import chat, extraction, jaccard, language, mixing, packing, quality, search, tokens, warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_token_counts": tokens.op1_token_counts,
+        "op2_html_extraction": extraction.op2_html_extraction,
         "op3_language_id": language.op3_language_id,
         "op4_best_fit_packing": packing.op4_best_fit_packing,
         "op5_exact_top_k": search.op5_exact_top_k,
