@@ -57,6 +57,9 @@ class Likeness:
 
     def __init__(self, percent: int = 85):
         self.percent = percent
+        share = (100 - percent) / percent
+        #: Slices are that many powers of two finer, so that far more of them than ``differing`` have content; None: a shingle is a slice.
+        self.finer = next((k for k, most in enumerate((0.19, 0.33, 0.55)) if share <= most), None)
 
     def linked(self, both: int | np.ndarray, union: int | np.ndarray) -> bool | np.ndarray:
         return 100 * both >= self.percent * union
@@ -79,10 +82,10 @@ class Likeness:
         for c in (size_class, size_class + 1):
             if c > size_class and 100 * n < self.percent << c:
                 break
-            if c < 4:
+            if c < 4 or self.finer is None:
                 keys = mixed(u, c)
             else:
-                k = np.uint64(1 << c if c < 6 else 1 << (c - 1))
+                k = np.uint64(1 << (c - 1 + self.finer + (c < 6)))
                 where = (mixed(u, 97) >> np.uint64(20)) % k
                 order = np.argsort(where, kind="stable")
                 edge = np.flatnonzero(np.r_[True, np.diff(where[order]) > 0])

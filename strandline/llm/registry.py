@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
 from strandline.llm import chat, extraction, jaccard, language, mixing, packing, quality, search, tokens, warc
@@ -21,6 +22,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_chat_formatting": chat.op8_chat_formatting,
         "op9_jaccard_join": jaccard.op9_jaccard_join,
         "op10_source_mixing": mixing.op10_source_mixing,
+        "pipeline": corpus_pipeline.run,
     }
 
 
