@@ -1,0 +1,55 @@
+"""The training-data pipeline: identify language, keep good text, keep one of each group of near copies, mix sources, pack."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from strandline.llm import jaccard, language, mixing, packing, quality
+from strandline.llm.shared import table, written
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops documents without a language: no letter in the text, or no language with a posterior of one half."""
+    return language.keep_identified(docs, *language.train(docs))
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops documents that fail the base rules or lie below the log-ratio threshold."""
+    return quality.keep_good(docs, quality.log_ratio(docs, table(spark, sf_dir, "labels")))
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps of each group of linked documents the one with the smallest id, once if its row repeats; documents without words or id stay."""
+    kept = jaccard.jaccard_components(docs, words=5, percent=80).where("component_id = doc_id").select("doc_id").distinct()
+    first = docs.join(kept.hint("shuffle_hash"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return first.select(*docs.columns).unionByName(docs.where(F.col("doc_id").isNull()))
+
+
+def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as many times as the mix takes it."""
+    return mixing.mix(docs)
+
+
+def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces with their sequence and offset."""
+    return packing.pack(docs)
+
+
+STAGES = [
+    ("language ID", language_id),
+    ("quality rules", quality_rules),
+    ("n-gram Jaccard join", near_duplicates),
+    ("mixing sources to target weights", source_mixing),
+    ("best-fit packing", best_fit_packing),
+]
+
+#: SQL cannot express the learned language model; tests hold each stage against a brute-force version.
+ORACLE_SQL = None
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = written(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+    return STAGES[-1][1](spark, docs, sf_dir)
