@@ -31,3 +31,15 @@ def queries() -> dict[str, Query]:
 
 def oracle_sql() -> dict[str, str]:
     return dict(_SQL)
+
+
+def load_all() -> None:
+    """Imports every module of queries, each of which registers its own."""
+    from importlib import import_module
+    from pkgutil import iter_modules
+
+    from strandline import plans
+
+    for m in iter_modules(plans.__path__):
+        if m.name.startswith("q_"):
+            import_module(f"strandline.plans.{m.name}")
