@@ -41,8 +41,9 @@ class Shingler:
         known = self.known
         if len(known) > CACHED:
             known.clear()
-        for w in set(words) - known.keys():
-            known[w] = xxhash.xxh3_64_intdigest(w)
+        for w in set(words):
+            if w not in known:
+                known[w] = xxhash.xxh3_64_intdigest(w)
         h = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
         k = min(self.words, len(h))
         n = len(h) - k + 1
