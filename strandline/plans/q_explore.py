@@ -293,8 +293,8 @@ def m3(spark, sf):
 
 
 @query("m4_rolling_origin", GRID + """, z AS (SELECT * FROM lin WHERE filled IS NOT NULL), o AS (SELECT user_id, bin, filled AS l, avg(filled) OVER q AS m, (filled - first_value(filled) OVER q) / nullif(bin - first_value(bin) OVER q, 0) AS s FROM z WINDOW q AS (PARTITION BY user_id ORDER BY bin ROWS UNBOUNDED PRECEDING)),
-j AS (SELECT o.*, k AS h, z.filled AS y FROM o CROSS JOIN range(1, 4) r(k) JOIN z ON z.user_id = o.user_id AND z.bin = o.bin + k WHERE o.bin >= 0 AND o.bin % 2 = 0), f AS (SELECT y, 'naive' AS model, l AS f FROM j UNION ALL SELECT y, 'mean', m FROM j UNION ALL SELECT y, 'drift', l + s * h FROM j)
-SELECT model, count(*) AS n, round(avg(abs(y - f)), 4) AS mae, round(sqrt(avg((y - f) * (y - f))), 4) AS rmse FROM f WHERE f IS NOT NULL GROUP BY 1""")
+j AS (SELECT o.*, k AS h, z.filled AS y FROM o CROSS JOIN range(1, 4) r(k) JOIN z ON z.user_id = o.user_id AND z.bin = o.bin + k WHERE o.bin >= 0 AND o.bin % 2 = 0), fc AS (SELECT y, 'naive' AS model, l AS f FROM j UNION ALL SELECT y, 'mean', m FROM j UNION ALL SELECT y, 'drift', l + s * h FROM j)
+SELECT model, count(*) AS n, round(avg(abs(y - f)), 4) AS mae, round(sqrt(avg((y - f) * (y - f))), 4) AS rmse FROM fc WHERE f IS NOT NULL GROUP BY 1""")
 def m4(spark, sf):
     f = y.fill_series(grid(spark, sf), ["user_id"], "bin", "mean", "linear").where("filled is not null").select("user_id", "bin", "filled")
     return rounded(y.rolling_origin(f, "user_id", "bin", "filled", 0, 2, 3), "mae", "rmse", to=4)
