@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandline.llm.shared import lookup, shared_folder, table
+from strandline.llm.shared import lookup, shared_folder, table, written
 
 END = "\r\n\r\n"
 DATE = "1970-01-01T00:00:00Z"
@@ -138,7 +138,7 @@ def assemble(records: DataFrame) -> DataFrame:
 def with_referred(captures: DataFrame) -> DataFrame:
     """Adds page_id (from the metadata) and refers_to: the page_id of the response that a revisit names, else null."""
     page = F.regexp_extract(F.col("metadata.fields"), r"page_id: (-?\d+)", 1).try_cast("long")
-    paged = captures.withColumn("page_id", page).withColumn("named", F.col("response.refers_to"))
+    paged = written(captures.withColumn("page_id", page).withColumn("named", F.col("response.refers_to")), "captures")
     asked = paged.where("named is not null").groupBy("named").agg(F.count("*").alias("n"))
     offered = paged.where("response.capture_id is not null").select(F.col("response.capture_id").alias("named"), F.col("page_id").alias("refers_to")).distinct()
     found = asked.join(offered, "named")
@@ -148,6 +148,6 @@ def with_referred(captures: DataFrame) -> DataFrame:
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{shared_folder(spark)}/warc-{uuid.uuid4().hex}"
     write_archives(table(spark, sf_dir, "pages"), path)
-    captures = with_referred(assemble(read_records(spark, path)))
+    captures = with_referred(assemble(written(read_records(spark, path), "records")))
     digest = F.substring(F.col("response.stated_digest"), 6, 40)
     return captures.select("page_id", F.col("response.payload_bytes").alias("payload_bytes"), digest.alias("payload_digest"), F.col("response.type").alias("record_type"), "refers_to")
