@@ -97,7 +97,7 @@ def clip_to_plausible(x: Column, low: float, high: float) -> Column:
 
 
 def parse_value(text: Column) -> Column:
-    """struct(kind, low, high) of value texts: a number, a bound such as <0.01, a range 1-2, a pair 120/80; other texts have kind 'text'."""
+    """struct(kind, low, high) of value texts: a number or a bound such as <0.01 (low and high are the number), a range 1-2, a pair 120/80; other texts have kind 'text'."""
     number = r"\s*(-?\d+(?:\.\d+)?)\s*"
     one, bound, span, pair = f"^{number}$", rf"^\s*[<>]=?{number}$", f"^{number}-{number}$", f"^{number}/{number}$"
     part = lambda p, k: F.regexp_extract(text, p, k).try_cast("double")

@@ -5,6 +5,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from strandline.functions import distributions as dist
 from strandline.operators.phenotypes import Z95, wilson
@@ -71,17 +72,17 @@ def compare_means(df: DataFrame, col: str, group: Column) -> DataFrame:
     return s.select(diff.alias("diff"), (diff / F.sqrt(a + b)).alias("t"), ((a + b) ** 2 / (a**2 / (c("n1") - 1) + b**2 / (c("n2") - 1))).alias("df"), d.alias("cohen_d"), (d * (1 - 3 / (4 * (c("n1") + c("n2")) - 9))).alias("hedges_g"))
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def t_p(t: pd.Series, df: pd.Series) -> pd.Series:
     return pd.Series([dist.t_sf2(a, b) for a, b in zip(t, df, strict=True)])
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def chi2_p(x: pd.Series, df: pd.Series) -> pd.Series:
     return pd.Series([dist.chi2_sf(a, b) for a, b in zip(x, df, strict=True)])
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def normal_p(z: pd.Series) -> pd.Series:
     return z.map(dist.normal_sf2)
 

@@ -13,11 +13,13 @@ from strandline.plans.q_timeline import rounded
 from strandline.plans.registry import query
 from strandline.sources.tables import load
 
-RET = F.col("l_returnflag") == "R"
-AVG = "(row_number() OVER (ORDER BY {0}) + 0.0)"
 RANKS = "r AS (SELECT *, min(k) OVER (PARTITION BY v) + (count(*) OVER (PARTITION BY v) - 1) / 2 AS ar, count(*) OVER (PARTITION BY v) AS tn FROM (SELECT value AS v, event_type, user_id, event_id, rank() OVER (ORDER BY value) AS k FROM events))"
 
 
+def ret():
+    return F.col("l_returnflag") == "R"
+
+
 def ev(spark, sf):
     return load(spark, sf, "events")
 
@@ -39,7 +41,7 @@ def n1b(spark, sf):
 @query("n2_compare_props", """WITH s AS (SELECT count(*) FILTER (g) AS n1, count(*) FILTER (NOT g) AS n2, count(*) FILTER (e AND g) AS x1, count(*) FILTER (e AND NOT g) AS x2 FROM (SELECT l_returnflag = 'R' AS e, l_quantity > 25 AS g FROM lineitem)), p AS (SELECT *, x1 / n1 AS p1, x2 / n2 AS p2 FROM s)
 SELECT round(p1, 6) AS p1, round(p2, 6) AS p2, round(p1 - p2, 6) AS rd, round(p1 / p2, 6) AS rr, round(exp(ln(p1 / p2) - 1.959963984540054::DOUBLE * sqrt(1 / x1 - 1 / n1 + 1 / x2 - 1 / n2)), 6) AS rr_low, round(x1 * (n2 - x2) / (x2 * (n1 - x1)), 6) AS or_ FROM p""")
 def n2(spark, sf):
-    r = n.compare_props(load(spark, sf, "lineitem"), RET, F.col("l_quantity") > 25)
+    r = n.compare_props(load(spark, sf, "lineitem"), ret(), F.col("l_quantity") > 25)
     return rounded(r.select("p1", "p2", "rd", "rr", "rr_low", "or_"), "p1", "p2", "rd", "rr", "rr_low", "or_")
 
 
@@ -57,7 +59,7 @@ def n3b(spark, sf):
 @query("n3c_cmh", """WITH s AS (SELECT l_linenumber, count(*)::DOUBLE AS n, count(*) FILTER (e AND g)::DOUBLE AS a, count(*) FILTER (NOT e AND g)::DOUBLE AS b, count(*) FILTER (e AND NOT g)::DOUBLE AS c, count(*) FILTER (NOT e AND NOT g)::DOUBLE AS d FROM (SELECT l_linenumber, l_returnflag = 'R' AS e, l_quantity > 25 AS g FROM lineitem) GROUP BY 1)
 SELECT round(sum(a * d / n) / sum(b * c / n), 6) AS or_mh, round(pow(sum(a - (a + b) * (a + c) / n), 2) / sum((a + b) * (c + d) * (a + c) * (b + d) / (n * n * (n - 1))), 6) AS chi2 FROM s""")
 def n3c(spark, sf):
-    return rounded(n.cmh(load(spark, sf, "lineitem"), "l_linenumber", RET, F.col("l_quantity") > 25), "or_mh", "chi2")
+    return rounded(n.cmh(load(spark, sf, "lineitem"), "l_linenumber", ret(), F.col("l_quantity") > 25), "or_mh", "chi2")
 
 
 @query("n4_avg_ranks", f"WITH {RANKS} SELECT event_id, ar AS avg_rank FROM r")
@@ -251,7 +253,7 @@ def o1(spark, sf):
 
 @query("o1b_glm")
 def o1b(spark, sf):
-    return rounded(ca.glm(load(spark, sf, "lineitem").withColumn("y", RET.cast("double")), "y", ["l_quantity", "l_discount"], "binomial"), "coefficient", to=4)
+    return rounded(ca.glm(load(spark, sf, "lineitem").withColumn("y", ret().cast("double")), "y", ["l_quantity", "l_discount"], "binomial"), "coefficient", to=4)
 
 
 @query("o2_cluster_robust")

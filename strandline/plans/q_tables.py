@@ -10,7 +10,9 @@ from strandline.plans.registry import query
 from strandline.sources import tables as src
 from strandline.sources.tables import load
 
-EVENTS = T.StructType.fromDDL("event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string")
+EVENTS = T.StructType(
+    [T.StructField(n, t) for n, t in (("event_id", T.LongType()), ("ts", T.TimestampNTZType()), ("user_id", T.LongType()), ("event_type", T.StringType()), ("value", T.DoubleType()), ("props", T.StringType()))]
+)
 
 
 @query("a1_read_contract", "SELECT event_type, count(*) AS n, sum(user_id)::BIGINT AS users, round(sum(value), 2) AS total, max(ts) AS last_ts, count(DISTINCT props) AS n_props FROM events GROUP BY event_type")
@@ -28,14 +30,15 @@ def a2(spark, sf):
     return src.apply_column_map(load(spark, sf, "customer").select("c_custkey", "c_name", "c_acctbal", "c_nationkey", "c_mktsegment"), cmap, spec)
 
 
-_RAW = F.concat(F.when(F.col("event_id") % 7 == 0, F.lit("x")).otherwise(F.lit("")), F.get_json_object("props", "$.k"))
+def _raw():
+    return F.concat(F.when(F.col("event_id") % 7 == 0, F.lit("x")).otherwise(F.lit("")), F.get_json_object("props", "$.k"))
 
 
 @query("a3_split_rejects", """WITH r AS (SELECT event_id, CASE WHEN event_id % 7 = 0 THEN 'x' ELSE '' END || json_extract_string(props, '$.k') AS k FROM events)
 SELECT CASE WHEN k IS NOT NULL AND try_cast(k AS INT) IS NULL THEN 'reject' ELSE 'good' END AS part, count(*) AS n, sum(try_cast(k AS INT))::BIGINT AS total FROM r GROUP BY 1""")
 def a3(spark, sf):
     spec = src.TableSpec("props", T.StructType.fromDDL("event_id bigint, k int"))
-    raw = load(spark, sf, "events").select(F.col("event_id").cast("string").alias("event_id"), _RAW.alias("k"))
+    raw = load(spark, sf, "events").select(F.col("event_id").cast("string").alias("event_id"), _raw().alias("k"))
     good, bad = src.split_rejects(raw, spec)
     both = good.select(F.lit("good").alias("part"), "k").unionByName(bad.select(F.lit("reject").alias("part"), F.lit(None).cast("int").alias("k")))
     return both.groupBy("part").agg(F.count("*").alias("n"), F.sum("k").alias("total"))
