@@ -18,7 +18,9 @@ BITS = 14
 #: At most so many trusted documents are learned from; the raw counts cover all documents.
 TRUSTED = 20_000
 #: A document passes with a mean log-likelihood ratio an n-gram of at least this.
-THRESHOLD = -0.045
+THRESHOLD = -0.06
+#: Each bucket starts with so many n-grams in the corpus's overall shares, so a bucket that is hardly used says little.
+PRIOR = 5
 FEWEST, REPEATED = 50, 50
 CACHED = 500_000
 SLICE = 256
@@ -76,7 +78,7 @@ def measures(text: str, words: list[bytes]) -> tuple[int, int, int, int, int]:
 
 
 def log_ratio(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", trusted: int = TRUSTED) -> np.ndarray | None:
-    """log p(bucket | trusted) - log p(bucket | raw), each with one added to every count; None if no trusted document is there.
+    """log p(bucket | trusted) - log p(bucket | raw), drawn to 0 by PRIOR n-grams of the overall mix in each bucket; None if no trusted document is there.
 
     Trusted: documents labelled quality 1, ``trusted`` of them at most, chosen by a hash of the id. Raw: all documents, whole texts.
     Each task adds up its buckets and hands on at most 2 ** BITS rows.
@@ -99,11 +101,13 @@ def log_ratio(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_c
 
     marked = docs.select(docs[id_col].alias("i"), docs[text_col].alias("t")).join(F.broadcast(ids), "i", "left").select("t", "good")
     sums = marked.mapInArrow(count, "b int, raw long, good long").groupBy("b").agg(F.sum("raw").alias("raw"), F.sum("good").alias("good")).collect()
-    raw, good = np.ones(1 << BITS), np.ones(1 << BITS)
+    raw, good = np.zeros(1 << BITS), np.zeros(1 << BITS)
     for r in sums:
-        raw[r["b"]] += r["raw"]
-        good[r["b"]] += r["good"]
-    return np.log(good / good.sum()) - np.log(raw / raw.sum()) if good.sum() > 1 << BITS else None
+        raw[r["b"]], good[r["b"]] = r["raw"], r["good"]
+    if not good.sum():
+        return None
+    share = good.sum() / raw.sum()
+    return np.log((good + PRIOR * share) / (raw + PRIOR) / share)
 
 
 def judged(text: str | None, ratio: np.ndarray | None, hashes: Hashes, threshold: float) -> tuple:
