@@ -73,7 +73,7 @@ class Likeness:
         """The keys under which a set meets every set that it links to.
 
         A set is projected onto k slices of the shingle space. Of two linked sets all but ``differing`` of the slices with content are equal, so among the
-        ``differing + 1`` smallest slice hashes of each there is a common one. k goes by the set's size class (a power of two); a set within reach of the next class is keyed there as well.
+        ``differing + 1`` first slices of each, in any order that both share, there is a common one; the fullest slices come first, as they are the rarest. k goes by the set's size class (a power of two); a set within reach of the next class is keyed there as well.
         """
         n = len(u)
         if not n:
@@ -84,7 +84,7 @@ class Likeness:
             if c > size_class and 100 * n < self.percent << c:
                 break
             if c < 4 or self.finer is None:
-                keys = mixed(u, c)
+                keys = np.sort(mixed(u, c))
             else:
                 k = np.uint64(1 << (c - 1 + self.finer + (c < 6)))
                 where = (mixed(u, 97) >> np.uint64(20)) % k
@@ -93,7 +93,8 @@ class Likeness:
                 keys = mixed(np.add.reduceat(mixed(u[order], 61), edge) + where[order][edge], c)
                 if len(keys) <= self.differing(n):
                     raise ValueError(f"{n} shingles fall into {len(keys)} slices; this has a chance under 1e-11")
-            out += np.sort(keys)[: self.differing(n) + 1].view(np.int64).tolist()
+                keys = keys[np.lexsort((keys, -np.diff(np.r_[edge, n])))]
+            out += keys[: self.differing(n) + 1].view(np.int64).tolist()
         return out
 
 
@@ -126,7 +127,7 @@ def shingle_sets(docs: DataFrame, ids: DataFrame, id_col: str, text_col: str, wo
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array([shingler.of(t).tobytes() for t in part.column(1).to_pylist()], pa.binary())], names=["doc", "items"])
 
     texts = docs.select(docs[id_col].cast("long").alias("doc"), docs[text_col].alias("t"))
-    return texts.join(ids.hint("shuffle_hash"), "doc", "left_semi").dropDuplicates(["doc"]).mapInArrow(make, "doc long, items binary")
+    return texts.join(ids.hint("shuffle_hash"), "doc", "left_semi").mapInArrow(make, "doc long, items binary")
 
 
 def measured(pairs: DataFrame, sets: DataFrame, likeness: Likeness) -> DataFrame:
