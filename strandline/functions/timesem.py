@@ -9,18 +9,22 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def micros(t: Column | str) -> Column:
+    """Microseconds since the epoch of a naive timestamp taken as UTC."""
+    return F.unix_micros((F.col(t) if isinstance(t, str) else t).cast("timestamp"))
+
+
 def seconds(t: Column | str) -> Column:
     """Seconds since the epoch with fractions, of a naive timestamp taken as UTC."""
-    t = F.col(t) if isinstance(t, str) else t
-    return F.unix_micros(t.cast("timestamp")) / F.lit(1e6)
+    return micros(t) / F.lit(1e6)
 
 
 def hours_since(anchor: Column | str, t: Column | str) -> Column:
-    return (seconds(t) - seconds(anchor)) / 3600.0
+    return (micros(t) - micros(anchor)) / 3600e6
 
 
 def days_since(anchor: Column | str, t: Column | str) -> Column:
-    return (seconds(t) - seconds(anchor)) / 86400.0
+    return (micros(t) - micros(anchor)) / 86400e6
 
 
 def hour_bin(hours: Column, width: float = 1) -> Column:

@@ -85,7 +85,7 @@ def h7(spark, sf):
     return tree(spark, sf)
 
 
-@query("h8_phenotype_summary", f"WITH {TREE}, s AS (SELECT (user_id % 3)::INT AS era, count(*) AS n, count(*) FILTER (positive) AS x FROM j GROUP BY 1) SELECT era, n, CASE WHEN x = 0 OR x >= 11 THEN x END AS positives, round(CASE WHEN x = 0 OR x >= 11 THEN x / n END, 6) AS share, false AS n_suppressed, x > 0 AND x < 11 AS positives_suppressed FROM s")
+@query("h8_phenotype_summary", f"WITH {TREE}, s AS (SELECT (user_id % 3)::INT AS era, count(*) AS n, count(*) FILTER (positive) AS x FROM j GROUP BY 1) SELECT era, CASE WHEN n >= 11 THEN n END AS n, CASE WHEN x = 0 OR x >= 11 THEN x END AS positives, round(CASE WHEN n >= 11 AND (x = 0 OR x >= 11) THEN x / n END, 6) AS share, n < 11 AS n_suppressed, x > 0 AND x < 11 AS positives_suppressed FROM s")
 def h8(spark, sf):
     return rounded(p.phenotype_summary(tree(spark, sf).withColumn("era", (F.col("user_id") % 3).cast("int")), ["era"]), "share")
 

@@ -16,11 +16,11 @@ DAY = "86400e6::DOUBLE"
 LI = "l_quantity, l_extendedprice, l_discount"
 
 
-@query("j0_aggregate", "SELECT l_returnflag, floor(l_quantity / 10) * 10 AS l_quantity_bin, count(l_orderkey) AS n, count(DISTINCT l_orderkey) AS orders, round(avg(l_extendedprice), 4) AS mean_price, round(quantile_cont(l_discount, 0.9), 6) AS q90 FROM lineitem WHERE l_linestatus = 'O' AND l_quantity >= 5 AND l_quantity < 45 GROUP BY 1, 2")
+@query("j0_aggregate", "SELECT l_returnflag, floor(l_quantity / 10) * 10 AS l_quantity_bin, count(l_orderkey) AS n, count(DISTINCT l_orderkey) AS orders, round(avg(l_extendedprice), 1) AS mean_price, round(quantile_cont(l_discount, 0.9), 6) AS q90 FROM lineitem WHERE l_linestatus = 'O' AND l_quantity >= 5 AND l_quantity < 45 GROUP BY 1, 2")
 def j0(spark, sf):
     stats = {"n": ("count", "l_orderkey"), "orders": ("count_distinct", "l_orderkey"), "mean_price": ("mean", "l_extendedprice"), "q90": ("quantile", "l_discount", 0.9)}
     a = x.aggregate(load(spark, sf, "lineitem"), ["l_returnflag", ("l_quantity", 10)], stats, [("l_linestatus", "eq", "O"), ("l_quantity", "range", (5, 45))])
-    return a.withColumn("l_quantity_bin", F.col("l_quantity_bin").cast("double")).withColumn("mean_price", F.round("mean_price", 4)).withColumn("q90", F.round("q90", 6))
+    return a.withColumn("l_quantity_bin", F.col("l_quantity_bin").cast("double")).withColumn("mean_price", F.round("mean_price", 1)).withColumn("q90", F.round("q90", 6))
 
 
 @query("j1a_histogram2d", "SELECT floor(l_quantity / 5) * 5 AS x, floor(l_extendedprice / 10000) * 10000 AS y, count(*) AS n FROM lineitem GROUP BY 1, 2")
