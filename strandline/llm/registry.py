@@ -27,4 +27,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_exact_top_k": search.OP5_SQL, "op10_source_mixing": mixing.OP10_SQL}
+    return {"op5_exact_top_k": search.OP5_SQL, "op7_warc": warc.OP7_SQL, "op8_chat_formatting": chat.OP8_SQL, "op10_source_mixing": mixing.OP10_SQL}

@@ -151,3 +151,12 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     captures = with_referred(assemble(written(read_records(spark, path), "records")))
     digest = F.substring(F.col("response.stated_digest"), 6, 40)
     return captures.select("page_id", F.col("response.payload_bytes").alias("payload_bytes"), digest.alias("payload_digest"), F.col("response.type").alias("record_type"), "refers_to")
+
+
+OP7_SQL = """
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS b, sha1(coalesce(html, '')) AS hex FROM pages),
+g AS (SELECT hex, max(page_id) AS first FROM p GROUP BY 1),
+d AS (SELECT page_id, octet_length(b) AS payload_bytes, first, array_to_string(list_transform(range(0, 32), lambda k:
+  substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + ((('0x' || substr(hex, 5 * (k // 4)::INT + 1, 5))::BIGINT >> (15 - 5 * (k % 4))) & 31)::INT, 1)), '') AS payload_digest FROM p JOIN g USING (hex))
+SELECT page_id, payload_bytes::BIGINT AS payload_bytes, payload_digest, CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> first THEN first END AS refers_to FROM d
+"""
