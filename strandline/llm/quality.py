@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -13,35 +12,30 @@ from pyspark.sql import functions as F
 from strandline.llm.shared import table
 
 SPACES, SYMBOLS = "\x20\x09\x0a\x0b\x0c\x0d", "#*$%&|<>"
-#: N-grams (words and pairs of words) fall into 2 ** BITS buckets.
-BITS = 14
+#: N-grams of GRAM bytes, over all the text, fall into 2 ** BITS buckets. Bytes rather than words, since most words of a text are rare in any sample that can be trusted.
+GRAM, BITS = 3, 14
+CHUNK = 1 << 20
 #: At most so many trusted documents are learned from; the raw counts cover all documents.
 TRUSTED = 20_000
 #: A document passes with a mean log-likelihood ratio an n-gram of at least this.
-THRESHOLD = -0.06
+THRESHOLD = -0.7
 #: Each bucket starts with so many n-grams in the corpus's overall shares, so a bucket that is hardly used says little.
 PRIOR = 5
 FEWEST, REPEATED = 50, 50
-CACHED = 500_000
 SLICE = 256
 
 
-class Hashes(dict):
-    """32-bit hashes of words, kept a worker."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= CACHED:
-            self.clear()
-        h = self[word] = zlib.crc32(word)
-        return h
-
-
-def grams(words: list[bytes], hashes: Hashes) -> np.ndarray:
-    """Bucket of every word and every pair of neighbours."""
-    h = np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words))
-    pairs = h[:-1] * np.uint64(0x9E3779B1) + h[1:] * np.uint64(0x85EBCA77) + np.uint64(1)
-    mixed = np.concatenate([h * np.uint64(0xC2B2AE3D27D4EB4F), pairs * np.uint64(0x9E3779B97F4A7C15)])
-    return (mixed >> np.uint64(64 - BITS)).astype(np.int64)
+def bucket_counts(text: bytes) -> np.ndarray:
+    """How many n-grams of the whole text fall into each bucket; long texts are taken CHUNK bytes at a time, overlapping so that no n-gram is lost."""
+    out = np.zeros(1 << BITS, np.int64)
+    for at in range(0, len(text) - GRAM + 1, CHUNK):
+        b = np.frombuffer(text[at : at + CHUNK + GRAM - 1], np.uint8).astype(np.uint64)
+        n = len(b) - GRAM + 1
+        h = b[:n].copy()
+        for k in range(1, GRAM):
+            h = h * np.uint64(257) + b[k : k + n]
+        out += np.bincount(((h * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - BITS)).astype(np.int64), minlength=1 << BITS)
+    return out
 
 
 def repeated_words(words: list[bytes]) -> int:
@@ -86,16 +80,15 @@ def log_ratio(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_c
     ids = labels.where("quality = 1").select(F.col(id_col).alias("i")).where("i is not null").distinct().orderBy(F.xxhash64("i"), "i").limit(trusted).withColumn("good", F.lit(True))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        raw, good, hashes = np.zeros(1 << BITS, np.int64), np.zeros(1 << BITS, np.int64), Hashes()
+        raw, good = np.zeros(1 << BITS, np.int64), np.zeros(1 << BITS, np.int64)
         for b in batches:
             for at in range(0, b.num_rows, SLICE):
                 part = b.slice(at, SLICE)
                 for text, is_good in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
-                    if words := (text or "").encode().split():
-                        n = np.bincount(grams(words, hashes), minlength=1 << BITS)
-                        raw += n
-                        if is_good:
-                            good += n
+                    n = bucket_counts((text or "").encode())
+                    raw += n
+                    if is_good:
+                        good += n
         at = np.flatnonzero(raw)
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(raw[at]), pa.array(good[at])], names=["b", "raw", "good"])
 
@@ -110,13 +103,13 @@ def log_ratio(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_c
     return np.log((good + PRIOR * share) / (raw + PRIOR) / share)
 
 
-def judged(text: str | None, ratio: np.ndarray | None, hashes: Hashes, threshold: float) -> tuple:
+def judged(text: str | None, ratio: np.ndarray | None, threshold: float) -> tuple:
     """n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, mean log ratio."""
     text = text or ""
-    words = text.encode().split()
-    n = measures(text, words)
+    raw = text.encode()
+    n = measures(text, raw.split())
     failed = n[0] < FEWEST or 100 * n[4] > REPEATED * n[0]
-    mean = float(ratio[grams(words, hashes)].mean()) if words and ratio is not None else 0.0
+    mean = float(bucket_counts(raw) @ ratio) / (len(raw) - GRAM + 1) if ratio is not None and len(raw) >= GRAM else 0.0
     return *n, failed, not failed and mean >= threshold, mean
 
 
@@ -131,11 +124,10 @@ def assess(docs: DataFrame, ratio: np.ndarray | None, id_col: str = "doc_id", te
     kinds = [pa.int64()] * 5 + [pa.bool_()] * 2 + [pa.float64()]
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = Hashes()
         for b in batches:
             for at in range(0, b.num_rows, SLICE):
                 part = b.slice(at, SLICE)
-                rows = [judged(t, shared.value, hashes, threshold) for t in part.column(1).to_pylist()]
+                rows = [judged(t, shared.value, threshold) for t in part.column(1).to_pylist()]
                 yield pa.RecordBatch.from_arrays([part.column(0), *(pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True))], names=["i", *names])
 
     out = "i long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, kept boolean, log_ratio double"
@@ -147,11 +139,10 @@ def keep_good(docs: DataFrame, ratio: np.ndarray | None, text_col: str = "text",
     shared, at_text = docs.sparkSession.sparkContext.broadcast(ratio), docs.columns.index(text_col)
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = Hashes()
         for b in batches:
             for at in range(0, b.num_rows, SLICE):
                 part = b.slice(at, SLICE)
-                yield part.filter(pa.array([judged(t, shared.value, hashes, threshold)[6] for t in part.column(at_text).to_pylist()], pa.bool_()))
+                yield part.filter(pa.array([judged(t, shared.value, threshold)[6] for t in part.column(at_text).to_pylist()], pa.bool_()))
 
     return docs.mapInArrow(keep, docs.schema)
 
