@@ -99,7 +99,7 @@ def mahalanobis(df: DataFrame, cols: list[str]) -> DataFrame:
     return df.withColumn("distance2", sum((x[i] * x[j] * float(inv[i, j]) for i in range(len(cols)) for j in range(len(cols))), F.lit(0.0)))
 
 
-def latent_classes(df: DataFrame, flags: list[str], k: int, rounds: int = 200, tolerance: float = 1e-7) -> DataFrame:
+def latent_classes(df: DataFrame, flags: list[str], k: int, rounds: int = 20_000, tolerance: float = 1e-9) -> DataFrame:
     """class, share, p_<flag>, log_likelihood, bic of a mixture of independent indicators by EM.
 
     Rows count only through their pattern of flags (2 to the number of flags at most), so EM runs on pattern counts on the driver. Not settling in ``rounds`` raises.
