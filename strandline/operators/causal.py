@@ -45,7 +45,7 @@ def _ols(df: DataFrame, y: str, xs: list[str], cluster: str | None) -> DataFrame
     g = two["g"]
     scale = g / (g - 1) * (n - 1) / (n - p) if cluster else n / (n - p)
     robust = np.sqrt(np.diag(inv @ meat @ inv) * scale)
-    rows = [(t, float(c), float(s), float(h)) for t, c, s, h in zip(["(intercept)", *xs], b, np.sqrt(np.diag(inv) * sigma2), robust, strict=True)]
+    rows = [(t, float(c), float(s), float(h)) for t, c, s, h in zip(["(intercept)", *xs], b, np.sqrt(np.diag(inv) * max(sigma2, 0.0)), robust, strict=True)]
     return df.sparkSession.createDataFrame(rows, "term string, coefficient double, se double, hc_se double")
 
 
@@ -176,3 +176,43 @@ def aipw(df: DataFrame, y: Column, treated: Column, ps: Column, m1: Column, m0:
 def e_value(rr: Column) -> Column:
     r = F.when(rr >= 1, rr).otherwise(1 / rr)
     return r + F.sqrt(r * (r - 1))
+
+
+def informative_missing(df: DataFrame, col: str, xs: list[str]) -> DataFrame:
+    """term, coefficient of a logistic model of whether ``col`` is missing."""
+    return glm(df.withColumn("_missing", F.col(col).isNull().cast("double")), "_missing", xs, "binomial")
+
+
+def hashed_normal(key: Column, seed: str) -> Column:
+    """A standard normal number from key and seed alone."""
+    from strandline.functions.timesem import md5_unit
+
+    u, v = md5_unit(key, seed + "u"), md5_unit(key, seed + "v")
+    return F.sqrt(-2 * F.log(F.greatest(u, F.lit(1e-12)))) * F.cos(2 * np.pi * v)
+
+
+def mice(df: DataFrame, key: str, cols: list[str], xs: list[str], m: int = 5, rounds: int = 3, seed: str = "mice") -> DataFrame:
+    """imp, and the columns of ``df`` with ``cols`` filled: m chains of linear regressions of each column on the others, with hashed normal noise, so chains repeat.
+
+    Complete values are never changed. Each regression is one aggregate; each round's table is written.
+    """
+    from functools import reduce
+
+    out = []
+    for i in range(m):
+        flags = [F.col(c).isNull().alias(f"_na_{c}") for c in cols]
+        start = df.agg(*[F.avg(c).alias(f"_mean_{c}") for c in cols], *[F.coalesce(F.stddev_samp(c), F.lit(0.0)).alias(f"_sd_{c}") for c in cols])
+        d = df.select("*", *flags).crossJoin(F.broadcast(start))  # one row of means and deviations
+        d = d.select(*[F.coalesce(F.col(c).cast("double"), F.col(f"_mean_{c}") + F.col(f"_sd_{c}") * hashed_normal(F.col(key), f"{seed}{i}{c}")).alias(c) if c in cols else F.col(c) for c in df.columns], *[f"_na_{c}" for c in cols])
+        d = persisted(d, "mice")
+        for r in range(rounds):
+            for c in cols:
+                rest = [x for x in [*cols, *xs] if x != c]
+                seen = d.where(~F.col(f"_na_{c}"))
+                b = [row["coefficient"] for row in ols(seen, c, rest).collect()]  # one row a term
+                fitted = sum((F.col(x).cast("double") * float(v) for x, v in zip(rest, b[1:], strict=True)), F.lit(float(b[0])))
+                sd = seen.agg(F.stddev_samp(F.col(c) - fitted)).first()[0] or 0.0
+                d = d.withColumn(c, F.when(F.col(f"_na_{c}"), fitted + float(sd) * hashed_normal(F.col(key), f"{seed}{i}{r}{c}")).otherwise(F.col(c)))
+            d = persisted(d, "mice")
+        out.append(d.select(F.lit(i).alias("imp"), *df.columns))
+    return reduce(DataFrame.unionByName, out)

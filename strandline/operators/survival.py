@@ -127,3 +127,18 @@ def person_period(df: DataFrame, unit: str, time: str, code: str, step: float) -
     n = F.greatest(F.ceil(F.col(time) / step), F.lit(1)).cast("int")
     e = df.withColumn("_n", n).withColumn("period", F.explode(F.sequence(F.lit(1), F.col("_n"))))
     return e.select(unit, "period", F.when(F.col("period") == F.col("_n"), F.col(code)).otherwise(0).alias("outcome"))
+
+
+def schoenfeld_test(df: DataFrame, time: str, event: Column, fit: DataFrame) -> DataFrame:
+    """covariate, n, r, z: correlation of the Schoenfeld residuals at event times with time, and its normal score; ``fit`` is what ``cox`` gave."""
+    beta = {r["covariate"]: r["beta"] for r in fit.collect()}  # one row a covariate
+    names = list(beta)
+    eta = sum((F.col(c).cast("double") * b for c, b in beta.items()), F.lit(0.0))
+    w = df.select(F.col(time).alias("t"), event.cast("int").alias("d"), F.exp(eta).alias("w"), *[F.col(c).cast("double").alias(f"x{i}") for i, c in enumerate(names)])
+    sums = w.groupBy("t").agg(F.sum("w").alias("s"), F.sum("d").alias("d"), *[F.sum(F.col("w") * F.col(f"x{i}")).alias(f"a{i}") for i in range(len(names))], *[F.sum(F.col("d") * F.col(f"x{i}")).alias(f"e{i}") for i in range(len(names))])
+    t = prefix_sums(sums, "t", ["s", *[f"a{i}" for i in range(len(names))]], descending=True).where("d > 0")
+    means = [F.col(f"cum_a{i}") / F.col("cum_s") for i in range(len(names))]
+    res = t.select("t", "d", *[(F.col(f"e{i}") / F.col("d") - means[i]).alias(f"r{i}") for i in range(len(names))])
+    one = res.agg(F.count("*").alias("n"), *[F.corr(f"r{i}", "t").alias(f"c{i}") for i in range(len(names))])
+    rows = [F.struct(F.lit(c).alias("covariate"), F.col("n"), F.col(f"c{i}").alias("r"), (F.atanh(F.col(f"c{i}")) * F.sqrt(F.greatest(F.col("n") - 3, F.lit(0)))).alias("z")) for i, c in enumerate(names)]
+    return one.select(F.explode(F.array(*rows)).alias("x")).select("x.*")

@@ -288,3 +288,25 @@ SELECT term, m, round(e, 6) AS estimate, round(w, 6) AS within, round(b, 6) AS "
 def o9(spark, sf):
     f = ev(spark, sf).groupBy(F.col("event_type").alias("term"), (F.col("user_id") % 5).alias("imp")).agg(F.avg("value").alias("coefficient"), (F.stddev_samp("value") / F.sqrt(F.count("*"))).alias("se"))
     return rounded(ca.rubin_pool(f), "estimate", "within", "between", "total", "fmi")
+
+
+@query("p6_schoenfeld")
+def p6(spark, sf):
+    d = surv(spark, sf).withColumn("x", F.pmod(F.col("user_id"), F.lit(7)).cast("double"))
+    return rounded(s.schoenfeld_test(d, "days", F.col("code") == 1, s.cox(d, "days", F.col("code") == 1, ["grp", "x"])), "r", "z")
+
+
+def holes(spark, sf):
+    k = F.col("o_orderkey")
+    return load(spark, sf, "orders").select("o_orderkey", F.when(k % 5 != 0, F.col("o_totalprice") / 1e5).alias("price"), F.when(k % 7 != 0, (k % 11).cast("double")).alias("load"), F.year("o_orderdate").alias("yr"))
+
+
+@query("o9b_mice")
+def o9b(spark, sf):
+    filled = ca.mice(holes(spark, sf), "o_orderkey", ["price", "load"], ["yr"], 2, 1)
+    return filled.groupBy("imp").agg(F.count("*").alias("n"), F.count("price").alias("n_price"), F.round(F.avg("price"), 3).alias("mean_price"), F.round(F.avg("load"), 3).alias("mean_load"))
+
+
+@query("o10_informative_missing")
+def o10(spark, sf):
+    return rounded(ca.informative_missing(holes(spark, sf), "price", ["yr"]), "coefficient", to=3)

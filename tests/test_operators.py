@@ -189,3 +189,10 @@ def test_parse_value(spark):
     df = spark.createDataFrame([("<0.01",), ("1-2",), ("120/80",), ("7",), ("abc",), (None,)], "v string")
     got = [r[0] and (r[0]["kind"], r[0]["low"], r[0]["high"]) for r in df.select(ts.parse_value(F.col("v"))).collect()]
     assert got == [("bound", 0.01, 0.01), ("range", 1.0, 2.0), ("pair", 120.0, 80.0), ("number", 7.0, 7.0), ("text", None, None), None]
+
+
+def test_chained_equations_keep_what_is_known(spark):
+    df = spark.range(200).selectExpr("id", "if(id % 4 = 0, null, id * 2.0D + 1) as a", "cast(id as double) as x")
+    got = causal.mice(df, "id", ["a"], ["x"], 2, 2).collect()
+    assert len(got) == 400 and all(r["a"] is not None for r in got)
+    assert all(abs(r["a"] - (2 * r["x"] + 1)) < 1e-6 for r in got)  # the relation is exact, so is the fill
