@@ -14,7 +14,7 @@ from strandline.llm.shared import lookup, table, written
 
 #: Pages of a host meet in groups of about so many, so a group is small however large the host.
 GROUP = 48
-#: A text that all pages of a group share is taken for part of the template only in groups of at least so many.
+#: A text that all pages of a group share is taken for part of the template only among at least so many different pages without an article or main element.
 SHARED = 8
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|$)|<(script|style|template|noscript|textarea|iframe|svg)\b[^>]*>.*?(?:</\1\s*>|$)|<[!?][^>]*>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|[^<]+|<", re.S | re.I)
@@ -133,17 +133,15 @@ def main_texts(htmls: list[str | None]) -> list[str]:
     template = Template(pages)
     filled = [slot_texts(p, template) for p in pages]
     plain = [{s: " ".join("".join(r[3] for r in runs).split()) for s, runs in f.items()} for f in filled]
+    inner = any(inside for f in filled for runs in f.values() for _, _, inside, _ in runs)
     constant = set()
-    if len(pages) >= SHARED:  # a slot in which a whole group of different pages says the same is template text
-        for s in set().union(*plain):
-            if s not in template.nested and plain[0].get(s) and len({p.get(s) for p in plain}) == 1:
-                constant.add(s)
+    if not inner and len({tuple(sorted(p.items())) for p in plain}) >= SHARED:  # where no element names the article, a slot in which many different pages say the same is template text
+        constant = {s for s in set().union(*plain) if s not in template.nested and plain[0].get(s) and len({p.get(s) for p in plain}) == 1}
     held = {s for f in filled for s, runs in f.items() if any(inside and not outside for _, outside, inside, _ in runs)}
     if not held:  # no article or main element: the slots with running text
         weight = {s: sum(len(t.split()) for f in filled for _, outside, _, t in f.get(s, ()) if not outside) for s in set().union(*filled)}
         most = max(weight.values(), default=0)
         held = {s for s, w in weight.items() if w and w * 10 >= most}
-    inner = any(inside for f in filled for runs in f.values() for _, _, inside, _ in runs)
     out = []
     for f in filled:
         blocks: dict[int, list[str]] = {}

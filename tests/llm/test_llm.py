@@ -343,3 +343,9 @@ def test_pipeline_stages(spark, sf, rows):
     empty = spark.read.parquet(f"{sf}/documents.parquet").where("false")
     for _, stage in cp.STAGES:
         assert stage(spark, empty, sf).count() == 0
+
+
+def test_copies_of_a_page_keep_their_text():
+    page = "<html><body><nav>menu</nav>{}<h1>Same title</h1><p>The same long text on every page of the host.</p>{}</body></html>"
+    for wrap in (("<article>", "</article>"), ("<div>", "</div>")):
+        assert set(extraction.main_texts([page.format(*wrap)] * 20)) == {"Same title\nThe same long text on every page of the host."}
