@@ -269,5 +269,17 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     return placed.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"))
 
 
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of ``docs``, columns as they are, without those linked to a smaller id; a repeated id stays once, and rows without words or id stay.
+
+    Only ids that go or repeat are looked up, so the texts of all others are passed on where they are.
+    """
+    found = written(jaccard_components(docs, id_col, text_col, words, percent).where("doc_id is not null"), "found")
+    ids = found.groupBy(F.col("doc_id").alias(id_col)).agg(F.count("*").alias("_n"), (F.min("component_id") < F.first("doc_id")).alias("_goes")).where("_goes or _n > 1")
+    marked = lookup(docs, ids, [id_col], "_n", found.count())
+    again = marked.where("not _goes").dropDuplicates([id_col])
+    return marked.where("_goes is null").select(*docs.columns).unionByName(again.select(*docs.columns))
+
+
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"))
