@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from strandline.llm import jaccard, language, mixing, packing, quality
 from strandline.llm.shared import table, written
@@ -21,9 +20,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps of each group of linked documents the one with the smallest id, once if its row repeats; documents without words or id stay."""
-    kept = jaccard.jaccard_components(docs, words=5, percent=80).where("component_id = doc_id").select("doc_id").distinct()
-    first = docs.join(kept.hint("shuffle_hash"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return first.select(*docs.columns).unionByName(docs.where(F.col("doc_id").isNull()))
+    return jaccard.keep_one(docs, words=5, percent=80)
 
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
