@@ -1,10 +1,13 @@
-"""HTML main text by template deduction: tag tokens that occur alike across a host's pages form classes, nested classes a template, and its slots hold the page's own text."""
+"""HTML main text by template deduction: lines of text at one place of the element tree form a slot over all of a host's pages; slots that say the same everywhere are template, the others hold a page's own text."""
 
 from __future__ import annotations
 
 import re
 from collections import Counter, defaultdict
+from collections.abc import Iterator
+from hashlib import blake2b
 from html import unescape
+from itertools import takewhile
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -12,9 +15,7 @@ from pyspark.sql import functions as F
 
 from strandline.llm.shared import lookup, table, written
 
-#: Pages of a host meet in groups of about so many, so a group is small however large the host.
-GROUP = 48
-#: A text that all pages of a group share is taken for part of the template only among at least so many different pages without an article or main element.
+#: A slot is template text if it says the same on at least so many different pages, and on at least half of its host's different pages of that layout.
 SHARED = 8
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|$)|<(script|style|template|noscript|textarea|iframe|svg)\b[^>]*>.*?(?:</\1\s*>|$)|<[!?][^>]*>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|[^<]+|<", re.S | re.I)
@@ -38,13 +39,16 @@ class Page:
         self.tokens: list[str] = []
         #: (token number before it, block number, path flags, text) of every run of text
         self.runs: list[tuple[int, int, bool, bool, str]] = []
-        stack: list[tuple[str, bool, bool]] = []  # element, outside the article text, inside an article or main element
+        #: for every run its open block elements with their class words, without words that hold a digit
+        self.places: list[str] = []
+        stack: list[tuple[str, bool, bool, str]] = []  # element, outside the article text, inside an article or main element, place
         block = 0
         for m in _TOKEN.finditer(html):
             name = m[3]
             if name is None:
                 if (text := m[0])[0] != "<" or text == "<":
-                    _, outside, inside = stack[-1] if stack else ("", False, False)
+                    _, outside, inside, place = stack[-1] if stack else ("", False, False, "")
+                    self.places.append(place)
                     self.runs.append((len(self.tokens), block, outside, inside, unescape(text)))
                 continue
             name = name.lower()
@@ -60,7 +64,7 @@ class Page:
                     stack.pop()
                 if stack and stack[-1][0] == "p" or name in ("li", "dd", "dt", "option", "tr", "td", "th") and stack and stack[-1][0] == name:
                     stack.pop()
-            _, outside, inside = stack[-1] if stack else ("", False, False)
+            _, outside, inside, place = stack[-1] if stack else ("", False, False, "")
             words = {w for a in _ATTRIBUTE.findall(m[4]) for w in re.split(r"[^a-z0-9]+", " ".join(a[1:]).lower())} if "=" in m[4] else set()
             if name in _CONTENT:
                 inside = True
@@ -69,7 +73,9 @@ class Page:
             path = "/".join(e[0] for e in stack if e[0] not in _INLINE)
             self.tokens.append(f"{path}<{name}{'.' + '.'.join(sorted(words - {''})) if words else ''}")
             if name not in _VOID and not m[4].rstrip().endswith("/"):
-                stack.append((name, outside, inside))
+                if name not in _INLINE:
+                    place += f"/{name}{''.join(f'.{w}' for w in sorted(words - {''}) if not any(map(str.isdigit, w)))}"
+                stack.append((name, outside, inside, place))
 
 
 def classes(pages: list[Page]) -> dict[tuple[int, ...], list[str]]:
@@ -116,62 +122,100 @@ class Template:
         return out
 
 
-def slot_texts(page: Page, template: Template) -> dict[int, list[tuple[int, bool, bool, str]]]:
-    """By slot, the page's runs there: (block, outside, inside, text)."""
-    at = [0, *template.slots(page)]
-    out: dict[int, list[tuple[int, bool, bool, str]]] = defaultdict(list)
-    for token, block, outside, inside, text in page.runs:
-        out[at[token]].append((block, outside, inside, text))
-    return out
+def own_lines(page: Page) -> tuple[bool, list[tuple[str, str]]]:
+    """Whether the page has text in article or main elements, and (place, text) of its lines of running text: those inside such elements where it has any, else all, without what elements or class words mark as other than the article."""
+    inner = any(inside and not outside and not text.isspace() for _, _, outside, inside, text in page.runs)
+    blocks: dict[int, tuple[str, list[str]]] = {}
+    for (_, block, outside, inside, text), place in zip(page.runs, page.places, strict=True):
+        if not outside and (inside or not inner):
+            if block not in blocks or not any(map(str.strip, blocks[block][1])):  # the first text of a line says where it is
+                blocks[block] = (place, [*blocks.get(block, ("", []))[1]])
+            blocks[block][1].append(text)
+    lines = ((place, " ".join("".join(parts).split())) for _, (place, parts) in sorted(blocks.items()))
+    return inner, [x for x in lines if x[1]]
 
 
-def main_texts(htmls: list[str | None]) -> list[str]:
-    """The main text of each page of a group of one host."""
-    pages = [Page(h or "") for h in htmls]
-    if not pages:
-        return []
-    template = Template(pages)
-    filled = [slot_texts(p, template) for p in pages]
-    plain = [{s: " ".join("".join(r[3] for r in runs).split()) for s, runs in f.items()} for f in filled]
-    inner = any(inside for f in filled for runs in f.values() for _, _, inside, _ in runs)
-    constant = set()
-    if not inner and len({tuple(sorted(p.items())) for p in plain}) >= SHARED:  # where no element names the article, a slot in which many different pages say the same is template text
-        constant = {s for s in set().union(*plain) if s not in template.nested and plain[0].get(s) and len({p.get(s) for p in plain}) == 1}
-    held = {s for f in filled for s, runs in f.items() if any(inside and not outside for _, outside, inside, _ in runs)}
-    if not held:  # no article or main element: the slots with running text
-        weight = {s: sum(len(t.split()) for f in filled for _, outside, _, t in f.get(s, ()) if not outside) for s in set().union(*filled)}
-        most = max(weight.values(), default=0)
-        held = {s for s, w in weight.items() if w and w * 10 >= most}
-    out = []
-    for f in filled:
-        blocks: dict[int, list[str]] = {}
-        for s in sorted(f):
-            if s in held and s not in constant:
-                for block, outside, inside, text in f[s]:
-                    if not outside and (inside or not inner):
-                        blocks.setdefault(block, []).append(text)
-        lines = (" ".join("".join(parts).split()) for _, parts in sorted(blocks.items()))
-        out.append("\n".join(x for x in lines if x))
-    return out
+def hashed(*parts: object) -> int:
+    return int.from_bytes(blake2b("\0".join(map(str, parts)).encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True)
+
 
+def slots(inner: bool, lines: list[tuple[str, str]]) -> tuple[list[int], list[int]]:
+    """For each line its two slots: its place with its number there from the first, and from the last."""
+    many, seen = Counter(place for place, _ in lines), Counter()
+    front, back = [], []
+    for place, _ in lines:
+        front.append(hashed(inner, "front", place, seen[place]))
+        seen[place] += 1
+        back.append(hashed(inner, "back", place, many[place] - seen[place]))
+    return front, back
 
-def extract(pages: DataFrame, group: int = GROUP) -> DataFrame:
+
+def varying(inner: bool, lines: list[tuple[str, str]], fixed: set[int]) -> str:
+    """The lines without those at the start or the end of a place whose slots are template text."""
+    if fixed:
+        front, back = slots(inner, lines)
+        at: dict[str, list[int]] = defaultdict(list)
+        for n, (place, _) in enumerate(lines):
+            at[place].append(n)
+        gone = {n for ns in at.values() for n in [*takewhile(lambda n: front[n] in fixed, ns), *takewhile(lambda n: back[n] in fixed, reversed(ns))]}
+        lines = [x for n, x in enumerate(lines) if n not in gone]
+    return "\n".join(text for _, text in lines)
+
+
+def main_texts(htmls: list[str | None]) -> list[str]:
+    """The main text of each page of one host, as ``extract`` finds it."""
+    read = [own_lines(Page(h or "")) for h in htmls]
+    different = {(inner, tuple(text for _, text in lines)): (inner, lines) for inner, lines in sorted(read, reverse=True) if lines}
+    says: dict[int, list[int]] = defaultdict(list)
+    for inner, lines in different.values():
+        front, back = slots(inner, lines)
+        for n, (_, text) in enumerate(lines):
+            for key in (front[n], back[n]):
+                says[key].append((inner, text))
+    total = Counter(inner for inner, _ in different.values())
+    fixed = {key for key, x in says.items() if len(x) >= SHARED and len(set(x)) == 1 and len(x) * 2 >= total[x[0][0]]}
+    return [varying(inner, lines, fixed) for inner, lines in read]
+
+
+def templates(rows: DataFrame) -> DataFrame:
+    """host, fixed: the slots of each host that are template text, counted over all its different pages (those of different lines, so that copies count once)."""
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            out: list[tuple] = []
+            for host, html in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                inner, lines = own_lines(Page(html or ""))
+                if lines:
+                    out.append((host, inner, hashed(*(text for _, text in lines)), *slots(inner, lines), [hashed(text) for _, text in lines]))
+            columns = zip(*out, strict=True) if out else [[]] * 6
+            yield pa.RecordBatch.from_arrays([pa.array(list(x), t) for x, t in zip(columns, (pa.string(), pa.bool_(), pa.int64(), *[pa.list_(pa.int64())] * 3), strict=True)], names=["host", "inner", "page", "front", "back", "said"])
+
+    found = rows.select("host", "html").mapInArrow(read, "host string, inner boolean, page long, front array<long>, back array<long>, said array<long>")
+    different = written(found.groupBy("host", "inner", "page").agg(F.min(F.struct("front", "back", "said")).alias("x")), "different")
+    total = different.groupBy("host", "inner").agg(F.count("*").alias("pages"))
+    each = different.select("host", "inner", F.explode(F.arrays_zip(F.concat("x.front", "x.back").alias("slot"), F.concat("x.said", "x.said").alias("said"))).alias("y"))
+    same = each.groupBy("host", "inner", "y.slot").agg(F.count("*").alias("n"), F.min("y.said").alias("a"), F.max("y.said").alias("b")).where((F.col("n") >= SHARED) & (F.col("a") == F.col("b")))
+    fixed = same.join(total, ["host", "inner"]).where(F.col("n") * 2 >= F.col("pages"))
+    return fixed.groupBy("host").agg(F.sort_array(F.collect_list("slot")).alias("fixed"))
+
+
+def extract(pages: DataFrame) -> DataFrame:
     """page_id, url, text, n_chars (code points of text) for every row of ``pages`` (page_id, url, html); whole pages, nothing dropped or capped.
 
-    Pages of a host are dealt by a hash into groups of about ``group`` pages, as many groups as the host needs, so no host gathers in one task.
+    A first reading counts the slots of each host over all its pages, a second reads the pages beside their host's template; pages themselves meet in no task.
     A null or empty html, or one without article text, gives an empty text. Null urls form a host of their own. Repeated rows give a row each; other columns are ignored.
     """
     host = F.lower(F.regexp_extract(F.coalesce(F.col("url").cast("string"), F.lit("")), r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1))
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), "html").withColumn("host", host)
-    hosts = written(rows.groupBy("host").agg(F.count("*").alias("n")).withColumn("groups", F.ceil(F.col("n") / group).cast("long")), "hosts")
+    hosts = written(rows.groupBy("host").agg(F.count("*").alias("n")).join(templates(rows), "host", "left"), "hosts")
     total = hosts.agg(F.sum("n")).first()[0] or 0
-    dealt = lookup(rows, hosts, ["host"], "n", total).withColumn("part", F.pmod(F.xxhash64("page_id", "url"), F.col("groups")))
 
-    def read(rows: pa.Table) -> pa.Table:
-        texts = main_texts(rows.column("html").to_pylist())
-        return pa.table({"page_id": rows.column("page_id"), "url": rows.column("url"), "text": pa.array(texts, pa.string()), "n_chars": pa.array(map(len, texts), pa.int64())})
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            texts = [varying(*own_lines(Page(html or "")), set(fixed or ())) for html, fixed in zip(b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())], names=["page_id", "url", "text", "n_chars"])
 
-    return dealt.select("host", "part", "page_id", "url", "html").groupBy("host", "part").applyInArrow(read, "page_id long, url string, text string, n_chars long")
+    return lookup(rows, hosts, ["host"], "n", total).select("page_id", "url", "html", "fixed").mapInArrow(read, "page_id long, url string, text string, n_chars long")
 
 
 def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -349,3 +349,14 @@ def test_copies_of_a_page_keep_their_text():
     page = "<html><body><nav>menu</nav>{}<h1>Same title</h1><p>The same long text on every page of the host.</p>{}</body></html>"
     for wrap in (("<article>", "</article>"), ("<div>", "</div>")):
         assert set(extraction.main_texts([page.format(*wrap)] * 20)) == {"Same title\nThe same long text on every page of the host."}
+
+
+def test_template_decides_inside_articles(spark):
+    """A line that a host's different pages share at one place is template text, also inside an article; a line that returns at other places is text."""
+    page = lambda n: f"<html><body><article><h1>Title {n}</h1><p>Text of page {n}.</p>{'<p>Refrain</p>' if n % 2 else ''}<p>End of {n}.</p><div class=box>Follow us</div><p>Read our rules</p></article></body></html>"
+    want = {n: "\n".join([f"Title {n}", f"Text of page {n}.", *(["Refrain"] if n % 2 else []), f"End of {n}."]) for n in range(120)}
+    rows = [(n, "http://h/", page(n)) for n in want]
+    assert extraction.main_texts([r[2] for r in rows]) == list(want.values())
+    got = extraction.extract(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(7)).collect()
+    assert {r["page_id"]: r["text"] for r in got} == want
+    assert extraction.main_texts([rows[n][2] for n in range(3)])[1].endswith("Follow us\nRead our rules")  # three pages tell no template
