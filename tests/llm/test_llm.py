@@ -360,3 +360,12 @@ def test_template_decides_inside_articles(spark):
     got = extraction.extract(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(7)).collect()
     assert {r["page_id"]: r["text"] for r in got} == want
     assert extraction.main_texts([rows[n][2] for n in range(3)])[1].endswith("Follow us\nRead our rules")  # three pages tell no template
+
+
+def test_pages_without_article_keep_their_text():
+    """Article elements count page by page, and short lines stay however long the others are."""
+    post = "<html><body><nav>menu</nav><article><h1>A</h1><p>post</p></article></body></html>"
+    plain = f"<html><body><nav>menu</nav><div class=post><h2>Short title</h2><p>Lead</p><p>{'long ' * 200}</p><p>A <b>bold</b> end</p></div></body></html>"
+    want = "Short title\nLead\n" + " ".join(["long"] * 200) + "\nA bold end"
+    assert extraction.main_texts([post, plain]) == ["A\npost", want]
+    assert extraction.main_texts([plain]) == [want]
