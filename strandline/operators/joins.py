@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strandline.functions.timesem import seconds
+from strandline.sources.tables import persisted
 
 
 def asof_join(left: DataFrame, right: DataFrame, by: list[str], left_on: str, right_on: str, values: list[str], tiebreak: str, direction: str = "backward", tolerance_hours: float | None = None) -> DataFrame:
@@ -54,14 +55,43 @@ def window_join(left: DataFrame, right: DataFrame, by: list[str], left_on: str,
     return pairs.withColumn("lag_hours", (F.col("_s") - seconds(left_on)) / 3600.0).drop("_lo", "_hi", "_s", "_bucket")
 
 
+def dealt(df: DataFrame, by: list[str], time: str) -> DataFrame:
+    """``df`` written in ranges of key and time, with _part, the number of its range: a hot key lies in many ranges, rows of equal key and time in one."""
+    return persisted(df.repartitionByRange(*by, time).withColumn("_part", F.spark_partition_id()), "ranges")
+
+
+def carry(ranges: DataFrame, by: list[str], value: Column) -> DataFrame:
+    """``ranges`` with _carried: the largest ``value`` of the key in its ranges before this one. Only a key that runs over an edge of ranges has one, so at most two rows a range are broadcast."""
+    keys = Window.partitionBy(*by)
+    tops = ranges.groupBy(*by, "_part").agg(F.max(value).alias("_top"))
+    before = F.max("_top").over(keys.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))
+    over = tops.select(*by, "_part", before.alias("_carried"), F.count("*").over(keys).alias("_parts")).where(F.col("_parts") > 1).drop("_parts")
+    return ranges.join(F.broadcast(over), [*by, "_part"], "left")
+
+
 def interval_join(points: DataFrame, intervals: DataFrame, by: list[str], time: str, start: str, end: str, interval_id: str) -> DataFrame:
-    """Each distinct point with the interval [start, end) of its key that holds it, the earliest (then smallest id) of several; NULLs where none does."""
-    cols = points.columns
-    i = intervals.select(*by, F.col(start).alias("_s"), F.col(end).alias("_e"), F.col(interval_id).alias("_i"))
-    hit = points.join(i, by, "left")
-    inside = (F.col(time) >= F.col("_s")) & (F.col(time) < F.col("_e"))
-    best = F.min(F.when(inside, F.struct("_s", "_e", "_i"))).alias("_best")
-    return hit.groupBy(*cols).agg(best).select(*cols, F.col("_best._i").alias(interval_id), F.col("_best._s").alias(start), F.col("_best._e").alias(end))
+    """Each distinct point with the interval [start, end) of its key that holds it, the earliest (then smallest id) of several; NULLs where none does.
+
+    What an interval holds alone begins where those before it have ended; these pieces don't overlap, so the last one to begin at or before a point is the only one that can hold it.
+    Both steps run in ranges of key and time and carry the edge over: no pairs, and no key in one task.
+    """
+    keys = [f"_k{n}" for n in range(len(by))]
+    named = [F.col(k).alias(n) for k, n in zip(by, keys, strict=True)]
+    known = F.col("_s").isNotNull() & (F.col("_s") < F.col("_e"))
+    for k in keys:
+        known = known & F.col(k).isNotNull()
+    i = dealt(intervals.select(*named, F.col(start).alias("_s"), F.col(end).alias("_e"), F.col(interval_id).alias("_i")).where(known), keys, "_s")
+    own = Window.partitionBy("_part", *keys)
+    ended = F.greatest(F.max("_e").over(own.orderBy("_s", "_e", "_i").rowsBetween(Window.unboundedPreceding, -1)), "_carried")
+    pieces = carry(i, keys, F.col("_e")).withColumn("_ended", ended).where(F.col("_ended").isNull() | (F.col("_e") > F.col("_ended")))
+    pieces = pieces.select(*keys, F.greatest("_s", "_ended").alias("_t"), F.lit(0).alias("_side"), F.struct("_s", "_e", "_i").alias("_hit"))
+    rows = points.distinct().select(*named, F.col(time).alias("_t"), F.lit(1).alias("_side"), F.struct(*points.columns).alias("_row"))
+    both = dealt(pieces.unionByName(rows, allowMissingColumns=True), keys, "_t")
+    begun = F.when(F.col("_side") == 0, F.struct("_t", "_hit"))
+    last = F.greatest(F.max(begun).over(own.orderBy("_t", "_side").rowsBetween(Window.unboundedPreceding, 0)), "_carried")
+    found = carry(both, keys, begun).withColumn("_best", last["_hit"]).where("_side = 1")
+    hit = F.when(F.col("_t") < F.col("_best._e"), F.col("_best"))
+    return found.select("_row.*", hit["_i"].alias(interval_id), hit["_s"].alias(start), hit["_e"].alias(end))
 
 
 def prefix_join(codes: DataFrame, code: str, prefixes: DataFrame, prefix: str, lengths: list[int]) -> DataFrame:

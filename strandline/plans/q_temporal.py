@@ -63,13 +63,22 @@ def e5(spark, sf):
     return j.window_join(a, b, ["user_id"], "a_ts", "b_ts", 1, 2).select("purchase_id", "error_id", F.round("lag_hours", 6).alias("lag_hours"))
 
 
-@query("e6_interval_join", f"WITH {ENC}, r AS (SELECT l_orderkey, l_linenumber, l_shipdate, o_custkey FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_orderkey % 10 = 0) SELECT DISTINCT l_orderkey, l_linenumber, l_shipdate, (SELECT hadm FROM enc WHERE subject = o_custkey AND l_shipdate >= start AND l_shipdate < stop ORDER BY start, stop, hadm LIMIT 1) AS hadm FROM r")
-def e6(spark, sf):
+def _in_encounters(spark, sf, lines):
     o = load(spark, sf, "orders").select(F.col("o_orderkey").alias("l_orderkey"), F.col("o_custkey").alias("subject"))
-    pts = load(spark, sf, "lineitem").where("l_orderkey % 10 = 0").join(o, "l_orderkey").select("l_orderkey", "l_linenumber", "l_shipdate", "subject")
+    pts = lines.join(o, "l_orderkey").select("l_orderkey", "l_linenumber", "l_shipdate", "subject")
     return j.interval_join(pts, encounters(spark, sf), ["subject"], "l_shipdate", "start", "stop", "hadm").select("l_orderkey", "l_linenumber", "l_shipdate", "hadm")
 
 
+@query("e6_interval_join", f"WITH {ENC}, r AS (SELECT l_orderkey, l_linenumber, l_shipdate, o_custkey FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_orderkey % 10 = 0) SELECT DISTINCT l_orderkey, l_linenumber, l_shipdate, (SELECT hadm FROM enc WHERE subject = o_custkey AND l_shipdate >= start AND l_shipdate < stop ORDER BY start, stop, hadm LIMIT 1) AS hadm FROM r")
+def e6(spark, sf):
+    return _in_encounters(spark, sf, load(spark, sf, "lineitem").where("l_orderkey % 10 = 0"))
+
+
+@query("e6b_interval_join_all")
+def e6b(spark, sf):
+    return _in_encounters(spark, sf, load(spark, sf, "lineitem"))
+
+
 @query("e7_prefix_join", "WITH p(prefix, grp) AS (VALUES ('PRO', 'pro'), ('ST', 'st'), ('STANDARD', 'std'), ('ECO', 'eco'), ('S', 's')) SELECT p_partkey, p_type, prefix, grp FROM part JOIN p ON starts_with(upper(p_type), prefix)")
 def e7(spark, sf):
     rules = spark.createDataFrame([("PRO", "pro"), ("ST", "st"), ("STANDARD", "std"), ("ECO", "eco"), ("S", "s")], "prefix string, grp string")

@@ -1,6 +1,7 @@
 """Operators on hand-made rows with answers known on paper."""
 
 import math
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -57,6 +58,33 @@ def test_interval_is_closed_then_open(spark):
     assert got == {1: 1, 2: 2, 3: None}
 
 
+def test_interval_join_of_a_hot_key_is_brute_force(spark):
+    rng = random.Random(3)
+    keys = ["hot"] * 6 + ["a", "b", None]
+    stays = [(rng.choice(keys), s := float(rng.randint(0, 400)), rng.choice([s + rng.randint(-2, 40), None]) if n % 9 == 0 else s + rng.randint(0, 40), n) for n in range(300)]
+    pts = [(rng.choice(keys), float(rng.randint(-5, 450)) if n % 50 else None, n) for n in range(600)]
+    pairs = lambda k, t: [(s, e, i) for key, s, e, i in stays if key == k and None not in (k, t, e) and s <= t < e]
+    want = {n: min(pairs(k, t), default=(0, 0, None))[2] for k, t, n in pts}
+    intervals, points = spark.createDataFrame(stays, "k string, s double, e double, stay int"), spark.createDataFrame(pts, "k string, t double, p int")
+    for adaptive in ("true", "false"):  # without it, a range stays a partition
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+        try:
+            got = joins.interval_join(points.union(points), intervals, ["k"], "t", "s", "e", "stay").collect()
+        finally:
+            spark.conf.unset("spark.sql.adaptive.enabled")
+        assert len(got) == len(pts) and {r["p"]: r["stay"] for r in got} == want
+
+
+def test_interval_join_on_all_lines(spark, sf, duck):
+    from conftest import same
+
+    from strandline.plans import registry
+
+    registry.load_all()
+    sql = registry.oracle_sql()["e6_interval_join"]
+    same(registry.queries()["e6b_interval_join_all"](spark, sf).toPandas(), duck.sql(sql.replace(" WHERE l_orderkey % 10 = 0", "")).df())
+
+
 def test_gap_equal_to_the_threshold_does_not_break(spark):
     df = at(spark, [("k", 0.0, 1.0, 1), ("k", 3601.0, 3602.0, 2), ("k", 7203.0, 7203.0, 3)], "k string, s double, e double, i int", ["s", "e"])
     assert sorted(r["n"] for r in windows.merge_gaps(df, ["k"], "s", "e", 1, "i").collect()) == [1, 2]
