@@ -2,11 +2,18 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from functools import reduce
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strandline.functions.timesem import md5_unit
 from strandline.operators.inference import ks, prefix_sums, psi, rank_table
+from strandline.sources.tables import persisted
 
 
 def build_features(aligned: DataFrame, keys: list[str], item: str, value: str, tiebreak: str, items: list[str], low: float, high: float) -> DataFrame:
@@ -117,12 +124,100 @@ def cosine(a: Column, b: Column) -> Column:
     return F.try_divide(dot(a, b), F.sqrt(dot(a, a)) * F.sqrt(dot(b, b)))
 
 
+#: A pass of a search by cosine takes so many queries on average; a task scores so many of them against so many rows at a time.
+PASS, QUERIES, ROWS = 8192, 256, 4096
+
+
+def dense(vectors: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Vectors as [row, term], and their lengths; a null vector, or one that holds a null, has length -1."""
+    n = np.asarray(pc.fill_null(pc.list_value_length(vectors), 0)).astype(np.int64)
+    known = np.asarray(vectors.is_valid())
+    flat = vectors.flatten()
+    rows = np.repeat(np.arange(len(n)), n)
+    out = np.zeros((len(n), int(n.max(initial=0))))
+    out[np.arange(out.shape[1]) < n[:, None]] = flat.cast("float64").fill_null(0.0).to_numpy(zero_copy_only=False)
+    known[rows[~np.asarray(flat.is_valid())]] = False
+    return out, np.where(known, n, -1)
+
+
+def nearest(base: DataFrame, queries: DataFrame, unit: str, vector: str, value: Column, k: int, per_pass: int = PASS) -> DataFrame:
+    """query, _u, _s, _v: of every query the k rows of ``base`` of another ``unit`` (an integer) with the highest cosine, ties to smaller units, with their ``value``.
+
+    Terms are added one by one, as SQL does, so equal vectors score equally. Like ``cosine``, vectors of different length, or with a null or of zero length give NULL, which comes last.
+    Queries go in passes of about ``per_pass``, broadcast; every row of the base is scored against them, and a task keeps k rows a query before these meet. A unit is one query (its smallest vector).
+    """
+    spark = base.sparkSession
+    asked = persisted(queries.select(F.col(unit).cast("long").alias("id"), F.col(vector).alias("v")).where("id is not null").groupBy("id").agg(F.min("v").alias("v")), "queries")
+    passes = max(-(-asked.count() // per_pass), 1)
+    rows = base.select(F.col(unit).cast("long").alias("_u"), F.col(vector).alias("v"), value.alias("_v")).where("_u is not null")
+    kind = rows.schema["_v"].dataType.simpleString()
+    parts = []
+    for n in range(passes):
+        part = asked.where(F.pmod(F.xxhash64("id"), F.lit(passes)) == n).toArrow().combine_chunks()
+        block = spark.sparkContext.broadcast((part.column("id").to_numpy(), *dense(pa.concat_arrays(part.column("v").chunks)))) if part.num_rows else None
+        if block is None:
+            continue
+
+        def search(batches: Iterator[pa.RecordBatch], block=block) -> Iterator[pa.RecordBatch]:
+            own, asks, long = block.value
+            norms = lengths(asks)
+            kept, payload = [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0), np.zeros(0, np.int64)], None  # query number, unit, cosine, row of payload
+            for b in batches:
+                payload = b.column(2).slice(0, 0) if payload is None else payload
+                for at in range(0, b.num_rows, ROWS):
+                    tile = b.slice(at, ROWS)
+                    values, n = dense(tile.column(1))
+                    sizes, units = lengths(values), tile.column(0).to_numpy()
+                    start = len(payload)
+                    payload = pa.concat_arrays([payload, tile.column(2)])
+                    for a in range(0, len(own), QUERIES):
+                        e = slice(a, a + QUERIES)
+                        s = np.zeros((len(own[e]), len(n)))
+                        for term in range(min(asks.shape[1], values.shape[1])):
+                            s += asks[e, term][:, None] * values[:, term]
+                        under = norms[e][:, None] * sizes
+                        with np.errstate(all="ignore"):
+                            s = s / under
+                        s[(under == 0) | (long[e][:, None] != n) | (n < 0)] = -np.inf  # NULL
+                        s[np.isnan(s)] = np.inf  # as in SQL, above all numbers
+                        s, other = np.where(own[e][:, None] != units, s, -np.inf), own[e][:, None] != units
+                        take = min(k + int((~other).sum(axis=1).max(initial=0)), len(n))
+                        bound = np.partition(s, len(n) - take, axis=1)[:, len(n) - take]
+                        q, r = np.nonzero((s >= bound[:, None]) & other)
+                        kept = [np.concatenate(x) for x in zip(kept, highest(q + a, units[r], s[q, r], r + start, k), strict=True)]
+                    kept = highest(*kept, k)
+                    use, at_new = np.unique(kept[3], return_inverse=True)
+                    payload, kept[3] = payload.take(pa.array(use)), at_new
+            q, u, s, r = kept
+            if payload is not None:
+                scores = pa.array(np.where(s == np.inf, np.nan, s), mask=s == -np.inf)
+                yield pa.RecordBatch.from_arrays([pa.array(own[q]), pa.array(u), scores, payload.take(pa.array(r))], names=["query", "_u", "_s", "_v"])
+
+        parts.append(rows.mapInArrow(search, f"query long, _u long, _s double, _v {kind}"))
+    if not parts:
+        return spark.createDataFrame([], f"query long, _u long, _s double, _v {kind}")
+    order = Window.partitionBy("query").orderBy(F.desc("_s"), "_u", "_v")
+    return reduce(DataFrame.unionByName, parts).withColumn("_r", F.row_number().over(order)).where(F.col("_r") <= k).drop("_r")
+
+
+def lengths(vectors: np.ndarray) -> np.ndarray:
+    out = np.zeros(len(vectors))
+    for term in range(vectors.shape[1]):
+        out += vectors[:, term] * vectors[:, term]
+    return np.sqrt(out)
+
+
+def highest(q: np.ndarray, u: np.ndarray, s: np.ndarray, r: np.ndarray, k: int) -> list[np.ndarray]:
+    """The k best of each query."""
+    order = np.lexsort((u, -s, q))
+    q, u, s, r = q[order], u[order], s[order], r[order]
+    keep = np.arange(len(q)) - np.searchsorted(q, q) < k
+    return [q[keep], u[keep], s[keep], r[keep]]
+
+
 def neighbour_profile(base: DataFrame, queries: DataFrame, unit: str, vector: str, value: Column, k: int) -> DataFrame:
-    """query, n, mean of the values and similarity of its k nearest by cosine, never their ids. ``queries`` is a short list (a hundred rows at most); every row of the base is scored against it."""
-    asked = queries.select(F.col(unit).alias("query"), F.col(vector).alias("_q")).limit(100)
-    pairs = base.select(unit, vector, value.alias("_v")).join(F.broadcast(asked), F.col(unit) != F.col("query"))
-    r = pairs.withColumn("_s", cosine(F.col("_q"), F.col(vector))).withColumn("_r", F.row_number().over(Window.partitionBy("query").orderBy(F.desc("_s"), unit))).where(F.col("_r") <= k)
-    return r.groupBy("query").agg(F.count("*").alias("n"), F.avg("_v").alias("mean"), F.avg("_s").alias("similarity"))
+    """query, n, mean of the values and similarity of its k nearest by cosine, never their ids. Every row of ``queries`` is scored against every row of the base."""
+    return nearest(base, queries, unit, vector, value, k).groupBy("query").agg(F.count("*").alias("n"), F.avg("_v").alias("mean"), F.avg("_s").alias("similarity"))
 
 
 def audit_features(df: DataFrame, features: list[str], label: Column, most: float = 0.95) -> DataFrame:

@@ -202,11 +202,10 @@ def ablation_grid(train: DataFrame, test: DataFrame, groups: dict[str, list[str]
 
 
 def neighbour_agreement(base: DataFrame, queries: DataFrame, unit: str, vector: str, label: str, k: int) -> DataFrame:
-    """share, expected, lift: how often a query's k nearest by cosine carry its label, against the label's overall share. ``queries``: a hundred rows at most."""
-    from strandline.operators.features import cosine
+    """share, expected, lift: how often a query's k nearest by cosine carry its label, against the label's overall share. All rows of ``queries`` count."""
+    from strandline.operators.features import nearest
 
-    asked = queries.select(F.col(unit).alias("query"), F.col(vector).alias("_q"), F.col(label).alias("_l")).limit(100)
     shares = base.groupBy(F.col(label).alias("_l")).agg(F.count("*").alias("_n")).withColumn("_e", F.col("_n") / F.sum("_n").over(Window.partitionBy()))
-    pairs = base.select(unit, vector, label).join(F.broadcast(asked), F.col(unit) != F.col("query"))
-    r = pairs.withColumn("_r", F.row_number().over(Window.partitionBy("query").orderBy(F.desc(cosine(F.col("_q"), F.col(vector))), unit))).where(F.col("_r") <= k).join(shares.select("_l", "_e"), "_l")
-    return r.agg(F.avg((F.col(label) == F.col("_l")).cast("double")).alias("share"), F.avg("_e").alias("expected")).withColumn("lift", F.col("share") / F.col("expected"))
+    asked = queries.groupBy(F.col(unit).cast("long").alias("query")).agg(F.min(F.struct(vector, label))[label].alias("_l"))
+    r = nearest(base, queries, unit, vector, F.col(label), k).join(asked, "query").join(F.broadcast(shares.select("_l", "_e")), "_l")
+    return r.agg(F.avg((F.col("_v") == F.col("_l")).cast("double")).alias("share"), F.avg("_e").alias("expected")).withColumn("lift", F.col("share") / F.col("expected"))

@@ -107,6 +107,12 @@ def r13(spark, sf):
     return rounded(f.neighbour_profile(e, e.where("vec_id < 10"), "vec_id", "embedding", F.col("label"), 5), "mean", "similarity")
 
 
+@query("r13b_similar_units_all")
+def r13b(spark, sf):
+    e = load(spark, sf, "embeddings")
+    return rounded(f.neighbour_profile(e, e.where("vec_id % 20 = 0"), "vec_id", "embedding", F.col("label"), 5), "mean", "similarity")
+
+
 @query("r17_audit_leakage")
 def r17(spark, sf):
     return rounded(f.audit_features(scored(spark, sf).withColumn("same", F.col("y").cast("int")).withColumn("flat", F.lit(1)), ["p", "same", "flat"], F.col("y")), "auroc")

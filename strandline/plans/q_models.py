@@ -111,3 +111,9 @@ r AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY query ORDER BY s D
 def t6(spark, sf):
     e = load(spark, sf, "embeddings")
     return rounded(m.neighbour_agreement(e, e.where("vec_id < 20"), "vec_id", "embedding", "label", 5), "share", "expected", "lift")
+
+
+@query("t6b_neighbour_agreement_all")
+def t6b(spark, sf):
+    e = load(spark, sf, "embeddings")
+    return rounded(m.neighbour_agreement(e, e.where("vec_id % 20 = 0"), "vec_id", "embedding", "label", 5), "share", "expected", "lift")

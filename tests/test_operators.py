@@ -224,3 +224,22 @@ def test_chained_equations_keep_what_is_known(spark):
     got = causal.mice(df, "id", ["a"], ["x"], 2, 2).collect()
     assert len(got) == 400 and all(r["a"] is not None for r in got)
     assert all(abs(r["a"] - (2 * r["x"] + 1)) < 1e-6 for r in got)  # the relation is exact, so is the fill
+
+
+def test_neighbour_searches_answer_every_query(spark, sf, duck):
+    from conftest import same
+
+    from strandline.plans import registry
+
+    registry.load_all()
+    for name, whole, few in (("r13_similar_units", "r13b_similar_units_all", "vec_id < 10"), ("t6_neighbour_agreement", "t6b_neighbour_agreement_all", "vec_id < 20")):
+        sql = registry.oracle_sql()[name]
+        assert few in sql
+        same(registry.queries()[whole](spark, sf).toPandas(), duck.sql(sql.replace(few, "vec_id % 20 = 0")).df())
+    base = spark.createDataFrame([(n, [float(n % 7 + 1), float(n % 11), 1.0], n) for n in range(300)], "u long, x array<float>, y int").repartition(5)
+    assert features.neighbour_profile(base, base, "u", "x", F.col("y"), 5).where("n = 5").count() == 300
+    near = lambda per: {(r["query"], r["_u"], r["_s"]) for r in features.nearest(base, base, "u", "x", F.col("y"), 5, per).collect()}
+    assert len(near(50)) == 1500 and near(50) == near(8192)
+    odd = spark.createDataFrame([(1, [1.0, 0.0], 1), (2, [1.0, 0.0], 2), (3, None, 3), (4, [0.0, 0.0], 4), (5, [1.0], 5), (6, [0.6, 0.8], 6), (1, [1.0, 0.0], 7)], "u long, x array<double>, y int")
+    got = [(r["_u"], r["_s"]) for r in features.nearest(odd, odd.where("u = 1"), "u", "x", F.col("y"), 4).orderBy(F.desc("_s"), "_u").collect()]
+    assert [u for u, _ in got] == [2, 6, 3, 4] and got[0][1] == 1.0 and got[2][1] is None
