@@ -45,19 +45,23 @@ def scores(queries: np.ndarray, rows: np.ndarray) -> np.ndarray:
     return out
 
 
+def once(ids: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The rows without repeated (id, vector)."""
+    if len(np.unique(ids)) == len(ids):
+        return ids, values
+    keep = np.sort(np.unique(np.column_stack([ids, values]), axis=0, return_index=True)[1])
+    return ids[keep], values[keep]
+
+
 def best(found: np.ndarray, ids: np.ndarray, own: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(query number, id, score) of each query's k highest, ties to smaller ids, its own id left out. Partition selection finds the k-th score, all equal to it compete by id."""
+    """(query number, id, score) of each query's k highest, ties to smaller ids, its own id left out, an id with one score counted once. Partition selection finds the score that k different ids are sure to reach, all equal to it compete by id."""
     allowed = ids[None, :] != own[:, None]
     lowest = np.iinfo(np.int64).min
     shown = np.where(allowed, found, lowest)
-    take = min(k, shown.shape[1])
+    take = min(k * int(np.unique(ids, return_counts=True)[1].max(initial=1)), shown.shape[1])
     bound = np.partition(shown, shown.shape[1] - take, axis=1)[:, shown.shape[1] - take]
     q, r = np.nonzero((shown >= bound[:, None]) & allowed)
-    order = np.lexsort((ids[r], -shown[q, r], q))
-    q, r = q[order], r[order]
-    place = np.arange(len(q)) - np.searchsorted(q, q)
-    q, r = q[place < k], r[place < k]
-    return q, ids[r], shown[q, r]
+    return tuple(merge(q, ids[r], shown[q, r], k))
 
 
 def top_k(base: DataFrame, queries: DataFrame, k: int = K, id_col: str = "vec_id", vector_col: str = "embedding", per_pass: int = PASS) -> DataFrame:
@@ -85,7 +89,7 @@ def top_k(base: DataFrame, queries: DataFrame, k: int = K, id_col: str = "vec_id
                 for at in range(0, b.num_rows, ROWS):
                     tile = b.slice(at, ROWS)
                     good, values = quantized(tile.column(1))
-                    ids = tile.column(0).to_numpy()[good]
+                    ids, values = once(tile.column(0).to_numpy()[good], values)
                     if not len(ids):
                         continue
                     for a in range(0, len(own), QUERIES):

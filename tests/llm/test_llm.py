@@ -369,3 +369,11 @@ def test_pages_without_article_keep_their_text():
     want = "Short title\nLead\n" + " ".join(["long"] * 200) + "\nA bold end"
     assert extraction.main_texts([post, plain]) == ["A\npost", want]
     assert extraction.main_texts([plain]) == [want]
+
+
+def test_top_k_with_many_copies_of_a_near_row(spark):
+    """More than k copies of an id in one partition take one place, also when their vectors differ and only their scores are equal."""
+    rows = [(0, [1.0, 0.0])] + [(1, [9.0, 0.0])] * 30 + [(2, [8.0, float(n)]) for n in range(30)] + [(n, [float(8 - n), 0.0]) for n in range(3, 8)]
+    base = spark.createDataFrame(rows, "vec_id long, embedding array<float>").coalesce(1)
+    got = search.top_k(base, base.where("vec_id = 0"), k=4).orderBy("rank").collect()
+    assert [(r["vec_id"], r["score"]) for r in got] == [(1, 9 * 1024**2), (2, 8 * 1024**2), (3, 5 * 1024**2), (4, 4 * 1024**2)]
