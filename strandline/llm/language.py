@@ -11,15 +11,16 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from strandline.llm.shared import table
 
 VOCABULARY = "piece_bpe_32k.model"
-#: Training: so many documents a language at most, so many languages, so many distinct words a language on average, so many rounds of EM.
-SAMPLE, LANGUAGES, WORDS, ROUNDS = 2_000, 64, 40_000, 3
+#: Training: so many documents a language at most, so many distinct words of each, so many rounds of EM.
+SAMPLE, WORDS, ROUNDS = 2_000, 40_000, 3
 #: Longer runs of letters are scored in parts of so many characters; pieces longer than PIECE characters are left out of the vocabulary.
 PART, PIECE = 32, 8
-#: A worker keeps the scores of about so many words.
+#: A worker keeps the scores of about so many words, of fewer beyond 16 languages.
 CACHED = 400_000
 #: So many texts are scored together.
 SLICE = 256
@@ -51,7 +52,9 @@ class Pieces:
                 for c in p:
                     h = h * _BASE + np.uint64(ord(c) + 1)
                 slot = int(_mixed(h) >> np.uint64(64 - _BITS))
-            if self.ids[slot] < 0:  # a piece whose slot is taken stays out: the table is fixed by the vocabulary, so both training and scoring see the same pieces
+            while self.ids[slot] >= 0 and self.keys[slot] != h:  # a piece whose slot is taken goes to the next free one
+                slot = (slot + 1) % len(self.ids)
+            if self.ids[slot] < 0:
                 self.keys[slot], self.ids[slot] = h, i
 
     def find(self, words: list[str]) -> tuple[np.ndarray, list[np.ndarray]]:
@@ -65,6 +68,14 @@ class Pieces:
             h = np.concatenate([np.zeros((len(marked), 1), np.uint64), h[:, :-1]], axis=1) * _BASE + codes
             slot = (_mixed(h) >> np.uint64(64 - _BITS)).astype(np.int64)
             ids = np.where(self.keys[slot] == h, self.ids[slot], -1)
+            look = np.nonzero((self.keys[slot] != h) & (self.ids[slot] >= 0))
+            at, want = slot[look], h[look]
+            while len(want):  # slots taken by other pieces: the next ones
+                at = (at + 1) % len(self.ids)
+                found = self.keys[at] == want
+                ids[tuple(x[found] for x in look)] = self.ids[at[found]]
+                more = ~found & (self.ids[at] >= 0)
+                look, at, want = tuple(x[more] for x in look), at[more], want[more]
             ids[:, : k - 1] = -1
             out.append(np.where(np.arange(codes.shape[1]) < size[:, None], ids, -1))
         return size, out
@@ -155,9 +166,9 @@ def held_out(id_col: Column) -> Column:
 
 
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample: int = SAMPLE) -> tuple[list[str], np.ndarray]:
-    """Learns from a bounded sample: about ``sample`` documents of each of the LANGUAGES commonest languages, chosen by a hash of the id, outside the held-out fold."""
+    """Learns from a bounded sample: about ``sample`` documents of each language and the WORDS commonest words of each, chosen by a hash of the id, outside the held-out fold."""
     rows = docs.select(docs[id_col].alias("i"), docs[text_col].alias("t"), docs[lang_col].alias("l")).where(F.col("l").isNotNull() & F.col("t").isNotNull() & ~held_out(F.col("i")))
-    share = {r["l"]: sample / r["n"] for r in rows.groupBy("l").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "l").limit(LANGUAGES).collect()}
+    share = {r["l"]: sample / r["n"] for r in rows.groupBy("l").agg(F.count("*").alias("n")).collect()}
     if not share:
         return [], np.zeros((1, 0))
     part = F.create_map(*[F.lit(x) for pair in share.items() for x in pair])
@@ -173,7 +184,8 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
 
     counted = picked.select("t", "l").mapInArrow(count, "l string, w string, n long").groupBy("l", "w").agg(F.sum("n").alias("n"))
     counts: dict[str, Counter] = {}
-    for r in counted.orderBy(F.desc("n"), "l", "w").limit(WORDS * len(share)).collect():
+    place = F.row_number().over(Window.partitionBy("l").orderBy(F.desc("n"), "w"))
+    for r in counted.withColumn("place", place).where(F.col("place") <= WORDS).orderBy("l", "place").collect():
         counts.setdefault(r["l"], Counter())[r["w"]] = r["n"]
     return learn(counts, vocabulary())
 
@@ -186,7 +198,7 @@ def scorer(langs: list[str], p: np.ndarray):
 
     def of(texts: list[str | None]) -> tuple[list[str], list[float]]:
         nonlocal known
-        if len(row) > CACHED:
+        if len(row) * max(len(langs), 16) > CACHED * 16:
             row.clear()
             known = known[:0]
         lists = [words_of(t) if t and langs and any(map(str.isalpha, t)) else [] for t in texts]

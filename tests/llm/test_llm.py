@@ -377,3 +377,22 @@ def test_top_k_with_many_copies_of_a_near_row(spark):
     base = spark.createDataFrame(rows, "vec_id long, embedding array<float>").coalesce(1)
     got = search.top_k(base, base.where("vec_id = 0"), k=4).orderBy("rank").collect()
     assert [(r["vec_id"], r["score"]) for r in got] == [(1, 9 * 1024**2), (2, 8 * 1024**2), (3, 5 * 1024**2), (4, 4 * 1024**2)]
+
+
+def test_every_language_keeps_its_words(spark, monkeypatch):
+    """A language with few documents beside a large one learns its own words, and more than 64 languages are learned."""
+    monkeypatch.setattr(language, "WORDS", 5)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    rows = [(n, " ".join(letters[k] * 3 for k in range(12)), "large") for n in range(60)] + [(100 + n, "zyz zyz zyz", "small") for n in range(6)]
+    rows += [(1000 + 5 * m + n, f"{letters[m % 26]}q{letters[m // 26]}q", f"l{m:02}") for m in range(68) for n in range(5)]
+    langs, p = language.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert len(langs) == 70 and "small" in langs
+    got = language.scorer(langs, p)(["zyz zyz zyz zyz", "aaa bbb ccc ddd aaa bbb"])[0]
+    assert got == ["small", "large"]
+
+
+def test_pieces_whose_slot_is_taken_are_found(monkeypatch):
+    monkeypatch.setattr(language, "_BITS", 9)
+    names = [a + b for a in "abcdefghijklmnopqrst" for b in "abcdefghijklmnopqrst"]  # 400 in 512 slots
+    size, found = language.Pieces(names).find(names)
+    assert [int(found[1][n, 2]) for n in range(400)] == list(range(400)) and (found[0][:, :3] == -1).all()
