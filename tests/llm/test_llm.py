@@ -396,3 +396,67 @@ def test_pieces_whose_slot_is_taken_are_found(monkeypatch):
     names = [a + b for a in "abcdefghijklmnopqrst" for b in "abcdefghijklmnopqrst"]  # 400 in 512 slots
     size, found = language.Pieces(names).find(names)
     assert [int(found[1][n, 2]) for n in range(400)] == list(range(400)) and (found[0][:, :3] == -1).all()
+
+
+def family(rng, n, base, changes, vocab):
+    out = []
+    for _ in range(n):
+        c = list(base)
+        for _ in range(rng.randint(0, changes)):
+            c[rng.randrange(len(c))] = rng.choice(vocab)
+        out.append(" ".join(c))
+    return out
+
+
+def test_jaccard_regions_recurse(spark):
+    """Regions far beyond the leaf, of documents that link and of documents that only meet, are split by new pivots and by rings: links connect what brute force connects."""
+    rng = random.Random(7)
+    vocab = [f"w{k}" for k in range(3000)]
+    texts = [t for _ in range(6) for t in family(rng, 25, [rng.choice(vocab) for _ in range(60)], 4, vocab)]
+    rows = list(enumerate(texts))
+    likeness = jaccard.Likeness(80)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    sets = jaccard.shingle_sets(docs, docs.selectExpr("doc_id as doc"), "doc_id", "text", 2, likeness).cache()
+    one = jaccard.measured(sets.selectExpr("0L as pivot", "doc"), sets, likeness).withColumnRenamed("pivot", "region").cache()
+    assert one.where("not linked").count() > 100
+    split, _ = jaccard.recursed(one, sets, likeness, 16, 10**6)
+    sizes = [r["m"] for r in jaccard.sizes(split).collect()]
+    assert len(sizes) > 6 and max(sizes) < 150
+    links = [(r["a"], r["b"]) for r in jaccard.region_links(one, sets, likeness, 16, 10**6).collect()] + [(0, r["doc"]) for r in one.where("linked").collect()]
+    at = list(range(len(rows)))
+    for a, b in links:
+        lo, hi = sorted((at[a], at[b]))
+        at = [lo if x == hi else x for x in at]
+    assert dict(enumerate(at)) == {i: c for i, (_, c) in brute_components(rows, 2, 80).items()}
+
+
+def test_jaccard_hot_cells_and_giant_component(spark, monkeypatch):
+    """A large family of different near copies and a passage that most documents hold: cells of a third of all sets take their pivot from a broadcast, and components stay exact."""
+    rng = random.Random(8)
+    vocab = [f"w{k}" for k in range(3000)]
+    passage = [rng.choice(vocab) for _ in range(50)]
+    rows = list(enumerate(family(rng, 300, [rng.choice(vocab) for _ in range(90)], 3, vocab)))
+    rows += [(1000 + k, " ".join(passage + [rng.choice(vocab) for _ in range(rng.randint(1, 60))])) for k in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    seen = []
+    monkeypatch.setattr(jaccard, "hot_cells", lambda real, f=jaccard.hot_cells: seen.append(f(real, 1)) or seen[0])
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard.jaccard_components(docs, leaf=32).collect()}
+    assert seen[0].count() > 0
+    assert got == brute_components(rows, 4, 85)
+
+
+def test_sketches_never_differ_by_more_than_sets():
+    rng = np.random.default_rng(9)
+    for percent in (60, 80, 85):
+        like = jaccard.Likeness(percent)
+        for n in (1, 5, 16, 33, 200, 1000):
+            a = np.unique(rng.integers(0, 2**63, n, dtype=np.uint64))
+            b = np.unique(np.r_[a[: max(1, int(len(a) * rng.uniform(0.6, 1)))], rng.integers(0, 2**63, n // 10, dtype=np.uint64)])
+            both = jaccard.overlap(a, b)
+            if like.linked(both, len(a) + len(b) - both):
+                assert len(a) + len(b) - 2 * both <= like.apart(len(a), len(b))
+                cs = set(like.classes(len(a))) & set(like.classes(len(b)))
+                assert cs
+                x, y = (dict(zip(like.classes(len(s)), np.split(np.frombuffer(like.sketch(s), np.uint8), [1 << like.classes(len(s))[0]]))) for s in (a, b))
+                for c in cs:
+                    assert (x[c] != y[c]).sum() <= like.apart(len(a), len(b))
