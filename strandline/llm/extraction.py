@@ -1,13 +1,11 @@
-"""HTML main text by template deduction: lines of text at one place of the element tree form a slot over all of a host's pages; slots that say the same everywhere are template, the others hold a page's own text."""
+"""HTML main text by template deduction: tokens of a host's pages that share an occurrence vector form classes, ordered and nested classes are the template, and the slots between its tokens hold a page's own text."""
 
 from __future__ import annotations
 
 import re
-from collections import Counter, defaultdict
 from collections.abc import Iterator
 from hashlib import blake2b
 from html import unescape
-from itertools import takewhile
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -15,8 +13,14 @@ from pyspark.sql import functions as F
 
 from strandline.llm.shared import lookup, table, written
 
-#: A slot is template text if it says the same on at least so many different pages, and on at least half of its host's different pages of that layout.
+#: A class is frequent if its tokens occur on at least so many different pages, and on at least half of its host's different pages of that layout.
 SHARED = 8
+#: A class that isn't on every page of its layout needs so many tokens.
+LARGE = 3
+#: Tokens whose order a task adds up before it hands them on.
+KEPT = 100_000
+#: Layouts whose template a worker keeps.
+LAYOUTS = 1_000
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|$)|<(script|style|template|noscript|textarea|iframe|svg)\b[^>]*>.*?(?:</\1\s*>|$)|<[!?][^>]*>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|[^<]+|<", re.S | re.I)
 _ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
@@ -30,179 +34,210 @@ _NAMES = frozenset(
     "ad ads advert advertisement adverts banner breadcrumb breadcrumbs comment comments consent contentinfo cookie cookies disqus footer gdpr header menu modal nav navbar navigation "
     "newsletter notice notices popup promo related reply replies respond share sharing sidebar signup social sponsor sponsored subscribe toolbar widget".split()
 )
+#: Words that may stand beside them in one value, such as in share-buttons; beside any other word a listed name says nothing, such as in notice-period.
+_BESIDE = frozenset("area bar block body bottom box button buttons container content form group icons inner item items left link links list main outer page panel right row section site slot text top unit wrap wrapper".split())
+
+
+def named(attributes: list[tuple[str, ...]]) -> tuple[set[str], bool]:
+    """The words of class, id and role values, and whether a value names what isn't article text."""
+    values = [set(re.split(r"[^a-z0-9]+", v)) - {""} for a in attributes for v in " ".join(a[1:]).lower().split()]
+    return set().union(*values), any(v & _NAMES and all(w in _NAMES or w in _BESIDE or w.isdigit() for w in v) for v in values)
 
 
 class Page:
-    """A page's tag tokens, each with the path of its open elements, and its text runs between them."""
+    """A page's block elements and text runs in order. A place stands for a path of open elements with their class words."""
 
     def __init__(self, html: str):
-        self.tokens: list[str] = []
-        #: (token number before it, block number, path flags, text) of every run of text
-        self.runs: list[tuple[int, int, bool, bool, str]] = []
-        #: for every run its open block elements with their class words, without words that hold a digit
-        self.places: list[str] = []
-        stack: list[tuple[str, bool, bool, str]] = []  # element, outside the article text, inside an article or main element, place
-        block = 0
+        #: (position, place) of every block element
+        self.elements: list[tuple[int, int]] = []
+        #: (position, block number, outside the article, inside an article or main element, place, text) of every run of text
+        self.runs: list[tuple[int, int, bool, bool, int, str]] = []
+        stack: list[tuple[str, bool, bool, int]] = []  # element, outside the article text, inside an article or main element, place
+        opened: dict[str, int] = {}
+        block = at = 0
+
+        def close(n: int) -> None:
+            for e in stack[n:]:
+                opened[e[0]] -= 1
+            del stack[n:]
+
         for m in _TOKEN.finditer(html):
             name = m[3]
+            at += 1
             if name is None:
                 if (text := m[0])[0] != "<" or text == "<":
-                    _, outside, inside, place = stack[-1] if stack else ("", False, False, "")
-                    self.places.append(place)
-                    self.runs.append((len(self.tokens), block, outside, inside, unescape(text)))
+                    _, outside, inside, place = stack[-1] if stack else ("", False, False, 0)
+                    self.runs.append((at, block, outside, inside, place, unescape(text)))
                 continue
             name = name.lower()
             block += name in _BLOCK
             if m[2]:
-                at = next((k for k in range(len(stack) - 1, -1, -1) if stack[k][0] == name), None)
-                if at is not None and (name not in _INLINE or all(e[0] in _INLINE for e in stack[at:])):
-                    del stack[at:]
-                self.tokens.append(f"{'/'.join(e[0] for e in stack if e[0] not in _INLINE)}</{name}")
+                if opened.get(name):
+                    k = len(stack) - 1
+                    while stack[k][0] != name and (name not in _INLINE or stack[k][0] in _INLINE):  # an inline element doesn't close blocks within
+                        k -= 1
+                    if stack[k][0] == name:
+                        close(k)
                 continue
             if name in _BLOCK and name != "br":  # a block ends open inline elements of an unclosed paragraph, and the paragraph
                 while stack and stack[-1][0] in _INLINE:
-                    stack.pop()
+                    close(len(stack) - 1)
                 if stack and stack[-1][0] == "p" or name in ("li", "dd", "dt", "option", "tr", "td", "th") and stack and stack[-1][0] == name:
-                    stack.pop()
-            _, outside, inside, place = stack[-1] if stack else ("", False, False, "")
-            words = {w for a in _ATTRIBUTE.findall(m[4]) for w in re.split(r"[^a-z0-9]+", " ".join(a[1:]).lower())} if "=" in m[4] else set()
+                    close(len(stack) - 1)
+            _, outside, inside, place = stack[-1] if stack else ("", False, False, 0)
+            words, other = named(_ATTRIBUTE.findall(m[4])) if "=" in m[4] else (set(), False)
             if name in _CONTENT:
                 inside = True
             elif name not in ("html", "body"):
-                outside = outside or name in _OUTSIDE or (name == "header" and not inside) or bool(words & _NAMES)
-            path = "/".join(e[0] for e in stack if e[0] not in _INLINE)
-            self.tokens.append(f"{path}<{name}{'.' + '.'.join(sorted(words - {''})) if words else ''}")
+                outside = outside or name in _OUTSIDE or (name == "header" and not inside) or other
+            if name not in _INLINE and name not in _VOID:
+                place = hashed(place, name, *sorted(w for w in words if not any(map(str.isdigit, w))))
+                self.elements.append((at, place))
             if name not in _VOID and not m[4].rstrip().endswith("/"):
-                if name not in _INLINE:
-                    place += f"/{name}{''.join(f'.{w}' for w in sorted(words - {''}) if not any(map(str.isdigit, w)))}"
+                opened[name] = opened.get(name, 0) + 1
                 stack.append((name, outside, inside, place))
 
 
-def classes(pages: list[Page]) -> dict[tuple[int, ...], list[str]]:
-    """Equivalence classes: tokens (each with its path) by their vector of occurrences over the pages, where they occur on all of them."""
-    counts = [Counter(p.tokens) for p in pages]
-    shared = set(counts[0]).intersection(*counts[1:]) if counts else set()
-    out: dict[tuple[int, ...], list[str]] = defaultdict(list)
-    for token in shared:
-        out[tuple(c[token] for c in counts)].append(token)
-    return out
+def hashed(*parts: object) -> int:
+    return int.from_bytes(blake2b("\0".join(map(str, parts)).encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True)
 
 
-class Template:
-    """The class that occurs once on every page, in page order, where the order is the same everywhere; other classes nest in the slot that holds all they have."""
-
-    def __init__(self, pages: list[Page]):
-        found = classes(pages)
-        once = set(found.pop((1,) * len(pages), ()))
-        orders = [[t for t in p.tokens if t in once] for p in pages]
-        kept = orders[0] if orders else []
-        for order in orders[1:]:  # tokens that break the common order leave the class
-            if order != kept:
-                place = {t: k for k, t in enumerate(order)}
-                last, stay = -1, []
-                for t in kept:
-                    if place[t] > last:
-                        last = place[t]
-                        stay.append(t)
-                kept = stay
-        self.marks = {t: k + 1 for k, t in enumerate(kept)}
-        slots = [self.slots(p) for p in pages]
-        self.nested: dict[int, list[list[str]]] = defaultdict(list)
-        for tokens in found.values():
-            where = {s for p, at in zip(pages, slots, strict=True) for t, s in zip(p.tokens, at, strict=True) if t in tokens}
-            if len(where) == 1 and len(tokens) > 1:
-                self.nested[where.pop()].append(sorted(tokens))
-
-    def slots(self, page: Page) -> list[int]:
-        """For each token of the page, the slot (number of the last template mark at or before it)."""
-        out, now = [], 0
-        for t in page.tokens:
-            now = self.marks.get(t, now)
-            out.append(now)
-        return out
-
-
-def own_lines(page: Page) -> tuple[bool, list[tuple[str, str]]]:
-    """Whether the page has text in article or main elements, and (place, text) of its lines of running text: those inside such elements where it has any, else all, without what elements or class words mark as other than the article."""
-    inner = any(inside and not outside and not text.isspace() for _, _, outside, inside, text in page.runs)
-    blocks: dict[int, tuple[str, list[str]]] = {}
-    for (_, block, outside, inside, text), place in zip(page.runs, page.places, strict=True):
+def own_lines(page: Page) -> tuple[bool, list[tuple[int, int, str]]]:
+    """Whether the page has text in article or main elements, and (position, place, text) of its lines of running text: those inside such elements where it has any, else all, without what elements or class words mark as other than the article."""
+    inner = any(inside and not outside and not text.isspace() for _, _, outside, inside, _, text in page.runs)
+    blocks: dict[int, tuple[int, int, list[str]]] = {}
+    for at, block, outside, inside, place, text in page.runs:
         if not outside and (inside or not inner):
-            if block not in blocks or not any(map(str.strip, blocks[block][1])):  # the first text of a line says where it is
-                blocks[block] = (place, [*blocks.get(block, ("", []))[1]])
-            blocks[block][1].append(text)
-    lines = ((place, " ".join("".join(parts).split())) for _, (place, parts) in sorted(blocks.items()))
-    return inner, [x for x in lines if x[1]]
+            if block not in blocks or not any(map(str.strip, blocks[block][2])):  # the first text of a line says where it is
+                blocks[block] = (at, place, [*blocks.get(block, (0, 0, []))[2]])
+            blocks[block][2].append(text)
+    lines = ((at, place, " ".join("".join(parts).split())) for _, (at, place, parts) in sorted(blocks.items()))
+    return inner, [x for x in lines if x[2]]
 
 
-def hashed(*parts: object) -> int:
-    return int.from_bytes(blake2b("\0".join(map(str, parts)).encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True)
+def line_token(place: int, text: str) -> int:
+    """A line's token is odd, an element's even."""
+    return hashed(place, text) | 1
 
 
-def slots(inner: bool, lines: list[tuple[str, str]]) -> tuple[list[int], list[int]]:
-    """For each line its two slots: its place with its number there from the first, and from the last."""
-    many, seen = Counter(place for place, _ in lines), Counter()
-    front, back = [], []
-    for place, _ in lines:
-        front.append(hashed(inner, "front", place, seen[place]))
-        seen[place] += 1
-        back.append(hashed(inner, "back", place, many[place] - seen[place]))
-    return front, back
-
-
-def varying(inner: bool, lines: list[tuple[str, str]], fixed: set[int]) -> str:
-    """The lines without those at the start or the end of a place whose slots are template text."""
-    if fixed:
-        front, back = slots(inner, lines)
-        at: dict[str, list[int]] = defaultdict(list)
-        for n, (place, _) in enumerate(lines):
-            at[place].append(n)
-        gone = {n for ns in at.values() for n in [*takewhile(lambda n: front[n] in fixed, ns), *takewhile(lambda n: back[n] in fixed, reversed(ns))]}
-        lines = [x for n, x in enumerate(lines) if n not in gone]
-    return "\n".join(text for _, text in lines)
-
-
-def main_texts(htmls: list[str | None]) -> list[str]:
-    """The main text of each page of one host, as ``extract`` finds it."""
-    read = [own_lines(Page(h or "")) for h in htmls]
-    different = {(inner, tuple(text for _, text in lines)): (inner, lines) for inner, lines in sorted(read, reverse=True) if lines}
-    says: dict[int, list[int]] = defaultdict(list)
-    for inner, lines in different.values():
-        front, back = slots(inner, lines)
-        for n, (_, text) in enumerate(lines):
-            for key in (front[n], back[n]):
-                says[key].append((inner, text))
-    total = Counter(inner for inner, _ in different.values())
-    fixed = {key for key, x in says.items() if len(x) >= SHARED and len(set(x)) == 1 and len(x) * 2 >= total[x[0][0]]}
-    return [varying(inner, lines, fixed) for inner, lines in read]
+def tokens(page: Page, lines: list[tuple[int, int, str]]) -> dict[int, int]:
+    """The page's tokens, in the order of their first places, with their occurrences: elements by place, lines by place and text."""
+    out: dict[int, int] = {}
+    for _, token in sorted([*((at, place & ~1) for at, place in page.elements), *((at, line_token(place, text)) for at, place, text in lines)]):
+        out[token] = out.get(token, 0) + 1
+    return out
 
 
-def templates(rows: DataFrame) -> DataFrame:
-    """host, fixed: the slots of each host that are template text, counted over all its different pages (those of different lines, so that copies count once)."""
+def different_pages(rows: DataFrame) -> DataFrame:
+    """host, inner, page, token, times: each host's pages with lines of text once, however often they are copied, with their tokens in order."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             out: list[tuple] = []
             for host, html in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                inner, lines = own_lines(Page(html or ""))
+                page = Page(html or "")
+                inner, lines = own_lines(page)
                 if lines:
-                    out.append((host, inner, hashed(*(text for _, text in lines)), *slots(inner, lines), [hashed(text) for _, text in lines]))
-            columns = zip(*out, strict=True) if out else [[]] * 6
-            yield pa.RecordBatch.from_arrays([pa.array(list(x), t) for x, t in zip(columns, (pa.string(), pa.bool_(), pa.int64(), *[pa.list_(pa.int64())] * 3), strict=True)], names=["host", "inner", "page", "front", "back", "said"])
+                    found = tokens(page, lines)
+                    out.append((host, inner, hashed(*(text for *_, text in lines)), list(found), list(found.values())))
+            columns = zip(*out, strict=True) if out else [[]] * 5
+            kinds = (pa.string(), pa.bool_(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int32()))
+            yield pa.RecordBatch.from_arrays([pa.array(list(x), t) for x, t in zip(columns, kinds, strict=True)], names=["host", "inner", "page", "token", "times"])
+
+    found = rows.select("host", "html").mapInArrow(read, "host string, inner boolean, page long, token array<long>, times array<int>")
+    return found.groupBy("host", "inner", "page").agg(F.min(F.struct("token", "times")).alias("x")).select("host", "inner", "page", "x.token", "x.times")
+
+
+def frequent_classes(different: DataFrame) -> DataFrame:
+    """host, inner, token, kind (the class), every: tokens that occur once a page, in classes by their occurrence vector over the layout's pages, where the class is frequent and large enough.
+
+    A vector is compared by 128 bits, summed (exclusive or) from a hash of each page and count: no task holds a vector, and hot hosts are added up before the shuffle.
+    ``every`` marks the root class, whose tokens are on all pages.
+    """
+    pages = different.groupBy("host", "inner").agg(F.count("*").alias("pages"))
+    each = different.select("host", "inner", "page", F.explode(F.arrays_zip("token", "times")).alias("y")).select("host", "inner", "page", "y.token", "y.times")
+    vectors = each.groupBy("host", "inner", "token").agg(
+        F.bit_xor(F.xxhash64("page", "times")).alias("v1"), F.bit_xor(F.xxhash64("times", "page")).alias("v2"), F.count("*").alias("n"), F.max("times").alias("most")
+    )
+    frequent = vectors.where((F.col("most") == 1) & (F.col("n") >= SHARED)).join(pages, ["host", "inner"]).where(F.col("n") * 2 >= F.col("pages"))
+    frequent = written(frequent.select("host", "inner", "token", F.xxhash64("v1", "v2").alias("kind"), (F.col("n") == F.col("pages")).alias("every")), "frequent")
+    return large(frequent)
+
+
+def large(members: DataFrame) -> DataFrame:
+    """Members of classes with LARGE tokens, and those on every page."""
+    size = members.groupBy("host", "inner", "kind").agg(F.count("*").alias("size")).where(F.col("size") >= LARGE)
+    return members.where("every").unionByName(members.where("not every").join(size, ["host", "inner", "kind"], "left_semi"))
+
+
+def ordered(different: DataFrame, members: DataFrame) -> DataFrame:
+    """``members`` with spread (largest less smallest place among its class on a page), low and high (smallest and largest slot: root tokens before it)."""
+    named = written(members, "members")
+    by_layout = named.groupBy("host", "inner").agg(F.collect_list(F.struct("token", "kind", "every")).alias("known"))  # tokens on half of the pages: about two pages' worth at most
+    counted = different.groupBy("host", "inner").agg(F.count("*").alias("n"))
+    known = written(by_layout.join(counted, ["host", "inner"]), "layouts")
+    rows = lookup(different.select("host", "inner", "token"), known, ["host", "inner"], "n", different.count()).where("known is not null")
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: dict[tuple, list[int]] = {}
+
+        def handed_on() -> pa.RecordBatch:
+            kinds = (pa.string(), pa.bool_(), pa.int64(), *[pa.int32()] * 4)
+            columns = list(zip(*((*k, *v) for k, v in seen.items()), strict=True)) if seen else [[]] * 7
+            out = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=["host", "inner", "token", "first", "last", "low", "high"])
+            seen.clear()
+            return out
+
+        kinds_of: dict[tuple, dict[int, tuple[int, bool]]] = {}
+        for b in batches:
+            for at, (host, inner, found) in enumerate(zip(*(b.column(k).to_pylist() for k in range(3)), strict=True)):
+                if (host, inner) not in kinds_of:
+                    if len(kinds_of) >= LAYOUTS:
+                        kinds_of.clear()
+                    kinds_of[host, inner] = {x["token"]: (x["kind"], x["every"]) for x in b.column(3)[at].as_py()}
+                kind = kinds_of[host, inner]
+                before: dict[int, int] = {}
+                slot = 0
+                for t in found:
+                    if t in kind:
+                        k, every = kind[t]
+                        n = before[k] = before.get(k, -1) + 1
+                        f = seen.setdefault((host, inner, t), [n, n, slot, slot])
+                        f[:] = min(f[0], n), max(f[1], n), min(f[2], slot), max(f[3], slot)
+                        slot += every
+                if len(seen) > KEPT:
+                    yield handed_on()
+        yield handed_on()
+
+    placed = rows.select("host", "inner", "token", "known").mapInArrow(place, "host string, inner boolean, token long, first int, last int, low int, high int")
+    most = placed.groupBy("host", "inner", "token").agg((F.max("last") - F.min("first")).alias("spread"), F.min("low").alias("low"), F.max("high").alias("high"))
+    return named.join(most, ["host", "inner", "token"])
+
+
+def templates(rows: DataFrame) -> DataFrame:
+    """host, fixed: the lines (as tokens) of each host that are template text: those in valid classes of occurrence vectors over its different pages.
+
+    Tokens that move among their class leave it; the others keep the same order on every page. A class beside the root class is valid if it also nests, that is, lies in one and the same slot of the root class on all its pages.
+    """
+    different = written(different_pages(rows), "different")
+    steady = ordered(different, frequent_classes(different)).where("spread <= 1").select("host", "inner", "token", "kind", "every")
+    found = written(ordered(different, large(written(steady, "steady"))).where("spread = 0"), "ordered")
+    nested = found.where("not every").groupBy("host", "inner", "kind").agg(F.count("*").alias("size"), F.min("low").alias("low"), F.max("high").alias("high")).where((F.col("size") >= LARGE) & (F.col("low") == F.col("high")))
+    valid = found.where("every").select("host", "token").unionByName(found.join(nested, ["host", "inner", "kind"], "left_semi").select("host", "token"))
+    return valid.where(F.col("token").bitwiseAND(F.lit(1)) == 1).groupBy("host").agg(F.sort_array(F.collect_set("token")).alias("fixed"))
+
 
-    found = rows.select("host", "html").mapInArrow(read, "host string, inner boolean, page long, front array<long>, back array<long>, said array<long>")
-    different = written(found.groupBy("host", "inner", "page").agg(F.min(F.struct("front", "back", "said")).alias("x")), "different")
-    total = different.groupBy("host", "inner").agg(F.count("*").alias("pages"))
-    each = different.select("host", "inner", F.explode(F.arrays_zip(F.concat("x.front", "x.back").alias("slot"), F.concat("x.said", "x.said").alias("said"))).alias("y"))
-    same = each.groupBy("host", "inner", "y.slot").agg(F.count("*").alias("n"), F.min("y.said").alias("a"), F.max("y.said").alias("b")).where((F.col("n") >= SHARED) & (F.col("a") == F.col("b")))
-    fixed = same.join(total, ["host", "inner"]).where(F.col("n") * 2 >= F.col("pages"))
-    return fixed.groupBy("host").agg(F.sort_array(F.collect_list("slot")).alias("fixed"))
+def in_slots(html: str | None, fixed: set[int]) -> str:
+    """The page's lines of running text that aren't template tokens."""
+    return "\n".join(text for _, place, text in own_lines(Page(html or ""))[1] if line_token(place, text) not in fixed)
 
 
 def extract(pages: DataFrame) -> DataFrame:
     """page_id, url, text, n_chars (code points of text) for every row of ``pages`` (page_id, url, html); whole pages, nothing dropped or capped.
 
-    A first reading counts the slots of each host over all its pages, a second reads the pages beside their host's template; pages themselves meet in no task.
+    A first reading deduces each host's template from all its pages, a second reads what lies in the slots between the template's tokens; pages themselves meet in no task.
+    Of that, article and main elements bound the text page by page where they hold any, and element names and class words mark what is other than the article.
+    A layout with under SHARED different pages shows no template.
     A null or empty html, or one without article text, gives an empty text. Null urls form a host of their own. Repeated rows give a row each; other columns are ignored.
     """
     host = F.lower(F.regexp_extract(F.coalesce(F.col("url").cast("string"), F.lit("")), r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1))
@@ -211,11 +246,18 @@ def extract(pages: DataFrame) -> DataFrame:
     total = hosts.agg(F.sum("n")).first()[0] or 0
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fixed: dict[str, set[int]] = {}
         for b in batches:
-            texts = [varying(*own_lines(Page(html or "")), set(fixed or ())) for html, fixed in zip(b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True)]
+            texts = []
+            for at, (html, host) in enumerate(zip(b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True)):
+                if host not in fixed:
+                    if len(fixed) >= LAYOUTS:
+                        fixed.clear()
+                    fixed[host] = set(b.column(4)[at].as_py() or ())
+                texts.append(in_slots(html, fixed[host]))
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())], names=["page_id", "url", "text", "n_chars"])
 
-    return lookup(rows, hosts, ["host"], "n", total).select("page_id", "url", "html", "fixed").mapInArrow(read, "page_id long, url string, text string, n_chars long")
+    return lookup(rows, hosts, ["host"], "n", total).select("page_id", "url", "html", "host", "fixed").mapInArrow(read, "page_id long, url string, text string, n_chars long")
 
 
 def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -304,10 +304,96 @@ def test_extraction(spark):
     assert extraction.extract(df.where("false")).count() == 0
 
 
-def test_template_classes():
-    pages = [extraction.Page(f"<html><body><div><p>{x}</p>{'<p>more</p>' * n}</div></body></html>") for x, n in (("a", 0), ("b", 2), ("c", 1))]
-    t = extraction.Template(pages)
-    assert len(t.marks) == 6 and sum(map(len, t.nested.values())) == 1  # html, body and div open and close; the paragraphs nest in one slot
+def brute_template(htmls):
+    """Text lines of valid classes of one host by definition: whole occurrence vectors, orders and slots compared over all different pages."""
+    pages = {}
+    for h in htmls:
+        page = extraction.Page(h)
+        inner, lines = extraction.own_lines(page)
+        if lines:
+            pages.setdefault(inner, {})[tuple(x for *_, x in lines)] = (page, lines)
+    out = set()
+    for layout in pages.values():
+        found = [list(extraction.tokens(*x).items()) for x in layout.values()]
+        vector = {t: tuple(dict(f).get(t, 0) for f in found) for t in {t for f in found for t, _ in f}}
+        vector = {t: v for t, v in vector.items() if max(v) == 1 and sum(v) >= extraction.SHARED and sum(v) * 2 >= len(v)}
+        every = (1,) * len(found)
+
+        def large(v):
+            size = Counter(v.values())
+            return {t: x for t, x in v.items() if x == every or size[x] >= extraction.LARGE}
+
+        vector = large(vector)
+        for limit in (1, 0):
+            places, slots = defaultdict(set), defaultdict(set)
+            for f in found:
+                for t, _ in f:
+                    if t in vector:
+                        before = [u for u, _ in f[: [u for u, _ in f].index(t)]]
+                        places[t].add(sum(vector.get(u) == vector[t] for u in before))
+                        slots[t].add(sum(vector.get(u) == every for u in before))
+            vector = {t: v for t, v in vector.items() if max(places[t]) - min(places[t]) <= limit}
+            vector = large(vector) if limit else vector
+        for v in set(vector.values()):
+            own = [t for t in vector if vector[t] == v]
+            if v == every or len(own) >= extraction.LARGE and len(set.union(*(slots[t] for t in own))) == 1:
+                out |= {t for t in own if t & 1}
+    return out
+
+
+def main_texts(spark, htmls):
+    df = spark.createDataFrame([(n, "http://h/", h) for n, h in enumerate(htmls)], "page_id long, url string, html string").repartition(3)
+    return [r["text"] for r in extraction.extract(df).orderBy("page_id").collect()]
+
+
+def test_template_is_that_of_brute_force(spark):
+    """Random hosts with shared, moving, optional and repeated parts: the same template lines as whole vectors give."""
+    rng = random.Random(5)
+    rows = []
+    for host in range(4):
+        for n in range(rng.choice([3, 9, 30])):
+            parts = [f"<p>Text {host} {n} {k}</p>" for k in range(rng.randint(1, 4))]
+            if rng.random() < 0.7:
+                parts.insert(0, "<div class=promo><p>Join us</p><p>Now</p></div>")
+            if rng.random() < 0.8:
+                parts.append("<div class=box2>Always at the end</div>")
+            parts.insert(rng.randint(0, len(parts)), "<h4>Moving line</h4>")
+            if rng.random() < 0.6:
+                parts.insert(rng.randint(0, len(parts)), "<section class=wanders><p>Some</p><p>where</p></section>")
+            if host % 2:
+                parts += ["<p>Twice</p>"] * 2
+            rows.append((len(rows), f"http://h{host}/", f"<html><body><nav>m</nav><article><h1>Title {n % 20}</h1><h5>Rules</h5>{''.join(parts)}<p>The end</p></article></body></html>"))
+            if rng.random() < 0.2:
+                rows.append((len(rows), f"http://h{host}/", rows[-1][2]))
+    df = spark.createDataFrame(rows, "page_id long, host string, html string").repartition(5)
+    got = {r["host"]: set(r["fixed"]) for r in extraction.templates(df).collect()}
+    want = {h: brute_template([x for _, u, x in rows if u == h]) for h in {r[1] for r in rows}}
+    assert got == {h: t for h, t in want.items() if t} and len(got) >= 2
+
+
+def test_mixed_hosts_and_names(spark):
+    """A notice of neutral class on all pages of a host goes and one on three of them stays; class words that only contain a listed name, pages without article and hosts with one page keep their text."""
+    pages = [f"<html><body><article><h1>T{n}</h1><div class='x1'><p>Please read the house rules</p></div><p class='period'>P{n}</p></article></body></html>" for n in range(20)]
+    pages += [f"<html><body><div class=post><p>Plain {n}</p></div></body></html>" for n in range(3)]
+    got = main_texts(spark, pages)
+    assert got == [f"T{n}\nP{n}" for n in range(20)] + [f"Plain {n}" for n in range(3)]
+    assert main_texts(spark, pages[:3]) == [f"T{n}\nPlease read the house rules\nP{n}" for n in range(3)]
+    assert main_texts(spark, pages[:1]) == ["T0\nPlease read the house rules\nP0"]
+
+
+def test_names_are_whole_values(spark):
+    """A class that only contains a listed name keeps its text; one made of such names and of neutral words doesn't."""
+    page = "<article><h1>T</h1><div class='toolbar-demo'><p>Body</p></div><p class='notice-period'>Three months</p><div class='share-buttons x'>Share</div><div id=comments_2><p>first!</p></div><ul class='ad-slot'><li>Buy</li></ul></article>"
+    assert main_texts(spark, [page]) == ["T\nBody\nThree months"]
+
+
+def test_deep_nesting_takes_linear_time():
+    import time
+
+    began = time.time()
+    html = "<div>" * 16_000 + "deep" + "</b>" * 16_000 + "</div>" * 16_000 + "<b>" * 2000 + "x" + "</i>" * 2000
+    assert [x for *_, x in extraction.own_lines(extraction.Page(html))[1]] == ["deep", "x"]
+    assert time.time() - began < 2
 
 
 def test_registered_queries_match_sql(spark, sf, duck):
@@ -345,10 +431,10 @@ def test_pipeline_stages(spark, sf, rows):
         assert stage(spark, empty, sf).count() == 0
 
 
-def test_copies_of_a_page_keep_their_text():
+def test_copies_of_a_page_keep_their_text(spark):
     page = "<html><body><nav>menu</nav>{}<h1>Same title</h1><p>The same long text on every page of the host.</p>{}</body></html>"
     for wrap in (("<article>", "</article>"), ("<div>", "</div>")):
-        assert set(extraction.main_texts([page.format(*wrap)] * 20)) == {"Same title\nThe same long text on every page of the host."}
+        assert set(main_texts(spark, [page.format(*wrap)] * 20)) == {"Same title\nThe same long text on every page of the host."}
 
 
 def test_template_decides_inside_articles(spark):
@@ -356,19 +442,18 @@ def test_template_decides_inside_articles(spark):
     page = lambda n: f"<html><body><article><h1>Title {n}</h1><p>Text of page {n}.</p>{'<p>Refrain</p>' if n % 2 else ''}<p>End of {n}.</p><div class=box>Follow us</div><p>Read our rules</p></article></body></html>"
     want = {n: "\n".join([f"Title {n}", f"Text of page {n}.", *(["Refrain"] if n % 2 else []), f"End of {n}."]) for n in range(120)}
     rows = [(n, "http://h/", page(n)) for n in want]
-    assert extraction.main_texts([r[2] for r in rows]) == list(want.values())
     got = extraction.extract(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(7)).collect()
     assert {r["page_id"]: r["text"] for r in got} == want
-    assert extraction.main_texts([rows[n][2] for n in range(3)])[1].endswith("Follow us\nRead our rules")  # three pages tell no template
+    assert main_texts(spark, [rows[n][2] for n in range(3)])[1].endswith("Follow us\nRead our rules")  # three pages tell no template
 
 
-def test_pages_without_article_keep_their_text():
+def test_pages_without_article_keep_their_text(spark):
     """Article elements count page by page, and short lines stay however long the others are."""
     post = "<html><body><nav>menu</nav><article><h1>A</h1><p>post</p></article></body></html>"
     plain = f"<html><body><nav>menu</nav><div class=post><h2>Short title</h2><p>Lead</p><p>{'long ' * 200}</p><p>A <b>bold</b> end</p></div></body></html>"
     want = "Short title\nLead\n" + " ".join(["long"] * 200) + "\nA bold end"
-    assert extraction.main_texts([post, plain]) == ["A\npost", want]
-    assert extraction.main_texts([plain]) == [want]
+    assert main_texts(spark, [post, plain]) == ["A\npost", want]
+    assert main_texts(spark, [plain]) == [want]
 
 
 def test_top_k_with_many_copies_of_a_near_row(spark):
