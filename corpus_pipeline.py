@@ -14,8 +14,8 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents that fail the base rules or lie below the log-ratio threshold."""
-    return quality.keep_good(docs, quality.log_ratio(docs, table(spark, sf_dir, "labels")))
+    """Drops documents that fail the base rules or lie below the log-ratio threshold that trusted documents set."""
+    return quality.keep_good(docs, *quality.fit(docs, table(spark, sf_dir, "labels")))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

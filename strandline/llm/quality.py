@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strandline.llm.shared import table
@@ -17,8 +17,8 @@ GRAM, BITS = 3, 14
 CHUNK = 1 << 20
 #: At most so many trusted documents are learned from; the raw counts cover all documents.
 TRUSTED = 20_000
-#: A document passes with a mean log-likelihood ratio an n-gram of at least this.
-THRESHOLD = -0.7
+#: The threshold lies below the LOW quantile of trusted documents, by WIDE times the distance from there to their median.
+LOW, WIDE = 0.01, 0.5
 #: Each bucket starts with so many n-grams in the corpus's overall shares, so a bucket that is hardly used says little.
 PRIOR = 5
 FEWEST, REPEATED = 50, 50
@@ -71,36 +71,59 @@ def measures(text: str, words: list[bytes]) -> tuple[int, int, int, int, int]:
     return len(words), len(text) - sum(map(text.count, SPACES)), sum(map(text.count, SYMBOLS)), dup, repeated_words(words)
 
 
-def log_ratio(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", trusted: int = TRUSTED) -> np.ndarray | None:
-    """log p(bucket | trusted) - log p(bucket | raw), drawn to 0 by PRIOR n-grams of the overall mix in each bucket; None if no trusted document is there.
+def fold(id_col: Column) -> Column:
+    return F.pmod(F.xxhash64(id_col, F.lit("fold")), F.lit(2)).cast("int")
 
-    Trusted: documents labelled quality 1, ``trusted`` of them at most, chosen by a hash of the id. Raw: all documents, whole texts.
-    Each task adds up its buckets and hands on at most 2 ** BITS rows.
+
+def ratio_of(good: np.ndarray, raw: np.ndarray) -> np.ndarray:
+    """log p(bucket | trusted) - log p(bucket | raw), drawn to 0 by PRIOR n-grams of the overall mix in each bucket."""
+    share = good.sum() / raw.sum()
+    return np.log((good + PRIOR * share) / (raw + PRIOR) / share)
+
+
+def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", trusted: int = TRUSTED) -> tuple[np.ndarray | None, float]:
+    """The log-likelihood ratio of each bucket and the threshold for a document's mean; (None, 0) if no trusted document is there.
+
+    Trusted: documents labelled quality 1 and never 0, ``trusted`` of them at most, chosen by a hash of the id. Raw: all documents, whole texts.
+    Each task adds up its buckets and hands on at most 2 ** BITS rows. The threshold is learned from trusted documents that pass the base rules, each scored by the ratio that the other half of them gives.
     """
-    ids = labels.where("quality = 1").select(F.col(id_col).alias("i")).where("i is not null").distinct().orderBy(F.xxhash64("i"), "i").limit(trusted).withColumn("good", F.lit(True))
+    named = labels.where("quality is not null").select(F.col(id_col).alias("i"), "quality").where("i is not null").groupBy("i").agg(F.min("quality").alias("least"))
+    ids = named.where("least = 1").select("i").orderBy(F.xxhash64("i"), "i").limit(trusted).withColumn("half", fold(F.col("i")))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        raw, good = np.zeros(1 << BITS, np.int64), np.zeros(1 << BITS, np.int64)
+        sums = np.zeros((3, 1 << BITS), np.int64)  # raw, and trusted of either half
         for b in batches:
             for at in range(0, b.num_rows, SLICE):
                 part = b.slice(at, SLICE)
-                for text, is_good in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
+                for text, half in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
                     n = bucket_counts((text or "").encode())
-                    raw += n
-                    if is_good:
-                        good += n
-        at = np.flatnonzero(raw)
-        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(raw[at]), pa.array(good[at])], names=["b", "raw", "good"])
-
-    marked = docs.select(docs[id_col].alias("i"), docs[text_col].alias("t")).join(F.broadcast(ids), "i", "left").select("t", "good")
-    sums = marked.mapInArrow(count, "b int, raw long, good long").groupBy("b").agg(F.sum("raw").alias("raw"), F.sum("good").alias("good")).collect()
-    raw, good = np.zeros(1 << BITS), np.zeros(1 << BITS)
-    for r in sums:
-        raw[r["b"]], good[r["b"]] = r["raw"], r["good"]
-    if not good.sum():
-        return None
-    share = good.sum() / raw.sum()
-    return np.log((good + PRIOR * share) / (raw + PRIOR) / share)
+                    sums[0] += n
+                    if half is not None:
+                        sums[1 + half] += n
+        at = np.flatnonzero(sums[0])
+        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), *(pa.array(x[at]) for x in sums)], names=["b", "raw", "good0", "good1"])
+
+    texts = docs.select(docs[id_col].alias("i"), docs[text_col].alias("t"))
+    marked = texts.join(F.broadcast(ids), "i", "left").select("t", "half")
+    total = marked.mapInArrow(count, "b int, raw long, good0 long, good1 long").groupBy("b").agg(*[F.sum(c).alias(c) for c in ("raw", "good0", "good1")]).collect()
+    sums = np.zeros((3, 1 << BITS))
+    for r in total:
+        sums[:, r["b"]] = r["raw"], r["good0"], r["good1"]
+    raw, *halves = sums
+    if not sum(h.sum() for h in halves):
+        return None, 0.0
+    ratio = ratio_of(halves[0] + halves[1], raw)
+    # each half is scored by the other; one half alone by itself
+    other = docs.sparkSession.sparkContext.broadcast([ratio_of(h if h.sum() else halves[0] + halves[1], raw) for h in reversed(halves)])
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            rows = [judged(t, other.value[half], 0.0) for t, half in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([pa.array([r[7] for r in rows if not r[5]], pa.float64())], names=["mean"])
+
+    means = texts.join(F.broadcast(ids), "i").select("t", "half").mapInArrow(score, "mean double")
+    low, mid = means.agg(F.percentile("mean", F.array(F.lit(LOW), F.lit(0.5)))).first()[0] or (0.0, 0.0)
+    return ratio, low - WIDE * (mid - low)
 
 
 def judged(text: str | None, ratio: np.ndarray | None, threshold: float) -> tuple:
@@ -113,7 +136,7 @@ def judged(text: str | None, ratio: np.ndarray | None, threshold: float) -> tupl
     return *n, failed, not failed and mean >= threshold, mean
 
 
-def assess(docs: DataFrame, ratio: np.ndarray | None, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+def assess(docs: DataFrame, ratio: np.ndarray | None, threshold: float = 0.0, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The measures and the verdict of every row, whole texts.
 
     A null or empty text has no words and so fails the base rules. Without a trusted corpus (``ratio`` None) the base rules alone decide.
@@ -134,7 +157,7 @@ def assess(docs: DataFrame, ratio: np.ndarray | None, id_col: str = "doc_id", te
     return docs.select(docs[id_col].cast("long").alias("i"), docs[text_col].alias("t")).mapInArrow(score, out).withColumnRenamed("i", id_col)
 
 
-def keep_good(docs: DataFrame, ratio: np.ndarray | None, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+def keep_good(docs: DataFrame, ratio: np.ndarray | None, threshold: float = 0.0, text_col: str = "text") -> DataFrame:
     """The rows of ``docs``, columns as they are, that ``assess`` keeps."""
     shared, at_text = docs.sparkSession.sparkContext.broadcast(ratio), docs.columns.index(text_col)
 
@@ -149,4 +172,4 @@ def keep_good(docs: DataFrame, ratio: np.ndarray | None, text_col: str = "text",
 
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    return assess(docs, log_ratio(docs, table(spark, sf_dir, "labels")))
+    return assess(docs, *fit(docs, table(spark, sf_dir, "labels")))

@@ -10,11 +10,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from strandline.llm.shared import table, written
+from strandline.llm.shared import table
 
 SCALE, K, EVERY = 1024, 10, 100
-#: A pass takes so many queries on average; a task scores so many of them against so many rows at a time.
-PASS, QUERIES, ROWS = 8192, 256, 4096
+#: A block of queries and a tile of rows hold so many on average; a task scores so many of the one against so many of the other at a time.
+BLOCK, TILE, QUERIES, ROWS = 16_384, 16_384, 256, 4096
+#: A tile holds at least about so many rows where more tiles than shuffle partitions aren't needed.
+LEAST = 1024
 
 
 def quantized(vectors: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -22,7 +24,7 @@ def quantized(vectors: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     vectors = vectors.combine_chunks() if isinstance(vectors, pa.ChunkedArray) else vectors
     n = len(vectors)
     sizes = np.where(np.asarray(vectors.is_valid()), np.asarray(pa.compute.fill_null(pa.compute.list_value_length(vectors), 0)), 0).astype(np.int64)
-    flat = vectors.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+    flat = (pa.array([], pa.float64()) if not n else vectors.flatten()).to_numpy(zero_copy_only=False).astype(np.float64)
     matrix = np.full((n, int(sizes.max(initial=0))), 0.0)
     matrix[np.arange(matrix.shape[1]) < sizes[:, None]] = flat
     good = np.flatnonzero(np.isfinite(matrix).all(axis=1) & np.asarray(vectors.is_valid()))
@@ -64,48 +66,44 @@ def best(found: np.ndarray, ids: np.ndarray, own: np.ndarray, k: int) -> tuple[n
     return tuple(merge(q, ids[r], shown[q, r], k))
 
 
-def top_k(base: DataFrame, queries: DataFrame, k: int = K, id_col: str = "vec_id", vector_col: str = "embedding", per_pass: int = PASS) -> DataFrame:
+def top_k(base: DataFrame, queries: DataFrame, k: int = K, id_col: str = "vec_id", vector_col: str = "embedding", block: int = BLOCK, tile: int = TILE) -> DataFrame:
     """query_id, rank, vec_id, score of the k rows of ``base`` with the highest integer inner product for each row of ``queries``.
 
     Vectors that are null or hold a null or non-finite component take no part, nor do null ids. A query that repeats an id is one query; base rows with its id are its own row.
     A base row that is repeated counts once an id. An empty base or query set gives no row. Products are 64-bit integers.
-    Queries go in passes of about ``per_pass``: a pass's block, of that bounded size, is broadcast and every row of the base is scored against it; a task keeps k rows a query.
+    Hashes deal queries to blocks and different rows to tiles; every block meets every tile in a group of its own, of that bounded size, which keeps k rows a query. Nothing passes through the driver but two counts.
     """
     spark = base.sparkSession
-    kind = base.schema[vector_col].dataType
-    asked = written(queries.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).alias("v")).where("id is not null and v is not null").dropDuplicates(["id"]), "queries")
-    passes = -(-asked.count() // per_pass)
-    rows = base.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast(kind).alias("v")).where("id is not null and v is not null")
-    merged = None
-    for n in range(passes):
-        part = asked.where(F.pmod(F.xxhash64("id"), F.lit(passes)) == n).toArrow()
-        use, weights = quantized(part.column("v"))
-        block = spark.sparkContext.broadcast((part.column("id").to_numpy()[use], weights))
-
-        def search(batches: Iterator[pa.RecordBatch], block=block) -> Iterator[pa.RecordBatch]:
-            own, weights = block.value
-            kept = [np.zeros(0, np.int64)] * 3  # query number, id, score
-            for b in batches:
-                for at in range(0, b.num_rows, ROWS):
-                    tile = b.slice(at, ROWS)
-                    good, values = quantized(tile.column(1))
-                    ids, values = once(tile.column(0).to_numpy()[good], values)
-                    if not len(ids):
-                        continue
-                    for a in range(0, len(own), QUERIES):
-                        q, i, s = best(scores(weights[a : a + QUERIES], values), ids, own[a : a + QUERIES], k)
-                        kept = [np.concatenate(x) for x in zip(kept, (q + a, i, s), strict=True)]
-                    if len(kept[0]) > 4 * k * len(own):
-                        kept = merge(*kept, k)
-            q, i, s = merge(*kept, k)
-            yield pa.RecordBatch.from_arrays([pa.array(own[q] if len(q) else q), pa.array(i), pa.array(s)], names=["query_id", "vec_id", "score"])
-
-        found = rows.mapInArrow(search, "query_id long, vec_id long, score long")
-        merged = found if merged is None else merged.unionByName(found)
-    if merged is None:
+    plain = lambda df: df.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).alias("v")).where("id is not null and v is not null")
+    asked = plain(queries).dropDuplicates(["id"])
+    rows = plain(base).dropDuplicates(["id", "v"])  # copies are dropped before the shuffle too, so that a row with many of them makes no large tile
+    n, blocks = rows.count(), -(-asked.count() // block)
+    if not n or not blocks:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
+    tiles = max(-(-n // tile), min(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-n // LEAST)))
+    left = asked.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks))).withColumn("tile", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(tiles - 1).cast("long"))))
+    right = rows.withColumn("tile", F.pmod(F.xxhash64("id", "v"), F.lit(tiles))).withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))))
+
+    def search(queries: pa.Table, rows: pa.Table) -> pa.Table:
+        use, weights = quantized(queries.column("v"))
+        own = queries.column("id").to_numpy()[use]
+        kept = [np.zeros(0, np.int64)] * 3  # query number, id, score
+        for at in range(0, rows.num_rows if len(own) else 0, ROWS):
+            part = rows.slice(at, ROWS)
+            good, values = quantized(part.column("v"))
+            ids, values = once(part.column("id").to_numpy()[good], values)
+            for a in range(0, len(own) if len(ids) else 0, QUERIES):
+                q, i, s = best(scores(weights[a : a + QUERIES], values), ids, own[a : a + QUERIES], k)
+                kept = [np.concatenate(x) for x in zip(kept, (q + a, i, s), strict=True)]
+            if len(kept[0]) > 4 * k * len(own):
+                kept = merge(*kept, k)
+        q, i, s = merge(*kept, k)
+        return pa.table({"query_id": pa.array(own[q] if len(q) else q, pa.int64()), "vec_id": pa.array(i, pa.int64()), "score": pa.array(s, pa.int64())})
+
+    found = left.groupBy("block", "tile").cogroup(right.groupBy("block", "tile")).applyInArrow(search, "query_id long, vec_id long, score long")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    ranked = merged.dropDuplicates(["query_id", "vec_id", "score"]).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    # one shuffle by query serves both: k rows a tile and query
+    ranked = found.repartition("query_id").dropDuplicates(["query_id", "vec_id", "score"]).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")
 
 

@@ -130,7 +130,7 @@ def test_top_k(spark):
     vecs += [(i, vecs[5][1]) for i in range(300, 340)] + [(400, None), (401, [1.0, float("nan")] * 4), (402, [None] + [1.0] * 7), (None, [1.0] * 8), (403, [2.0]), (5, vecs[5][1]), (404, [])]
     df = spark.createDataFrame(vecs, "vec_id long, embedding array<double>").withColumn("id", F.lit(0)).repartition(4)
     q = df.where("vec_id % 100 = 0 or vec_id = 5")
-    got = {(r["query_id"], r["rank"]): (r["vec_id"], r["score"]) for r in search.top_k(df, q, per_pass=3).collect()}
+    got = {(r["query_id"], r["rank"]): (r["vec_id"], r["score"]) for r in search.top_k(df, q, block=3, tile=50).collect()}
     ints = {i: [int(np.floor(1024 * x)) for x in v] for i, v in vecs if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v)}
     want = {}
     for a in [i for i in ints if i % 100 == 0 or i == 5]:
@@ -163,14 +163,51 @@ def test_quality_measures(docs, rows, none):
 
 def test_quality_ratio_tells_junk(spark, sf):
     docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
-    ratio = quality.log_ratio(docs, labels)
-    out = quality.assess(docs, ratio).where("not base_failed").join(labels, "doc_id")
+    ratio, threshold = quality.fit(docs, labels)
+    out = quality.assess(docs, ratio, threshold).where("not base_failed").join(labels, "doc_id")
     n = {(r["quality"], r["kept"]): r["n"] for r in out.groupBy("quality", "kept").agg(F.count("*").alias("n")).collect()}
     assert n.get((1, False), 0) <= 0.02 * n[1, True]
     assert n.get((0, True), 0) <= 0.2 * sum(v for k, v in n.items() if k[0] == 0)
-    good = quality.keep_good(docs, ratio)
-    assert good.columns == docs.columns and good.count() == quality.assess(docs, ratio).where("kept").count()
-    assert quality.log_ratio(docs, labels.where("false")) is None
+    good = quality.keep_good(docs, ratio, threshold)
+    assert good.columns == docs.columns and good.count() == quality.assess(docs, ratio, threshold).where("kept").count()
+    assert quality.fit(docs, labels.where("false")) == (None, 0.0)
+
+
+def test_quality_ratio_and_threshold_of_brute_force(spark, docs, rows, monkeypatch):
+    """Bucket counts, ratio, threshold and verdicts against plain loops; a document labelled both ways isn't trusted, and repeated label rows count once."""
+    rng = random.Random(6)
+    more = [(500 + k, " ".join(rng.choice(["trust", "worthy", "prose", "of", "some", "length"]) for _ in range(rng.randint(60, 90)))) for k in range(30)] + [(600, "#$% " * 70 + "x y z")]
+    every = rows + more
+    df = docs.select("doc_id", "text").unionByName(spark.createDataFrame(more, "doc_id long, text string"))
+    labels = [(500 + k, 1) for k in range(30)] * 2 + [(5, 1), (5, 0), (6, 0), (None, 1), (9, None), (999, 1)]
+    good = {500 + k for k in range(30)}
+
+    def grams(x):
+        b = (x or "").encode()
+        return [((((b[k] * 257 + b[k + 1]) * 257 + b[k + 2]) * 0x9E3779B97F4A7C15) % 2**64) >> 50 for k in range(len(b) - 2)]
+
+    half = {r["i"]: r["f"] for r in spark.createDataFrame([(g,) for g in good], "i long").select("i", quality.fold(F.col("i")).alias("f")).collect()}
+    raw, trusted = Counter(), [Counter(), Counter()]
+    for i, x in every:
+        raw.update(grams(x))
+        if i in good:
+            trusted[half[i]].update(grams(x))
+
+    def ratio(c, b):
+        share = sum(c.values()) / sum(raw.values())
+        return np.log((c[b] + quality.PRIOR * share) / (raw[b] + quality.PRIOR) / share)
+
+    mean = lambda c, x: float(np.mean([ratio(c, b) for b in grams(x)] or [0.0]))
+    got, threshold = quality.fit(df, spark.createDataFrame(labels, "doc_id long, quality int"))
+    assert got == pytest.approx([ratio(trusted[0] + trusted[1], b) for b in range(1 << quality.BITS)])
+    held = [mean(trusted[1 - half[i]], x) for i, x in more[:30]]
+    held = [m for m, (_, x) in zip(held, more) if 100 * quality.repeated_words(x.encode().split()) <= 50 * len(x.split())]
+    low, mid = np.quantile(held, quality.LOW), np.quantile(held, 0.5)
+    assert threshold == pytest.approx(low - quality.WIDE * (mid - low))
+    seen = {r["doc_id"]: r for r in quality.assess(df, got, threshold).collect()}
+    for i, x in every:
+        assert seen[i]["log_ratio"] == pytest.approx(mean(trusted[0] + trusted[1], x), abs=1e-9)
+        assert seen[i]["kept"] == (not seen[i]["base_failed"] and seen[i]["log_ratio"] >= threshold)
 
 
 def test_language(spark, sf, docs, none):
