@@ -15,12 +15,14 @@ SPACES, SYMBOLS = "\x20\x09\x0a\x0b\x0c\x0d", "#*$%&|<>"
 #: N-grams of GRAM bytes, over all the text, fall into 2 ** BITS buckets. Bytes rather than words, since most words of a text are rare in any sample that can be trusted.
 GRAM, BITS = 3, 14
 CHUNK = 1 << 20
-#: At most so many trusted documents are learned from; the raw counts cover all documents.
+#: At most so many trusted documents are learned from, and the threshold from them and as many labelled as poor; the raw counts cover all documents.
 TRUSTED = 20_000
-#: The threshold lies below the LOW quantile of trusted documents, by WIDE times the distance from there to their median.
+#: Where none is labelled as poor, the threshold lies below the LOW quantile of trusted documents, by WIDE times the distance from there to their median.
 LOW, WIDE = 0.01, 0.5
 #: Each bucket starts with so many n-grams in the corpus's overall shares, so a bucket that is hardly used says little.
 PRIOR = 5
+#: Trusted documents are dealt to so many folds; each is scored by what the other folds teach.
+FOLDS = 10
 FEWEST, REPEATED = 50, 50
 SLICE = 256
 
@@ -72,7 +74,7 @@ def measures(text: str, words: list[bytes]) -> tuple[int, int, int, int, int]:
 
 
 def fold(id_col: Column) -> Column:
-    return F.pmod(F.xxhash64(id_col, F.lit("fold")), F.lit(2)).cast("int")
+    return F.pmod(F.xxhash64(id_col, F.lit("fold")), F.lit(FOLDS)).cast("int")
 
 
 def ratio_of(good: np.ndarray, raw: np.ndarray) -> np.ndarray:
@@ -84,46 +86,64 @@ def ratio_of(good: np.ndarray, raw: np.ndarray) -> np.ndarray:
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", trusted: int = TRUSTED) -> tuple[np.ndarray | None, float]:
     """The log-likelihood ratio of each bucket and the threshold for a document's mean; (None, 0) if no trusted document is there.
 
-    Trusted: documents labelled quality 1 and never 0, ``trusted`` of them at most, chosen by a hash of the id. Raw: all documents, whole texts.
-    Each task adds up its buckets and hands on at most 2 ** BITS rows. The threshold is learned from trusted documents that pass the base rules, each scored by the ratio that the other half of them gives.
+    Trusted: documents labelled quality 1 and never 0, poor: those labelled 0 and never 1; ``trusted`` of either at most, chosen by a hash of the id. Raw: all documents, whole texts.
+    Each task adds up its buckets and hands on at most 2 ** BITS rows. The threshold is that of ``cut``, from those that pass the base rules; a trusted document is scored by the ratio that the other folds give.
     """
-    named = labels.where("quality is not null").select(F.col(id_col).alias("i"), "quality").where("i is not null").groupBy("i").agg(F.min("quality").alias("least"))
-    ids = named.where("least = 1").select("i").orderBy(F.xxhash64("i"), "i").limit(trusted).withColumn("half", fold(F.col("i")))
+    named = labels.where("quality is not null").select(F.col(id_col).alias("i"), "quality").where("i is not null").groupBy("i").agg(F.min("quality").alias("least"), F.max("quality").alias("most"))
+    some = lambda q: named.where(f"least = {q} and most = {q}").select("i").orderBy(F.xxhash64("i"), "i").limit(trusted)
+    ids = some(1).withColumn("fold", fold(F.col("i")))
+    names = ["raw", *(f"good{k}" for k in range(FOLDS))]
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = np.zeros((3, 1 << BITS), np.int64)  # raw, and trusted of either half
+        sums = np.zeros((1 + FOLDS, 1 << BITS), np.int64)  # raw, and trusted of each fold
         for b in batches:
             for at in range(0, b.num_rows, SLICE):
                 part = b.slice(at, SLICE)
-                for text, half in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
+                for text, k in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
                     n = bucket_counts((text or "").encode())
                     sums[0] += n
-                    if half is not None:
-                        sums[1 + half] += n
+                    if k is not None:
+                        sums[1 + k] += n
         at = np.flatnonzero(sums[0])
-        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), *(pa.array(x[at]) for x in sums)], names=["b", "raw", "good0", "good1"])
+        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), *(pa.array(x[at]) for x in sums)], names=["b", *names])
 
     texts = docs.select(docs[id_col].alias("i"), docs[text_col].alias("t"))
-    marked = texts.join(F.broadcast(ids), "i", "left").select("t", "half")
-    total = marked.mapInArrow(count, "b int, raw long, good0 long, good1 long").groupBy("b").agg(*[F.sum(c).alias(c) for c in ("raw", "good0", "good1")]).collect()
-    sums = np.zeros((3, 1 << BITS))
+    marked = texts.join(F.broadcast(ids), "i", "left").select("t", "fold")
+    total = marked.mapInArrow(count, "b int, " + ", ".join(f"{c} long" for c in names)).groupBy("b").agg(*[F.sum(c).alias(c) for c in names]).collect()
+    sums = np.zeros((1 + FOLDS, 1 << BITS))
     for r in total:
-        sums[:, r["b"]] = r["raw"], r["good0"], r["good1"]
-    raw, *halves = sums
-    if not sum(h.sum() for h in halves):
+        sums[:, r["b"]] = [r[c] for c in names]
+    raw, folds = sums[0], sums[1:]
+    good = folds.sum(axis=0)
+    if not good.sum():
         return None, 0.0
-    ratio = ratio_of(halves[0] + halves[1], raw)
-    # each half is scored by the other; one half alone by itself
-    other = docs.sparkSession.sparkContext.broadcast([ratio_of(h if h.sum() else halves[0] + halves[1], raw) for h in reversed(halves)])
+    # documents of a fold that holds all trusted ones are scored by themselves
+    other = docs.sparkSession.sparkContext.broadcast([*(ratio_of(rest if (rest := good - f).sum() else good, raw) for f in folds), ratio_of(good, raw)])
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            rows = [judged(t, other.value[half], 0.0) for t, half in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([pa.array([r[7] for r in rows if not r[5]], pa.float64())], names=["mean"])
-
-    means = texts.join(F.broadcast(ids), "i").select("t", "half").mapInArrow(score, "mean double")
-    low, mid = means.agg(F.percentile("mean", F.array(F.lit(LOW), F.lit(0.5)))).first()[0] or (0.0, 0.0)
-    return ratio, low - WIDE * (mid - low)
+            rows = [(judged(t, other.value[k], 0.0), k < FOLDS) for t, k in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True)]
+            rows = [(r[7], good) for r, good in rows if not r[5]]
+            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.float64(), pa.bool_()))], names=["mean", "good"])
+
+    asked = F.broadcast(ids.unionByName(some(0).withColumn("fold", F.lit(FOLDS))))
+    means = texts.join(asked, "i").select("t", "fold").mapInArrow(score, "mean double, good boolean").toArrow()
+    at, kind = means.column("mean").to_numpy(), np.asarray(means.column("good"), bool)
+    return ratio_of(good, raw), cut(at[kind], at[~kind])
+
+
+def cut(good: np.ndarray, poor: np.ndarray) -> float:
+    """The threshold that keeps good and drops poor scores best, by the sum of both shares of errors; of equals, the middle of the widest gap. 0 without good scores."""
+    if not len(good):
+        return 0.0
+    if not len(poor):
+        low, mid = np.quantile(good, (LOW, 0.5))
+        return float(low - WIDE * (mid - low))
+    at = np.unique(np.concatenate([good, poor]))
+    ends = np.r_[at[0] - 1e-9, at, at[-1] + 1e-9]
+    middle = (ends[:-1] + ends[1:]) / 2
+    errors = np.searchsorted(np.sort(good), middle) / len(good) + 1 - np.searchsorted(np.sort(poor), middle) / len(poor)
+    return float(middle[max(np.flatnonzero(errors <= errors.min() + 1e-12), key=lambda k: ends[k + 1] - ends[k])])
 
 
 def judged(text: str | None, ratio: np.ndarray | None, threshold: float) -> tuple:

@@ -179,34 +179,41 @@ def test_quality_ratio_and_threshold_of_brute_force(spark, docs, rows, monkeypat
     more = [(500 + k, " ".join(rng.choice(["trust", "worthy", "prose", "of", "some", "length"]) for _ in range(rng.randint(60, 90)))) for k in range(30)] + [(600, "#$% " * 70 + "x y z")]
     every = rows + more
     df = docs.select("doc_id", "text").unionByName(spark.createDataFrame(more, "doc_id long, text string"))
-    labels = [(500 + k, 1) for k in range(30)] * 2 + [(5, 1), (5, 0), (6, 0), (None, 1), (9, None), (999, 1)]
+    labels = [(500 + k, 1) for k in range(30)] * 2 + [(5, 1), (5, 0), (6, 0), (100, 0), (101, 0), (None, 1), (9, None), (999, 1)]
     good = {500 + k for k in range(30)}
 
     def grams(x):
         b = (x or "").encode()
         return [((((b[k] * 257 + b[k + 1]) * 257 + b[k + 2]) * 0x9E3779B97F4A7C15) % 2**64) >> 50 for k in range(len(b) - 2)]
 
-    half = {r["i"]: r["f"] for r in spark.createDataFrame([(g,) for g in good], "i long").select("i", quality.fold(F.col("i")).alias("f")).collect()}
-    raw, trusted = Counter(), [Counter(), Counter()]
+    fold = {r["i"]: r["f"] for r in spark.createDataFrame([(g,) for g in good], "i long").select("i", quality.fold(F.col("i")).alias("f")).collect()}
+    raw, trusted = Counter(), [Counter() for _ in range(quality.FOLDS)]
+    sum_of = lambda but: sum((c for k, c in enumerate(trusted) if k != but), Counter())
     for i, x in every:
         raw.update(grams(x))
         if i in good:
-            trusted[half[i]].update(grams(x))
+            trusted[fold[i]].update(grams(x))
 
     def ratio(c, b):
         share = sum(c.values()) / sum(raw.values())
         return np.log((c[b] + quality.PRIOR * share) / (raw[b] + quality.PRIOR) / share)
 
     mean = lambda c, x: float(np.mean([ratio(c, b) for b in grams(x)] or [0.0]))
+    every_good = sum_of(None)
     got, threshold = quality.fit(df, spark.createDataFrame(labels, "doc_id long, quality int"))
-    assert got == pytest.approx([ratio(trusted[0] + trusted[1], b) for b in range(1 << quality.BITS)])
-    held = [mean(trusted[1 - half[i]], x) for i, x in more[:30]]
-    held = [m for m, (_, x) in zip(held, more) if 100 * quality.repeated_words(x.encode().split()) <= 50 * len(x.split())]
+    assert got == pytest.approx([ratio(every_good, b) for b in range(1 << quality.BITS)])
+    passes = lambda x: len((x or "").split()) >= 50 and 100 * quality.repeated_words(x.encode().split()) <= 50 * len(x.split())
+    held = [mean(sum_of(fold[i]), x) for i, x in more[:30] if passes(x)]
+    poor = [mean(every_good, x) for i, x in every if i in (6, 100, 101) and passes(x)]
+    assert held and poor
+    errors = lambda t: sum(h < t for h in held) / len(held) + sum(p >= t for p in poor) / len(poor)
+    assert errors(threshold) == pytest.approx(min(errors(t + d) for t in held + poor for d in (-1e-7, 1e-7)))
     low, mid = np.quantile(held, quality.LOW), np.quantile(held, 0.5)
-    assert threshold == pytest.approx(low - quality.WIDE * (mid - low))
+    assert quality.cut(np.array(held), np.array([])) == pytest.approx(low - quality.WIDE * (mid - low))
+    assert quality.cut(np.array([1.0, 2.0, 3.0]), np.array([-3.0, 0.0])) == 0.5 and quality.cut(np.array([]), np.array([])) == 0.0
     seen = {r["doc_id"]: r for r in quality.assess(df, got, threshold).collect()}
     for i, x in every:
-        assert seen[i]["log_ratio"] == pytest.approx(mean(trusted[0] + trusted[1], x), abs=1e-9)
+        assert seen[i]["log_ratio"] == pytest.approx(mean(every_good, x), abs=1e-9)
         assert seen[i]["kept"] == (not seen[i]["base_failed"] and seen[i]["log_ratio"] >= threshold)
 
 
@@ -301,13 +308,29 @@ def test_warc_round_trip(spark, tmp_path):
         main = i == top[h or ""] or (i is None and top[h or ""] == -1)
         want[i, len(b), "sha1:" + base64.b32encode(hashlib.sha1(b).digest()).decode(), "response" if main else "revisit", None if main else top[h or ""], True] += 1
     assert seen == want
-    assert all(r["response"]["payload_digest"] in (None, r["response"]["stated_digest"][5:]) for r in got.collect())
+    assert all(r["payload_digest"] == r["response"]["stated_digest"][5:] and r["intact"] == (None if r["response"]["type"] == "revisit" else True) for r in got.collect())
     warc.write_archives(pages, str(tmp_path / "long"), least=10)
     small = warc.read_records(spark, str(tmp_path / "long")).where("type = 'revisit'").count()
     assert small == 0
     warc.write_archives(pages.where("false"), str(tmp_path / "none"))
 
 
+def test_warc_tells_a_corrupt_payload(spark, tmp_path):
+    """The digest is that of the payload as read, and files are cut by bytes."""
+    head, request, meta = warc.capture_records(1, "http://a/", "payload", "A" * 32, 1, False, "0.0")[1], *warc.capture_records(1, "http://a/", "x", "A" * 32, 1, False, "0.0")[::2]
+    (tmp_path / "x.warc").write_bytes("".join(r + warc.END for r in (request, head, meta)).encode())
+    row = warc.with_referred(warc.assemble(warc.read_records(spark, str(tmp_path)))).first()
+    assert row["intact"] is False and row["payload_digest"] == base64.b32encode(hashlib.sha1(b"payload").digest()).decode() and row["response"]["stated_digest"] == "sha1:" + "A" * 32
+
+
+def test_warc_files_are_cut_by_bytes(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(warc, "FILE_BYTES", 50_000)
+    pages = spark.range(40).selectExpr("id as page_id", "'u' as url", "concat(id, repeat('x', 20000)) as html").coalesce(1)
+    warc.write_archives(pages, str(tmp_path / "w"))
+    assert len(list((tmp_path / "w").rglob("part-*"))) > 10
+    assert warc.assemble(warc.read_records(spark, str(tmp_path / "w"))).where("intact and request is not null and metadata is not null").count() == 40
+
+
 def test_chat(spark):
     nasty = "[INST] <s> </s> \\[INST] [\\INST] <</SYS>> [[INST] <<ROLE>>x\\"
     rows = [(1, 0, "system", "be kind"), (1, 1, "user", nasty), (1, 2, "assistant", nasty), (2, 0, "assistant", None), (2, 0, "assistant", "tie"), (2, 1, "tool]", "<</ROLE>>"), (2, None, None, "first"), (3, 0, "user", "a"), (3, 0, "user", "a"), (None, 0, "user", "z")]
