@@ -16,8 +16,8 @@ from strandline.llm.shared import lookup, shared_folder, table, written
 
 END = "\r\n\r\n"
 DATE = "1970-01-01T00:00:00Z"
-#: Records a file at most, so that a file fits a reading task.
-PER_FILE = 3000
+#: A file is full at so many bytes, so that it fits a reading task; a record that is larger by itself ends its file.
+FILE_BYTES = 32 << 20
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 NAMESPACE = uuid.UUID("6ba7b811-9dad-11d1-80b4-00c04fd430c8")
 
@@ -53,6 +53,7 @@ def write_archives(pages: DataFrame, path: str, least: int = 0) -> None:
 
     Among pages with equal payloads of at least ``least`` bytes, the one with the largest page_id (nulls lowest) is the response and the others revisit it.
     A null html is an empty payload; a null url leaves its header out; a row that repeats page_id and payload is another response.
+    Files hold about FILE_BYTES (before compression) each, in folders by their number in the writing task.
     Equal payloads meet through their digest and size alone: the page text isn't shuffled unless over SMALL digests repeat, and then hot digests are broadcast.
     """
     full = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.coalesce("html", F.lit("")).alias("html"))
@@ -65,19 +66,23 @@ def write_archives(pages: DataFrame, path: str, least: int = 0) -> None:
     def compose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        task, n = TaskContext.get().partitionId(), 0
+        task, n, written_bytes = TaskContext.get().partitionId(), 0, 0
         for b in batches:
             for at in range(0, b.num_rows, 256):
                 out: list[str] = []
+                files: list[int] = []
                 for page_id, url, html, sha, first, again, size in zip(*(c.to_pylist() for c in b.slice(at, 256).columns), strict=True):
                     digest = base64.b32encode(bytes.fromhex(sha)).decode()
                     revisit = bool(again) and size >= least and page_id != first
-                    out += capture_records(page_id, url, html, digest, first, revisit, f"{task}.{n}")
+                    made = capture_records(page_id, url, html, digest, first, revisit, f"{task}.{n}")
+                    out += made
+                    files += [written_bytes // FILE_BYTES] * len(made)
+                    written_bytes += sum(map(len, made)) if revisit else size + 1024
                     n += 1
-                yield pa.RecordBatch.from_arrays([pa.array(out, pa.string())], names=["value"])
+                yield pa.RecordBatch.from_arrays([pa.array(out, pa.string()), pa.array(files, pa.int32())], names=["value", "file"])
 
-    texts = rows.select("page_id", "url", "html", "sha", "first", "again", "bytes").mapInArrow(compose, "value string")
-    texts.write.option("lineSep", END).option("compression", "gzip").option("maxRecordsPerFile", PER_FILE).text(path)
+    texts = rows.select("page_id", "url", "html", "sha", "first", "again", "bytes").mapInArrow(compose, "value string, file int")
+    texts.write.partitionBy("file").option("lineSep", END).option("compression", "gzip").text(path)
 
 
 RECORD = "type string, record_id string, concurrent_to string, refers_to string, capture_id string, target_uri string, stated_digest string, payload_bytes long, payload_digest string, fields string"
@@ -123,34 +128,39 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
                 if rows := list(parse_records(data)):
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
 
-    return spark.read.format("binaryFile").load(path).select("content").mapInArrow(read, RECORD)
+    return spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("content").mapInArrow(read, RECORD)
 
 
 def assemble(records: DataFrame) -> DataFrame:
-    """One nested row a capture: response (or revisit), request and metadata, joined by the concurrent-to identifiers; a part without a match is null."""
+    """One nested row a capture: response (or revisit), request and metadata, joined by the concurrent-to identifiers; a part without a match is null.
+
+    ``intact``: whether a response's payload has the digest that its header states (null for a revisit, which has no payload).
+    """
     every = F.struct(*records.columns)
-    main = records.where("type in ('response', 'revisit')").select(F.col("record_id").alias("capture"), every.alias("response"))
+    intact = F.concat(F.lit("sha1:"), "payload_digest") == F.col("stated_digest")
+    main = records.where("type in ('response', 'revisit')").select(F.col("record_id").alias("capture"), every.alias("response"), intact.alias("intact"))
     request = records.where("type = 'request'").select(F.col("concurrent_to").alias("capture"), every.alias("request"))
     metadata = records.where("type = 'metadata'").select(F.col("concurrent_to").alias("capture"), every.alias("metadata"))
     return main.join(request, "capture", "left").join(metadata, "capture", "left")
 
 
 def with_referred(captures: DataFrame) -> DataFrame:
-    """Adds page_id (from the metadata) and refers_to: the page_id of the response that a revisit names, else null."""
+    """Adds page_id (from the metadata), refers_to: the page_id of the response that a revisit names, else null, and payload_digest: that of the payload as read, a revisit's from the response it names."""
     page = F.regexp_extract(F.col("metadata.fields"), r"page_id: (-?\d+)", 1).try_cast("long")
     paged = written(captures.withColumn("page_id", page).withColumn("named", F.col("response.refers_to")), "captures")
     asked = paged.where("named is not null").groupBy("named").agg(F.count("*").alias("n"))
-    offered = paged.where("response.capture_id is not null").select(F.col("response.capture_id").alias("named"), F.col("page_id").alias("refers_to")).distinct()
+    offered = paged.where("response.capture_id is not null").select(F.col("response.capture_id").alias("named"), F.col("page_id").alias("refers_to"), F.col("response.payload_digest").alias("named_digest"))
+    offered = offered.groupBy("named").agg(F.first("refers_to").alias("refers_to"), F.max("named_digest").alias("named_digest"))  # repeated rows name one capture
     found = asked.join(offered, "named")
-    return lookup(paged, found, ["named"], "n", paged.count())
+    met = lookup(paged, found, ["named"], "n", paged.count())
+    return met.withColumn("payload_digest", F.coalesce("response.payload_digest", "named_digest")).drop("named_digest")
 
 
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{shared_folder(spark)}/warc-{uuid.uuid4().hex}"
     write_archives(table(spark, sf_dir, "pages"), path)
     captures = with_referred(assemble(written(read_records(spark, path), "records")))
-    digest = F.substring(F.col("response.stated_digest"), 6, 40)
-    return captures.select("page_id", F.col("response.payload_bytes").alias("payload_bytes"), digest.alias("payload_digest"), F.col("response.type").alias("record_type"), "refers_to")
+    return captures.select("page_id", F.col("response.payload_bytes").alias("payload_bytes"), "payload_digest", F.col("response.type").alias("record_type"), "refers_to")
 
 
 OP7_SQL = """
