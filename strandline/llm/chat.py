@@ -141,16 +141,17 @@ PROBE = "</s>[INST] ok [/INST]"
 def op8_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations").selectExpr("cast(conv_id as long) as conv_id", "cast(turn as long) as turn", "role", "text")
     probe = spark.range(2).selectExpr("-1L as conv_id", "id as turn", "if(id = 0, 'user', 'assistant') as role", f"'{PROBE}' as text")
-    return read_back(segments(turns.unionByName(probe))).drop("valid")
+    return read_back(segments(turns.unionByName(probe)))
 
 
 OP8_SQL = r"""
 WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
   UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
-e AS (SELECT *, length(text) + len(regexp_extract_all(text, '\\|<<ROLE>>|<</ROLE>>|<</TURN>>|<</SYS>>|<<SYS>>|\[INST\]|\[/INST\]|<s>|</s>')) AS n,
+e AS (SELECT *, lag(role, 1, '') OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS before, length(text) + len(regexp_extract_all(text, '\\|<<ROLE>>|<</ROLE>>|<</TURN>>|<</SYS>>|<<SYS>>|\[INST\]|\[/INST\]|<s>|</s>')) AS n,
   CASE role WHEN 'system' THEN 15 WHEN 'user' THEN 15 WHEN 'assistant' THEN 7 ELSE 26 + length(role) END AS m FROM t)
 SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
   coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
-  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256, sum(n + m)::BIGINT AS formatted_chars
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256, sum(n + m)::BIGINT AS formatted_chars,
+  bool_and(role IN ('system', 'user') AND before = '' OR role = 'user' AND before IN ('system', 'assistant') OR role = 'assistant' AND before = 'user') AS valid
 FROM e GROUP BY conv_id
 """

@@ -17,9 +17,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a local one only where the session names none, as in tests."""
+    """The folder that driver and executors share; a session in one process may name none, as in tests, and gets a local one."""
     at = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not at:
+        if spark.sparkContext.master.split("[")[0] != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         at = tempfile.mkdtemp(prefix="strandline-")
         spark.conf.set("spark.checkpoint.dir", at)
     return at.rstrip("/")
