@@ -86,7 +86,7 @@ def harmonize(df: DataFrame, item: str, value: str, unit: str, rules: DataFrame)
     """Adds harmonized: struct(value, unit, converted, plausible). ``rules`` (item, unit, factor, shift, to_unit, low, high) is a dictionary of at most thousands of rows;
     a pair without a rule passes through, not converted, plausibility unknown."""
     r = rules.select(F.col("item").alias(item), F.col("unit").alias(unit), "factor", "shift", "to_unit", "low", "high")
-    got = df.join(F.broadcast(r), [item, unit], "left")
+    got = df.join(r, [item, unit], "left")
     new = F.when(F.col("factor").isNotNull(), F.col(value) * F.col("factor") + F.col("shift")).otherwise(F.col(value))
     out = F.struct(new.alias("value"), F.coalesce("to_unit", unit).alias("unit"), F.col("factor").isNotNull().alias("converted"), new.between(F.col("low"), F.col("high")).alias("plausible"))
     return got.withColumn("harmonized", out).drop("factor", "shift", "to_unit", "low", "high")

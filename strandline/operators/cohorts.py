@@ -103,3 +103,26 @@ def materialize_cohort(cohort: DataFrame, spec: CohortSpec, path: str, force: bo
         raise ValueError(f"{spec.name} version {spec.version} exists with another definition")
     cohort.repartitionByRange(spec.grain).sortWithinPartitions(spec.grain).write.mode("overwrite").parquet(f"{path}/rows")
     spark.createDataFrame([(spec.name, spec.version, spec.hash())], "name string, version int, hash string").coalesce(1).write.mode("overwrite").json(f"{path}/manifest")
+
+
+def demographic(low: float | None = None, high: float | None = None, age: str = "age", levels: dict[str, tuple[str, ...]] | None = None) -> Column:
+    """Age in [low, high) and each named column among its allowed levels."""
+    out = ranges_to_filter({age: (low, high)})
+    for c, allowed in (levels or {}).items():
+        out = out & F.col(c).isin(*allowed)
+    return out
+
+
+def data_available(base: DataFrame, grain: str, subject: str, start: str, rows: DataFrame, time: str, item: str, items: list[str], hours: float, least: int = 1) -> DataFrame:
+    """Grains with at least ``least`` rows of every named item within the hours from their start."""
+    from strandline.operators.joins import window_join
+
+    r = rows.where(F.col(item).isin(*items)).select(F.col(subject), F.col(time).alias("_rt"), F.col(item).alias("_item"))
+    hit = window_join(base.select(grain, subject, F.col(start).alias("_st")), r, [subject], "_st", "_rt", 0, hours)
+    per = hit.groupBy(grain, "_item").agg(F.count("*").alias("_n")).where(F.col("_n") >= least)
+    return per.groupBy(grain).agg(F.count("*").alias("_k")).where(F.col("_k") == len(items)).select(grain)
+
+
+def prior_admissions(subject: str, start: str, tiebreak: str) -> Column:
+    """Number of the subject's earlier encounters."""
+    return F.row_number().over(Window.partitionBy(subject).orderBy(start, tiebreak)) - 1

@@ -70,7 +70,7 @@ def scan_output(df: DataFrame, low: int, high: int, identifiers: tuple[str, ...]
 
 
 def safe_aggregate(df: DataFrame, keys: list[str], aggs: dict[str, tuple[str, str]], identifiers: tuple[str, ...], k: int = K, most_rows: int = 1000) -> DataFrame:
-    """Aggregates by ``keys`` with the mandatory count n; small rows left out, ``most_rows`` rows at most. Identifiers may only be counted, and can't be keys."""
+    """Aggregates by ``keys`` with the mandatory count n; small rows left out; over ``most_rows`` rows raise. Identifiers may only be counted, and can't be keys."""
     known = {"count": F.count, "count_distinct": F.countDistinct, "mean": F.avg, "sum": F.sum, "min": F.min, "max": F.max}
     for name, (f, c) in aggs.items():
         if f not in known or c not in df.columns:
@@ -80,7 +80,10 @@ def safe_aggregate(df: DataFrame, keys: list[str], aggs: dict[str, tuple[str, st
     if bad := [c for c in keys if c in identifiers or c not in df.columns]:
         raise ValueError(f"keys {bad} are not allowed")
     out = df.groupBy(*keys).agg(F.count("*").alias("n"), *[known[f](c).alias(name) for name, (f, c) in aggs.items()])
-    return out.where(F.col("n") >= k).orderBy(*keys).limit(most_rows)
+    found = persisted(out.where(F.col("n") >= k), "safe-aggregate")
+    if found.limit(most_rows + 1).count() > most_rows:
+        raise ValueError(f"over {most_rows} rows: use fewer or coarser keys")
+    return found.orderBy(*keys)
 
 
 def filter_vocabulary(docs: DataFrame, doc: str, subject: str, text: str, least_docs: int = K, least_subjects: int = K) -> DataFrame:

@@ -4,16 +4,21 @@ from __future__ import annotations
 
 from functools import reduce
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from strandline.functions import distributions as dist
 from strandline.operators.phenotypes import Z95
+from strandline.sources.tables import persisted
 
+BOUNDS = T.StructType([T.StructField("low", T.DoubleType()), T.StructField("high", T.DoubleType())])
 STATS = {"count": F.count, "count_distinct": F.countDistinct, "mean": F.avg, "sum": F.sum, "min": F.min, "max": F.max}
 
 
 def aggregate(df: DataFrame, groups: list[str | tuple[str, float]], stats: dict[str, tuple], filters: list[tuple] = (), cap: int = 10_000) -> DataFrame:
-    """A validated request. groups: columns or (column, bin width); stats: name to (statistic, column) or ('quantile', column, q); filters: (column, 'in'|'range'|'eq'|'null', value)."""
+    """A validated request. groups: columns or (column, bin width); stats: name to (statistic, column) or ('quantile', column, q); filters: (column, 'in'|'range'|'eq'|'null', value). More than ``cap`` groups raise: none is left out."""
     for _, c, *_x in [(n, *s[1:]) for n, s in stats.items()] + [(None, f[0]) for f in filters]:
         if c not in df.columns:
             raise ValueError(f"no column {c}")
@@ -23,7 +28,10 @@ def aggregate(df: DataFrame, groups: list[str | tuple[str, float]], stats: dict[
         df = df.where(test)
     keys = [F.col(g) if isinstance(g, str) else (F.floor(F.col(g[0]) / g[1]) * g[1]).alias(f"{g[0]}_bin") for g in groups]
     out = [F.percentile(s[1], s[2]).alias(n) if s[0] == "quantile" else STATS[s[0]](s[1]).alias(n) for n, s in stats.items()]
-    return df.groupBy(*keys).agg(*out).limit(cap)
+    found = persisted(df.groupBy(*keys).agg(*out), "aggregate")
+    if found.limit(cap + 1).count() > cap:
+        raise ValueError(f"over {cap} groups: filter, or use wider bins")
+    return found
 
 
 def histogram2d(df: DataFrame, x: str, y: str, dx: float, dy: float) -> DataFrame:
@@ -161,3 +169,21 @@ def distinct_levels(df: DataFrame, col: str, cap: int = 50) -> DataFrame:
 
 def top_per_group(df: DataFrame, by: str, order: list[Column], k: int) -> DataFrame:
     return df.withColumn("rank", F.row_number().over(Window.partitionBy(by).orderBy(*order))).where(F.col("rank") <= k)
+
+
+def missing_profile(df: DataFrame, cols: list[str]) -> DataFrame:
+    """column, n, missing, share, n_distinct of each column, from one aggregate; distinct values by count_distinct."""
+    aggs = [F.struct(F.lit(c).alias("column"), F.count(F.lit(1)).alias("n"), F.count_if(F.col(c).isNull()).alias("missing"), F.try_divide(F.count_if(F.col(c).isNull()), F.count(F.lit(1))).alias("share"), F.countDistinct(c).alias("n_distinct")).alias(f"c{k}") for k, c in enumerate(cols)]
+    return df.agg(*aggs).select(F.explode(F.array(*[f"c{k}" for k in range(len(cols))])).alias("x")).select("x.*")
+
+
+@F.pandas_udf(BOUNDS)
+def ci_exact(x: pd.Series, n: pd.Series) -> pd.DataFrame:
+    """Clopper-Pearson bounds of a proportion; for rows of an aggregate."""
+    return pd.DataFrame([dist.binomial_exact(int(a), int(b)) for a, b in zip(x, n, strict=True)], columns=["low", "high"])
+
+
+@F.pandas_udf(BOUNDS)
+def ci_exact_count(x: pd.Series) -> pd.DataFrame:
+    """Exact Poisson bounds of a count; for rows of an aggregate."""
+    return pd.DataFrame([dist.poisson_exact(int(a)) for a in x], columns=["low", "high"])

@@ -250,9 +250,9 @@ def slice_finder(df: DataFrame, dims: list[str], error: Column, least: int = 11)
 def binomial_cells(df: DataFrame, keys: list[str], event: Column) -> DataFrame:
     """keys, n, events, rate, shrunken: each cell's rate drawn to the overall one by a beta prior whose moments come from the cells."""
     c = df.groupBy(*keys).agg(F.count("*").alias("n"), F.count_if(event).alias("events")).withColumn("rate", F.col("events") / F.col("n"))
-    w = Window.partitionBy()
-    m = F.sum("events").over(w) / F.sum("n").over(w)
-    d = c.withColumn("_m", m).withColumn("_v", F.greatest(F.var_samp("rate").over(w) - F.avg(F.col("_m") * (1 - F.col("_m")) / F.col("n")).over(w), F.lit(1e-9)))
+    m = F.sum("events") / F.sum("n")
+    moments = c.agg(m.alias("_m"), F.greatest(F.var_samp("rate") - m * (1 - m) * F.avg(1 / F.col("n")), F.lit(1e-9)).alias("_v"))
+    d = c.crossJoin(F.broadcast(moments))  # one row
     k = F.greatest(F.col("_m") * (1 - F.col("_m")) / F.col("_v") - 1, F.lit(0.0))
     return d.withColumn("shrunken", (F.col("events") + F.col("_m") * k) / (F.col("n") + k)).drop("_m", "_v")
 
@@ -270,3 +270,20 @@ def temporal_holdout(df: DataFrame, era: Column, dev: int, holdout: int) -> Data
     """part, n: rows of the development eras (up to ``dev``), of the holdout era, and sealed ones, which are counted and never read further."""
     part = F.when(era <= dev, "dev").when(era <= holdout, "holdout").otherwise("sealed")
     return df.groupBy(part.alias("part")).agg(F.count("*").alias("n"))
+
+
+def duplicate_rows(df: DataFrame, xs: list[str], split: str) -> DataFrame:
+    """One row: rows, rows that repeat another's features, and rows whose features occur in more than one split. Rows meet by a hash of their features."""
+    g = df.groupBy(F.xxhash64(*xs).alias("h"), F.sha2(F.to_json(F.struct(*xs)), 256).alias("h2")).agg(F.count("*").alias("n"), F.countDistinct(split).alias("k"))
+    return g.agg(F.sum("n").alias("n_rows"), F.sum(F.col("n") - 1).alias("repeated"), F.sum(F.when(F.col("k") > 1, F.col("n")).otherwise(0)).alias("across_splits"))
+
+
+def suspicious_names(df: DataFrame, words: list[str]) -> DataFrame:
+    """column, word: column names that hold a word of the outcome or of what comes after it."""
+    hits = [(c, w) for c in df.columns for w in words if w.lower() in c.lower()]
+    return df.sparkSession.createDataFrame(hits, "column string, word string")
+
+
+def prevalence_by_era(df: DataFrame, era: Column, label: Column, xs: list[str]) -> DataFrame:
+    """era, n, prevalence, mean and missing share of each feature."""
+    return df.groupBy(era.alias("era")).agg(F.count("*").alias("n"), F.avg(label.cast("double")).alias("prevalence"), *[f for x in xs for f in (F.avg(x).alias(f"mean_{x}"), F.avg(F.col(x).isNull().cast("double")).alias(f"missing_{x}"))])

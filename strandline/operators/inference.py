@@ -35,8 +35,14 @@ def rank_table(df: DataFrame, col: str, by: Column | None = None) -> DataFrame:
 
 
 def avg_ranks(df: DataFrame, col: str) -> DataFrame:
-    """``df`` with avg_rank: the rank of ``col`` among all rows, ties sharing their mean."""
-    return df.join(rank_table(df, col).select(F.col("value").alias(col), "avg_rank"), col, "left")
+    """``df`` with avg_rank: the rank of ``col`` among all rows, ties sharing their mean. Values that over 1/1000 of the rows tie on (1000 values at most) meet a broadcast, so no tie fills a task."""
+    table = persisted(rank_table(df, col), "ranks")
+    total = table.agg(F.sum("n")).first()[0] or 0
+    hot = F.col("n") * 1000 > total
+    known = lambda t, name: t.select(F.col("value").alias(col), F.col("avg_rank").alias(name))
+    met = df.join(F.broadcast(known(table.where(hot), "_hot")), col, "left")
+    cold = met.where("_hot is null").drop("_hot").join(known(table.where(~hot), "avg_rank"), col, "left")
+    return met.where("_hot is not null").withColumnRenamed("_hot", "avg_rank").unionByName(cold)
 
 
 def mann_whitney(df: DataFrame, col: str, group: Column) -> DataFrame:
@@ -103,8 +109,8 @@ def compare_props(df: DataFrame, event: Column, group: Column) -> DataFrame:
 def chi_square(df: DataFrame, row: str, col: str) -> DataFrame:
     """chi2, df, n, cramer_v of the contingency table of two columns."""
     n = df.groupBy(row, col).agg(F.count("*").alias("n"))
-    r, k, a = Window.partitionBy(row), Window.partitionBy(col), Window.partitionBy()
-    e = n.withColumn("_e", F.sum("n").over(r) * F.sum("n").over(k) / F.sum("n").over(a))
+    r, k = Window.partitionBy(row), Window.partitionBy(col)
+    e = n.crossJoin(n.agg(F.sum("n").alias("_all"))).withColumn("_e", F.sum("n").over(r) * F.sum("n").over(k) / F.col("_all"))  # one row
     # cells that don't occur add their expected counts: sum(o^2 / e) - n covers them
     s = e.agg((F.sum(F.col("n") * F.col("n") / F.col("_e")) - F.sum("n")).alias("chi2"), F.countDistinct(row).alias("_r"), F.countDistinct(col).alias("_c"), F.sum("n").alias("n"))
     return s.select("chi2", ((F.col("_r") - 1) * (F.col("_c") - 1)).alias("df"), "n", F.sqrt(F.try_divide(F.col("chi2"), F.col("n") * F.least(F.col("_r") - 1, F.col("_c") - 1))).alias("cramer_v"))
@@ -163,12 +169,19 @@ def cluster_bootstrap(df: DataFrame, cluster: str, total: Column, count: Column,
 
 
 def permutation_test(df: DataFrame, cluster: str, col: str, group: Column, replicates: int = 200, seed: int = 1) -> DataFrame:
-    """diff of means and p (+1 rule) when the group labels of clusters are shuffled by hashes; a cluster has the label of the majority of its rows."""
+    """diff of means and p (+1 rule) when the group labels of clusters are shuffled by hashes; a cluster has the label of the majority of its rows.
+
+    Clusters are ranked within slices of their hash, whose counts give the offsets: a replicate isn't one task.
+    """
     c = persisted(df.groupBy(cluster).agg(F.sum(col).alias("_x"), F.count(col).alias("_n"), (F.avg(group.cast("double")) >= 0.5).alias("_g")), "clusters")
     k = c.where("_g").count()
     reps = c.withColumn("rep", F.explode(F.sequence(F.lit(0), F.lit(replicates))))
-    order = Window.partitionBy("rep").orderBy(F.xxhash64(F.lit(seed), "rep", cluster), cluster)
-    label = F.when(F.col("rep") == 0, F.col("_g")).otherwise(F.row_number().over(order) <= k)
+    reps = persisted(reps.withColumn("_h", F.xxhash64(F.lit(seed), "rep", cluster)).withColumn("_slice", F.shiftright("_h", 54)), "replicates")
+    before = Window.partitionBy("rep").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = reps.groupBy("rep", "_slice").agg(F.count("*").alias("_m"))  # 1024 slices a replicate
+    reps = reps.join(sizes.select("rep", "_slice", F.coalesce(F.sum("_m").over(before), F.lit(0)).alias("_o")), ["rep", "_slice"])
+    order = Window.partitionBy("rep", "_slice").orderBy("_h", cluster)
+    label = F.when(F.col("rep") == 0, F.col("_g")).otherwise(F.row_number().over(order) + F.col("_o") <= k)
     m = lambda g: F.sum(F.when(g, F.col("_x"))) / F.sum(F.when(g, F.col("_n")))
     s = reps.withColumn("_l", label).groupBy("rep").agg((m(F.col("_l")) - m(~F.col("_l"))).alias("d"))
     seen = F.max(F.when(F.col("rep") == 0, F.col("d"))).over(Window.partitionBy())

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -67,6 +69,69 @@ def kmeans(df: DataFrame, vector: str, k: int, seed: int = 1) -> DataFrame:
     return KMeans(k=k, seed=seed, featuresCol="_f", predictionCol="cluster").fit(d).transform(d).drop("_f")
 
 
+def _arrays(df: DataFrame, vector: str) -> DataFrame:
+    from pyspark.ml.functions import array_to_vector
+
+    return df.withColumn("_f", array_to_vector(F.col(vector).cast("array<double>")))
+
+
+def bisecting(df: DataFrame, vector: str, k: int, seed: int = 1) -> DataFrame:
+    """``df`` with cluster, by splitting clusters in two."""
+    from pyspark.ml.clustering import BisectingKMeans
+
+    d = _arrays(df, vector)
+    return BisectingKMeans(k=k, seed=seed, featuresCol="_f", predictionCol="cluster").fit(d).transform(d).drop("_f")
+
+
+def mixture(df: DataFrame, vector: str, k: int, seed: int = 1) -> DataFrame:
+    """``df`` with cluster and probability, by a mixture of normal distributions."""
+    from pyspark.ml.clustering import GaussianMixture
+    from pyspark.ml.functions import vector_to_array
+
+    d = _arrays(df, vector)
+    m = GaussianMixture(k=k, seed=seed, featuresCol="_f", predictionCol="cluster", probabilityCol="_p").fit(d)
+    return m.transform(d).withColumn("probability", F.array_max(vector_to_array("_p"))).drop("_f", "_p")
+
+
+def silhouette(df: DataFrame, vector: str, cluster: str) -> DataFrame:
+    """One row: the mean silhouette by squared distance, which needs sums by cluster and no pairs; a cluster of one row gives 0."""
+    d = df.select(F.col(cluster).alias("c"), F.col(vector).cast("array<double>").alias("v")).withColumn("q", F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x))
+    parts = d.select("c", "q", F.posexplode("v").alias("i", "x")).groupBy("c", "i").agg(F.sum("x").alias("x"))
+    sums = parts.groupBy("c").agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "x"))), lambda e: e["x"]).alias("s"))
+    known = d.groupBy("c").agg(F.count("*").alias("n"), F.sum("q").alias("sq")).join(sums, "c")  # a row a cluster
+    other = F.broadcast(known.groupBy().agg(F.collect_list(F.struct("c", "n", "sq", "s")).alias("k")))  # one row of all clusters
+    dot = lambda a, b: F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
+    total = lambda k: k["n"] * F.col("q") + k["sq"] - 2 * dot(F.col("v"), k["s"])
+    m = d.crossJoin(other)
+    own = F.filter("k", lambda k: k["c"] == F.col("c"))[0]
+    a = F.try_divide(total(own), own["n"] - 1)
+    b = F.array_min(F.transform(F.filter("k", lambda k: k["c"] != F.col("c")), lambda k: total(k) / k["n"]))
+    return m.agg(F.avg(F.coalesce(F.when(own["n"] > 1, F.try_divide(b - a, F.greatest(a, b))), F.lit(0.0))).alias("silhouette"))
+
+
+def svd(df: DataFrame, vector: str, k: int) -> DataFrame:
+    """component, singular, direction: the k largest singular values of the rows and their right vectors. Tasks hand on sums of products of columns; the square of the width reaches the driver."""
+    rows = df.select(F.col(vector).cast("array<double>").alias("v")).where("v is not null")
+
+    def products(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = None
+        for b in batches:
+            if b.num_rows:
+                x = b.column(0).flatten().to_numpy(zero_copy_only=False).reshape(b.num_rows, -1)
+                total = x.T @ x if total is None else total + x.T @ x
+        if total is not None:
+            i, j = np.indices(total.shape)
+            yield pa.RecordBatch.from_arrays([pa.array(i.ravel()), pa.array(j.ravel()), pa.array(total.ravel())], names=["i", "j", "v"])
+
+    got = rows.mapInArrow(products, "i long, j long, v double").groupBy("i", "j").agg(F.sum("v").alias("v")).toArrow()
+    n = int(np.sqrt(got.num_rows))
+    gram = np.zeros((n, n))
+    gram[got.column("i").to_numpy(), got.column("j").to_numpy()] = got.column("v").to_numpy()
+    values, vectors = np.linalg.eigh(gram)
+    out = [(c, float(np.sqrt(max(values[-1 - c], 0.0))), [float(x) for x in vectors[:, -1 - c]]) for c in range(min(k, n))]
+    return df.sparkSession.createDataFrame(out, "component int, singular double, direction array<double>")
+
+
 def pca(df: DataFrame, vector: str, k: int) -> DataFrame:
     """component, explained, loadings."""
     from pyspark.ml.feature import PCA
@@ -201,6 +266,20 @@ def ablation_grid(train: DataFrame, test: DataFrame, groups: dict[str, list[str]
     return test.sparkSession.createDataFrame(rows, "group string, auroc double")
 
 
+def embedding_search(base: DataFrame, queries: DataFrame, unit: str, vector: str, k: int) -> DataFrame:
+    """query, rank, unit, similarity: of every query the k other units with the highest cosine, ties to smaller units."""
+    from strandline.operators.features import nearest
+
+    return nearest(base, queries, unit, vector, F.lit(0), k).select("query", F.row_number().over(Window.partitionBy("query").orderBy(F.desc("_s"), "_u")).alias("rank"), F.col("_u").alias(unit), F.col("_s").alias("similarity"))
+
+
+def era_classifier(df: DataFrame, xs: list[str], later: Column, subject: str, seed: str = "era") -> DataFrame:
+    """n, auroc of telling later from earlier rows by their features, on a hashed half of the subjects that didn't train it; near 0.5 where nothing has drifted."""
+    d = persisted(df.withColumn("_later", later.cast("int")), "eras")
+    half = md5_unit(F.col(subject), seed) < 0.5
+    return auroc(fit_baseline(d.where(half), d.where(~half), xs, "_later"), "p", F.col("_later").cast("boolean")).select("n", "auroc")
+
+
 def neighbour_agreement(base: DataFrame, queries: DataFrame, unit: str, vector: str, label: str, k: int) -> DataFrame:
     """share, expected, lift: how often a query's k nearest by cosine carry its label, against the label's overall share. All rows of ``queries`` count."""
     from strandline.operators.features import nearest

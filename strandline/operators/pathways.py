@@ -175,3 +175,27 @@ def change_point(df: DataFrame, by: str, order: list[str], value: str, least: in
     gain = F.col("_s") ** 2 / F.col("_n") + (F.col("_all_s") - F.col("_s")) ** 2 / (F.col("_all_n") - F.col("_n")) - F.col("_all_s") ** 2 / F.col("_all_n")
     best = F.max_by(F.struct("_n", "_g"), F.struct(F.round("_g", 6), -F.col("_n")))
     return d.withColumn("_g", gain).groupBy(by).agg(best.alias("b")).select(by, F.col("b._n").alias("at"), F.col("b._g").alias("gain"))
+
+
+def rolling_median(by: list[str], order: list[str], value: str, n: int) -> Column:
+    """Median of the known values among the row and the n - 1 before it."""
+    x = F.array_sort(F.collect_list(value).over(Window.partitionBy(*by).orderBy(*order).rowsBetween(1 - n, 0)))
+    m = F.size(x)
+    return F.when(m > 0, (F.element_at(x, F.greatest(F.floor((m + 1) / 2).cast("int"), F.lit(1))) + F.element_at(x, F.greatest(F.floor(m / 2).cast("int") + 1, F.lit(1)))) / 2)
+
+
+def rolling_origin_units(filled: DataFrame, by: str, at: str, value: str, first: int, every: int, horizon: int, season: int) -> DataFrame:
+    """model (naive, seasonal, mean, drift), units, median mae and median mase over units: errors of a unit's forecasts, scaled by the mean step of its series. seasonal: the value a whole number of seasons before the target."""
+    w = Window.partitionBy(by).orderBy(at)
+    past = w.rowsBetween(Window.unboundedPreceding, 0)
+    v = F.col(value)
+    o = filled.withColumn("_mean", F.avg(v).over(past)).withColumn("_first", F.first(v).over(past)).withColumn("_t0", F.first(at).over(past))
+    o = o.where((F.col(at) >= first) & ((F.col(at) - first) % every == 0)).select(by, F.col(at).alias("_o"), v.alias("_last"), "_mean", F.try_divide(v - F.col("_first"), F.col(at) - F.col("_t0")).alias("_slope"), F.explode(F.sequence(F.lit(1), F.lit(horizon))).alias("_h"))
+    o = o.withColumn("_s", F.col("_o") + F.col("_h") - season * F.ceil(F.col("_h") / season))
+    j = o.withColumn(at, F.col("_o") + F.col("_h")).join(filled.select(by, at, v.alias("_y")), [by, at]).join(filled.select(by, F.col(at).alias("_s"), v.alias("_season")), [by, "_s"], "left")
+    f = {"naive": F.col("_last"), "seasonal": F.col("_season"), "mean": F.col("_mean"), "drift": F.col("_last") + F.col("_slope") * F.col("_h")}
+    e = j.select(by, "_y", F.explode(F.array(*[F.struct(F.lit(k).alias("model"), x.alias("f")) for k, x in f.items()])).alias("m")).where("m.f is not null")
+    per = e.groupBy(by, "m.model").agg(F.avg(F.abs(F.col("_y") - F.col("m.f"))).alias("mae"))
+    scale = filled.withColumn("_d", F.abs(v - F.lag(v).over(w))).groupBy(by).agg(F.avg("_d").alias("_scale"))
+    s = per.join(scale, by).withColumn("mase", F.try_divide("mae", "_scale"))
+    return s.groupBy("model").agg(F.count("*").alias("units"), F.percentile("mae", 0.5).alias("mae"), F.percentile("mase", 0.5).alias("mase"))

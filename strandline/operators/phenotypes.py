@@ -159,3 +159,58 @@ def compare_versions(a: DataFrame, b: DataFrame, grain: str, population: DataFra
     s = j.groupBy(stratum).agg(F.count("*").alias("n"), F.count_if(x & y).alias("both"), F.count_if(x & ~y).alias("only_a"), F.count_if(~x & y).alias("only_b"))
     lo, hi = wilson(F.col("both") + F.col("only_a"), F.col("n"))
     return s.withColumn("share_a", (F.col("both") + F.col("only_a")) / F.col("n")).withColumn("low_a", lo).withColumn("high_a", hi)
+
+
+def banded(x: Column, cuts: list[float], points: list[int]) -> Column:
+    """Points of the half-open band [cut, next cut) that x lies in; points[0] below the first cut. An unknown x gives 0."""
+    out = F.lit(points[0])
+    for c, n in zip(cuts, points[1:], strict=True):
+        out = F.when(x >= c, n).otherwise(out)
+    return F.when(x.isNull(), 0).otherwise(out)
+
+
+#: The published organ-failure bands, as (cuts, points) of each organ's laboratory measure.
+ORGANS = {
+    "pao2_fio2": ([100, 200, 300, 400], [4, 3, 2, 1, 0]),
+    "platelets": ([20, 50, 100, 150], [4, 3, 2, 1, 0]),
+    "bilirubin": ([1.2, 2.0, 6.0, 12.0], [0, 1, 2, 3, 4]),
+    "gcs": ([6, 10, 13, 15], [4, 3, 2, 1, 0]),
+    "creatinine": ([1.2, 2.0, 3.5, 5.0], [0, 1, 2, 3, 4]),
+}
+
+
+def organ_points(pao2_fio2: Column, ventilated: Column, platelets: Column, bilirubin: Column, pressure: Column, dopamine: Column, epinephrine: Column, norepinephrine: Column, gcs: Column, creatinine: Column, urine_day: Column) -> dict[str, Column]:
+    """The six organ scores, 0 to 4 each: respiration (3 and 4 only if ventilated), coagulation, liver, circulation (mean pressure under 70, or vasopressor rates), nervous system, kidneys (creatinine or urine a day)."""
+    breath = banded(pao2_fio2, *ORGANS["pao2_fio2"])
+    rate = lambda c: F.coalesce(c, F.lit(0.0))
+    other = F.greatest(rate(epinephrine), rate(norepinephrine))
+    flow = F.when((rate(dopamine) > 15) | (other > 0.1), 4).when((rate(dopamine) > 5) | (other > 0), 3).when(rate(dopamine) > 0, 2).when(pressure < 70, 1).otherwise(0)
+    urine = F.when(urine_day < 200, 4).when(urine_day < 500, 3).otherwise(0)
+    return {
+        "respiration": F.when(~F.coalesce(ventilated, F.lit(False)), F.least(breath, F.lit(2))).otherwise(breath), "coagulation": banded(platelets, *ORGANS["platelets"]), "liver": banded(bilirubin, *ORGANS["bilirubin"]),
+        "circulation": flow, "nervous": banded(gcs, *ORGANS["gcs"]), "kidneys": F.greatest(banded(creatinine, *ORGANS["creatinine"]), urine),
+    }
+
+
+#: The published acute-physiology bands, as (cuts, points). The acid-base, oxygenation and nervous-system matrices aren't among them.
+PHYSIOLOGY = {
+    "heart_rate": ([40, 50, 100, 110, 120, 140, 155], [8, 5, 0, 1, 5, 7, 13, 17]),
+    "pressure": ([40, 60, 70, 80, 100, 120, 130, 140], [23, 15, 7, 6, 0, 4, 7, 9, 10]),
+    "temperature": ([33, 33.5, 34, 35, 36, 40], [20, 16, 13, 8, 2, 0, 4]),
+    "resp_rate": ([6, 12, 14, 25, 35, 40, 50], [17, 8, 7, 0, 6, 9, 11, 18]),
+    "hematocrit": ([41, 50], [3, 0, 3]),
+    "wbc": ([1, 3, 20, 25], [19, 5, 0, 1, 5]),
+    "creatinine": ([0.5, 1.5, 1.95], [3, 0, 4, 7]),
+    "urine_day": ([400, 600, 900, 1500, 2000, 4000], [15, 8, 7, 5, 4, 0, 1]),
+    "bun": ([17, 20, 40, 80], [0, 2, 7, 11, 12]),
+    "sodium": ([120, 135, 155], [3, 2, 0, 4]),
+    "albumin": ([2, 2.5, 4.5], [11, 6, 0, 4]),
+    "bilirubin": ([2, 3, 5, 8], [0, 5, 6, 8, 16]),
+    "glucose": ([40, 60, 200, 350], [8, 9, 0, 3, 5]),
+}
+
+
+def physiology_points(values: dict[str, Column]) -> Column:
+    """Sum of the banded points of the named measures; one that isn't known gives none."""
+    terms = [banded(x, *PHYSIOLOGY[name]) for name, x in values.items()]
+    return sum(terms[1:], terms[0])

@@ -142,3 +142,24 @@ def schoenfeld_test(df: DataFrame, time: str, event: Column, fit: DataFrame) ->
     one = res.agg(F.count("*").alias("n"), *[F.corr(f"r{i}", "t").alias(f"c{i}") for i in range(len(names))])
     rows = [F.struct(F.lit(c).alias("covariate"), F.col("n"), F.col(f"c{i}").alias("r"), (F.atanh(F.col(f"c{i}")) * F.sqrt(F.greatest(F.col("n") - 3, F.lit(0)))).alias("z")) for i, c in enumerate(names)]
     return one.select(F.explode(F.array(*rows)).alias("x")).select("x.*")
+
+
+def stabilized_ipcw(df: DataFrame, unit: str, time: str, event: Column, group: str, most: float = 20.0) -> DataFrame:
+    """unit, group, weight: for rows with the event the overall over the group's probability of being uncensored just before it, at most ``most``; 0 for censored rows.
+
+    Curves are over distinct times; ``causal.ess`` of the weights tells how many rows they are worth.
+    """
+    d = df.select(unit, F.col(time).alias("time"), event.alias("_e"), F.col(group).alias("group"))
+
+    def curve(t: DataFrame, name: str, keys: list[str]) -> DataFrame:
+        gone, left = F.col("_c"), F.col("at_risk")
+        step = F.when(left > gone, -F.log(F.when(left > gone, 1 - gone / left).otherwise(F.lit(1.0)))).otherwise(F.lit(700.0))
+        if not keys:
+            return prefix_sums(t.select("time", step.alias("_l")), "time", ["_l"]).select("time", (F.col("cum__l") - F.col("_l")).alias(name))
+        before = Window.partitionBy(*keys).orderBy("time").rowsBetween(Window.unboundedPreceding, -1)
+        return t.select(*keys, "time", F.coalesce(F.sum(step).over(before), F.lit(0.0)).alias(name))
+
+    codes = {"_c": ~F.col("_e")}
+    every, own = curve(risk_table(d, "time", codes), "_k0", []), curve(risk_table(d, "time", codes, "group"), "_k1", ["group"])
+    w = F.when(F.col("_e"), F.least(F.exp(F.col("_k1") - F.col("_k0")), F.lit(most))).otherwise(0.0)
+    return d.join(every, "time").join(own, ["group", "time"]).select(unit, "group", w.alias("weight"))

@@ -72,7 +72,7 @@ def class_terms(df: DataFrame, doc: str, text: str, label: str, k: int, least: i
     total = n.groupBy("term").agg(F.sum("n").alias("_f")).where(F.col("_f") >= least)
     per = n.groupBy(label).agg(F.sum("n").alias("_w"))
     avg = per.agg(F.avg("_w").alias("_a"))
-    j = n.join(total, "term").join(F.broadcast(per), label).crossJoin(F.broadcast(avg))  # a row a class, and one row
+    j = n.join(total, "term").join(per, label).crossJoin(F.broadcast(avg))  # one row
     s = j.withColumn("weight", F.col("n") / F.col("_w") * F.log(1 + F.col("_a") / F.col("_f")))
     return s.withColumn("rank", F.row_number().over(Window.partitionBy(label).orderBy(F.desc("weight"), "term"))).where(F.col("rank") <= k).select(label, "term", "n", "weight", "rank")
 
@@ -87,3 +87,14 @@ def classify_text(train: DataFrame, test: DataFrame, text: str, label: str, feat
     stages = [RegexTokenizer(inputCol=text, outputCol="_w", pattern=r"\W+"), NGram(n=2, inputCol="_w", outputCol="_g"), SQLTransformer(statement="SELECT *, concat(_w, _g) AS _t FROM __THIS__"), HashingTF(inputCol="_t", outputCol="_h", numFeatures=features), IDF(inputCol="_h", outputCol="_x", minDocFreq=2), LogisticRegression(featuresCol="_x", labelCol="_y", maxIter=20, regParam=0.01, probabilityCol="_p", rawPredictionCol="_r", predictionCol="_d")]
     m = Pipeline(stages=stages).fit(train.withColumn("_y", F.col(label).cast("double")))
     return m.transform(test.withColumn("_y", F.col(label).cast("double"))).select(*test.columns, vector_to_array("_p")[1].alias("p"))
+
+
+def topic_clusters(df: DataFrame, doc: str, text: str, k: int, features: int = 1 << 14, seed: int = 1) -> DataFrame:
+    """doc, topic: k-means on TF-IDF of hashed words, scaled to unit length; ``class_terms`` names a topic's words."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.clustering import KMeans
+    from pyspark.ml.feature import IDF, HashingTF, Normalizer, RegexTokenizer
+
+    d = df.select(doc, F.coalesce(text, F.lit("")).alias("_text"))
+    stages = [RegexTokenizer(inputCol="_text", outputCol="_w", pattern=r"\W+"), HashingTF(inputCol="_w", outputCol="_h", numFeatures=features), IDF(inputCol="_h", outputCol="_x", minDocFreq=2), Normalizer(inputCol="_x", outputCol="_u"), KMeans(k=k, seed=seed, featuresCol="_u", predictionCol="topic", maxIter=10)]
+    return Pipeline(stages=stages).fit(d).transform(d).select(doc, "topic")

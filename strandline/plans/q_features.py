@@ -100,15 +100,13 @@ def r12(spark, sf):
     return rounded(f.pair_rules(load(spark, sf, "lineitem").join(brands, "l_partkey"), "l_orderkey", "p_brand", 150), "confidence", "lift")
 
 
-@query("r13_similar_units", """WITH q AS (SELECT vec_id AS query, embedding AS a FROM embeddings WHERE vec_id < 10), s AS (SELECT query, label, list_sum(list_transform(list_zip(a, embedding), lambda p: p[1]::DOUBLE * p[2]::DOUBLE)) / (sqrt(list_sum(list_transform(a, lambda v: v::DOUBLE * v::DOUBLE))) * sqrt(list_sum(list_transform(embedding, lambda v: v::DOUBLE * v::DOUBLE)))) AS s, vec_id FROM q JOIN embeddings ON vec_id <> query)
-SELECT query, count(*) AS n, round(avg(label), 6) AS mean, round(avg(s), 6) AS similarity FROM (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY query ORDER BY s DESC, vec_id) <= 5) GROUP BY 1""")
-def r13(spark, sf):
-    e = load(spark, sf, "embeddings")
-    return rounded(f.neighbour_profile(e, e.where("vec_id < 10"), "vec_id", "embedding", F.col("label"), 5), "mean", "similarity")
+R13 = """WITH q AS (SELECT vec_id AS query, embedding AS a FROM embeddings WHERE vec_id % 20 = 0), s AS (SELECT query, label, list_sum(list_transform(list_zip(a, embedding), lambda p: p[1]::DOUBLE * p[2]::DOUBLE)) / (sqrt(list_sum(list_transform(a, lambda v: v::DOUBLE * v::DOUBLE))) * sqrt(list_sum(list_transform(embedding, lambda v: v::DOUBLE * v::DOUBLE)))) AS s, vec_id FROM q JOIN embeddings ON vec_id <> query)
+SELECT query, count(*) AS n, round(avg(label), 6) AS mean, round(avg(s), 6) AS similarity FROM (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY query ORDER BY s DESC, vec_id) <= 5) GROUP BY 1"""
 
 
-@query("r13b_similar_units_all")
-def r13b(spark, sf):
+@query("r13_similar_units", R13)
+@query("r13b_similar_units_all", R13)
+def r13(spark, sf):
     e = load(spark, sf, "embeddings")
     return rounded(f.neighbour_profile(e, e.where("vec_id % 20 = 0"), "vec_id", "embedding", F.col("label"), 5), "mean", "similarity")
 

@@ -69,13 +69,12 @@ def _in_encounters(spark, sf, lines):
     return j.interval_join(pts, encounters(spark, sf), ["subject"], "l_shipdate", "start", "stop", "hadm").select("l_orderkey", "l_linenumber", "l_shipdate", "hadm")
 
 
-@query("e6_interval_join", f"WITH {ENC}, r AS (SELECT l_orderkey, l_linenumber, l_shipdate, o_custkey FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_orderkey % 10 = 0) SELECT DISTINCT l_orderkey, l_linenumber, l_shipdate, (SELECT hadm FROM enc WHERE subject = o_custkey AND l_shipdate >= start AND l_shipdate < stop ORDER BY start, stop, hadm LIMIT 1) AS hadm FROM r")
-def e6(spark, sf):
-    return _in_encounters(spark, sf, load(spark, sf, "lineitem").where("l_orderkey % 10 = 0"))
+IN_ENC = f"WITH {ENC}, r AS (SELECT l_orderkey, l_linenumber, l_shipdate, o_custkey FROM lineitem JOIN orders ON l_orderkey = o_orderkey) SELECT DISTINCT l_orderkey, l_linenumber, l_shipdate, (SELECT hadm FROM enc WHERE subject = o_custkey AND l_shipdate >= start AND l_shipdate < stop ORDER BY start, stop, hadm LIMIT 1) AS hadm FROM r"
 
 
-@query("e6b_interval_join_all")
-def e6b(spark, sf):
+@query("e6_interval_join", IN_ENC)
+@query("e6b_interval_join_all", IN_ENC)
+def e6(spark, sf):
     return _in_encounters(spark, sf, load(spark, sf, "lineitem"))
 
 

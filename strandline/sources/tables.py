@@ -38,9 +38,11 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def scratch(spark: SparkSession, what: str) -> str:
-    """A fresh path in the folder that driver and executors share; a local one only where the session names none."""
+    """A fresh path in the folder that driver and executors share; a session in one process may name none, as in tests, and gets a local one."""
     at = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not at:
+        if spark.sparkContext.master.split("[")[0] != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         at = tempfile.mkdtemp(prefix="strandline-")
         spark.conf.set("spark.checkpoint.dir", at)
     return f"{at.rstrip('/')}/{what}-{uuid.uuid4().hex}"
@@ -91,12 +93,28 @@ def apply_column_map(df: DataFrame, cmap: ColumnMap, spec: TableSpec) -> DataFra
     return df.select([df[source_of[f.name]].cast(f.dataType).alias(f.name) if f.name in source_of else F.lit(None).cast(f.dataType).alias(f.name) for f in spec.schema.fields])
 
 
-def split_rejects(raw: DataFrame, spec: TableSpec) -> tuple[DataFrame, DataFrame]:
-    """(typed rows, rejects): a row is rejected if any text column doesn't cast to its declared type; rejects keep the raw values and name the columns at fault."""
+def split_rejects(raw: DataFrame, spec: TableSpec, max_rejects: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """(typed rows, rejects): a row is rejected if any text column doesn't cast to its declared type; rejects keep the raw values and name the columns at fault. More than ``max_rejects`` raise."""
     faults = [F.when(F.col(f.name).isNotNull() & F.col(f.name).try_cast(f.dataType).isNull(), F.lit(f.name)) for f in spec.schema.fields]
     marked = raw.withColumn("_faults", F.array_compact(F.array(*faults)))
     good = marked.where(F.size("_faults") == 0).select([F.col(f.name).try_cast(f.dataType).alias(f.name) for f in spec.schema.fields])
-    return good, marked.where(F.size("_faults") > 0).withColumnRenamed("_faults", "faults")
+    bad = marked.where(F.size("_faults") > 0).withColumnRenamed("_faults", "faults")
+    if max_rejects is not None and (n := bad.count()) > max_rejects:
+        raise ValueError(f"{spec.name}: {n} rows rejected, {max_rejects} allowed")
+    return good, bad
+
+
+def reject_report(bad: DataFrame) -> DataFrame:
+    """column, n: rejected rows by the columns at fault."""
+    return bad.select(F.explode("faults").alias("column")).groupBy("column").agg(F.count("*").alias("n"))
+
+
+def text_inventory(spark: SparkSession, path: str, header: str) -> DataFrame:
+    """file, bytes, n_lines, content_hash, header_ok of every text file under ``path``: the hash of its lines doesn't depend on how they are read in parts; header_ok: its first line is ``header``."""
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_name").alias("file"), F.col("_metadata.file_size").alias("bytes"), F.col("_metadata.file_block_start").alias("_at"), F.monotonically_increasing_id().alias("_n"))
+    first = F.min_by(F.when(F.col("_at") == 0, F.col("value")), F.when(F.col("_at") == 0, F.col("_n")))
+    found = lines.groupBy("file", "bytes").agg(F.count("*").alias("n_lines"), F.bit_xor(F.xxhash64("value")).alias("_x"), F.sum(F.pmod(F.xxhash64("value", F.lit(1)), F.lit(2**31))).alias("_s"), first.alias("_first"))
+    return found.select("file", "bytes", "n_lines", F.sha1(F.concat_ws("/", "n_lines", "_x", "_s").cast("binary")).alias("content_hash"), F.coalesce(F.col("_first") == header, F.lit(False)).alias("header_ok"))
 
 
 def write_bucketed(df: DataFrame, key: str, path: str, sort: tuple[str, ...] = (), buckets: int = 100) -> None:

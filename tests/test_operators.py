@@ -75,16 +75,6 @@ def test_interval_join_of_a_hot_key_is_brute_force(spark):
         assert len(got) == len(pts) and {r["p"]: r["stay"] for r in got} == want
 
 
-def test_interval_join_on_all_lines(spark, sf, duck):
-    from conftest import same
-
-    from strandline.plans import registry
-
-    registry.load_all()
-    sql = registry.oracle_sql()["e6_interval_join"]
-    same(registry.queries()["e6b_interval_join_all"](spark, sf).toPandas(), duck.sql(sql.replace(" WHERE l_orderkey % 10 = 0", "")).df())
-
-
 def test_gap_equal_to_the_threshold_does_not_break(spark):
     df = at(spark, [("k", 0.0, 1.0, 1), ("k", 3601.0, 3602.0, 2), ("k", 7203.0, 7203.0, 3)], "k string, s double, e double, i int", ["s", "e"])
     assert sorted(r["n"] for r in windows.merge_gaps(df, ["k"], "s", "e", 1, "i").collect()) == [1, 2]
