@@ -75,6 +75,8 @@ def ordinal_logit(df: DataFrame, y: str, xs: list[str], levels: int) -> DataFram
         return float(np.log(p).sum()), s.sum(axis=0), s.T @ s
 
     n = [r["count"] for r in df.groupBy(y).count().orderBy(y).collect()]  # a row a level
+    if len(n) != levels:
+        raise ValueError(f"{y} has {len(n)} levels, not {levels}")
     share = np.cumsum(n)[:-1] / sum(n)
     beta, cov, _ = newton(df, y, xs, of, np.r_[np.log(share / (1 - share)), np.zeros(len(xs))])
     names = [*(f"cut_{k}" for k in range(cuts)), *xs]

@@ -111,12 +111,16 @@ def r13(spark, sf):
     return rounded(f.neighbour_profile(e, e.where("vec_id % 20 = 0"), "vec_id", "embedding", F.col("label"), 5), "mean", "similarity")
 
 
-@query("r17_audit_leakage")
+@query("r17_audit_leakage", f"""WITH {SC}, f AS (SELECT 'p' AS feature, p AS v, y FROM sc UNION ALL SELECT 'same', y::INT, y FROM sc UNION ALL SELECT 'flat', 1, y FROM sc), r AS (SELECT *, rank() OVER (PARTITION BY feature ORDER BY v) + (count(*) OVER (PARTITION BY feature, v) - 1) / 2 AS ar FROM f),
+s AS (SELECT feature, count(*)::DOUBLE AS n, (count(*) FILTER (y))::DOUBLE AS k, sum(ar) FILTER (y) AS t, count(DISTINCT v) AS n_distinct FROM r GROUP BY 1), u AS (SELECT feature, (t - k * (k + 1) / 2) / (k * (n - k)) AS auroc, n_distinct FROM s) SELECT feature, round(auroc, 6) AS auroc, n_distinct, greatest(auroc, 1 - auroc) > 0.95 OR n_distinct <= 1 AS suspicious FROM u""")
 def r17(spark, sf):
     return rounded(f.audit_features(scored(spark, sf).withColumn("same", F.col("y").cast("int")).withColumn("flat", F.lit(1)), ["p", "same", "flat"], F.col("y")), "auroc")
 
 
-@query("r18_audit_drift")
+@query("r18_audit_drift", f"""WITH {SC}, f AS (SELECT 'o_totalprice' AS feature, o_totalprice AS v, (o_totalprice >= 100000)::INT + (o_totalprice >= 200000)::INT + (o_totalprice >= 300000)::INT AS bin, yr > 1995 AS g FROM sc UNION ALL SELECT 'p', p, (p >= 0.2)::INT + (p >= 0.5)::INT + (p >= 0.8)::INT, yr > 1995 FROM sc),
+c AS (SELECT feature, v, count(*) FILTER (g) AS a, count(*) FILTER (NOT g) AS b FROM f GROUP BY 1, 2), d AS (SELECT feature, abs(sum(a) OVER q / sum(a) OVER (PARTITION BY feature) - sum(b) OVER q / sum(b) OVER (PARTITION BY feature)) AS d FROM c WINDOW q AS (PARTITION BY feature ORDER BY v ROWS UNBOUNDED PRECEDING)),
+k AS (SELECT feature, bin, count(*) FILTER (g) AS a, count(*) FILTER (NOT g) AS b FROM f GROUP BY 1, 2), s AS (SELECT feature, greatest(a / sum(a) OVER (PARTITION BY feature), 1e-4) AS x, greatest(b / sum(b) OVER (PARTITION BY feature), 1e-4) AS y FROM k)
+SELECT s.feature, round(sum((x - y) * ln(x / y)), 6) AS psi, round((SELECT max(d) FROM d WHERE d.feature = s.feature), 6) AS ks FROM s GROUP BY s.feature""")
 def r18(spark, sf):
     return rounded(f.audit_drift(scored(spark, sf), {"o_totalprice": [100000, 200000, 300000], "p": [0.2, 0.5, 0.8]}, F.col("yr") > 1995), "psi", "ks")
 

@@ -19,7 +19,7 @@ GRADE = "CASE WHEN a / t > {1} THEN 'fail' WHEN a / t > {0} THEN 'warn' ELSE 'ok
 HALF = "(SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 THEN NULL ELSE c_acctbal END AS bal FROM customer)"
 
 
-@query("c1_check_schema")
+@query("c1_check_schema", "SELECT 'schema' AS check_id, 'orders' AS \"table\", x AS \"column\", 0::BIGINT AS n_affected, (SELECT count(*) FROM orders) AS n_total, 'ok' AS status FROM (SELECT column_name AS x FROM (DESCRIBE orders) UNION ALL SELECT '*')")
 def c1(spark, sf):
     df = load(spark, sf, "orders")
     return c.check_schema(df, TableSpec("orders", df.schema))
@@ -64,7 +64,7 @@ def c6(spark, sf):
     return c.check_pair(li, "lineitem", ["l_partkey", "l_suppkey"], li.where("l_quantity > 10"), ["l_partkey", "l_suppkey"])
 
 
-@query("c7_check_sorted")
+@query("c7_check_sorted", res("sorted", "orders", "o_orderkey", "count(*) FILTER (p > o_orderkey)", "(SELECT o_orderkey, lag(o_orderkey) OVER (ORDER BY file_row) AS p FROM (SELECT o_orderkey, row_number() OVER () AS file_row FROM orders))"))
 def c7(spark, sf):
     return c.check_sorted(load(spark, sf, "orders"), "orders", ["o_orderkey"])
 

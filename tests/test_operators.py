@@ -222,10 +222,9 @@ def test_neighbour_searches_answer_every_query(spark, sf, duck):
     from strandline.plans import registry
 
     registry.load_all()
-    for name, whole, few in (("r13_similar_units", "r13b_similar_units_all", "vec_id < 10"), ("t6_neighbour_agreement", "t6b_neighbour_agreement_all", "vec_id < 20")):
-        sql = registry.oracle_sql()[name]
-        assert few in sql
-        same(registry.queries()[whole](spark, sf).toPandas(), duck.sql(sql.replace(few, "vec_id % 20 = 0")).df())
+    for name in ("r13_similar_units", "r13b_similar_units_all", "t6_neighbour_agreement", "t6b_neighbour_agreement_all"):
+        assert "vec_id % 20 = 0" in registry.oracle_sql()[name]
+        same(registry.queries()[name](spark, sf).toPandas(), duck.sql(registry.oracle_sql()[name]).df())
     base = spark.createDataFrame([(n, [float(n % 7 + 1), float(n % 11), 1.0], n) for n in range(300)], "u long, x array<float>, y int").repartition(5)
     assert features.neighbour_profile(base, base, "u", "x", F.col("y"), 5).where("n = 5").count() == 300
     near = lambda per: {(r["query"], r["_u"], r["_s"]) for r in features.nearest(base, base, "u", "x", F.col("y"), 5, per).collect()}

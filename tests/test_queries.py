@@ -1,4 +1,4 @@
-"""Every registered query: against its SQL where it has one, else that it runs with a stable schema."""
+"""Every registered query: against its SQL where it has one, else that it gives rows."""
 
 import pytest
 from conftest import same
@@ -16,5 +16,5 @@ def test_equals_sql(name, spark, sf, duck):
 
 @pytest.mark.parametrize("name", sorted(set(registry.queries()) - set(SQL)))
 def test_runs(name, spark, sf):
-    df = registry.queries()[name](spark, sf)
-    assert df.columns and len(df.collect()) >= 0
+    """Rows are there; what they should be is in test_learned.py and test_operators.py."""
+    assert registry.queries()[name](spark, sf).toPandas().shape[0] > 0
