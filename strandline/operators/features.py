@@ -258,7 +258,9 @@ def binomial_cells(df: DataFrame, keys: list[str], event: Column) -> DataFrame:
 
 
 def build_sequences(filled: DataFrame, by: str, at: str, value: str) -> DataFrame:
-    """by, values, mask, since: arrays in order of ``at``: the value carried on (0 before the first), whether it was measured, bins since it was."""
+    """by, values, mask, since: arrays in order of ``at``: the value carried on (0 before the first), whether it was measured, bins since it was.
+
+    ``filled`` has a row a unit and bin of a fixed grid, so an array is as long as the grid, however many events a unit has."""
     w = Window.partitionBy(by).orderBy(at).rowsBetween(Window.unboundedPreceding, 0)
     last = F.last(F.when(F.col(value).isNotNull(), F.col(at)), ignorenulls=True).over(w)
     d = filled.select(by, at, F.coalesce(F.last(value, ignorenulls=True).over(w), F.lit(0.0)).alias("v"), F.col(value).isNotNull().cast("int").alias("m"), F.coalesce(F.col(at) - last, F.lit(-1)).alias("s"))

@@ -70,7 +70,7 @@ def carry(ranges: DataFrame, by: list[str], value: Column) -> DataFrame:
 
 
 def interval_join(points: DataFrame, intervals: DataFrame, by: list[str], time: str, start: str, end: str, interval_id: str) -> DataFrame:
-    """Each distinct point with the interval [start, end) of its key that holds it, the earliest (then smallest id) of several; NULLs where none does.
+    """Every row of ``points`` (repeated ones too) with the interval [start, end) of its key that holds it, the earliest (then smallest id) of several; NULLs where none does.
 
     What an interval holds alone begins where those before it have ended; these pieces don't overlap, so the last one to begin at or before a point is the only one that can hold it.
     Both steps run in ranges of key and time and carry the edge over: no pairs, and no key in one task.
@@ -85,7 +85,7 @@ def interval_join(points: DataFrame, intervals: DataFrame, by: list[str], time:
     ended = F.greatest(F.max("_e").over(own.orderBy("_s", "_e", "_i").rowsBetween(Window.unboundedPreceding, -1)), "_carried")
     pieces = carry(i, keys, F.col("_e")).withColumn("_ended", ended).where(F.col("_ended").isNull() | (F.col("_e") > F.col("_ended")))
     pieces = pieces.select(*keys, F.greatest("_s", "_ended").alias("_t"), F.lit(0).alias("_side"), F.struct("_s", "_e", "_i").alias("_hit"))
-    rows = points.distinct().select(*named, F.col(time).alias("_t"), F.lit(1).alias("_side"), F.struct(*points.columns).alias("_row"))
+    rows = points.select(*named, F.col(time).alias("_t"), F.lit(1).alias("_side"), F.struct(*points.columns).alias("_row"))
     both = dealt(pieces.unionByName(rows, allowMissingColumns=True), keys, "_t")
     begun = F.when(F.col("_side") == 0, F.struct("_t", "_hit"))
     last = F.greatest(F.max(begun).over(own.orderBy("_t", "_side").rowsBetween(Window.unboundedPreceding, 0)), "_carried")

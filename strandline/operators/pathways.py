@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strandline.functions.timesem import seconds
+from strandline.sources.tables import persisted
 
 
 def repeats_within(subject: str, time: str, days: int) -> Column:
@@ -139,10 +140,22 @@ def rolling_mean(by: list[str], order: list[str], value: str, n: int) -> Column:
 
 
 def ewma(df: DataFrame, by: str, order: list[str], value: str, alpha: float) -> DataFrame:
-    """by, n, last_ewma: the exponentially weighted mean after each series' last value; a series is folded as one array."""
-    s = df.groupBy(by).agg(F.array_sort(F.collect_list(F.struct(*order, value))).alias("_s"))
-    fold = F.aggregate("_s", F.lit(None).cast("double"), lambda acc, x: F.when(acc.isNull(), x[value]).otherwise(alpha * x[value] + (1 - alpha) * acc))
-    return s.select(by, F.size("_s").alias("n"), fold.alias("last_ewma"))
+    """by, n, last_ewma: rows, and the exponentially weighted mean after each series' last known value; NULL values are passed over.
+
+    Series are cut into ranges of key and order. A range is folded to one row: its weighted sum, and by how much it fades what came before; these rows, one a range and series, fold alike.
+    """
+    series, fade = Window.partitionBy(by), 1 - alpha
+    v = F.col(value).cast("double")
+    ranges = persisted(df.select(by, *order, v.alias("_v")).repartitionByRange(by, *order).withColumn("_part", F.spark_partition_id()), "ranges")
+    own = Window.partitionBy("_part", by).orderBy(*[F.desc(c) for c in order])
+    later = F.count("_v").over(own.rowsBetween(Window.unboundedPreceding, 0)) - 1  # known values after this one in its range
+    known = ranges.withColumn("_w", F.when(F.col("_v").isNotNull(), F.pow(F.lit(fade), later)))
+    part = known.groupBy(by, "_part").agg(F.count("*").alias("n"), F.count("_v").alias("_k"), F.coalesce(F.sum(F.col("_w") * F.col("_v")), F.lit(0.0)).alias("_s"), F.min_by("_v", F.when(F.col("_v").isNotNull(), F.struct(*order))).alias("_f"))
+    beyond = F.coalesce(F.sum("_k").over(series.orderBy(F.desc("_part")).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    s = part.withColumn("_x", F.pow(F.lit(fade), beyond) * F.col("_s"))
+    one = s.groupBy(by).agg(F.sum("n").alias("n"), F.sum("_k").alias("_k"), F.sum("_x").alias("_x"), F.min_by("_f", F.when(F.col("_k") > 0, F.col("_part"))).alias("_f"))
+    # the first value stands for all before it, so it weighs fade ** (k - 1), not alpha times that
+    return one.select(by, F.col("n").cast("int").alias("n"), F.when(F.col("_k") > 0, alpha * F.col("_x") + F.pow(F.lit(fade), F.col("_k")) * F.col("_f")).alias("last_ewma"))
 
 
 def ccf(bins: DataFrame, by: str, at: str, x: str, y: str, most: int) -> DataFrame:

@@ -69,7 +69,7 @@ def _in_encounters(spark, sf, lines):
     return j.interval_join(pts, encounters(spark, sf), ["subject"], "l_shipdate", "start", "stop", "hadm").select("l_orderkey", "l_linenumber", "l_shipdate", "hadm")
 
 
-IN_ENC = f"WITH {ENC}, r AS (SELECT l_orderkey, l_linenumber, l_shipdate, o_custkey FROM lineitem JOIN orders ON l_orderkey = o_orderkey) SELECT DISTINCT l_orderkey, l_linenumber, l_shipdate, (SELECT hadm FROM enc WHERE subject = o_custkey AND l_shipdate >= start AND l_shipdate < stop ORDER BY start, stop, hadm LIMIT 1) AS hadm FROM r"
+IN_ENC = f"WITH {ENC}, r AS (SELECT l_orderkey, l_linenumber, l_shipdate, o_custkey FROM lineitem JOIN orders ON l_orderkey = o_orderkey) SELECT l_orderkey, l_linenumber, l_shipdate, (SELECT hadm FROM enc WHERE subject = o_custkey AND l_shipdate >= start AND l_shipdate < stop ORDER BY start, stop, hadm LIMIT 1) AS hadm FROM r"
 
 
 @query("e6_interval_join", IN_ENC)
