@@ -491,6 +491,27 @@ def test_pipeline_stages(spark, sf, rows):
         assert stage(spark, empty, sf).count() == 0
 
 
+def test_pipeline_stages_bear_awkward_rows(spark, sf, docs, rows):
+    """Null ids, texts, languages and sources, repeated rows, long texts and clashing columns: each stage keeps the columns and gives what its docstring says."""
+    import corpus_pipeline as cp
+
+    ids = Counter(i for i, _ in rows)
+    count = lambda df: Counter(r["doc_id"] for r in df.collect())
+    out = {}
+    for name, stage in cp.STAGES[:-1]:
+        df = stage(spark, docs, sf)
+        assert df.columns == docs.columns
+        out[name] = count(df)
+    assert not out["language ID"] - ids and not {1, 2, 3, 12} & set(out["language ID"])  # no letter, no language
+    assert not out["quality rules"] - ids and not {1, 2, 3, 4, 13} & set(out["quality rules"])  # under 50 words
+    comp = brute_components([(i, x) for i, x in rows if i is not None], 5, 80)
+    assert out["n-gram Jaccard join"] == Counter({i: ids[i] if not comp[i][0] else 1 for i in comp if comp[i][1] == i}) + Counter({None: 1})
+    sizes = mixing.mix_rates(docs).collect()
+    assert out["mixing sources to target weights"] == sum((Counter({r["doc_id"]: r["copies"]}) for r in sizes), Counter())
+    packed = cp.STAGES[-1][1](spark, docs, sf).collect()
+    assert Counter(r["doc_id"] for r in packed if r["piece"] == 0) == ids
+
+
 def test_copies_of_a_page_keep_their_text(spark):
     page = "<html><body><nav>menu</nav>{}<h1>Same title</h1><p>The same long text on every page of the host.</p>{}</body></html>"
     for wrap in (("<article>", "</article>"), ("<div>", "</div>")):
