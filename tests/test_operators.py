@@ -165,6 +165,26 @@ def test_matching_invariants(spark):
     assert len({p["treated_unit"] for p in pairs}) == len({p["control_unit"] for p in pairs}) == len(pairs)
 
 
+def test_matching_takes_the_nearest_pair_left(spark):
+    rng = random.Random(11)
+    rows = [(n, rng.random() < 0.4, rng.random()) for n in range(150)] + [(200 + n, n < 40, 2 + n / 1000 + rng.random() / 1e5) for n in range(80)] + [(900, True, None), (901, None, 0.5)]
+    left, want = [r for r in rows if None not in r], set()
+    while left:
+        d, t, c = min(((abs(a[2] - b[2]), a[0], b[0]) for a in left for b in left if a[1] and not b[1]), default=(1, 0, 0))
+        if d > 0.05:
+            break
+        want.add((t, c))
+        left = [r for r in left if r[0] not in (t, c)]
+    df = spark.createDataFrame(rows, "id long, t boolean, s double")
+    assert {(r["treated_unit"], r["control_unit"]) for r in causal.match(df, "id", "t", "s", 0.05).collect()} == want
+    # a third of all rows on one score, and a long run of one group beside another: few rounds do
+    tied = spark.range(3000).selectExpr("id", "id % 2 = 0 or id > 2900 as t", "case when id < 1000 then 0.5D else floor(id / 700) * 1.0D end as s")
+    pairs = causal.match(tied, "id", "t", "s", 0.2, rounds=6).collect()
+    n = {k: [r["n"] for r in tied.where(f"s = {k}").groupBy("t").agg(F.count("*").alias("n")).collect()] for k in (0.5, 1, 2, 3, 4)}
+    assert len(pairs) == sum(min(x) for x in n.values() if len(x) == 2) and all(p["distance"] == 0 for p in pairs)
+    assert len({p["treated_unit"] for p in pairs}) == len({p["control_unit"] for p in pairs}) == len(pairs)
+
+
 def test_scores(spark):
     df = spark.createDataFrame([(0.1, False), (0.2, False), (0.8, True), (0.9, True)], "p double, y boolean")
     assert features.auroc(df, "p", F.col("y")).first()["auroc"] == 1.0
