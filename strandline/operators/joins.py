@@ -9,11 +9,12 @@ from strandline.functions.timesem import seconds
 from strandline.sources.tables import persisted
 
 
-def asof_join(left: DataFrame, right: DataFrame, by: list[str], left_on: str, right_on: str, values: list[str], tiebreak: str, direction: str = "backward", tolerance_hours: float | None = None) -> DataFrame:
+def asof_join(left: DataFrame, right: DataFrame, by: list[str], left_on: str, right_on: str, values: list[str], tiebreak: str, direction: str = "backward", tolerance_hours: float | None = None, hot: bool = False) -> DataFrame:
     """``left`` with ``values`` of the last right row at or before its time (``backward``) or the first at or after it (``forward``), and matched_at.
 
     Both sides are laid in one order by key and time, and each left row takes the nearest right row before it: one shuffle on the key, no pairs.
     Equal times match; among right rows of equal time the largest ``tiebreak`` (backward) or smallest (forward) wins. NULL keys or times match nothing.
+    A key's rows are ordered in one task; with ``hot``, for keys that hold a large share of all rows, both sides are written in ranges of key and time instead, and the last row is carried from range to range.
     """
     sign = 1 if direction == "backward" else -1
     payload = F.struct(F.col(right_on).alias("_at"), *[F.col(v) for v in values])
@@ -22,11 +23,19 @@ def asof_join(left: DataFrame, right: DataFrame, by: list[str], left_on: str, ri
     b = right.where(F.col(right_on).isNotNull()).select(*[F.col(k).alias(f"_k{n}") for n, k in enumerate(by)], F.col(right_on).alias("_t"), F.lit(0).alias("_side"), F.col(tiebreak).alias("_tie"), payload.alias("_hit"))
     both = a.unionByName(b, allowMissingColumns=True)
     keys = [f"_k{n}" for n in range(len(by))]
-    if sign > 0:
+    if hot:
+        begun = F.when(F.col("_side") == 0, F.struct("_t", "_tie", "_hit"))
+        time = F.col("_t").asc_nulls_first() if sign > 0 else F.col("_t").desc_nulls_first()
+        w = Window.partitionBy("_part", *keys).orderBy(time, F.abs("_side")).rowsBetween(Window.unboundedPreceding, 0)
+        pick, of_both = (F.max, F.greatest) if sign > 0 else (F.min, F.least)
+        met = carry(dealt(both, keys, "_t"), keys, begun, sign).withColumn("_last", of_both(pick(begun).over(w), F.col("_carried"))["_hit"])
+    elif sign > 0:
         w = Window.partitionBy(*keys).orderBy(F.col("_t").asc_nulls_first(), "_side", F.col("_tie").asc()).rowsBetween(Window.unboundedPreceding, 0)
+        met = both.withColumn("_last", F.last("_hit", ignorenulls=True).over(w))
     else:
         w = Window.partitionBy(*keys).orderBy(F.col("_t").desc_nulls_first(), F.desc("_side"), F.col("_tie").desc()).rowsBetween(Window.unboundedPreceding, 0)
-    found = both.withColumn("_last", F.last("_hit", ignorenulls=True).over(w)).where("_row is not null")
+        met = both.withColumn("_last", F.last("_hit", ignorenulls=True).over(w))
+    found = met.where("_row is not null")
     ok = F.col("_t").isNotNull()
     for k in keys:
         ok = ok & F.col(k).isNotNull()
@@ -60,11 +69,11 @@ def dealt(df: DataFrame, by: list[str], time: str) -> DataFrame:
     return persisted(df.repartitionByRange(*by, time).withColumn("_part", F.spark_partition_id()), "ranges")
 
 
-def carry(ranges: DataFrame, by: list[str], value: Column) -> DataFrame:
-    """``ranges`` with _carried: the largest ``value`` of the key in its ranges before this one. Only a key that runs over an edge of ranges has one, so at most two rows a range are broadcast."""
-    keys = Window.partitionBy(*by)
-    tops = ranges.groupBy(*by, "_part").agg(F.max(value).alias("_top"))
-    before = F.max("_top").over(keys.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))
+def carry(ranges: DataFrame, by: list[str], value: Column, sign: int = 1) -> DataFrame:
+    """``ranges`` with _carried: the largest ``value`` of the key in its ranges before this one (``sign`` -1: the smallest in those after it). Only a key that runs over an edge of ranges has one, so at most two rows a range are broadcast."""
+    keys, pick = Window.partitionBy(*by), F.max if sign > 0 else F.min
+    tops = ranges.groupBy(*by, "_part").agg(pick(value).alias("_top"))
+    before = pick("_top").over(keys.orderBy("_part" if sign > 0 else F.desc("_part")).rowsBetween(Window.unboundedPreceding, -1))
     over = tops.select(*by, "_part", before.alias("_carried"), F.count("*").over(keys).alias("_parts")).where(F.col("_parts") > 1).drop("_parts")
     return ranges.join(F.broadcast(over), [*by, "_part"], "left")
 

@@ -45,6 +45,15 @@ def e3(spark, sf):
     return j.asof_join(e.where("event_type = 'error'").select("event_id", "user_id", "ts"), clicks, ["user_id"], "ts", "ts", ["click_id", "click_value"], "click_id").select("event_id", "click_id", "click_value", "matched_at")
 
 
+@query("e3b_asof_hot_key", """WITH a AS (SELECT event_id, ts, event_id % 3 AS k FROM events WHERE event_type = 'error'), b AS (SELECT event_id % 3 AS k, ts, max(event_id) AS purchase_id FROM events WHERE event_type = 'purchase' GROUP BY 1, 2)
+SELECT a.event_id, b.purchase_id FROM a ASOF LEFT JOIN b ON a.k = b.k AND a.ts >= b.ts""")
+def e3b(spark, sf):
+    """Three keys hold all rows: the last purchase of anyone in the same third before each error."""
+    e = load(spark, sf, "events").withColumn("k", F.col("event_id") % 3)
+    a, b = e.where("event_type = 'error'").select("event_id", "ts", "k"), e.where("event_type = 'purchase'").select("k", F.col("ts").alias("t"), F.col("event_id").alias("purchase_id"))
+    return j.asof_join(a, b, ["k"], "ts", "t", ["purchase_id"], "purchase_id", hot=True).select("event_id", "purchase_id")
+
+
 @query("e4_event_at", """WITH a AS (SELECT o_orderkey, o_custkey, o_orderdate FROM orders WHERE o_orderstatus = 'F'), b AS (SELECT o_custkey, o_orderdate, o_orderkey AS prior_key FROM orders WHERE o_orderstatus = 'O'),
 r AS (SELECT a.o_orderkey, b.prior_key, row_number() OVER (PARTITION BY a.o_orderkey ORDER BY b.o_orderdate DESC, prior_key DESC) AS r FROM a LEFT JOIN b ON a.o_custkey = b.o_custkey AND b.o_orderdate <= a.o_orderdate AND b.o_orderdate >= a.o_orderdate - INTERVAL 240 HOUR)
 SELECT o_orderkey, prior_key FROM r WHERE r = 1""")

@@ -51,6 +51,21 @@ def test_asof_ties_tolerance_and_nulls(spark):
     assert near["v"] is None
 
 
+@pytest.mark.parametrize("direction", ["backward", "forward"])
+def test_asof_of_a_hot_key_is_that_of_one_task(spark, direction):
+    rng = random.Random(8)
+    side = lambda n: [(rng.choice(["hot"] * 9 + ["a", None]), float(rng.randint(0, 120)) if k % 40 else None, k) for k in range(n)]
+    left, right = at(spark, side(500), "k string, t double, l int", ["t"]), at(spark, side(200), "k string, t double, r int", ["t"]).withColumnRenamed("t", "s")
+    for tolerance in (None, 1 / 3600):
+        one, cut = (joins.asof_join(left, right, ["k"], "t", "s", ["r"], "r", direction, tolerance, hot) for hot in (False, True))
+        spark.conf.set("spark.sql.adaptive.enabled", "false")  # a range stays a partition
+        try:
+            rows = sorted(cut.collect(), key=lambda r: r["l"])
+        finally:
+            spark.conf.unset("spark.sql.adaptive.enabled")
+        assert rows == sorted(one.collect(), key=lambda r: r["l"]) and len(rows) == 500
+
+
 def test_interval_is_closed_then_open(spark):
     stays = at(spark, [("k", 0.0, 10.0, 1), ("k", 5.0, 20.0, 2)], "k string, s double, e double, stay int", ["s", "e"])
     pts = at(spark, [("k", 0.0, 1), ("k", 10.0, 2), ("k", 20.0, 3)], "k string, t double, p int", ["t"])
