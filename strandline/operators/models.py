@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import reduce
 
 import numpy as np
@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from strandline.functions.timesem import md5_unit
 from strandline.operators.features import auroc
 from strandline.operators.inference import draws
-from strandline.sources.tables import persisted
+from strandline.sources.tables import append_ledger, persisted
 
 
 def _vectors(df: DataFrame, xs: list[str], label: str | None = None) -> DataFrame:
@@ -266,6 +266,26 @@ def ablation_grid(train: DataFrame, test: DataFrame, groups: dict[str, list[str]
     return test.sparkSession.createDataFrame(rows, "group string, auroc double")
 
 
+def ablation_cells(windows: dict[str, tuple[DataFrame, DataFrame]], groups: dict[str, list[str]], fits: dict[str, Callable[..., DataFrame]], label: str, ledger: str) -> DataFrame:
+    """window, group, model, n, auroc of every window (its training and test rows) without every group of features ('(none)' has all) by every model.
+
+    ``fits`` give the test rows with p from (train, test, features, label). A cell is added to the ``ledger`` folder as soon as it is known, and cells found there aren't fitted again, so a broken run goes on where it stopped.
+    """
+    spark = next(iter(windows.values()))[0].sparkSession
+    kind = "window string, group string, model string, n long, auroc double"
+    append_ledger(spark.createDataFrame([], kind), ledger)
+    known = spark.read.schema(kind).json(ledger)
+    done = {(r["window"], r["group"], r["model"]) for r in known.collect()}  # a row a cell
+    every = [x for xs in groups.values() for x in xs]
+    for window, (train, test) in windows.items():
+        for group, xs in {"(none)": every, **{g: [x for x in every if x not in left_out] for g, left_out in groups.items()}}.items():
+            for model, fit in fits.items():
+                if xs and (window, group, model) not in done:
+                    a = auroc(fit(train, test, xs, label), "p", F.col(label).cast("boolean"))
+                    append_ledger(a.select(F.lit(window).alias("window"), F.lit(group).alias("group"), F.lit(model).alias("model"), "n", "auroc"), ledger)
+    return spark.read.schema(kind).json(ledger)
+
+
 def embedding_search(base: DataFrame, queries: DataFrame, unit: str, vector: str, k: int) -> DataFrame:
     """query, rank, unit, similarity: of every query the k other units with the highest cosine, ties to smaller units."""
     from strandline.operators.features import nearest

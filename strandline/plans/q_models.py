@@ -8,7 +8,7 @@ from strandline.operators import models as m
 from strandline.plans.q_features import SC, scored
 from strandline.plans.q_timeline import rounded
 from strandline.plans.registry import query
-from strandline.sources.tables import load
+from strandline.sources.tables import load, scratch
 
 
 def parts(spark, sf):
@@ -105,6 +105,14 @@ def r21(spark, sf):
     return rounded(m.ablation_grid(train, test, {"money": ["price"], "key": ["k"]}, "y"), "auroc", to=3)
 
 
+@query("r21b_ablation_cells")
+def r21b(spark, sf):
+    train, test = parts(spark, sf)
+    summer = train.join(load(spark, sf, "orders").where(F.month("o_orderdate").between(4, 9)).select("o_orderkey"), "o_orderkey", "left_semi")
+    fits = {"logistic": m.fit_baseline, "ridge": lambda *a: m.fit_baseline(*a, reg=0.1)}
+    return rounded(m.ablation_cells({"summer": (summer, test), "all": (train, test)}, {"money": ["price"], "key": ["k"]}, fits, "y", scratch(spark, "ablation")), "auroc", to=3)
+
+
 T6 = """WITH q AS (SELECT vec_id AS query, embedding AS a, label AS l FROM embeddings WHERE vec_id % 20 = 0), e AS (SELECT label, count(*) / sum(count(*)) OVER () AS e FROM embeddings GROUP BY 1),
 s AS (SELECT query, l, label, vec_id, list_sum(list_transform(list_zip(a, embedding), lambda p: p[1]::DOUBLE * p[2]::DOUBLE)) / (sqrt(list_sum(list_transform(a, lambda v: v::DOUBLE * v::DOUBLE))) * sqrt(list_sum(list_transform(embedding, lambda v: v::DOUBLE * v::DOUBLE)))) AS s FROM q JOIN embeddings ON vec_id <> query),
 r AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY query ORDER BY s DESC, vec_id) <= 5) SELECT round(avg((r.label = r.l)::INT), 6) AS share, round(avg(e.e), 6) AS expected, round(avg((r.label = r.l)::INT) / avg(e.e), 6) AS lift FROM r JOIN e ON e.label = r.l"""

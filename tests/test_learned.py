@@ -244,6 +244,27 @@ def test_propensity_and_baselines(spark, noisy):
     assert models.era_classifier(noisy.withColumn("x", F.col("x") + 5 * (F.col("n") % 2)), ["x", "z"], F.col("n") % 2 == 0, "g").first()["auroc"] > 0.95
 
 
+def test_ablation_goes_on_where_it_stopped(spark, noisy, tmp_path):
+    sides = noisy.where("g % 3 <> 0"), noisy.where("g % 3 = 0")
+    at, fitted = str(tmp_path / "cells"), []
+
+    def fit(train, test, xs, label):
+        if len(fitted) == 2:
+            raise RuntimeError("stopped")
+        fitted.append(tuple(xs))
+        return models.fit_baseline(train, test, xs, label)
+
+    ask = lambda: models.ablation_cells({"w": sides}, {"a": ["x"], "b": ["z"]}, {"m": fit}, "y", at)
+    with pytest.raises(RuntimeError):
+        ask()
+    assert fitted == [("x", "z"), ("z",)]
+    fitted[:] = [()]
+    got = {r["group"]: r["auroc"] for r in ask().collect()}
+    assert fitted == [(), ("x",)]  # only what was missing
+    plain = {r["group"]: r["auroc"] for r in models.ablation_grid(*sides, {"a": ["x"], "b": ["z"]}, "y").collect()}
+    assert got == pytest.approx(plain)
+
+
 def test_clusters_and_components(spark):
     rng = np.random.default_rng(8)
     pts = np.vstack([rng.normal(c, 0.2, (40, 2)) for c in ((0, 0), (5, 0), (0, 5))])
