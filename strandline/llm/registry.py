@@ -7,7 +7,7 @@ from collections.abc import Callable
 import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
-from strandline.llm import chat, extraction, jaccard, language, mixing, packing, quality, search, tokens, warc
+from strandline.llm import chat, decontamination, extraction, jaccard, language, mixing, packing, quality, search, tokens, warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -22,9 +22,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_chat_formatting": chat.op8_chat_formatting,
         "op9_jaccard_join": jaccard.op9_jaccard_join,
         "op10_source_mixing": mixing.op10_source_mixing,
+        "op11_decontamination": decontamination.op11_decontamination,
         "pipeline": corpus_pipeline.run,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_exact_top_k": search.OP5_SQL, "op7_warc": warc.OP7_SQL, "op8_chat_formatting": chat.OP8_SQL, "op10_source_mixing": mixing.OP10_SQL}
+    return {"op5_exact_top_k": search.OP5_SQL, "op7_warc": warc.OP7_SQL, "op8_chat_formatting": chat.OP8_SQL, "op10_source_mixing": mixing.OP10_SQL, "op11_decontamination": decontamination.OP11_SQL}
