@@ -369,9 +369,9 @@ def brute_template(htmls):
     pages = {}
     for h in htmls:
         page = extraction.Page(h)
-        inner, lines = extraction.own_lines(page)
-        if lines:
-            pages.setdefault(inner, {})[tuple(x for *_, x in lines)] = (page, lines)
+        inner, lines = extraction.lines_of(page)
+        if any(x.article for x in lines):
+            pages.setdefault(inner, {})[tuple(x.text for x in lines if x.article)] = (page, lines)
     out = set()
     for layout in pages.values():
         found = [list(extraction.tokens(*x).items()) for x in layout.values()]
@@ -452,10 +452,47 @@ def test_deep_nesting_takes_linear_time():
 
     began = time.time()
     html = "<div>" * 16_000 + "deep" + "</b>" * 16_000 + "</div>" * 16_000 + "<b>" * 2000 + "x" + "</i>" * 2000
-    assert [x for *_, x in extraction.own_lines(extraction.Page(html))[1]] == ["deep", "x"]
+    assert [x.text for x in extraction.lines_of(extraction.Page(html))[1]] == ["deep", "x"]
     assert time.time() - began < 2
 
 
+@pytest.mark.parametrize("part", ["<a ", '<a b="c ', "<!-", "<!--", "</script ", "<script ", "<a b='\">", "<", '<a "> ', "<a '>\" "])
+@pytest.mark.parametrize("end", ["", ">", '">', "x"])
+def test_unclosed_tags_take_linear_time(part, end):
+    import time
+
+    html = part * (1_000_000 // len(part)) + end
+    began = time.time()
+    assert sum(1 for _ in extraction.scan(html)) <= len(html)
+    assert time.time() - began < 1
+
+
+def test_scan_reads_tags_as_they_are():
+    html = "a<!-- <p> -->b<P class='x>y' id=\"1\">c<br/>d</p >e < f<3 g<script>if (a<b) {}</SCRIPT >h<!DOCTYPE html>i<a href=x"
+    assert list(extraction.scan(html)) == [
+        ("a", "", ""), ("b", "", ""), ("", "p", " class='x>y' id=\"1\""), ("c", "", ""), ("", "br", "/"), ("d", "", ""), ("", "/p", " "), ("e ", "", ""),
+        ("<", "", ""), (" f", "", ""), ("<", "", ""), ("3 g", "", ""), ("h", "", ""), ("i<a href=x", "", ""),
+    ]
+
+
+@pytest.mark.parametrize("n", [7, 8, 30])
+def test_shared_headings_with_own_text_stay(spark, n):
+    """However many pages share them; a shared line without own text behind it is template text."""
+    page = lambda k: f"<html><body><div class=x9><p>Welcome to the site</p></div><article><h1>Dish {k}</h1><h2>Ingredients</h2><ul><li>item {k}</li></ul><h2>Method</h2><p>Cook {k}.</p><p>Visit us</p></article></body></html>"
+    foot = ["Visit us"] if n < 8 else []
+    assert main_texts(spark, [page(k) for k in range(n)]) == ["\n".join([f"Dish {k}", "Ingredients", f"item {k}", "Method", f"Cook {k}.", *foot]) for k in range(n)]
+
+
+def test_template_sees_lines_that_names_would_hide(spark):
+    """Lines outside the article are tokens too: a menu without a telling name goes with its neighbours, and support is the caller's."""
+    page = lambda k: f"<html><body><nav><a>Home</a></nav><div class=q1><p>Top stories</p><p>Sport</p></div><div class=q2><p>Story {k}</p></div></body></html>"
+    assert main_texts(spark, [page(k) for k in range(9)]) == [f"Story {k}" for k in range(9)]
+    html = page(1)
+    assert any(not x.article and x.text == "Home" for x in extraction.lines_of(extraction.Page(html))[1])
+    df = spark.createDataFrame([(k, "http://h/", page(k)) for k in range(4)], "page_id long, url string, html string")
+    assert {r["text"] for r in extraction.extract(df, support=4).collect()} == {f"Story {k}" for k in range(4)}
+
+
 def test_registered_queries_match_sql(spark, sf, duck):
     from conftest import same
 
