@@ -11,29 +11,32 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from strandline.llm.shared import table
 
 VOCABULARY = "piece_bpe_32k.model"
-#: Training: so many documents a language at most, so many distinct words of each, so many rounds of EM.
-SAMPLE, WORDS, ROUNDS = 2_000, 40_000, 3
-#: Longer runs of letters are scored in parts of so many characters; pieces longer than PIECE characters are left out of the vocabulary.
-PART, PIECE = 32, 8
-#: A worker keeps the scores of about so many words, of fewer beyond 16 languages.
-CACHED = 400_000
+#: Training: so many documents a language at most, with all their words, and so many rounds of EM.
+SAMPLE, ROUNDS = 2_000, 3
+#: Numbers that arrays of a batch hold at most, and columns of long words that are looked up at a time.
+CELLS, COLUMNS = 4_000_000, 4_096
+#: Training goes over to logarithms for words of more characters.
+LONG = 48
+#: A worker keeps the scores of about so many words, of fewer beyond 16 languages; words of a text are added up in so many at a time.
+CACHED, PORTION = 400_000, 4_096
 #: So many texts are scored together.
 SLICE = 256
 FLOOR = 1e-7
-LETTERS = re.compile(r"[^\W\d_]+")
+#: Words: anything but white space, digits and ASCII punctuation.
+RUNS = re.compile(r"[^\s\d!-/:-@\[-`{-~]+")
 _BASE, _SPREAD = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD1B54A32D192ED03)
 _BITS = 19
+#: Probabilities are scaled up by this when they have fallen below its inverse.
+_SCALE = 1e100
 
 
 def words_of(text: str) -> list[str]:
-    """Runs of letters, lower case, each behind the vocabulary's word mark and in parts of PART characters."""
-    found = LETTERS.findall(text.lower())
-    return found if max(map(len, found), default=0) <= PART else [w[k : k + PART] for w in found for k in range(0, len(w), PART)]
+    """The words of a text as they are, of any length and script."""
+    return RUNS.findall(text)
 
 
 def _mixed(h: np.ndarray) -> np.ndarray:
@@ -41,10 +44,11 @@ def _mixed(h: np.ndarray) -> np.ndarray:
 
 
 class Pieces:
-    """The vocabulary's lower-case pieces in an open table, to be met by rolling hashes of substrings, many words at once."""
+    """The vocabulary in an open table, to be met by rolling hashes of substrings, many words at once."""
 
     def __init__(self, pieces: list[str]):
         self.pieces = pieces
+        self.longest = max(map(len, pieces), default=1)
         self.keys, self.ids = np.zeros(1 << _BITS, np.uint64), np.full(1 << _BITS, -1, np.int32)
         for i, p in enumerate(pieces):
             h = np.uint64(0)
@@ -57,15 +61,19 @@ class Pieces:
             if self.ids[slot] < 0:
                 self.keys[slot], self.ids[slot] = h, i
 
-    def find(self, words: list[str]) -> tuple[np.ndarray, list[np.ndarray]]:
-        """Lengths of the words (with the mark), and for each piece length k an array [word, end] of piece ids, -1 where there is none."""
-        marked = ["▁" + w for w in words]
-        size = np.fromiter(map(len, marked), np.int64, len(marked))
-        codes = np.zeros((len(marked), int(size.max())), np.uint64)
-        codes[np.arange(codes.shape[1]) < size[:, None]] = np.frombuffer("".join(marked).encode("utf-32-le"), "<u4").astype(np.uint64) + np.uint64(1)
+    def find(self, words: list[str], start: int = 0, stop: int | None = None) -> tuple[np.ndarray, list[np.ndarray]]:
+        """Lengths of the words (with the mark before each), and for each piece length k an array [word, end - start] of piece ids for ends in [start, stop), -1 where there is none."""
+        size = np.fromiter(map(len, words), np.int64, len(words)) + 1
+        stop = int(size.max()) if stop is None else min(stop, int(size.max()))
+        before = min(start, self.longest - 1)
+        parts = ["▁"[start - before :] + w[max(start - before - 1, 0) : stop - 1] for w in words]
+        width = np.fromiter(map(len, parts), np.int64, len(parts))
+        codes = np.zeros((len(parts), before + stop - start), np.uint64)
+        there = np.arange(codes.shape[1]) < width[:, None]
+        codes[there] = np.frombuffer("".join(parts).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64) + np.uint64(1)
         out, h = [], np.zeros_like(codes)
-        for k in range(1, min(PIECE, codes.shape[1]) + 1):  # h[:, e] is the hash of the k characters that end at e
-            h = np.concatenate([np.zeros((len(marked), 1), np.uint64), h[:, :-1]], axis=1) * _BASE + codes
+        for k in range(1, min(self.longest, codes.shape[1]) + 1):  # h[:, e] is the hash of the k characters that end at e
+            h = np.concatenate([np.zeros((len(parts), 1), np.uint64), h[:, :-1]], axis=1) * _BASE + codes
             slot = (_mixed(h) >> np.uint64(64 - _BITS)).astype(np.int64)
             ids = np.where(self.keys[slot] == h, self.ids[slot], -1)
             look = np.nonzero((self.keys[slot] != h) & (self.ids[slot] >= 0))
@@ -77,29 +85,71 @@ class Pieces:
                 more = ~found & (self.ids[at] >= 0)
                 look, at, want = tuple(x[more] for x in look), at[more], want[more]
             ids[:, : k - 1] = -1
-            out.append(np.where(np.arange(codes.shape[1]) < size[:, None], ids, -1))
+            out.append(np.where(there, ids, -1)[:, before:])
         return size, out
 
 
 @lru_cache(maxsize=2)
 def vocabulary(name: str = VOCABULARY) -> Pieces:
+    """All pieces that stand for text; control and byte pieces stand for none."""
     import public_tokenizers
     import sentencepiece
 
     sp = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path(name))
-    texts = (sp.id_to_piece(i) for i in range(sp.get_piece_size()))
-    wanted = [p for p in texts if 0 < len(p) <= PIECE and p == p.lower() and all(c.isalpha() for c in p.lstrip("▁"))]
-    return Pieces(wanted)
+    return Pieces([sp.id_to_piece(i) for i in range(sp.get_piece_size()) if not (sp.is_control(i) or sp.is_unknown(i) or sp.is_unused(i) or sp.is_byte(i))])
+
+
+def batches_of(words: list[str], width: int, langs: int = 1) -> Iterator[list[int]]:
+    """Places of words of about the same length, as many together as arrays of CELLS numbers allow."""
+    part: list[int] = []
+    for k in sorted(range(len(words)), key=lambda k: len(words[k])):
+        if part and (len(part) + 1) * width * max(min(len(words[k]) + 1, COLUMNS), langs) > CELLS:
+            yield part
+            part = []
+        part.append(k)
+    if part:
+        yield part
+
+
+def log_scores(words: list[str], p: np.ndarray, pieces: Pieces) -> np.ndarray:
+    """log P(word | language) for each word, all segmentations summed: the probability of the first e characters needs only those of the ``longest`` places before, so words of any length take the same memory.
+
+    p[piece + 1, language]; row 0 is for a character without a piece.
+    """
+    out = np.zeros((len(words), p.shape[1]))
+    for part in batches_of(words, pieces.longest + 1, p.shape[1]):
+        own = [words[k] for k in part]
+        ends, n = max(map(len, own)) + 1, len(own)
+        before = [np.ones((n, p.shape[1]))]  # the newest first
+        scaled, done = np.zeros((n, p.shape[1])), np.zeros((n, p.shape[1]))
+        for a in range(0, ends, COLUMNS):
+            size, found = pieces.find(own, a, a + COLUMNS)
+            for e in range(found[0].shape[1]):
+                total = before[0] * p[found[0][:, e] + 1]
+                for k in range(2, min(len(found), len(before)) + 1):
+                    ids = found[k - 1][:, e]
+                    at = np.flatnonzero(ids >= 0)
+                    if len(at):
+                        total[at] += before[k - 1][at] * p[ids[at] + 1]
+                before = [total, *before[: pieces.longest - 1]]
+                if e % 8 == 7 and (low := total < 1 / _SCALE).any():
+                    factor = np.where(low, _SCALE, 1.0)
+                    before = [x * factor for x in before]
+                    scaled -= np.log(factor)
+                full = np.flatnonzero(size == a + e + 1)
+                if len(full):
+                    done[full] = np.log(np.maximum(before[0][full], 1e-300)) + scaled[full]
+        out[part] = done
+    return out
 
 
 def forward(size: np.ndarray, found: list[np.ndarray], p: np.ndarray) -> np.ndarray:
-    """alpha[word, position, language]: probability of the first characters over all segmentations; p[piece + 1, language], row 0 for a character without a piece."""
+    """alpha[word, position]: probability of the first characters over all segmentations, by p[piece + 1]."""
     n, m = found[0].shape
-    alpha = np.zeros((n, m + 1, p.shape[1]))
+    alpha = np.zeros((n, m + 1))
     alpha[:, 0] = 1.0
     for e in range(m):
-        one = found[0][:, e]
-        total = alpha[:, e] * p[one + 1]
+        total = alpha[:, e] * p[found[0][:, e] + 1]
         for k in range(2, min(len(found), e + 1) + 1):
             ids = found[k - 1][:, e]
             at = np.flatnonzero(ids >= 0)
@@ -109,55 +159,61 @@ def forward(size: np.ndarray, found: list[np.ndarray], p: np.ndarray) -> np.ndar
     return alpha
 
 
-def log_scores(words: list[str], p: np.ndarray, pieces: Pieces) -> np.ndarray:
-    """log P(word | language) for each word, all segmentations summed."""
-    out = np.zeros((len(words), p.shape[1]))
-    order = sorted(range(len(words)), key=lambda k: len(words[k]))
-    for a in range(0, len(order), 4096):
-        part = order[a : a + 4096]
-        size, found = pieces.find([words[k] for k in part])
-        out[part] = np.log(np.maximum(forward(size, found, p)[np.arange(len(part)), size], 1e-300))
-    return out
+def expected_counts_long(word: str, n: float, p: np.ndarray, pieces: Pieces, out: np.ndarray) -> None:
+    """Adds the expected uses of pieces in one long word, in logarithms: the sums over all segmentations from the left, then from the right."""
+    _, found = pieces.find([word])
+    m = found[0].shape[1]
+    ids = np.full((m, pieces.longest), -1)
+    ids[:, : len(found)] = np.array([f[0] for f in found]).T
+    logs = np.where(ids >= 0, np.log(p)[ids + 1], -np.inf)
+    logs[:, 0] = np.log(p)[ids[:, 0] + 1]  # a character without a piece has row 0
+    left, right = np.full(m + 1, -np.inf), np.full(m + 1, -np.inf)
+    left[0] = right[m] = 0.0
+    for e in range(m):
+        k = min(pieces.longest, e + 1)
+        left[e + 1] = np.logaddexp.reduce(left[e - k + 1 : e + 1][::-1] + logs[e, :k])
+    for e in range(m - 1, -1, -1):
+        k = min(pieces.longest, e + 1)
+        right[e - k + 1 : e + 1] = np.logaddexp(right[e - k + 1 : e + 1], (right[e + 1] + logs[e, :k])[::-1])
+    for k in range(min(pieces.longest, m)):
+        use = np.flatnonzero(np.isfinite(logs[k:, k])) + k
+        out += np.bincount(ids[use, k] + 1, np.exp(left[use - k] + logs[use, k] + right[use + 1] - left[m]) * n, len(out))
 
 
 def expected_counts(words: list[str], n: np.ndarray, p: np.ndarray, pieces: Pieces) -> np.ndarray:
     """Expected uses of each piece (row 0: characters without one) over the words of one language under p[:, None]."""
     out = np.zeros(len(pieces.pieces) + 1)
-    order = sorted(range(len(words)), key=lambda k: len(words[k]))
-    p = p[:, None]
-    for a in range(0, len(order), 4096):
-        part = np.array(order[a : a + 4096])
+    for w, times in ((w, t) for w, t in zip(words, n, strict=True) if len(w) > LONG):
+        expected_counts_long(w, times, p, pieces, out)
+    short = [k for k, w in enumerate(words) if len(w) <= LONG]
+    for places in batches_of([words[k] for k in short], pieces.longest + 1):
+        part = np.array([short[k] for k in places])
         size, found = pieces.find([words[k] for k in part])
-        alpha = forward(size, found, p)[:, :, 0]
+        alpha = forward(size, found, p)
         m = found[0].shape[1]
         beta = np.zeros((len(part), m + 1))
         beta[np.arange(len(part)), size] = 1.0
-        whole = np.maximum(alpha[np.arange(len(part)), size], 1e-300)
+        whole = alpha[np.arange(len(part)), size]
+        weight = n[part] / np.where(whole > 0, whole, 1.0)
         for e in range(m - 1, -1, -1):  # all of beta[:, e + 1] is known: hand it on to the starts of the pieces that end at e
             live = np.flatnonzero(e < size)
             for k in range(1, min(len(found), e + 1) + 1):
                 ids = found[k - 1][live, e]
                 use = live if k == 1 else live[ids >= 0]
                 ids = ids if k == 1 else ids[ids >= 0]
-                mass = p[ids + 1, 0] * beta[use, e + 1]
+                mass = p[ids + 1] * beta[use, e + 1]
                 beta[use, e + 1 - k] += mass
-                out += np.bincount(ids + 1, alpha[use, e + 1 - k] * mass / whole[use] * n[part[use]], len(out))
+                out += np.bincount(ids + 1, alpha[use, e + 1 - k] * mass * weight[use], len(out))
     return out
 
 
-def learn(counts: dict[str, Counter], pieces: Pieces, rounds: int = ROUNDS) -> tuple[list[str], np.ndarray]:
-    """Languages and p[piece + 1, language] by EM from word counts."""
-    langs = sorted(counts)
-    p = np.zeros((len(pieces.pieces) + 1, len(langs)))
-    for j, lang in enumerate(langs):
-        words = list(counts[lang])
-        n = np.fromiter(counts[lang].values(), float, len(words))
-        q = np.full(len(p), 1 / len(p))
-        for _ in range(rounds):
-            c = expected_counts(words, n, q, pieces) + 0.1
-            q = np.maximum(c / c.sum(), FLOOR)
-        p[:, j] = q
-    return langs, p
+def learn(words: list[str], n: np.ndarray, pieces: Pieces, rounds: int = ROUNDS) -> np.ndarray:
+    """p[piece + 1] of one language by EM from its word counts."""
+    q = np.full(len(pieces.pieces) + 1, 1 / (len(pieces.pieces) + 1))
+    for _ in range(rounds):
+        c = expected_counts(words, n, q, pieces) + 0.1
+        q = np.maximum(c / c.sum(), FLOOR)
+    return q
 
 
 def held_out(id_col: Column) -> Column:
@@ -166,7 +222,10 @@ def held_out(id_col: Column) -> Column:
 
 
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample: int = SAMPLE) -> tuple[list[str], np.ndarray]:
-    """Learns from a bounded sample: about ``sample`` documents of each language and the WORDS commonest words of each, chosen by a hash of the id, outside the held-out fold."""
+    """Languages and p[piece + 1, language], from a bounded sample: about ``sample`` documents of each language with all their words, chosen by a hash of the id, outside the held-out fold.
+
+    A task learns a language; the driver gets one row of the vocabulary's size for each.
+    """
     rows = docs.select(docs[id_col].alias("i"), docs[text_col].alias("t"), docs[lang_col].alias("l")).where(F.col("l").isNotNull() & F.col("t").isNotNull() & ~held_out(F.col("i")))
     share = {r["l"]: sample / r["n"] for r in rows.groupBy("l").agg(F.count("*").alias("n")).collect()}
     if not share:
@@ -182,37 +241,58 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
         for lang, c in own.items():
             yield pa.RecordBatch.from_arrays([pa.array([lang] * len(c)), pa.array(list(c), pa.string()), pa.array(list(c.values()), pa.int64())], names=["l", "w", "n"])
 
+    def fit(key, words):
+        q = learn(words["w"].to_pylist(), words["n"].to_numpy().astype(float), vocabulary())
+        return pa.table({"l": pa.array([key[0].as_py()], pa.string()), "p": pa.array([q.astype(np.float32)], pa.list_(pa.float32()))})
+
     counted = picked.select("t", "l").mapInArrow(count, "l string, w string, n long").groupBy("l", "w").agg(F.sum("n").alias("n"))
-    counts: dict[str, Counter] = {}
-    place = F.row_number().over(Window.partitionBy("l").orderBy(F.desc("n"), "w"))
-    for r in counted.withColumn("place", place).where(F.col("place") <= WORDS).orderBy("l", "place").collect():
-        counts.setdefault(r["l"], Counter())[r["w"]] = r["n"]
-    return learn(counts, vocabulary())
+    models = counted.orderBy("w").groupBy("l").applyInArrow(fit, "l string, p array<float>").toArrow().sort_by("l")
+    langs = models["l"].to_pylist()
+    return langs, np.stack([x.values.to_numpy() for x in models["p"]], axis=1) if langs else np.zeros((1, 0))
 
 
 def scorer(langs: list[str], p: np.ndarray):
     """A function from texts to (predictions, scores) that keeps the scores of words it has met."""
     pieces = vocabulary()
+    room = CACHED * 16 // max(len(langs), 16)
     row: dict[str, int] = {}
     known = np.zeros((0, len(langs)))
 
     def of(texts: list[str | None]) -> tuple[list[str], list[float]]:
         nonlocal known
-        if len(row) * max(len(langs), 16) > CACHED * 16:
-            row.clear()
-            known = known[:0]
-        lists = [words_of(t) if t and langs and any(map(str.isalpha, t)) else [] for t in texts]
-        new = list({w for words in lists for w in words if w not in row})
-        if new:
-            row.update(zip(new, range(len(row), len(row) + len(new)), strict=True))
-            known = np.concatenate([known, log_scores(new, p, pieces)])
-        preds, scores = [], []
-        for words in lists:
-            total = known[np.fromiter(map(row.__getitem__, words), np.int64, len(words))].sum(axis=0) if words else None
-            best = int(total.argmax()) if words else 0
-            preds.append(langs[best] if words else "und")
-            scores.append(float(1 / np.exp(total - total[best]).sum()) if words else 0.0)
-        return preds, scores
+        sums = np.zeros((len(texts), len(langs)))
+        waiting: list[tuple[int, list[str]]] = []
+        new: set[str] = set()
+
+        def add() -> None:
+            nonlocal known
+            if new:
+                words = list(new)
+                row.update(zip(words, range(len(row), len(row) + len(words)), strict=True))
+                known = np.concatenate([known, log_scores(words, p, pieces)])
+                new.clear()
+            for k, words in waiting:
+                sums[k] += known[np.fromiter(map(row.__getitem__, words), np.int64, len(words))].sum(axis=0)
+            waiting.clear()
+
+        some = [False] * len(texts)
+        for k, t in enumerate(texts):
+            words = words_of(t) if t and langs and any(map(str.isalpha, t)) else []
+            some[k] = bool(words)
+            for a in range(0, len(words), PORTION):
+                part = words[a : a + PORTION]
+                fresh = {w for w in part if w not in row}
+                if len(row) + len(new | fresh) > room:
+                    add()
+                    row.clear()
+                    known = known[:0]
+                    fresh = set(part)
+                new.update(fresh)
+                waiting.append((k, part))
+        add()
+        best = sums.argmax(axis=1) if langs else []
+        preds = [langs[best[k]] if some[k] else "und" for k in range(len(texts))]
+        return preds, [float(1 / np.exp(sums[k] - sums[k, best[k]]).sum()) if some[k] else 0.0 for k in range(len(texts))]
 
     return of
 

@@ -231,7 +231,7 @@ def test_language(spark, sf, docs, none):
     assert language.identify(docs, [], np.zeros((1, 0))).where("lang_pred <> 'und'").count() == 0
 
 
-def test_forward_sums_all_segmentations():
+def test_forward_sums_all_segmentations(monkeypatch):
     pieces = language.Pieces(["▁", "▁a", "a", "b", "ab", "▁ab", "aba"])
     p = np.array([[1e-7], *[[x] for x in (0.1, 0.2, 0.15, 0.05, 0.3, 0.12, 0.08)]])
     prob = {t: p[i + 1, 0] for i, t in enumerate(pieces.pieces)}
@@ -242,6 +242,10 @@ def test_forward_sums_all_segmentations():
     for w in ("a", "ab", "abab", "abaab"):
         assert np.exp(language.log_scores([w], p, pieces)[0, 0]) == pytest.approx(total("▁" + w))
     counts = language.expected_counts(["abab", "b"], np.array([2.0, 1.0]), p[:, 0], pieces)
+    monkeypatch.setattr(language, "LONG", 0)
+    assert language.expected_counts(["abab", "b"], np.array([2.0, 1.0]), p[:, 0], pieces) == pytest.approx(counts)
+    monkeypatch.setattr(language, "COLUMNS", 3)
+    assert np.exp(language.log_scores(["abaabab", "ab"], p, pieces)[:, 0]) == pytest.approx([total("▁abaabab"), total("▁ab")])
 
     def segs(s):
         return [[]] if not s else [[s[:k], *r] for k in range(1, len(s) + 1) if s[:k] in prob for r in segs(s[k:])]
@@ -582,9 +586,8 @@ def test_top_k_with_many_copies_of_a_near_row(spark):
     assert [(r["vec_id"], r["score"]) for r in got] == [(1, 9 * 1024**2), (2, 8 * 1024**2), (3, 5 * 1024**2), (4, 4 * 1024**2)]
 
 
-def test_every_language_keeps_its_words(spark, monkeypatch):
+def test_every_language_keeps_its_words(spark):
     """A language with few documents beside a large one learns its own words, and more than 64 languages are learned."""
-    monkeypatch.setattr(language, "WORDS", 5)
     letters = "abcdefghijklmnopqrstuvwxyz"
     rows = [(n, " ".join(letters[k] * 3 for k in range(12)), "large") for n in range(60)] + [(100 + n, "zyz zyz zyz", "small") for n in range(6)]
     rows += [(1000 + 5 * m + n, f"{letters[m % 26]}q{letters[m // 26]}q", f"l{m:02}") for m in range(68) for n in range(5)]
@@ -594,6 +597,76 @@ def test_every_language_keeps_its_words(spark, monkeypatch):
     assert got == ["small", "large"]
 
 
+def plain_log_score(word, q, known):
+    """Sum over all segmentations of the marked word, place by place."""
+    s = "▁" + word
+    alpha = [0.0] + [-np.inf] * len(s)
+    for e in range(1, len(s) + 1):
+        ways = [alpha[e - k] + np.log(q[known[s[e - k : e]] + 1]) for k in range(1, e + 1) if s[e - k : e] in known]
+        if s[e - 1] not in known:
+            ways.append(alpha[e - 1] + np.log(q[0]))
+        alpha[e] = np.logaddexp.reduce(ways)
+    return alpha[-1]
+
+
+def test_training_and_scores_of_a_plain_loop(spark):
+    """The registered model on small rows: EM, scores and predictions without batches, tables or scaling."""
+    rng = random.Random(9)
+    letters = {"x": "abcdé", "y": "bcdeñ", "z": "漢字仮名"}
+    rows = [(n, " ".join("".join(rng.choice(letters[lang]) for _ in range(rng.choice([1, 2, 5, 9, 70]))) for _ in range(12)), lang) for n in range(40) for lang in letters]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    langs, p = language.train(df)
+    pieces = language.vocabulary()
+    known = {t: i for i, t in enumerate(pieces.pieces)}
+    assert len(known) > 31_000 and langs == ["x", "y", "z"]
+    for j, lang in enumerate(langs):
+        counts = Counter(w for n, t, x in rows if x == lang and zlib.crc32(str(n).encode()) % 5 for w in t.split())
+        q = np.full(len(known) + 1, 1 / (len(known) + 1))
+        for _ in range(language.ROUNDS):
+            c = np.full(len(q), 0.1)
+            for w, times in counts.items():
+                s = "▁" + w
+                ways = [(a, e, known.get(s[a:e], -1) + 1) for e in range(1, len(s) + 1) for a in range(max(0, e - pieces.longest), e) if s[a:e] in known or e - a == 1]
+                left, right = np.full(len(s) + 1, -np.inf), np.full(len(s) + 1, -np.inf)
+                left[0] = right[-1] = 0
+                for a, e, i in ways:
+                    left[e] = np.logaddexp(left[e], left[a] + np.log(q[i]))
+                for a, e, i in reversed(ways):
+                    right[a] = np.logaddexp(right[a], right[e] + np.log(q[i]))
+                for a, e, i in ways:
+                    c[i] += times * np.exp(left[a] + np.log(q[i]) + right[e] - left[-1])
+            q = np.maximum(c / c.sum(), language.FLOOR)
+        assert p[:, j] == pytest.approx(q, rel=1e-4)
+    texts = [t for _, t, _ in rows[:9]] + ["漢" * 700, "abc" * 300 + " bcd", "", None, "12 ?!"]
+    preds, scores = language.scorer(langs, p)(texts)
+    for text, pred, score in zip(texts, preds, scores):
+        words = re.findall(r"[^\s\d!-/:-@\[-`{-~]+", text or "") if any(map(str.isalpha, text or "")) else []
+        if not words:
+            assert (pred, score) == ("und", 0)
+            continue
+        total = np.array([sum(plain_log_score(w, p[:, j], known) for w in words) for j in range(3)])
+        assert pred == langs[int(total.argmax())] and score == pytest.approx(1 / np.exp(total - total.max()).sum(), rel=1e-5)
+
+
+def test_memory_of_scoring_is_bounded(monkeypatch):
+    """Many languages: few words at a time, the same sums."""
+    rng = np.random.default_rng(2)
+    pieces = language.Pieces(["▁", "a", "b", "ab", "ba", "aba"])
+    p = rng.random((7, 40))
+    words = ["".join(rng.choice(list("ab"), n)) for n in rng.integers(1, 300, 60)]
+    whole = language.scorer([str(k) for k in range(40)], p)
+    assert max(len(x) for x in language.batches_of(words, 4, 1000)) <= language.CELLS // 4000
+    want = language.log_scores(words, p, pieces)
+    monkeypatch.setattr(language, "CELLS", 2000)
+    assert language.log_scores(words, p, pieces) == pytest.approx(want)
+    texts = [" ".join(words[k : k + 9]) for k in range(0, 54, 9)]
+    monkeypatch.setattr(language, "vocabulary", lambda: pieces)
+    a = language.scorer([str(k) for k in range(40)], p)(texts)
+    monkeypatch.setattr(language, "CACHED", 20)
+    monkeypatch.setattr(language, "PORTION", 4)
+    assert language.scorer([str(k) for k in range(40)], p)(texts)[0] == a[0] and callable(whole)
+
+
 def test_pieces_whose_slot_is_taken_are_found(monkeypatch):
     monkeypatch.setattr(language, "_BITS", 9)
     names = [a + b for a in "abcdefghijklmnopqrst" for b in "abcdefghijklmnopqrst"]  # 400 in 512 slots
