@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from statistics import NormalDist
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strandline.functions.timesem import md5_unit
-from strandline.operators.inference import draws, prefix_sums
+from strandline.operators.inference import draws
 from strandline.operators.phenotypes import Z95
+from strandline.operators.sums import prefix_sums
 from strandline.sources.tables import persisted
 
 
@@ -73,12 +74,11 @@ def learning_curve(train: DataFrame, test: DataFrame, unit: str, xs: list[str],
 
 
 def subgroup_auroc(df: DataFrame, dims: list[str], score: str, label: Column) -> DataFrame:
-    """dim, level, n, positives, prevalence, mean_score, auroc of every level; levels meet as distinct scores, not as rows."""
+    """dim, level, n, positives, prevalence, mean_score, auroc of every level, over rows with a score; scores of a level are ranked by ranges, so no level is one task."""
     pairs = F.explode(F.array(F.struct(F.lit("all").alias("dim"), F.lit("all").alias("level")), *[F.struct(F.lit(d).alias("dim"), F.col(d).cast("string").alias("level")) for d in dims]))
     t = df.select(F.col(score).alias("_s"), label.cast("int").alias("_y"), pairs.alias("x")).groupBy("x.dim", "x.level", "_s").agg(F.count("*").alias("n"), F.sum("_y").alias("p"))
-    w = Window.partitionBy("dim", "level").orderBy("_s").rowsBetween(Window.unboundedPreceding, 0)
-    rank = F.sum("n").over(w) - (F.col("n") - 1) / 2
-    s = t.withColumn("_r", rank).groupBy("dim", "level").agg(F.sum("n").alias("n"), F.sum("p").alias("positives"), (F.sum(F.col("_s") * F.col("n")) / F.sum("n")).alias("mean_score"), F.sum(F.col("_r") * F.col("p")).alias("_t"))
+    t = prefix_sums(t.where("_s is not null"), "_s", ["n"], keys=["dim", "level"])
+    s = t.withColumn("_r", F.col("cum_n") - (F.col("n") - 1) / 2).groupBy("dim", "level").agg(F.sum("n").alias("n"), F.sum("p").alias("positives"), (F.sum(F.col("_s") * F.col("n")) / F.sum("n")).alias("mean_score"), F.sum(F.col("_r") * F.col("p")).alias("_t"))
     p, n = F.col("positives").cast("double"), F.col("n").cast("double")
     return s.select("dim", "level", "n", "positives", (p / n).alias("prevalence"), "mean_score", F.try_divide(F.col("_t") - p * (p + 1) / 2, p * (n - p)).alias("auroc"))
 

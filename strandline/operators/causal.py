@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strandline.functions.timesem import seconds
+from strandline.operators.sums import column_quantiles
 from strandline.sources.tables import persisted
 
 
@@ -77,11 +78,19 @@ def variance_components(df: DataFrame, cluster: str, col: str) -> DataFrame:
     return d.withColumn("icc", F.col("between") / (F.col("within") + F.col("between")))
 
 
-def impute(df: DataFrame, cols: list[str]) -> DataFrame:
-    """Fills each column with its exact median and adds <column>__measured."""
-    med = df.agg(*[F.percentile(c, 0.5).alias(f"_m_{c}") for c in cols])
-    out = df.crossJoin(F.broadcast(med))  # one row of medians
-    return out.select(*[F.coalesce(c, f"_m_{c}").alias(c) if c in cols else F.col(c) for c in df.columns], *[F.col(c).isNotNull().alias(f"{c}__measured") for c in cols])
+def impute(df: DataFrame, cols: list[str], how: str = "median") -> DataFrame:
+    """Fills each column and adds <column>__measured. median: the exact one, for numbers; mode: the commonest value, of equal ones the least, for any type; complete_case: no fill, rows without a value in any column go."""
+    known = [F.col(c).isNotNull().alias(f"{c}__measured") for c in cols]
+    if how == "complete_case":
+        return df.dropna(subset=cols).select("*", *known)
+    if how == "median":
+        fill = {c: q[0] for c, q in column_quantiles(df, cols, [0.5]).items()}
+    elif how == "mode":
+        counts = {c: df.where(F.col(c).isNotNull()).groupBy(c).agg(F.count("*").alias("_n")) for c in cols}
+        fill = {c: row[0] for c, t in counts.items() if (row := t.agg(F.min_by(c, F.struct(-F.col("_n"), F.col(c)))).first()) is not None}  # one row a column
+    else:
+        raise ValueError(f"no way to impute by {how}")
+    return df.select(*[F.coalesce(F.col(c), F.lit(fill.get(c))).alias(c) if c in cols else F.col(c) for c in df.columns], *known)
 
 
 def rubin_pool(fits: DataFrame, term: str = "term") -> DataFrame:
@@ -143,70 +152,6 @@ def balance(df: DataFrame, treated: Column, xs: list[str], w: Column) -> DataFra
     return one.select(F.explode(F.array(*rows)).alias("x")).select("x.*").withColumn("flagged", F.abs("smd_weighted") > 0.1)
 
 
-def match(df: DataFrame, unit: str, treated: str, score: str, caliper: float, rounds: int = 50) -> DataFrame:
-    """treated_unit, control_unit, distance: pairs within the caliper, always the nearest two of those left, until none is left. Units without score or group stay alone.
-
-    Units are laid in one order by score, where the nearest pairs lie around the places at which the group changes, so no other pair is formed, however many units a caliper holds.
-    Each round takes all pairs that the rule would take next around every such place. Not settling in ``rounds`` raises.
-    """
-    left = persisted(df.select(F.col(unit).alias("_u"), F.col(treated).cast("boolean").alias("_t"), F.col(score).cast("double").alias("_s")).where("_t is not null and _s is not null"), "match")
-    done = None
-    for _ in range(rounds):
-        found = persisted(facing_pairs(left, caliper), "pairs")
-        if found.limit(1).count() == 0:
-            return done if done is not None else found
-        done = found if done is None else done.unionByName(found)
-        used = found.select(F.explode(F.array("treated_unit", "control_unit")).alias("_u"))
-        left = persisted(left.join(used, "_u", "left_anti"), "match")
-    raise RuntimeError("matching did not settle")
-
-
-def in_runs(left: DataFrame) -> DataFrame:
-    """``left`` with _run (number of its run of one group in the order of score) and _pos (place in the run, from 1). Ranges of the order are numbered alone; a row a range, and two for runs over its edges, tell where it goes on."""
-    order = ["_s", "_t", "_u"]
-    ranges = persisted(left.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()), "ranges")
-    own = Window.partitionBy("_part").orderBy(*order)
-    d = ranges.withColumn("_new", F.coalesce((F.lag("_t").over(own) != F.col("_t")).cast("long"), F.lit(0)))
-    parts = d.groupBy("_part").agg(F.min(F.struct(*order)).alias("_low"), F.max(F.struct(*order)).alias("_high"), F.sum("_new").alias("_n"))
-    w = Window.orderBy("_part")  # one row a range
-    edge = F.coalesce((F.lag("_high").over(w)["_t"] != F.col("_low._t")).cast("long"), F.lit(0))
-    first = parts.withColumn("_edge", edge).select("_part", (F.sum("_edge").over(w) + F.sum("_n").over(w) - F.col("_n")).alias("_first"))
-    d = d.join(F.broadcast(first), "_part").withColumn("_run", F.col("_first") + F.sum("_new").over(own.rowsBetween(Window.unboundedPreceding, 0)))
-    d = d.withColumn("_pos", F.row_number().over(Window.partitionBy("_part", "_run").orderBy(*order)))
-    of_run = Window.partitionBy("_run")
-    pieces = d.groupBy("_run", "_part").agg(F.count("*").alias("_n")).withColumn("_all", F.count("*").over(of_run)).where("_all > 1")
-    over = pieces.select("_run", "_part", (F.sum("_n").over(of_run.orderBy("_part")) - F.col("_n")).alias("_before"))
-    d = d.join(F.broadcast(over), ["_run", "_part"], "left")
-    return persisted(d.select(*order, "_run", (F.col("_pos") + F.coalesce("_before", F.lit(0))).alias("_pos")), "runs")
-
-
-def facing_pairs(left: DataFrame, caliper: float) -> DataFrame:
-    """treated_unit, control_unit, distance: around each place where the group changes, the k-th unit before it meets the k-th after it, if neither is nearer to the other end of its own run's other neighbour; equal distances go by a hash of the place."""
-    d = in_runs(left)
-    runs = d.groupBy("_run").agg(F.min("_s").alias("_lo"), F.max("_s").alias("_hi"), F.count("*").alias("_n"))
-    prior = runs.select((F.col("_run") + 1).alias("_run"), F.col("_hi").alias("_hi0"), F.col("_n").alias("_n0"))
-    after = runs.select((F.col("_run") - 1).alias("_run"), F.col("_lo").alias("_lo2"), F.col("_n").alias("_n2"))
-    known = persisted(runs.join(prior, "_run", "left").join(after, "_run", "left").drop("_lo", "_hi"), "neighbours")
-    total = known.agg(F.sum("_n")).first()[0] or 0
-    hot = F.col("_n") * 1000 > total  # 1000 runs at most
-    told = [c for c in known.columns if c != "_run"]
-    met = d.join(F.broadcast(known.where(hot).select("_run", F.struct(*told).alias("_hot"))), "_run", "left")
-    rows = met.where("_hot is null").drop("_hot").join(known.where(~hot), "_run").unionByName(met.where("_hot is not null").select("*", "_hot.*").drop("_hot"))
-    far, s, run = F.lit(float("inf")), F.col("_s"), F.col("_run")
-    to_prior, to_after = F.coalesce(s - F.col("_hi0"), far), F.coalesce(F.col("_lo2") - s, far)
-    key = lambda distance, place: F.struct(distance.alias("d"), F.xxhash64(place).alias("h"))
-    me = [F.col("_t").alias("t"), F.col("_u").alias("u"), s.alias("s")]
-    before = F.struct(run.alias("place"), (F.col("_n") - F.col("_pos") + 1).alias("k"), F.lit(True).alias("first"), *me, key(to_prior, run - 1).alias("other"))
-    behind = F.struct((run - 1).alias("place"), F.col("_pos").alias("k"), F.lit(False).alias("first"), *me, key(to_after, run + 1).alias("other"))
-    sides = F.array(F.when((before["k"] <= F.col("_n2")) & (to_after <= caliper), before), F.when((behind["k"] <= F.col("_n0")) & (to_prior <= caliper), behind))
-    asked = rows.select(F.explode(sides).alias("x")).where("x is not null").select("x.*")
-    side = lambda f: F.max(F.when(F.col("first") == f, F.struct("s", "t", "u", "other")))
-    p = asked.groupBy("place", "k").agg(side(True).alias("a"), side(False).alias("b")).where("a is not null and b is not null").withColumn("distance", F.col("b.s") - F.col("a.s"))
-    mine = key(F.col("distance"), F.col("place"))
-    p = p.where((F.col("distance") <= caliper) & (mine < F.col("a.other")) & (mine < F.col("b.other")))
-    return p.select(F.when(F.col("a.t"), F.col("a.u")).otherwise(F.col("b.u")).alias("treated_unit"), F.when(F.col("a.t"), F.col("b.u")).otherwise(F.col("a.u")).alias("control_unit"), "distance")
-
-
 def aipw(df: DataFrame, y: Column, treated: Column, ps: Column, m1: Column, m0: Column) -> DataFrame:
     """Doubly robust mean difference with its standard error."""
     t = treated.cast("double")

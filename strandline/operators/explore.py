@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from strandline.functions import distributions as dist
 from strandline.operators.phenotypes import Z95
+from strandline.operators.sums import with_quantiles
 from strandline.sources.tables import persisted
 
 BOUNDS = T.StructType([T.StructField("low", T.DoubleType()), T.StructField("high", T.DoubleType())])
@@ -27,11 +28,19 @@ def aggregate(df: DataFrame, groups: list[str | tuple[str, float]], stats: dict[
         test = {"in": lambda: x.isin(value[0]), "range": lambda: (x >= value[0][0]) & (x < value[0][1]), "eq": lambda: x == value[0], "null": lambda: x.isNull()}[kind]()  # noqa: B023
         df = df.where(test)
     keys = [F.col(g) if isinstance(g, str) else (F.floor(F.col(g[0]) / g[1]) * g[1]).alias(f"{g[0]}_bin") for g in groups]
-    out = [F.percentile(s[1], s[2]).alias(n) if s[0] == "quantile" else STATS[s[0]](s[1]).alias(n) for n, s in stats.items()]
-    found = persisted(df.groupBy(*keys).agg(*out), "aggregate")
+    plain = {n: STATS[s[0]](s[1]).alias(n) for n, s in stats.items() if s[0] != "quantile"}
+    found = persisted(df.groupBy(*keys).agg(F.count("*").alias("_rows"), *plain.values()), "aggregate")
     if found.limit(cap + 1).count() > cap:
         raise ValueError(f"over {cap} groups: filter, or use wider bins")
-    return found
+    names = [c for c in found.columns if c not in plain and c != "_rows"]
+    asked: dict[str, list[str]] = {}
+    for n, s in stats.items():
+        if s[0] == "quantile":
+            asked.setdefault(s[1], []).append(n)
+    for k, (c, of) in enumerate(asked.items()):
+        got = with_quantiles(found, df.select(*keys, F.col(c).alias("_value")), "_value", [stats[n][2] for n in of], names, f"_q{k}")
+        found = got.select(*found.columns, *[F.col(f"_q{k}")[i].alias(n) for i, n in enumerate(of)])
+    return found.select(*names, *stats)
 
 
 def histogram2d(df: DataFrame, x: str, y: str, dx: float, dy: float) -> DataFrame:
@@ -58,7 +67,7 @@ def crosstab(df: DataFrame, row: str, col: str) -> DataFrame:
 
 
 def conditional_summary(df: DataFrame, by: str, y: str, quantiles: tuple[float, ...] = (0.05, 0.5, 0.95)) -> DataFrame:
-    s = df.groupBy(by).agg(F.count(y).alias("n"), F.avg(y).alias("mean"), F.percentile(y, F.array(*map(F.lit, quantiles))).alias("q"))
+    s = with_quantiles(df.groupBy(by).agg(F.count(y).alias("n"), F.avg(y).alias("mean")), df, y, quantiles, [by])
     return s.select(by, "n", "mean", *[F.col("q")[k].alias(f"p{round(100 * q):02d}") for k, q in enumerate(quantiles)])
 
 

@@ -12,7 +12,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strandline.functions.timesem import md5_unit
-from strandline.operators.inference import ks, prefix_sums, psi, rank_table
+from strandline.operators.inference import ks, psi, rank_table
+from strandline.operators.sums import prefix_sums
 from strandline.sources.tables import persisted
 
 

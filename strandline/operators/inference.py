@@ -9,24 +9,10 @@ from pyspark.sql import types as T
 
 from strandline.functions import distributions as dist
 from strandline.operators.phenotypes import Z95, wilson
+from strandline.operators.sums import prefix_sums
 from strandline.sources.tables import persisted
 
 
-def prefix_sums(df: DataFrame, order: str, columns: list[str], descending: bool = False) -> DataFrame:
-    """Adds cum_<column>: running sums in the order of ``order`` (distinct in ``df``) over all rows, no row being in one task with all others.
-
-    Rows are dealt by range, each range is summed up on its own, and the ranges' totals (one row a partition) give the offsets. The dealt rows are written first, so both passes see the same ranges.
-    """
-    key = F.desc(order) if descending else F.col(order)
-    dealt = persisted(df.repartitionByRange(key).withColumn("_part", F.spark_partition_id()), "ranges")
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    totals = dealt.groupBy("_part").agg(*[F.sum(c).alias(f"_t{k}") for k, c in enumerate(columns)])
-    offsets = totals.select("_part", *[F.coalesce(F.sum(f"_t{k}").over(before), F.lit(0)).alias(f"_o{k}") for k in range(len(columns))])
-    own = Window.partitionBy("_part").orderBy(key).rowsBetween(Window.unboundedPreceding, 0)
-    run = dealt.select("*", *[F.sum(c).over(own).alias(f"_r{k}") for k, c in enumerate(columns)]).join(F.broadcast(offsets), "_part")
-    return run.select(*df.columns, *[(F.col(f"_r{k}") + F.col(f"_o{k}")).alias(f"cum_{c}") for k, c in enumerate(columns)])
-
-
 def rank_table(df: DataFrame, col: str, by: Column | None = None) -> DataFrame:
     """value, n, avg_rank of every distinct value; with ``by`` (a boolean) also n_true."""
     flags = [] if by is None else [F.count_if(by).alias("n_true")]

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from strandline.functions.timesem import md5_unit
 from strandline.operators.features import auroc
 from strandline.operators.inference import draws
+from strandline.operators.sums import column_quantiles
 from strandline.sources.tables import append_ledger, persisted
 
 
@@ -144,11 +145,10 @@ def pca(df: DataFrame, vector: str, k: int) -> DataFrame:
 
 def robust_z(df: DataFrame, cols: list[str]) -> DataFrame:
     """Adds z_<column>: distance from the median in scaled median absolute deviations; a column without deviation gives 0."""
-    med = df.agg(*[F.percentile(c, 0.5).alias(f"_m_{c}") for c in cols])
-    d = df.crossJoin(F.broadcast(med))  # one row of medians
-    mad = d.agg(*[F.percentile(F.abs(F.col(c) - F.col(f"_m_{c}")), 0.5).alias(f"_d_{c}") for c in cols])
-    d = d.crossJoin(F.broadcast(mad))  # one row of deviations
-    return d.select(*df.columns, *[F.coalesce(F.try_divide(F.col(c) - F.col(f"_m_{c}"), 1.4826 * F.col(f"_d_{c}")), F.lit(0.0)).alias(f"z_{c}") for c in cols])
+    mid = {c: q[0] for c, q in column_quantiles(df, cols, [0.5]).items()}
+    off = {c: F.abs(F.col(c) - F.lit(mid.get(c))) for c in cols}
+    mad = {c: q[0] for c, q in column_quantiles(df.select(*[x.alias(c) for c, x in off.items()]), cols, [0.5]).items()}
+    return df.select("*", *[F.coalesce(F.try_divide(F.col(c) - F.lit(mid.get(c)), F.lit(1.4826 * mad.get(c, 0.0))), F.lit(0.0)).alias(f"z_{c}") for c in cols])
 
 
 def mahalanobis(df: DataFrame, cols: list[str]) -> DataFrame:

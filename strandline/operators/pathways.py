@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strandline.functions.timesem import seconds
+from strandline.operators.sums import with_quantiles
 from strandline.sources.tables import persisted
 
 
@@ -77,8 +78,8 @@ def first_after(df: DataFrame, subject: str, time: str, a: Column, b: Column) ->
 
 
 def delay_summary(delays: DataFrame, by: list[str]) -> DataFrame:
-    q = F.percentile("hours", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
-    return delays.groupBy(*by).agg(F.count("*").alias("n"), F.count("hours").alias("n_reached"), q.alias("q")).select(*by, "n", "n_reached", F.col("q")[1].alias("median"), (F.col("q")[2] - F.col("q")[0]).alias("iqr"))
+    s = with_quantiles(delays.groupBy(*by).agg(F.count("*").alias("n"), F.count("hours").alias("n_reached")), delays, "hours", [0.25, 0.5, 0.75], by)
+    return s.select(*by, "n", "n_reached", F.col("q")[1].alias("median"), (F.col("q")[2] - F.col("q")[0]).alias("iqr"))
 
 
 def loops(paths: DataFrame) -> DataFrame:
@@ -211,4 +212,6 @@ def rolling_origin_units(filled: DataFrame, by: str, at: str, value: str, first:
     per = e.groupBy(by, "m.model").agg(F.avg(F.abs(F.col("_y") - F.col("m.f"))).alias("mae"))
     scale = filled.withColumn("_d", F.abs(v - F.lag(v).over(w))).groupBy(by).agg(F.avg("_d").alias("_scale"))
     s = per.join(scale, by).withColumn("mase", F.try_divide("mae", "_scale"))
-    return s.groupBy("model").agg(F.count("*").alias("units"), F.percentile("mae", 0.5).alias("mae"), F.percentile("mase", 0.5).alias("mase"))
+    s = persisted(s, "errors")
+    medians = with_quantiles(with_quantiles(s.groupBy("model").agg(F.count("*").alias("units")), s, "mae", [0.5], ["model"], "a"), s, "mase", [0.5], ["model"], "b")
+    return medians.select("model", "units", F.col("a")[0].alias("mae"), F.col("b")[0].alias("mase"))

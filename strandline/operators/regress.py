@@ -6,11 +6,12 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strandline.operators.causal import ols
 from strandline.operators.phenotypes import Z95
+from strandline.operators.sums import lookup, prefix_sums
 from strandline.sources.tables import persisted
 
 Sums = Callable[[np.ndarray, np.ndarray, np.ndarray], tuple[float, np.ndarray, np.ndarray]]
@@ -122,7 +123,6 @@ def cox_counting(df: DataFrame, start: str, stop: str, event: Column, xs: list[s
     own = F.col(cluster) if cluster else F.monotonically_increasing_id()
     base = persisted(df.select(F.col(start).cast("double").alias("a"), F.col(stop).cast("double").alias("z"), event.cast("int").alias("d"), k.alias("k"), own.alias("g"), *[F.col(x).cast("double").alias(f"x{i}") for i, x in enumerate(xs)]).where("z > a"), "cox")
     names = ["s", *[f"a{i}" for i in range(p)], *[f"q{i}_{j}" for i, j in pairs]]
-    down = Window.partitionBy("k").orderBy(F.desc("t")).rowsBetween(Window.unboundedPreceding, 0)
 
     def sets(beta: np.ndarray) -> DataFrame:
         w = F.exp(sum((F.col(f"x{i}") * float(b) for i, b in enumerate(beta)), F.lit(0.0)))
@@ -130,7 +130,8 @@ def cox_counting(df: DataFrame, start: str, stop: str, event: Column, xs: list[s
         e = base.withColumn("_w", w).withColumn("_e", sides).withColumn("w", F.col("_w") * F.col("_e.sign")).withColumn("d", F.when(F.col("_e.sign") > 0, F.col("d")).otherwise(0))
         sums = [F.sum("w").alias("s"), *[F.sum(F.col("w") * F.col(f"x{i}")).alias(f"a{i}") for i in range(p)], *[F.sum(F.col("w") * F.col(f"x{i}") * F.col(f"x{j}")).alias(f"q{i}_{j}") for i, j in pairs]]
         t = e.groupBy("k", F.col("_e.t").alias("t")).agg(F.sum("d").alias("d"), *sums, *[F.sum(F.col("d") * F.col(f"x{i}")).alias(f"e{i}") for i in range(p)])
-        return t.select("k", "t", "d", *[f"e{i}" for i in range(p)], *[F.sum(n).over(down).alias(n) for n in names])
+        run = prefix_sums(t, "t", names, descending=True, keys=["k"])
+        return run.select("k", "t", "d", *[f"e{i}" for i in range(p)], *[F.col(f"cum_{n}").alias(n) for n in names])
 
     beta = np.zeros(p)
     for _ in range(rounds):
@@ -146,15 +147,20 @@ def cox_counting(df: DataFrame, start: str, stop: str, event: Column, xs: list[s
             break
     else:
         raise RuntimeError("the Cox model did not converge")
-    up = Window.partitionBy("k").orderBy("t").rowsBetween(Window.unboundedPreceding, 0)
     hazard = F.when(F.col("d") > 0, F.col("d") / F.col("s")).otherwise(0.0)
     share = [F.when(F.col("d") > 0, F.col(f"a{i}") / F.col("s")).otherwise(0.0) for i in range(p)]
-    run = sets(beta).select("k", "t", F.sum(hazard).over(up).alias("h"), *[F.sum(hazard * share[i]).over(up).alias(f"m{i}") for i in range(p)], *[share[i].alias(f"b{i}") for i in range(p)])
-    run = persisted(run, "hazard")
-    at = lambda c, to: run.select("k", F.col("t").alias(to), *[F.col(n).alias(f"{c}{n}") for n in ("h", *[f"m{i}" for i in range(p)], *[f"b{i}" for i in range(p)])])
+    steps = sets(beta).select("k", "t", hazard.alias("h"), *[(hazard * share[i]).alias(f"m{i}") for i in range(p)], *[share[i].alias(f"b{i}") for i in range(p)])
+    sums = ["h", *[f"m{i}" for i in range(p)]]
+    run = prefix_sums(steps, "t", sums, keys=["k"])
+
+    def at(c: str, rows: DataFrame) -> DataFrame:
+        """The sums at each row's time ``c``; times that many rows share meet a broadcast."""
+        told = run.select("k", F.col("t").alias(c), *[F.col(f"cum_{n}").alias(f"{c}{n}") for n in sums], *[F.col(f"b{i}").alias(f"{c}b{i}") for i in range(p)])
+        return lookup(rows, base.groupBy("k", c).agg(F.count("*").alias("_n")).join(told, ["k", c]), ["k", c], "_n")
+
     w = F.exp(sum((F.col(f"x{i}") * float(b) for i, b in enumerate(beta)), F.lit(0.0)))
     res = [F.col("d") * (F.col(f"x{i}") - F.col(f"zb{i}")) - w * (F.col(f"x{i}") * (F.col("zh") - F.col("ah")) - (F.col(f"zm{i}") - F.col(f"am{i}"))) for i in range(p)]
-    scores = base.join(at("z", "z"), ["k", "z"]).join(at("a", "a"), ["k", "a"]).groupBy("g").agg(*[F.sum(r).alias(f"r{i}") for i, r in enumerate(res)])
+    scores = at("a", at("z", base)).groupBy("g").agg(*[F.sum(r).alias(f"r{i}") for i, r in enumerate(res)])
     two = scores.agg(*[F.sum(F.col(f"r{i}") * F.col(f"r{j}")).alias(f"v{i}_{j}") for i, j in pairs]).first()
     meat = np.zeros((p, p))
     for i, j in pairs:

@@ -3,40 +3,51 @@
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strandline.operators.inference import prefix_sums
+from strandline.operators.phenotypes import Z95
+from strandline.operators.sums import lookup, prefix_sums
 from strandline.sources.tables import persisted
 
 
 def risk_table(df: DataFrame, time: str, codes: dict[str, Column], group: str | None = None) -> DataFrame:
-    """group, time, at_risk and the count of each code at every distinct time. The table of distinct times is small against the rows; without a group it is summed by ranges."""
-    keys = [F.col(group).alias("group")] if group else []
-    t = df.groupBy(*keys, F.col(time).alias("time")).agg(F.count("*").alias("_n"), *[F.count_if(c).alias(n) for n, c in codes.items()])
-    if group:
-        w = Window.partitionBy("group").orderBy(F.desc("time")).rowsBetween(Window.unboundedPreceding, 0)
-        return t.withColumn("at_risk", F.sum("_n").over(w)).drop("_n")
-    return prefix_sums(t, "time", ["_n"], descending=True).withColumnRenamed("cum__n", "at_risk").drop("_n")
+    """group, time, n, at_risk and the count of each code at every distinct time; times are summed by ranges, whatever share of them a group has."""
+    keys = {"group": F.col(group).alias("group")} if group else {}
+    t = df.groupBy(*keys.values(), F.col(time).alias("time")).agg(F.count("*").alias("n"), *[F.count_if(c).alias(n) for n, c in codes.items()])
+    return prefix_sums(t, "time", ["n"], descending=True, keys=list(keys)).withColumnRenamed("cum_n", "at_risk")
 
 
-def km(df: DataFrame, time: str, event: Column, group: str) -> DataFrame:
-    """group, time, at_risk, events, survival and its log-log bounds at the event times."""
+def log_steps(gone: Column, at_risk: Column) -> list[Column]:
+    """_step, the log of the share that is left, and _end, which is 1 where nobody is: sums of both give a product that may reach zero."""
+    some = at_risk > gone
+    return [F.when(some, F.log(F.when(some, 1 - gone / at_risk).otherwise(F.lit(1.0)))).otherwise(0.0).alias("_step"), (~some).cast("int").alias("_end")]
+
+
+def km(df: DataFrame, time: str, event: Column, group: str | None = None) -> DataFrame:
+    """group, time, at_risk, events, survival and its log-log bounds (null at 1 and 0) at the event times."""
+    keys = ["group"] if group else []
     t = risk_table(df, time, {"events": event}, group).where("events > 0")
-    w = Window.partitionBy("group").orderBy("time").rowsBetween(Window.unboundedPreceding, 0)
-    alive = F.col("at_risk") > F.col("events")
-    step = F.when(alive, F.log(F.when(alive, 1 - F.col("events") / F.col("at_risk")).otherwise(F.lit(1.0)))).otherwise(F.lit(float("-inf")))
-    s = t.withColumn("survival", F.exp(F.sum(step).over(w))).withColumn("_v", F.sum(F.try_divide(F.col("events"), F.col("at_risk") * (F.col("at_risk") - F.col("events")))).over(w))
+    at, d = F.col("at_risk"), F.col("events")
+    t = t.select(*keys, "time", "at_risk", "events", *log_steps(d, at), F.coalesce(F.try_divide(d, at * (at - d)), F.lit(0.0)).alias("_v"))
+    s = prefix_sums(t, "time", ["_step", "_end", "_v"], keys=keys).withColumn("survival", F.when(F.col("cum__end") > 0, 0.0).otherwise(F.exp("cum__step")))
     inside = (F.col("survival") > 0) & (F.col("survival") < 1)
-    ls = F.log(F.when(inside, F.col("survival")))
-    half = 1.959963984540054 * F.sqrt(F.col("_v")) / F.abs(ls)
-    return s.withColumn("low", F.when(inside, F.pow("survival", F.exp(half)))).withColumn("high", F.when(inside, F.pow("survival", F.exp(-half)))).drop("_v")
+    half = Z95 * F.sqrt("cum__v") / F.abs(F.log(F.when(inside, F.col("survival"))))
+    return s.select(*keys, "time", "at_risk", "events", "survival", F.when(inside, F.pow("survival", F.exp(half))).alias("low"), F.when(inside, F.pow("survival", F.exp(-half))).alias("high"))
+
 
+def survival_quantiles(curve: DataFrame, probs: list[float], group: str | None = "group") -> DataFrame:
+    """group, prob, time, low, high: the first event time at which survival has fallen to 1 - prob or below, and those of its upper and lower bounds (the latter is the earlier); null where a curve doesn't fall so far. ``curve`` is what ``km`` gave."""
+    fell = lambda c, p: F.min(F.when(F.coalesce(F.col(c), F.col("survival")) <= 1 - p + 1e-12, F.col("time")))
+    rows = [F.struct(F.lit(float(p)).alias("prob"), fell("survival", p).alias("time"), fell("low", p).alias("low"), fell("high", p).alias("high")) for p in probs]
+    return curve.groupBy(*([group] if group else [])).agg(F.array(*rows).alias("x")).select(*([group] if group else []), F.explode("x").alias("x")).select(*([group] if group else []), "x.*")
 
-def logrank(df: DataFrame, time: str, event: Column, first: Column) -> DataFrame:
-    """observed, expected, variance and chi2 of the group ``first`` against the others."""
-    t = risk_table(df.withColumn("_g", first), time, {"d": event, "d1": event & F.col("_g"), "_c1": F.col("_g")})
-    t = prefix_sums(t, "time", ["_c1"], descending=True).withColumnRenamed("cum__c1", "n1").where("d > 0")
+
+def logrank(df: DataFrame, time: str, event: Column, first: Column, stratum: str | None = None) -> DataFrame:
+    """observed, expected, variance and chi2 of the group ``first`` against the others; with ``stratum`` each has its own sets at risk and the sums go over strata."""
+    keys = ["group"] if stratum else []
+    t = risk_table(df.withColumn("_g", first), time, {"d": event, "d1": event & F.col("_g"), "_c1": F.col("_g")}, stratum)
+    t = prefix_sums(t, "time", ["_c1"], descending=True, keys=keys).withColumnRenamed("cum__c1", "n1").where("d > 0")
     n, d, n1 = (F.col(c).cast("double") for c in ("at_risk", "d", "n1"))
     e = d * n1 / n
     v = F.when(n > 1, e * (1 - n1 / n) * F.try_divide(n - d, n - 1)).otherwise(0.0)
@@ -44,16 +55,16 @@ def logrank(df: DataFrame, time: str, event: Column, first: Column) -> DataFrame
     return s.withColumn("chi2", F.try_divide((F.col("observed") - F.col("expected")) ** 2, F.col("variance")))
 
 
-def aalen_johansen(df: DataFrame, time: str, code: str, group: str) -> DataFrame:
+def aalen_johansen(df: DataFrame, time: str, code: str, group: str | None = None) -> DataFrame:
     """group, time, at_risk, cif1, cif2, survival at event times; codes 1 and 2 compete, events at a time are before censorings there."""
+    keys = ["group"] if group else []
     t = risk_table(df, time, {"d1": F.col(code) == 1, "d2": F.col(code) == 2}, group).where("d1 + d2 > 0")
-    w = Window.partitionBy("group").orderBy("time")
-    upto = w.rowsBetween(Window.unboundedPreceding, 0)
-    d = F.col("d1") + F.col("d2")
-    alive = F.col("at_risk") > d
-    step = F.when(alive, F.log(F.when(alive, 1 - d / F.col("at_risk")).otherwise(F.lit(1.0)))).otherwise(F.lit(float("-inf")))
-    s = t.withColumn("_s", F.exp(F.sum(step).over(upto))).withColumn("_p", F.coalesce(F.lag("_s").over(w), F.lit(1.0)))
-    return s.select("group", "time", "at_risk", F.sum(F.col("_p") * F.col("d1") / F.col("at_risk")).over(upto).alias("cif1"), F.sum(F.col("_p") * F.col("d2") / F.col("at_risk")).over(upto).alias("cif2"), F.col("_s").alias("survival"))
+    t = t.select(*keys, "time", "at_risk", "d1", "d2", *log_steps(F.col("d1") + F.col("d2"), F.col("at_risk")))
+    s = prefix_sums(t, "time", ["_step", "_end"], keys=keys)
+    left = lambda ends, steps: F.when(ends > 0, 0.0).otherwise(F.exp(steps))
+    before = left(F.col("cum__end") - F.col("_end"), F.col("cum__step") - F.col("_step"))
+    s = s.select(*keys, "time", "at_risk", left(F.col("cum__end"), F.col("cum__step")).alias("survival"), *[(before * F.col(d) / F.col("at_risk")).alias(c) for d, c in (("d1", "cif1"), ("d2", "cif2"))])
+    return prefix_sums(s, "time", ["cif1", "cif2"], keys=keys).select(*keys, "time", "at_risk", F.col("cum_cif1").alias("cif1"), F.col("cum_cif2").alias("cif2"), "survival")
 
 
 def mcf(rows: DataFrame, start: str, stop: str, event: str) -> DataFrame:
@@ -98,11 +109,14 @@ def cox(df: DataFrame, time: str, event: Column, covariates: list[str], rounds:
 
 
 def aft_weibull(df: DataFrame, time: str, event: Column, covariates: list[str]) -> DataFrame:
-    """term, coefficient of the accelerated failure time model, with the intercept and the scale."""
+    """term, coefficient of the accelerated failure time model, with the intercept and the scale. Times must be positive: others raise."""
+    early = df.where(F.col(time) <= 0).count()
+    if early:
+        raise ValueError(f"{early} rows have no positive {time}")
     from pyspark.ml.feature import VectorAssembler
     from pyspark.ml.regression import AFTSurvivalRegression
 
-    data = VectorAssembler(inputCols=covariates, outputCol="features").transform(df.where(F.col(time) > 0).select(*covariates, F.col(time).cast("double").alias("label"), event.cast("double").alias("censor")))
+    data = VectorAssembler(inputCols=covariates, outputCol="features").transform(df.where(F.col(time).isNotNull()).select(*covariates, F.col(time).cast("double").alias("label"), event.cast("double").alias("censor")))
     m = AFTSurvivalRegression().fit(data)
     rows = [("(intercept)", float(m.intercept)), *zip(covariates, map(float, m.coefficients), strict=True), ("(scale)", float(m.scale))]
     return df.sparkSession.createDataFrame(rows, "term string, coefficient double")
@@ -113,13 +127,18 @@ def landmark(df: DataFrame, time: str, at: float) -> DataFrame:
     return df.where(F.col(time) > at).withColumn(time, F.col(time) - at)
 
 
+def uncensored(df: DataFrame, keys: list[str], name: str) -> DataFrame:
+    """keys, time, n and minus the log of the probability of being uncensored just before that time, for rows (time, _e: had the event)."""
+    t = risk_table(df, "time", {"_c": ~F.col("_e")}, *keys)
+    some = F.col("at_risk") > F.col("_c")
+    step = F.when(some, -F.log(F.when(some, 1 - F.col("_c") / F.col("at_risk")).otherwise(F.lit(1.0)))).otherwise(F.lit(700.0))
+    return prefix_sums(t.select(*keys, "time", "n", step.alias("_l")), "time", ["_l"], keys=keys).select(*keys, "time", "n", (F.col("cum__l") - F.col("_l")).alias(name))
+
+
 def ipcw(df: DataFrame, unit: str, time: str, event: Column, most: float = 20.0) -> DataFrame:
-    """unit, weight: for rows with the event 1 / the probability of being uncensored just before it, at most ``most``; 0 for censored rows."""
-    d = df.select(unit, F.col(time).alias("time"), event.alias("_e"))
-    t = risk_table(d, "time", {"_c": ~F.col("_e")})
-    kept = F.when(F.col("at_risk") > F.col("_c"), -F.log(F.when(F.col("at_risk") > F.col("_c"), 1 - F.col("_c") / F.col("at_risk")).otherwise(F.lit(1.0)))).otherwise(F.lit(700.0))
-    g = prefix_sums(t.select("time", kept.alias("_l")), "time", ["_l"]).select("time", (F.col("cum__l") - F.col("_l")).alias("_before"))
-    return d.join(g, "time").select(unit, F.when(F.col("_e"), F.least(F.exp("_before"), F.lit(most))).otherwise(0.0).alias("weight"))
+    """unit, weight: for rows with the event 1 / the probability of being uncensored just before it, at most ``most``; 0 for censored rows. Times that many rows share, such as the end of the study, meet a broadcast."""
+    d = df.select(unit, F.col(time).alias("time"), event.alias("_e")).where("time is not null")
+    return lookup(d, uncensored(d, [], "_before"), ["time"], "n").select(unit, F.when(F.col("_e"), F.least(F.exp("_before"), F.lit(most))).otherwise(0.0).alias("weight"))
 
 
 def person_period(df: DataFrame, unit: str, time: str, code: str, step: float) -> DataFrame:
@@ -149,17 +168,6 @@ def stabilized_ipcw(df: DataFrame, unit: str, time: str, event: Column, group: s
 
     Curves are over distinct times; ``causal.ess`` of the weights tells how many rows they are worth.
     """
-    d = df.select(unit, F.col(time).alias("time"), event.alias("_e"), F.col(group).alias("group"))
-
-    def curve(t: DataFrame, name: str, keys: list[str]) -> DataFrame:
-        gone, left = F.col("_c"), F.col("at_risk")
-        step = F.when(left > gone, -F.log(F.when(left > gone, 1 - gone / left).otherwise(F.lit(1.0)))).otherwise(F.lit(700.0))
-        if not keys:
-            return prefix_sums(t.select("time", step.alias("_l")), "time", ["_l"]).select("time", (F.col("cum__l") - F.col("_l")).alias(name))
-        before = Window.partitionBy(*keys).orderBy("time").rowsBetween(Window.unboundedPreceding, -1)
-        return t.select(*keys, "time", F.coalesce(F.sum(step).over(before), F.lit(0.0)).alias(name))
-
-    codes = {"_c": ~F.col("_e")}
-    every, own = curve(risk_table(d, "time", codes), "_k0", []), curve(risk_table(d, "time", codes, "group"), "_k1", ["group"])
-    w = F.when(F.col("_e"), F.least(F.exp(F.col("_k1") - F.col("_k0")), F.lit(most))).otherwise(0.0)
-    return d.join(every, "time").join(own, ["group", "time"]).select(unit, "group", w.alias("weight"))
+    d = df.select(unit, F.col(time).alias("time"), event.alias("_e"), F.col(group).alias("group")).where("time is not null and group is not null")
+    d = lookup(lookup(d, uncensored(d, [], "_k0"), ["time"], "n"), uncensored(d, ["group"], "_k1"), ["group", "time"], "n")
+    return d.select(unit, "group", F.when(F.col("_e"), F.least(F.exp(F.col("_k1") - F.col("_k0")), F.lit(most))).otherwise(0.0).alias("weight"))

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from strandline.functions.timesem import hours_since
 from strandline.operators.disclosure import suppress
+from strandline.operators.sums import quantiles_of, same_keys, with_quantiles
+from strandline.sources.tables import persisted
 
 SPINE = ["subject_id", "hadm_id", "time", "code", "numeric_value", "text_value", "source"]
 
@@ -91,8 +93,8 @@ def item_bins(aligned: DataFrame, keys: list[str], item: str, value: str, tiebre
 
 def item_summary(df: DataFrame, item: str, value: str, unit: str, n_units: int) -> DataFrame:
     """item, n, n_units, share of units measured, p01, p50, p99 (exact)."""
-    p = F.percentile(value, F.array(F.lit(0.01), F.lit(0.5), F.lit(0.99)))
-    s = df.groupBy(item).agg(F.count("*").alias("n"), F.countDistinct(unit).alias("n_units"), p.alias("p"))
+    s = df.groupBy(item).agg(F.count("*").alias("n"), F.countDistinct(unit).alias("n_units"))
+    s = with_quantiles(s, df, value, [0.01, 0.5, 0.99], [item], "p")
     return s.select(item, "n", "n_units", (F.col("n_units") / n_units).alias("share"), F.col("p")[0].alias("p01"), F.col("p")[1].alias("p50"), F.col("p")[2].alias("p99"))
 
 
@@ -104,10 +106,14 @@ def hourly_mart(bins: DataFrame, keys: list[str], item: str, items: list[str], c
 
 def hourly_population(df: DataFrame, hour: str, item: str, era: str, value: str) -> DataFrame:
     """Per hour, item and era, and over all eras (era 'all'): n, mean, p05, p50, p95 (exact)."""
-    p = F.percentile(value, F.array(F.lit(0.05), F.lit(0.5), F.lit(0.95)))
-    g = df.groupingSets([[F.col(hour), F.col(item), F.col(era)], [F.col(hour), F.col(item)]], F.col(hour), F.col(item), F.col(era))
-    s = g.agg(F.grouping(era).alias("_all"), F.count(value).alias("n"), F.avg(value).alias("mean"), p.alias("p"))
-    return s.select(hour, item, F.when(F.col("_all") == 1, "all").otherwise(F.col(era).cast("string")).alias("era"), "n", "mean", F.col("p")[0].alias("p05"), F.col("p")[1].alias("p50"), F.col("p")[2].alias("p95"))
+    keys = [hour, item, "era"]
+    one = df.select(hour, item, F.col(era).cast("string").alias("era"), F.col(value).cast("double").alias("_v")).groupBy(*keys, "_v").agg(F.count("*").alias("_n"))
+    both = one.unionByName(one.groupBy(hour, item, "_v").agg(F.sum("_n").alias("_n")).withColumn("era", F.lit("all")))  # all eras, from the counts of each
+    both = persisted(both, "values")
+    s = both.groupBy(*keys).agg(F.sum(F.when(F.col("_v").isNotNull(), F.col("_n")).otherwise(0)).alias("n"), F.try_divide(F.sum(F.col("_v") * F.col("_n")), F.sum(F.when(F.col("_v").isNotNull(), F.col("_n")))).alias("mean"))
+    q = quantiles_of(both.where("_v is not null"), [0.05, 0.5, 0.95], keys).withColumnRenamed("q", "p")
+    s = s.join(q, same_keys(s, q, keys), "left").select(s["*"], q["p"])
+    return s.select(hour, item, "era", "n", "mean", F.col("p")[0].alias("p05"), F.col("p")[1].alias("p50"), F.col("p")[2].alias("p95"))
 
 
 def last_known(df: DataFrame, by: list[str], at: str, value: str, most: int) -> Column:

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from strandline.operators import causal as ca
 from strandline.operators import inference as n
+from strandline.operators import matching
 from strandline.operators import survival as s
 from strandline.plans.q_explore import TTE, tte
 from strandline.plans.q_temporal import STAY, stays
@@ -132,10 +133,18 @@ def surv(spark, sf):
     return tte(spark, sf).withColumn("grp", (F.col("user_id") % 2).cast("int"))
 
 
-@query("p1_km", f"WITH {RT} SELECT g AS \"group\", round(time, 6) AS time, n::BIGINT AS at_risk, d1 AS events, round(exp(sum(ln(1 - d1 / n)) OVER (PARTITION BY g ORDER BY time)), 6) AS survival FROM rk WHERE d1 > 0 AND n > d1")
+KM = f"""{RT}, ks AS (SELECT *, coalesce(sum(CASE WHEN n > d1 THEN ln(1 - d1 / n) END) OVER w, 0) AS l, max((n = d1)::INT) OVER w AS dead, coalesce(sum(CASE WHEN n > d1 THEN d1 / (n * (n - d1)) END) OVER w, 0) AS v FROM rk WHERE d1 > 0 WINDOW w AS (PARTITION BY g ORDER BY time)), km AS (SELECT g, time, n, d1, CASE WHEN dead = 1 THEN 0 ELSE exp(l) END AS s, v FROM ks)"""
+
+
+@query("p1_km", f"""WITH {KM} SELECT g AS "group", round(time, 6) AS time, n::BIGINT AS at_risk, d1 AS events, round(s, 6) AS survival, CASE WHEN s > 0 AND s < 1 THEN round(pow(s, exp(1.959963984540054 * sqrt(v) / abs(ln(s)))), 6) END AS low, CASE WHEN s > 0 AND s < 1 THEN round(pow(s, exp(-1.959963984540054 * sqrt(v) / abs(ln(s)))), 6) END AS high FROM km""")
 def p1(spark, sf):
-    k = s.km(surv(spark, sf), "days", F.col("code") == 1, "grp")
-    return rounded(k.where("at_risk > events").select("group", "time", "at_risk", "events", "survival"), "time", "survival")
+    return rounded(s.km(surv(spark, sf), "days", F.col("code") == 1, "grp"), "time", "survival", "low", "high")
+
+
+@query("p1b_survival_quantiles", f"""WITH {KM}, b AS (SELECT *, CASE WHEN s > 0 AND s < 1 THEN pow(s, exp(1.959963984540054 * sqrt(v) / abs(ln(s)))) ELSE s END AS lo, CASE WHEN s > 0 AND s < 1 THEN pow(s, exp(-1.959963984540054 * sqrt(v) / abs(ln(s)))) ELSE s END AS hi FROM km)
+SELECT g AS "group", p::DOUBLE AS prob, round(min(time) FILTER (s <= 1 - p + 1e-12), 6) AS time, round(min(time) FILTER (lo <= 1 - p + 1e-12), 6) AS low, round(min(time) FILTER (hi <= 1 - p + 1e-12), 6) AS high FROM b, (VALUES (0.25), (0.5), (0.75)) q(p) GROUP BY 1, 2""")
+def p1b(spark, sf):
+    return rounded(s.survival_quantiles(s.km(surv(spark, sf), "days", F.col("code") == 1, "grp"), [0.25, 0.5, 0.75]), "time", "low", "high")
 
 
 @query("p2_logrank", f"""WITH {TTE}, t AS (SELECT days AS time, count(*) FILTER (code = 1) AS d, count(*) FILTER (code = 1 AND user_id % 2 = 0) AS d1, count(*) AS c, count(*) FILTER (user_id % 2 = 0) AS c1 FROM tte GROUP BY 1), k AS (SELECT *, sum(c) OVER (ORDER BY time DESC)::DOUBLE AS n, sum(c1) OVER (ORDER BY time DESC)::DOUBLE AS n1 FROM t),
@@ -144,6 +153,13 @@ def p2(spark, sf):
     return rounded(s.logrank(surv(spark, sf), "days", F.col("code") == 1, F.col("grp") == 0), "expected", "variance", "chi2")
 
 
+@query("p2b_logrank_strata", f"""WITH {TTE}, t AS (SELECT user_id % 3 AS st, days AS time, count(*) FILTER (code = 1) AS d, count(*) FILTER (code = 1 AND user_id % 2 = 0) AS d1, count(*) AS c, count(*) FILTER (user_id % 2 = 0) AS c1 FROM tte GROUP BY 1, 2), k AS (SELECT *, sum(c) OVER w::DOUBLE AS n, sum(c1) OVER w::DOUBLE AS n1 FROM t WINDOW w AS (PARTITION BY st ORDER BY time DESC)),
+e AS (SELECT d1, d * n1 / n AS e, CASE WHEN n > 1 THEN d * n1 / n * (1 - n1 / n) * (n - d) / (n - 1) ELSE 0 END AS v FROM k WHERE d > 0) SELECT sum(d1)::BIGINT AS observed, round(sum(e), 6) AS expected, round(sum(v), 6) AS variance, round(pow(sum(d1) - sum(e), 2) / sum(v), 6) AS chi2 FROM e""")
+def p2b(spark, sf):
+    d = surv(spark, sf).withColumn("st", F.col("user_id") % 3)
+    return rounded(s.logrank(d, "days", F.col("code") == 1, F.col("grp") == 0, "st"), "expected", "variance", "chi2")
+
+
 @query("p3_aalen_johansen", f"""WITH {RT}, x AS (SELECT *, CASE WHEN n > d1 + d2 THEN ln(1 - (d1 + d2) / n) ELSE -700 END AS l FROM rk WHERE d1 + d2 > 0), y AS (SELECT *, coalesce(exp(sum(l) OVER (PARTITION BY g ORDER BY time ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)), 1) AS p, exp(sum(l) OVER (PARTITION BY g ORDER BY time)) AS sv FROM x)
 SELECT g AS "group", round(time, 6) AS time, n::BIGINT AS at_risk, round(sum(p * d1 / n) OVER (PARTITION BY g ORDER BY time), 6) AS cif1, round(sum(p * d2 / n) OVER (PARTITION BY g ORDER BY time), 6) AS cif2, round(sv, 6) AS survival FROM y""")
 def p3(spark, sf):
@@ -219,7 +235,13 @@ def q3(spark, sf):
 @query("q4_match")
 def q4(spark, sf):
     d = load(spark, sf, "customer").select("c_custkey", (F.col("c_custkey") % 5 == 0).alias("t"), (F.col("c_acctbal") / 1000).alias("s"))
-    return ca.match(d, "c_custkey", "t", "s", 0.2)
+    return matching.match(d, "c_custkey", "t", "s", 0.2)
+
+
+@query("q4b_matched_sets")
+def q4b(spark, sf):
+    d = load(spark, sf, "customer").select("c_custkey", (F.col("c_custkey") % 5 == 0).alias("t"), (F.col("c_acctbal") / 1000).alias("s"))
+    return rounded(matching.matched_sets(d, "c_custkey", "t", "s", 0.2, 3), "distance")
 
 
 def _bal(v):

@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 
 from strandline.functions import distributions as dist
 from strandline.functions import timesem as ts
-from strandline.operators import causal, cohorts, disclosure, features, inference, joins, pathways, phenotypes, survival, text, windows
+from strandline.operators import causal, cohorts, disclosure, features, inference, joins, matching, pathways, phenotypes, sums, survival, text, windows
 from strandline.operators import checks as ch
 from strandline.sources import tables as src
 
@@ -175,7 +175,7 @@ def test_resampling_repeats(spark, sf):
 
 def test_matching_invariants(spark):
     df = spark.range(60).selectExpr("id", "id % 3 = 0 as t", "(id * 37 % 101) / 101.0D as s")
-    pairs = causal.match(df, "id", "t", "s", 0.05).collect()
+    pairs = matching.match(df, "id", "t", "s", 0.05).collect()
     assert pairs and all(p["distance"] <= 0.05 for p in pairs)
     assert len({p["treated_unit"] for p in pairs}) == len({p["control_unit"] for p in pairs}) == len(pairs)
 
@@ -191,15 +191,154 @@ def test_matching_takes_the_nearest_pair_left(spark):
         want.add((t, c))
         left = [r for r in left if r[0] not in (t, c)]
     df = spark.createDataFrame(rows, "id long, t boolean, s double")
-    assert {(r["treated_unit"], r["control_unit"]) for r in causal.match(df, "id", "t", "s", 0.05).collect()} == want
+    assert {(r["treated_unit"], r["control_unit"]) for r in matching.match(df, "id", "t", "s", 0.05).collect()} == want
     # a third of all rows on one score, and a long run of one group beside another: few rounds do
     tied = spark.range(3000).selectExpr("id", "id % 2 = 0 or id > 2900 as t", "case when id < 1000 then 0.5D else floor(id / 700) * 1.0D end as s")
-    pairs = causal.match(tied, "id", "t", "s", 0.2, rounds=6).collect()
+    pairs = matching.match(tied, "id", "t", "s", 0.2, rounds=6).collect()
     n = {k: [r["n"] for r in tied.where(f"s = {k}").groupBy("t").agg(F.count("*").alias("n")).collect()] for k in (0.5, 1, 2, 3, 4)}
     assert len(pairs) == sum(min(x) for x in n.values() if len(x) == 2) and all(p["distance"] == 0 for p in pairs)
     assert len({p["treated_unit"] for p in pairs}) == len({p["control_unit"] for p in pairs}) == len(pairs)
 
 
+def sequential(units, caliper):
+    """(treated, control) by always taking the nearest two neighbours of what is left; units are (unit, treated, score)."""
+    left, out = sorted(units, key=lambda r: (r[2], r[1], r[0])), []
+    while True:
+        near = [(*matching.key(a[2], b[2]), k) for k, (a, b) in enumerate(zip(left, left[1:])) if a[1] != b[1] and b[2] - a[2] <= caliper]
+        if not near:
+            return out
+        k = min(near)[-1]
+        a, b = left[k : k + 2]
+        out.append((a[0], b[0]) if a[1] else (b[0], a[0]))
+        del left[k : k + 2]
+
+
+@pytest.mark.parametrize("block", [64])
+def test_matching_in_blocks_is_sequential(spark, block):
+    """Ties, equal gaps, growing gaps and runs of one group over the edges of small blocks."""
+    rng = random.Random(block)
+    for kind in range(4):
+        score = [lambda n: float(n), lambda n: rng.randint(0, 40) / 4, lambda n: n * n / 50, lambda n: rng.random()][kind]
+        rows = [(n, n % 2 == 0 if kind in (0, 2) else rng.random() < 0.4, score(n)) for n in range(200)]
+        df = spark.createDataFrame(rows, "id long, t boolean, s double")
+        got = {(r["treated_unit"], r["control_unit"]) for r in matching.match(df, "id", "t", "s", 3.0, rounds=20, block=block).collect()}
+        assert got == set(sequential(rows, 3.0))
+
+
+def test_a_part_of_the_order_settles_what_nothing_outside_changes():
+    """Whatever lies outside: pairs of a part are pairs of the whole."""
+    rng = random.Random(3)
+    for _ in range(200):
+        n = rng.randint(4, 40)
+        kind = rng.choice([lambda k: rng.random(), lambda k: rng.randint(0, 9) / 2, lambda k: k * k / 9.0, lambda k: float(k)])
+        units = sorted(((k, rng.random() < 0.5, kind(k)) for k in range(n)), key=lambda r: (r[2], r[1], r[0]))
+        a, z = sorted(rng.sample(range(n + 1), 2))
+        part = units[a:z]
+        pairs, still = matching.settle([r[2] for r in part], [r[1] for r in part], *({g: f((r[2] for r in rest if r[1] == g), default=None) for g in (True, False)} for f, rest in ((max, units[:a]), (min, units[z:]))), 2.0)
+        whole = {frozenset(p) for p in sequential(units, 2.0)}
+        got = {frozenset((part[i][0], part[j][0])) for i, j in pairs}
+        assert got <= whole
+        known = {r[0] for r in part} - {part[k][0] for k in still}
+        assert got == {p for p in whole if p & known}
+
+
+def test_growing_gaps_settle_and_sets_have_k_controls(spark):
+    df = spark.range(100_000).selectExpr("id", "id % 2 = 0 as t", "cast(id * id as double) as s")
+    got = {(r[0], r[1]) for r in matching.match(df, "id", "t", "s", 1e12, rounds=9).select("treated_unit", "control_unit").collect()}
+    assert got == {(k, k + 1) for k in range(0, 100_000, 2)}
+    rng = random.Random(8)
+    rows = [(n, rng.random() < 0.2, rng.random()) for n in range(300)]
+    df = spark.createDataFrame(rows, "id long, t boolean, s double")
+    left, want = rows, []
+    for turn in (1, 2, 3):
+        pairs = sequential(left, 0.05)
+        want += [(t, c, turn) for t, c in pairs]
+        left = [r for r in left if (r[0] in {t for t, _ in pairs}) == r[1] and r[0] not in {c for _, c in pairs}]
+    got = matching.matched_sets(df, "id", "t", "s", 0.05, 3, block=64).collect()
+    assert sorted((r["set_id"], r["unit"], r["turn"]) for r in got if not r["treated"]) == sorted(want)
+    assert sorted(r["unit"] for r in got if r["treated"]) == sorted({t for t, _, _ in want})
+
+
+@pytest.fixture
+def thirteen(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "13")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    yield
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_keyed_sums_and_quantiles_of_loops(spark, thirteen):
+    """One key holds most rows and lies in many ranges; null keys are a key; totals are those of the key."""
+    import numpy as np
+
+    rng = random.Random(2)
+    rows = [(rng.choice(["hot"] * 8 + ["b", None, "c", "solo"]), n, rng.choice([None, rng.random(), rng.randint(0, 3) / 2])) for n in range(3000)] + [("empty", 9000, None), ("one", 9001, 5.0)]
+    df = spark.createDataFrame(rows, "k string, n long, v double")
+    got = {(r["k"], r["n"]): (r["cum_v"], r["all_v"]) for r in sums.prefix_sums(df.fillna(0.0, ["v"]), "n", ["v"], descending=True, keys=["k"], totals=True).collect()}
+    for k in {r[0] for r in rows}:
+        own = sorted((r for r in rows if r[0] == k), key=lambda r: -r[1])
+        run = 0.0
+        for r in own:
+            run += r[2] or 0
+            assert got[k, r[1]] == (pytest.approx(run), pytest.approx(sum(x[2] or 0 for x in own)))
+    assert df.repartitionByRange("k", "n").where("k = 'hot'").select(F.spark_partition_id()).distinct().count() > 5
+    q = {r["k"]: r["q"] for r in sums.quantiles(df, "v", [0, 0.05, 0.5, 0.99, 1], ["k"]).collect()}
+    for k in {r[0] for r in rows} - {"empty"}:
+        assert q[k] == pytest.approx(np.quantile([r[2] for r in rows if r[0] == k and r[2] is not None], [0, 0.05, 0.5, 0.99, 1]))
+    assert "empty" not in q and sums.quantiles(df, "v", [0.5]).first()["q"][0] == pytest.approx(np.median([r[2] for r in rows if r[2] is not None]))
+    assert sums.with_quantiles(df.groupBy("k").count(), df, "v", [0.5], ["k"]).where("k = 'empty'").first()["q"] is None
+    assert sums.quantiles(df.where("false"), "v", [0.5], ["k"]).count() == 0
+    found = df.groupBy("k").agg(F.count("*").alias("m"), F.max("n").alias("top")).where("k is not null")
+    assert sums.lookup(df.where("k is not null"), found, ["k"], "m").count() == sum(r[0] is not None for r in rows)
+
+
+def test_curves_of_one_group_in_many_ranges(spark, thirteen):
+    """Continuous times of one group: the loop's curve, bounds, incidences and log-rank by strata."""
+    rng = random.Random(4)
+    rows = [(rng.choice([rng.random() * 9, float(rng.randint(1, 9))]), rng.choice([0, 1, 1, 2]), "all", rng.randint(0, 1), rng.randint(0, 2)) for _ in range(1500)] + [(20.0, 1, "all", 0, 0)]
+    df = spark.createDataFrame(rows, "t double, c int, g string, a int, st int")
+    km = {r["time"]: r for r in survival.km(df, "t", F.col("c") == 1, "g").collect()}
+    aj = {r["time"]: r for r in survival.aalen_johansen(df, "t", "c", "g").collect()}
+    alive, v, s, c1, c2 = 1.0, 0.0, 1.0, 0.0, 0.0
+    for t in sorted({r[0] for r in rows}):
+        n, d1, d2 = sum(r[0] >= t for r in rows), sum(r[0] == t and r[1] == 1 for r in rows), sum(r[0] == t and r[1] == 2 for r in rows)
+        c1, c2, s = c1 + s * d1 / n, c2 + s * d2 / n, s * (1 - (d1 + d2) / n)
+        if d1 + d2:
+            assert (aj[t]["cif1"], aj[t]["cif2"], aj[t]["survival"]) == pytest.approx((c1, c2, s), abs=1e-9)
+        if d1:
+            alive *= 1 - d1 / n
+            v += d1 / (n * (n - d1)) if n > d1 else 0
+            assert (km[t]["at_risk"], km[t]["events"], km[t]["survival"]) == (n, d1, pytest.approx(alive, abs=1e-9))
+            if 0 < alive < 1:
+                half = 1.959963984540054 * math.sqrt(v) / abs(math.log(alive))
+                assert (km[t]["low"], km[t]["high"]) == pytest.approx((alive ** math.exp(half), alive ** math.exp(-half)))
+    assert len(km) == len({r[0] for r in rows if r[1] == 1}) and km[20.0]["survival"] == 0 and km[20.0]["low"] is None
+    median = survival.survival_quantiles(survival.km(df, "t", F.col("c") == 1, "g"), [0.5]).first()
+    assert median["time"] == min(t for t, r in km.items() if r["survival"] <= 0.5) and median["low"] <= median["time"] <= median["high"]
+    o = e = var = 0.0
+    for st in range(3):
+        own = [r for r in rows if r[4] == st]
+        for t in {r[0] for r in own if r[1] == 1}:
+            n, n1, d, d1 = sum(r[0] >= t for r in own), sum(r[0] >= t and r[3] == 1 for r in own), sum(r[0] == t and r[1] == 1 for r in own), sum(r[0] == t and r[1] == 1 and r[3] == 1 for r in own)
+            o, e = o + d1, e + d * n1 / n
+            var += d * n1 / n * (1 - n1 / n) * (n - d) / (n - 1) if n > 1 else 0
+    got = survival.logrank(df, "t", F.col("c") == 1, F.col("a") == 1, "st").first()
+    assert (got["observed"], got["expected"], got["variance"], got["chi2"]) == pytest.approx((o, e, var, (o - e) ** 2 / var))
+    w = {r["k"]: r["weight"] for r in survival.ipcw(df.withColumn("k", F.monotonically_increasing_id()), "k", "t", F.col("c") == 1).collect()}
+    assert len(w) == len(rows)
+    with pytest.raises(ValueError):
+        survival.aft_weibull(df.withColumn("t", F.col("t") - 5), "t", F.col("c") == 1, ["a"])
+
+
+def test_fills(spark):
+    df = spark.createDataFrame([(1.0, "b"), (4.0, "a"), (None, "b"), (10.0, None), (11.0, "a")], "x double, s string")
+    assert sorted(r["x"] for r in causal.impute(df, ["x"]).collect()) == [1, 4, 7, 10, 11]
+    assert [r["s"] for r in causal.impute(df, ["s"], "mode").where("not s__measured").collect()] == ["a"]
+    assert causal.impute(df, ["x", "s"], "complete_case").count() == 3
+
+
 def test_scores(spark):
     df = spark.createDataFrame([(0.1, False), (0.2, False), (0.8, True), (0.9, True)], "p double, y boolean")
     assert features.auroc(df, "p", F.col("y")).first()["auroc"] == 1.0
