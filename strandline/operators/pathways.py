@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strandline.functions.timesem import seconds
-from strandline.operators.sums import with_quantiles
+from strandline.operators.sums import lookup, prefix_sums, with_quantiles
 from strandline.sources.tables import persisted
 
 
@@ -191,6 +193,38 @@ def change_point(df: DataFrame, by: str, order: list[str], value: str, least: in
     return d.withColumn("_g", gain).groupBy(by).agg(best.alias("b")).select(by, F.col("b._n").alias("at"), F.col("b._g").alias("gain"))
 
 
+def change_points(df: DataFrame, by: str, order: list[str], value: str, penalty: float, least: int = 2, rounds: int | None = None) -> DataFrame:
+    """by, at (rows before the change), gain, round: binary segmentation. In every round each open segment is split where two means lower its squared error most (ties to the earlier), if that is at least ``penalty``
+    times the variance of its series; other segments are closed.
+
+    A series' running sums are built once, by ranges; a segment's are their differences from its start, so rounds shuffle one row a segment and task, and no series is one task. Values must be known; a null series is
+    a series. Runs until no segment is open, or for ``rounds``.
+    """
+    d = df.select(F.coalesce(F.col(by).cast("string"), F.lit("")).alias("_k"), F.col(by).alias("_by"), *order, F.col(value).cast("double").alias("_x"))
+    d = d.withColumn("_k", F.concat(F.when(F.col("_by").isNull(), "0").otherwise("1"), "_k")).withColumn("_one", F.lit(1)).withColumn("_q", F.col("_x") * F.col("_x"))
+    s = prefix_sums(d, order, ["_one", "_x", "_q"], keys=["_k"], totals=True)
+    n, total = F.col("all__one"), F.col("all__x")
+    bar = F.greatest((F.col("all__q") - total * total / n) / F.greatest(n - 1, F.lit(1)), F.lit(0.0)) * penalty
+    rows = s.select("_k", "_by", F.col("cum__one").alias("_n"), F.col("cum__x").alias("_s"), bar.alias("_bar"), F.lit(0).cast("long").alias("_n0"), F.lit(0.0).alias("_s0"), n.cast("long").alias("_n1"), total.alias("_s1"))
+    done, turn = [], 0
+    while True:
+        rows = persisted(rows, "segments")
+        left, right = F.col("_n") - F.col("_n0"), F.col("_n1") - F.col("_n")
+        sl, sr = F.col("_s") - F.col("_s0"), F.col("_s1") - F.col("_s")
+        gain = sl * sl / left + F.try_divide(sr * sr, right) - (sl + sr) * (sl + sr) / (left + right)
+        may = (left >= least) & (right >= least) & (gain >= F.col("_bar")) & (F.round(gain, 6) > 0)
+        best = rows.withColumn("_g", F.when(may, gain)).groupBy("_k", "_n0").agg(F.max_by(F.struct("_n", "_s", "_g", "_by"), F.when(F.col("_g").isNotNull(), F.struct(F.round("_g", 6), -F.col("_n")))).alias("_b"), F.count("*").alias("_m"))
+        best = persisted(best.select("_k", "_n0", "_m", F.col("_b._by").alias("_of"), F.col("_b._n").alias("_at"), F.col("_b._s").alias("_cut"), F.col("_b._g").alias("_g")), "splits")
+        turn += 1
+        done.append(best.where("_at is not null").select(F.col("_of").alias(by), F.col("_at").alias("at"), F.col("_g").alias("gain"), F.lit(turn).alias("round")))
+        if turn == rounds or best.where("_at is not null").limit(1).count() == 0:
+            return reduce(DataFrame.unionByName, done)
+        met = lookup(rows, best.select("_k", "_n0", "_m", "_at", "_cut"), ["_k", "_n0"], "_m").where("_at is not null")
+        low = F.col("_n") <= F.col("_at")
+        pick = lambda inside, outside: F.when(low, F.col(inside)).otherwise(F.col(outside))
+        rows = met.select("_k", "_by", "_n", "_s", "_bar", pick("_n0", "_at").alias("_n0"), pick("_s0", "_cut").alias("_s0"), pick("_at", "_n1").alias("_n1"), pick("_cut", "_s1").alias("_s1"))
+
+
 def rolling_median(by: list[str], order: list[str], value: str, n: int) -> Column:
     """Median of the known values among the row and the n - 1 before it."""
     x = F.array_sort(F.collect_list(value).over(Window.partitionBy(*by).orderBy(*order).rowsBetween(1 - n, 0)))

@@ -304,3 +304,14 @@ def m4(spark, sf):
 g AS (SELECT user_id, n, s * s / n + (ss - s) * (ss - s) / (nn - n) - ss * ss / nn AS g FROM p WHERE n >= 2 AND nn - n >= 2) SELECT user_id, n AS at, round(g, 3) AS gain FROM g QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY round(g, 6) DESC, n) = 1""")
 def m5(spark, sf):
     return y.change_point(load(spark, sf, "events"), "user_id", ["ts", "event_id"], "value").withColumn("gain", F.round("gain", 3))
+
+
+@query("m5b_change_points")
+def m5b(spark, sf):
+    return y.change_points(load(spark, sf, "events"), "user_id", ["ts", "event_id"], "value", 8.0).withColumn("gain", F.round("gain", 3))
+
+
+@query("m5c_first_splits", """WITH p AS (SELECT user_id, count(*) OVER q AS n, sum(value) OVER q AS s, count(*) OVER w AS nn, sum(value) OVER w AS ss, var_samp(value) OVER w AS v FROM events WINDOW q AS (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING), w AS (PARTITION BY user_id)),
+g AS (SELECT user_id, n, v, s * s / n + (ss - s) * (ss - s) / (nn - n) - ss * ss / nn AS g FROM p WHERE n >= 2 AND nn - n >= 2) SELECT user_id, n AS at, round(g, 3) AS gain, 1 AS round FROM g WHERE g >= 4 * v QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY round(g, 6) DESC, n) = 1""")
+def m5c(spark, sf):
+    return y.change_points(load(spark, sf, "events"), "user_id", ["ts", "event_id"], "value", 4.0, rounds=1).withColumn("gain", F.round("gain", 3))

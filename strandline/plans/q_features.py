@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from strandline.operators import features as f
 from strandline.operators import linkage as k
+from strandline.operators import phrases
 from strandline.operators import text as x
 from strandline.plans.q_temporal import ENC, HOUR, encounters
 from strandline.plans.q_timeline import AL, BIN, KINDS, aligned, rounded
@@ -234,6 +235,47 @@ def t5(spark, sf):
     return suppress(j.groupBy("concept", "source", "assertion").agg(F.count("*").alias("n")), ["n"])
 
 
+PHRASES = phrases.Rules(
+    {"idiot": "insult", "pathetic idiot": "strong insult", "moron": "insult", "pathetic": "scorn", "you are": "address", "of the": "of", "in the": "in"},
+    (phrases.Cue("that", "historical"), phrases.Cue("to the", "hypothetical", "forward", 4), phrases.Cue("and", "negated", "backward", 3), phrases.Cue("with", "other subject", "both", 5)),
+    ("a", "it is"),
+)
+
+
+def mentions(spark, sf):
+    return phrases.extract_mentions(load(spark, sf, "documents"), ["doc_id", "source"], "text", PHRASES)
+
+
+@query("t4b_phrase_mentions")
+def t4b(spark, sf):
+    return mentions(spark, sf)
+
+
+@query("t5b_phrase_prevalence")
+def t5b(spark, sf):
+    from strandline.operators.disclosure import suppress
+
+    return suppress(mentions(spark, sf).groupBy("concept", "source", "assertion").agg(F.count("*").alias("n"), F.countDistinct("doc_id").alias("n_docs")), ["n", "n_docs"])
+
+
+def dated_mentions(spark, sf):
+    """Documents stand for notes of the customer whose order has the document's number, written on its day; the anchor is the customer's first order."""
+    o = load(spark, sf, "orders").select(F.col("o_orderkey").alias("doc_id"), "o_custkey", "o_orderdate")
+    first = load(spark, sf, "orders").groupBy("o_custkey").agg(F.min("o_orderdate").alias("first_at"))
+    return mentions(spark, sf).join(o, "doc_id").join(first, "o_custkey")
+
+
+@query("t9b_assertion_flags")
+def t9b(spark, sf):
+    return phrases.assertion_flags(dated_mentions(spark, sf), ["o_custkey"], F.col("first_at"), "o_orderdate")
+
+
+@query("t10b_onset_offsets")
+def t10b(spark, sf):
+    onset = load(spark, sf, "orders").where("o_orderpriority = '1-URGENT'").select("o_custkey", F.col("o_orderdate").alias("urgent_at"))
+    return phrases.onset_offsets(dated_mentions(spark, sf), onset, ["o_custkey"], "o_orderdate", "urgent_at", 24 * 90)
+
+
 @query("t7_class_terms", r"""WITH n AS (SELECT lang, t AS term, count(*) AS n FROM (SELECT lang, unnest(string_split_regex(lower(text), '[^\p{L}\p{N}]+')) AS t FROM documents) WHERE t <> '' GROUP BY 1, 2), f AS (SELECT term, sum(n) AS f FROM n GROUP BY 1 HAVING sum(n) >= 11), w AS (SELECT lang, sum(n) AS w FROM n GROUP BY 1), a AS (SELECT avg(w) AS a FROM w),
 s AS (SELECT n.lang, n.term, n.n, n.n / w * ln(1 + a / f) AS weight FROM n JOIN f ON n.term = f.term JOIN w ON n.lang = w.lang, a) SELECT lang, term, n, round(weight, 6) AS weight, row_number() OVER (PARTITION BY lang ORDER BY weight DESC, term)::INT AS rank FROM s QUALIFY rank <= 10""")
 def t7(spark, sf):

@@ -278,6 +278,14 @@ def o1b(spark, sf):
     return rounded(ca.glm(load(spark, sf, "lineitem").withColumn("y", ret().cast("double")), "y", ["l_quantity", "l_discount"], "binomial"), "coefficient", to=4)
 
 
+@query("o1c_elastic_net")
+def o1c(spark, sf):
+    from strandline.operators import regress
+
+    d = load(spark, sf, "lineitem").select(ret().cast("double").alias("y"), (F.col("l_quantity") / 50).alias("quantity"), (F.col("l_discount") * 10).alias("discount"), (F.col("l_extendedprice") / 100_000).alias("price"), (F.col("l_tax") - 0.04).alias("offset"), (1 + F.col("l_linenumber") % 3).alias("w"))
+    return rounded(regress.elastic_net(d, "y", ["quantity", "discount", "price"], "binomial", [0.05, 0.01, 0.001], 0.5, "offset", "w"), "coefficient", to=5)
+
+
 @query("o2_cluster_robust")
 def o2(spark, sf):
     return rounded(ca.cluster_robust(load(spark, sf, "lineitem"), "l_extendedprice", ["l_quantity", "l_discount"], "l_suppkey"), "coefficient", "se", "hc_se", to=3)
