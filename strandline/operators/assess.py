@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from strandline.functions.timesem import md5_unit
 from strandline.operators.inference import draws
 from strandline.operators.phenotypes import Z95
-from strandline.operators.sums import prefix_sums
+from strandline.operators.sums import prefix_sums, same_keys
 from strandline.sources.tables import persisted
 
 
@@ -73,6 +73,50 @@ def learning_curve(train: DataFrame, test: DataFrame, unit: str, xs: list[str],
     return test.sparkSession.createDataFrame(rows, "share double, n long, auroc double")
 
 
+def replicated_metrics(df: DataFrame, cluster: str, score: str, label: Column, replicates: int, seed: int = 1, by: list[str] = ()) -> DataFrame:
+    """by, rep (-1: all rows once), n, auroc, auprc, brier. Clusters are drawn, not rows: a draw's multiplicities weigh the table of scores by cluster, whose scores are then ranked within each replicate. No model is fitted again."""
+    d = df.select(F.col(cluster).alias("_c"), *by, F.col(score).cast("double").alias("_s"), label.cast("int").alias("_y")).where("_s is not null and _y is not null and _c is not null")
+    t = persisted(d.groupBy("_c", *by, "_s").agg(F.count("*").alias("n"), F.sum("_y").alias("p")), "scores")
+    every = t.select(*by, "_s", F.lit(-1).cast("long").alias("rep"), "n", "p")
+    drawn = draws(t.select("_c").distinct(), "_c", replicates, seed).join(t, "_c").select(*by, "_s", "rep", (F.col("n") * F.col("times")).alias("n"), (F.col("p") * F.col("times")).alias("p"))
+    keys = [*by, "rep"]
+    r = prefix_sums(every.unionByName(drawn).groupBy(*keys, "_s").agg(F.sum("n").alias("n"), F.sum("p").alias("p")), "_s", ["n", "p"], keys=keys, totals=True)
+    n, p = F.col("n").cast("double"), F.col("p").cast("double")
+    above = lambda c: F.col(f"all_{c}") - F.col(f"cum_{c}") + F.col(c)
+    s = r.groupBy(*keys).agg(
+        F.sum("n").alias("n"), F.sum("p").cast("double").alias("_p"), F.sum((F.col("cum_n") - (n - 1) / 2) * p).alias("_r"), F.sum(p * above("p") / above("n")).alias("_a"), F.sum(p * (1 - F.col("_s")) ** 2 + (n - p) * F.col("_s") ** 2).alias("_b"),
+    )
+    m, q = F.col("n").cast("double"), F.col("_p")
+    return s.select(*keys, "n", F.try_divide(F.col("_r") - q * (q + 1) / 2, q * (m - q)).alias("auroc"), F.try_divide("_a", "_p").alias("auprc"), (F.col("_b") / m).alias("brier"))
+
+
+METRICS = ("auroc", "auprc", "brier")
+
+
+def _intervals(reps: DataFrame, by: list[str], level: float) -> DataFrame:
+    a = (1 - level) / 2
+    each = reps.select(*by, "rep", F.explode(F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).alias("v")) for m in METRICS])).alias("x")).select(*by, "rep", "x.*")
+    drawn, one = F.when(F.col("rep") >= 0, F.col("v")), F.when(F.col("rep") < 0, F.col("v"))
+    q = F.percentile(drawn, F.array(F.lit(a), F.lit(1 - a)))  # as many values as replicates
+    return each.groupBy(*by, "metric").agg(F.max(one).alias("estimate"), q.alias("_q"), F.stddev_samp(drawn).alias("se")).select(*by, "metric", "estimate", F.col("_q")[0].alias("low"), F.col("_q")[1].alias("high"), "se")
+
+
+def metric_intervals(df: DataFrame, cluster: str, score: str, label: Column, replicates: int = 200, seed: int = 1, by: list[str] = (), level: float = 0.95) -> DataFrame:
+    """by (such as fold or era), metric (auroc, auprc, brier), estimate, low, high (percentile), se over whole clusters."""
+    return _intervals(replicated_metrics(df, cluster, score, label, replicates, seed, list(by)), list(by), level)
+
+
+def paired_intervals(df: DataFrame, cluster: str, a: str, b: str, label: Column, replicates: int = 200, seed: int = 1, by: list[str] = (), level: float = 0.95) -> DataFrame:
+    """by, metric, estimate of score ``a`` less score ``b``, low, high, se: both are measured on the same draws. Rows must have both scores; others are left out of both."""
+    d = df.where(F.col(a).isNotNull() & F.col(b).isNotNull())
+    one, two = (replicated_metrics(d, cluster, s, label, replicates, seed, list(by)) for s in (a, b))
+    keys = [*by, "rep"]
+    two = persisted(two.select(*keys, *[F.col(m).alias(f"_{m}") for m in METRICS]), "metrics")
+    one = persisted(one, "metrics")
+    j = one.join(two, same_keys(one, two, keys)).select(*[one[k] for k in keys], *[(F.col(m) - F.col(f"_{m}")).alias(m) for m in METRICS])
+    return _intervals(j, list(by), level)
+
+
 def subgroup_auroc(df: DataFrame, dims: list[str], score: str, label: Column) -> DataFrame:
     """dim, level, n, positives, prevalence, mean_score, auroc of every level, over rows with a score; scores of a level are ranked by ranges, so no level is one task."""
     pairs = F.explode(F.array(F.struct(F.lit("all").alias("dim"), F.lit("all").alias("level")), *[F.struct(F.lit(d).alias("dim"), F.col(d).cast("string").alias("level")) for d in dims]))

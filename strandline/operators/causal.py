@@ -137,18 +137,18 @@ def ess(df: DataFrame, by: str, w: str) -> DataFrame:
 
 
 def balance(df: DataFrame, treated: Column, xs: list[str], w: Column) -> DataFrame:
-    """variable, smd_raw, smd_weighted, flagged (over 0.1), from one aggregate."""
+    """variable, smd_raw, smd_weighted, variance_ratio_raw, variance_ratio_weighted (treated over others), flagged (difference over 0.1), from one aggregate."""
     aggs = []
     for i, x in enumerate(xs):
         for k, g in ((1, treated), (0, ~treated)):
             v, ww = F.when(g, F.col(x).cast("double")), F.when(g, w)
-            aggs += [F.avg(v).alias(f"m{i}{k}"), F.var_samp(v).alias(f"v{i}{k}"), (F.sum(ww * v) / F.sum(ww)).alias(f"w{i}{k}")]
+            aggs += [F.avg(v).alias(f"m{i}{k}"), F.var_samp(v).alias(f"v{i}{k}"), (F.sum(ww * v) / F.sum(ww)).alias(f"w{i}{k}"), (F.sum(ww * v * v) / F.sum(ww) - (F.sum(ww * v) / F.sum(ww)) ** 2).alias(f"s{i}{k}")]
     one = df.agg(*aggs)
     c = F.col
     rows = []
     for i, x in enumerate(xs):
         sd = F.sqrt((c(f"v{i}1") + c(f"v{i}0")) / 2)
-        rows.append(F.struct(F.lit(x).alias("variable"), F.try_divide(c(f"m{i}1") - c(f"m{i}0"), sd).alias("smd_raw"), F.try_divide(c(f"w{i}1") - c(f"w{i}0"), sd).alias("smd_weighted")))
+        rows.append(F.struct(F.lit(x).alias("variable"), F.try_divide(c(f"m{i}1") - c(f"m{i}0"), sd).alias("smd_raw"), F.try_divide(c(f"w{i}1") - c(f"w{i}0"), sd).alias("smd_weighted"), F.try_divide(c(f"v{i}1"), c(f"v{i}0")).alias("variance_ratio_raw"), F.try_divide(c(f"s{i}1"), c(f"s{i}0")).alias("variance_ratio_weighted")))
     return one.select(F.explode(F.array(*rows)).alias("x")).select("x.*").withColumn("flagged", F.abs("smd_weighted") > 0.1)
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from strandline.functions.timesem import md5_unit
 from strandline.operators.inference import ks, psi, rank_table
-from strandline.operators.sums import prefix_sums
+from strandline.operators.sums import column_quantiles, prefix_sums
 from strandline.sources.tables import persisted
 
 
@@ -39,8 +39,14 @@ def leakage(df: DataFrame, contributed: str, cutoff: str, label_time: str) -> Da
     return df.agg(F.count_if(F.col(contributed) >= F.col(cutoff)).alias("late_features"), F.count_if(F.col(label_time) < F.col(cutoff)).alias("early_labels"))
 
 
-def normalize(df: DataFrame, train: Column, cols: list[str]) -> DataFrame:
-    """z-scores with mean and deviation of the training rows alone; a constant column gives 0."""
+def normalize(df: DataFrame, train: Column, cols: list[str], how: str = "zscore") -> DataFrame:
+    """zscore: distance from the mean in deviations; robust: from the median in interquartile ranges; both of the training rows alone. A column without spread gives 0."""
+    if how == "robust":
+        q = column_quantiles(df.where(train), cols, [0.25, 0.5, 0.75])
+        r = lambda c: F.col(c) * 0.0 if c not in q or q[c][2] == q[c][0] else (F.col(c) - q[c][1]) / (q[c][2] - q[c][0])
+        return df.select(*[r(c).alias(c) if c in cols else F.col(c) for c in df.columns])
+    if how != "zscore":
+        raise ValueError(f"no scaling {how}")
     s = df.where(train).agg(*[f(c).alias(f"_{n}_{c}") for c in cols for n, f in (("m", F.avg), ("s", F.stddev_samp))])
     z = lambda c: F.when(F.col(f"_s_{c}") > 0, (F.col(c) - F.col(f"_m_{c}")) / F.col(f"_s_{c}")).otherwise(0.0).alias(c)
     return df.crossJoin(F.broadcast(s)).select(*[z(c) if c in cols else F.col(c) for c in df.columns])  # one row of statistics
@@ -67,6 +73,15 @@ def auroc(df: DataFrame, score: str, label: Column) -> DataFrame:
     return s.select("n", "positives", F.try_divide(F.col("_r") - p * (p + 1) / 2, p * (n - p)).alias("auroc"))
 
 
+def grouped_auroc(df: DataFrame, keys: list[str], score: str, label: Column) -> DataFrame:
+    """keys, n, positives, n_distinct (scores), auroc of every group by tie-averaged ranks, all groups in one pass of keyed running sums; rows without a score are left out."""
+    t = df.select(*keys, F.col(score).cast("double").alias("_s"), label.cast("int").alias("_y")).where("_s is not null").groupBy(*keys, "_s").agg(F.count("*").alias("n"), F.sum("_y").alias("_p"))
+    r = prefix_sums(t, "_s", ["n"], keys=keys).withColumn("_r", F.col("cum_n") - (F.col("n") - 1) / 2)
+    s = r.groupBy(*keys).agg(F.sum("n").alias("n"), F.sum("_p").alias("positives"), F.count("*").alias("n_distinct"), F.sum(F.col("_r") * F.col("_p")).alias("_t"))
+    p, n = F.col("positives").cast("double"), F.col("n").cast("double")
+    return s.select(*keys, "n", "positives", "n_distinct", F.try_divide(F.col("_t") - p * (p + 1) / 2, p * (n - p)).alias("auroc"))
+
+
 def average_precision(df: DataFrame, score: str, label: Column) -> DataFrame:
     """Area under the precision-recall steps, tied scores taken together."""
     t = df.groupBy(F.col(score).alias("s")).agg(F.count("*").alias("n"), F.count_if(label).alias("p"))
@@ -223,10 +238,8 @@ def neighbour_profile(base: DataFrame, queries: DataFrame, unit: str, vector: st
 
 def audit_features(df: DataFrame, features: list[str], label: Column, most: float = 0.95) -> DataFrame:
     """feature, n_distinct, auroc, suspicious (a single feature that separates the label, or a constant one)."""
-    from functools import reduce
-
-    rows = [auroc(df.select(F.col(f).alias("_f"), label.alias("_y")), "_f", F.col("_y")).select(F.lit(f).alias("feature"), "auroc").join(df.agg(F.countDistinct(f).alias("n_distinct"))) for f in features]
-    a = reduce(DataFrame.unionByName, rows)
+    each = df.select(label.alias("_y"), F.explode(F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f).cast("double").alias("v")) for f in features])).alias("x")).select("_y", "x.*")
+    a = grouped_auroc(each, ["feature"], "v", F.col("_y")).select("feature", "auroc", "n_distinct")
     return a.withColumn("suspicious", (F.greatest(F.col("auroc"), 1 - F.col("auroc")) > most) | (F.col("n_distinct") <= 1))
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -9,7 +10,7 @@ from pyspark.sql import types as T
 
 from strandline.functions import distributions as dist
 from strandline.operators.phenotypes import Z95, wilson
-from strandline.operators.sums import prefix_sums
+from strandline.operators.sums import lookup, prefix_sums
 from strandline.sources.tables import persisted
 
 
@@ -124,6 +125,61 @@ def anova(df: DataFrame, col: str, group: str) -> DataFrame:
     return s.select("groups", "n", "ss_between", "ss_within", F.try_divide(F.col("ss_between") / (F.col("groups") - 1), F.col("ss_within") / (F.col("n") - F.col("groups"))).alias("f"))
 
 
+def welch_anova(df: DataFrame, col: str, group: str) -> DataFrame:
+    """groups, f, df1, df2: means of groups with variances of their own; a group of one row, or without variance, has no weight to give and raises nothing: f is null."""
+    g = df.where(F.col(col).isNotNull()).groupBy(group).agg(F.count("*").cast("double").alias("n"), F.avg(col).alias("m"), F.var_samp(col).alias("v"))
+    g = g.withColumn("w", F.try_divide(F.col("n"), F.col("v")))
+    t = g.agg(F.count("*").alias("groups"), F.sum("w").alias("_w"), F.sum(F.col("w") * F.col("m")).alias("_wm"), F.count_if(F.col("w").isNull()).alias("_bad"))
+    j = g.crossJoin(F.broadcast(t))  # one row
+    mean, k = F.col("_wm") / F.col("_w"), F.col("groups").cast("double")
+    lam = F.try_divide((1 - F.col("w") / F.col("_w")) ** 2, F.col("n") - 1)
+    s = j.groupBy("groups", "_bad").agg(F.sum(F.col("w") * (F.col("m") - mean) ** 2).alias("_b"), F.sum(lam).alias("_l"))
+    f = F.when(F.col("_bad") == 0, F.try_divide(F.col("_b") / (k - 1), 1 + 2 * (k - 2) / (k * k - 1) * F.col("_l")))
+    return s.select("groups", f.alias("f"), (F.col("groups") - 1).alias("df1"), F.try_divide(k * k - 1, 3 * F.col("_l")).alias("df2"))
+
+
+def signed_rank(df: DataFrame, difference: Column, exact: int = 50) -> DataFrame:
+    """n (differences that aren't 0), w_plus, z, p (two-sided), exact. Up to ``exact`` differences the null distribution counts, for every sum of ranks, the signs that give it (ties have half ranks); beyond, the normal form with tie correction."""
+    d = df.select(difference.cast("double").alias("_d")).where("_d is not null and _d <> 0").select(F.abs("_d").alias("_a"), (F.col("_d") > 0).alias("_up"))
+    t = persisted(rank_table(d, "_a", F.col("_up")), "ranks")
+    n, w, ties = t.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum(F.col("avg_rank") * F.col("n_true")), F.lit(0.0)), F.coalesce(F.sum(F.col("n").cast("double") ** 3 - F.col("n")), F.lit(0.0))).first()
+    mean, var = n * (n + 1) / 4, n * (n + 1) * (2 * n + 1) / 24 - ties / 48
+    z = (w - mean) / var**0.5 if var > 0 else None
+    p = None
+    if n and n <= exact:
+        ways = np.zeros(n * (n + 1) + 1)
+        ways[0] = 1
+        for r in t.collect():  # ``exact`` rows at most
+            for _ in range(r["n"]):
+                step = round(2 * r["avg_rank"])
+                ways[step:] = ways[step:] + ways[:-step]
+        at, total = round(2 * w), ways.sum()
+        p = float(min(1.0, 2 * min(ways[: at + 1].sum(), ways[at:].sum()) / total))
+    elif z is not None:
+        p = float(dist.normal_sf2(z))
+    return df.sparkSession.createDataFrame([(int(n), float(w), z if z is None else float(z), p, bool(n and n <= exact))], "n long, w_plus double, z double, p double, exact boolean")
+
+
+def spearman_matrix(df: DataFrame, cols: list[str], least: int = 11) -> DataFrame:
+    """a, b, n, rho of every pair of columns, ranks taken among the rows that are complete in that pair; rho hidden below ``least`` rows.
+
+    Pairs of values are counted before anything is ranked; ranks are running counts by pair, and values that many rows share meet a broadcast.
+    """
+    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1 :]]
+    each = df.select(F.explode(F.array(*[F.struct(F.lit(k).alias("k"), F.col(a).cast("double").alias("x"), F.col(b).cast("double").alias("y")) for k, (a, b) in enumerate(pairs)])).alias("v")).select("v.*")
+    each = persisted(each.where("x is not null and y is not null").groupBy("k", "x", "y").agg(F.count("*").alias("n")), "pairs")
+    for c in ("x", "y"):
+        one = each.groupBy("k", c).agg(F.sum("n").alias("m"), F.count("*").alias("_rows"))
+        rank = prefix_sums(one, c, ["m"], keys=["k"]).select("k", c, "_rows", (F.col("cum_m") - (F.col("m") - 1) / 2).alias(f"r{c}"))
+        each = lookup(each, rank, ["k", c], "_rows")
+    n, x, y = F.col("n").cast("double"), F.col("rx"), F.col("ry")
+    s = each.groupBy("k").agg(F.sum("n").alias("n"), F.sum(n * x).alias("sx"), F.sum(n * y).alias("sy"), F.sum(n * x * x).alias("xx"), F.sum(n * y * y).alias("yy"), F.sum(n * x * y).alias("xy"))
+    c, m = F.col, F.col("n").cast("double")
+    rho = F.try_divide(c("xy") - c("sx") * c("sy") / m, F.sqrt(c("xx") - c("sx") * c("sx") / m) * F.sqrt(c("yy") - c("sy") * c("sy") / m))
+    names = df.sparkSession.createDataFrame([(k, a, b) for k, (a, b) in enumerate(pairs)], "k int, a string, b string")
+    return F.broadcast(names).join(s, "k", "left").select("a", "b", F.coalesce("n", F.lit(0)).alias("n"), F.when(F.col("n") >= least, rho).alias("rho"))
+
+
 def p_adjust(df: DataFrame, p: str, panel: list[str] = ()) -> DataFrame:
     """Adds bonferroni, holm, bh and by within each panel; the table is a panel of tests, small."""
     part = Window.partitionBy(*panel)

@@ -79,7 +79,7 @@ def carry(ranges: DataFrame, by: list[str], value: Column, sign: int = 1) -> Dat
 
 
 def interval_join(points: DataFrame, intervals: DataFrame, by: list[str], time: str, start: str, end: str, interval_id: str) -> DataFrame:
-    """Every row of ``points`` (repeated ones too) with the interval [start, end) of its key that holds it, the earliest (then smallest id) of several; NULLs where none does.
+    """Every row of ``points`` (repeated ones too) with the interval [start, end) of its key that holds it, of several the earliest (of equally early ones the first to end, then the smallest id); NULLs where none does.
 
     What an interval holds alone begins where those before it have ended; these pieces don't overlap, so the last one to begin at or before a point is the only one that can hold it.
     Both steps run in ranges of key and time and carry the edge over: no pairs, and no key in one task.

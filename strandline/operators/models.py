@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strandline.functions.timesem import md5_unit
-from strandline.operators.features import auroc
+from strandline.operators.features import auroc, grouped_auroc
 from strandline.operators.inference import draws
 from strandline.operators.sums import column_quantiles
 from strandline.sources.tables import append_ledger, persisted
@@ -24,16 +24,21 @@ def _vectors(df: DataFrame, xs: list[str], label: str | None = None) -> DataFram
     return VectorAssembler(inputCols=[f"_x{k}" for k in range(len(xs))], outputCol="_f").transform(d).drop(*[f"_x{k}" for k in range(len(xs))])
 
 
-def fit_baseline(train: DataFrame, test: DataFrame, xs: list[str], label: str, kind: str = "logistic", reg: float = 0.0, elastic: float = 0.0) -> DataFrame:
-    """``test`` with p: a logistic regression's probability, or a linear SVM's margin through a logistic."""
+def baseline(train: DataFrame, xs: list[str], label: str, kind: str = "logistic", reg: float = 0.0, elastic: float = 0.0) -> Callable[[DataFrame], DataFrame]:
+    """Fits once and gives a function that adds p to any rows: a logistic regression's probability, or a linear SVM's margin through a logistic."""
     from pyspark.ml.classification import LinearSVC, LogisticRegression
     from pyspark.ml.functions import vector_to_array
 
     names = {"featuresCol": "_f", "labelCol": "_y", "rawPredictionCol": "_r", "predictionCol": "_d"}
     m = LogisticRegression(regParam=reg, elasticNetParam=elastic, probabilityCol="_p", **names) if kind == "logistic" else LinearSVC(regParam=reg, **names)
-    out = m.fit(_vectors(train, xs, label)).transform(_vectors(test, xs))
+    fitted = m.fit(_vectors(train, xs, label))
     p = vector_to_array("_p")[1] if kind == "logistic" else 1 / (1 + F.exp(-vector_to_array("_r")[1]))
-    return out.select(*test.columns, p.alias("p"))
+    return lambda rows: fitted.transform(_vectors(rows, xs)).select(*rows.columns, p.alias("p"))
+
+
+def fit_baseline(train: DataFrame, test: DataFrame, xs: list[str], label: str, kind: str = "logistic", reg: float = 0.0, elastic: float = 0.0) -> DataFrame:
+    """``test`` with p by a baseline fitted on ``train``."""
+    return baseline(train, xs, label, kind, reg, elastic)(test)
 
 
 def fit_trees(train: DataFrame, xs: list[str], label: str, kind: str = "forest", seed: int = 1) -> tuple[object, DataFrame]:
@@ -222,11 +227,11 @@ def shuffled(df: DataFrame, unit: str, col: str, seed: str) -> DataFrame:
 
 def permutation_importance(train: DataFrame, test: DataFrame, unit: str, xs: list[str], label: str, seed: str = "p") -> DataFrame:
     """feature, drop of the test AUROC of a logistic regression when the feature is shuffled between units."""
-    base = persisted(test, "importance")
-    score = lambda t: auroc(fit_baseline(train, t, xs, label), "p", F.col(label).cast("boolean")).first()["auroc"]
-    whole = score(base)
-    rows = [(x, float(whole - score(shuffled(base, unit, x, f"{seed}:{x}")))) for x in xs]
-    return test.sparkSession.createDataFrame(rows, "feature string, drop double")
+    base, predict = persisted(test, "importance"), baseline(train, xs, label)
+    scored = [predict(t).select(F.lit(x).alias("feature"), "p", F.col(label).cast("boolean").alias("_y")) for x, t in [("", base), *((x, shuffled(base, unit, x, f"{seed}:{x}")) for x in xs)]]
+    each = grouped_auroc(reduce(DataFrame.unionByName, scored), ["feature"], "p", F.col("_y"))
+    whole = each.where("feature = ''").select(F.col("auroc").alias("_whole"))
+    return each.where("feature <> ''").crossJoin(F.broadcast(whole)).select("feature", (F.col("_whole") - F.col("auroc")).alias("drop"))  # one row
 
 
 def dependence_table(df: DataFrame, x: str, p: str, width: float) -> DataFrame:
@@ -249,13 +254,15 @@ def average_marginal_effect(df: DataFrame, predict, treated: str) -> DataFrame:
 
 def audit_robustness(train: DataFrame, test: DataFrame, unit: str, xs: list[str], label: str, share: float = 0.2, seed: str = "m") -> DataFrame:
     """feature, auroc of the model when a hashed share of the feature's test values is replaced by 0, and when all are scaled tenfold."""
-    base = persisted(test, "robustness")
-    score = lambda t: auroc(fit_baseline(train, t, xs, label), "p", F.col(label).cast("boolean")).first()["auroc"]
-    rows = []
+    base, predict = persisted(test, "robustness"), baseline(train, xs, label)
+    scored = []
     for x in xs:
         lost = base.withColumn(x, F.when(md5_unit(F.col(unit), f"{seed}:{x}") < share, 0.0).otherwise(F.col(x)))
-        rows.append((x, float(score(lost)), float(score(base.withColumn(x, F.col(x) * 10)))))
-    return test.sparkSession.createDataFrame(rows, "feature string, auroc_missing double, auroc_scaled double")
+        for kind, rows in (("missing", lost), ("scaled", base.withColumn(x, F.col(x) * 10))):
+            scored.append(predict(rows).select(F.lit(x).alias("feature"), F.lit(kind).alias("kind"), "p", F.col(label).cast("boolean").alias("_y")))
+    each = grouped_auroc(reduce(DataFrame.unionByName, scored), ["feature", "kind"], "p", F.col("_y"))
+    of = lambda kind: F.max(F.when(F.col("kind") == kind, F.col("auroc")))
+    return each.groupBy("feature").agg(of("missing").alias("auroc_missing"), of("scaled").alias("auroc_scaled"))
 
 
 def ablation_grid(train: DataFrame, test: DataFrame, groups: dict[str, list[str]], label: str) -> DataFrame:

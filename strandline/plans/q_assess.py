@@ -329,3 +329,25 @@ def t6c(spark, sf):
 def t7b(spark, sf):
     d = load(spark, sf, "documents")
     return tx.topic_clusters(d, "doc_id", "text", 4).join(d.select("doc_id", "lang"), "doc_id").groupBy("topic", "lang").agg(F.count("*").alias("n"))
+
+
+def rivals(spark, sf):
+    """Two scores of the same orders; a customer is a cluster."""
+    return scored(spark, sf).join(load(spark, sf, "orders").select("o_orderkey", "o_custkey"), "o_orderkey").withColumn("q", (F.col("p") + F.when(F.col("y"), 0.2).otherwise(0.0)) / 1.2)
+
+
+@query("r6g_metric_intervals")
+def r6g(spark, sf):
+    return rounded(a.metric_intervals(rivals(spark, sf), "o_custkey", "p", F.col("y"), 100, by=["yr"]), "estimate", "low", "high", "se")
+
+
+@query("r7e_paired_intervals")
+def r7e(spark, sf):
+    return rounded(a.paired_intervals(rivals(spark, sf), "o_custkey", "q", "p", F.col("y"), 100), "estimate", "low", "high", "se")
+
+
+@query("r6h_metrics_by_era", f"""WITH {SC}, t AS (SELECT yr, p, count(*)::DOUBLE AS n, count(*) FILTER (y)::DOUBLE AS k FROM sc GROUP BY 1, 2), c AS (SELECT *, sum(n) OVER u AS cn, sum(n) OVER d AS dn, sum(k) OVER d AS dk FROM t WINDOW u AS (PARTITION BY yr ORDER BY p), d AS (PARTITION BY yr ORDER BY p DESC))
+SELECT yr, sum(n)::BIGINT AS n, round((sum((cn - (n - 1) / 2) * k) - sum(k) * (sum(k) + 1) / 2) / (sum(k) * (sum(n) - sum(k))), 6) AS auroc, round(sum(k * dk / dn) / sum(k), 6) AS auprc, round(sum(k * (1 - p) * (1 - p) + (n - k) * p * p) / sum(n), 6) AS brier FROM c GROUP BY 1""")
+def r6h(spark, sf):
+    r = a.replicated_metrics(rivals(spark, sf), "o_custkey", "p", F.col("y"), 1, by=["yr"]).where("rep < 0").drop("rep")
+    return rounded(r, "auroc", "auprc", "brier")

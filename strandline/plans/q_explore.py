@@ -38,6 +38,18 @@ def j1b(spark, sf):
     return x.corr_matrix(load(spark, sf, "lineitem"), LI.split(", ")).withColumn("r", F.round("r", 6))
 
 
+def _rho(a, b):
+    return f"""SELECT '{a}' AS a, '{b}' AS b, count(*) AS n, round(corr(ra, rb), 6) AS rho FROM (SELECT rank() OVER (ORDER BY {a}) + (count(*) OVER (PARTITION BY {a}) - 1) / 2 AS ra, rank() OVER (ORDER BY {b}) + (count(*) OVER (PARTITION BY {b}) - 1) / 2 AS rb FROM holes WHERE {a} IS NOT NULL AND {b} IS NOT NULL)"""
+
+
+@query("j1f_spearman", "WITH holes AS (SELECT CASE WHEN l_linenumber <> 2 THEN l_quantity END AS quantity, CASE WHEN l_suppkey % 5 > 0 THEN l_extendedprice END AS price, l_discount AS discount FROM lineitem) " + " UNION ALL ".join([_rho("quantity", "price"), _rho("quantity", "discount"), _rho("price", "discount")]))
+def j1f(spark, sf):
+    from strandline.operators.inference import spearman_matrix
+
+    d = load(spark, sf, "lineitem").select(F.when(F.col("l_linenumber") != 2, F.col("l_quantity")).alias("quantity"), F.when(F.col("l_suppkey") % 5 > 0, F.col("l_extendedprice")).alias("price"), F.col("l_discount").alias("discount"))
+    return rounded(spearman_matrix(d, ["quantity", "price", "discount"]), "rho")
+
+
 @query("j1c_crosstab", """WITH c AS (SELECT l_returnflag AS r, l_linestatus AS c, count(*) AS n FROM lineitem GROUP BY CUBE(1, 2)) SELECT r AS l_returnflag, c AS l_linestatus, n, round(CASE WHEN r IS NOT NULL AND c IS NOT NULL THEN n / sum(n) FILTER (r IS NOT NULL AND c IS NOT NULL) OVER (PARTITION BY r) END, 6) AS row_share,
 round(CASE WHEN r IS NOT NULL AND c IS NOT NULL THEN n / sum(n) FILTER (r IS NOT NULL AND c IS NOT NULL) OVER (PARTITION BY c) END, 6) AS col_share, c IS NULL AS row_total, r IS NULL AS col_total FROM c""")
 def j1c(spark, sf):

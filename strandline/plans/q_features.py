@@ -48,6 +48,12 @@ def r3(spark, sf):
     return f.normalize(o, F.year("o_orderdate") < 1996, ["o_totalprice"]).select("o_orderkey", F.round("o_totalprice", 6).alias("z"))
 
 
+@query("r3b_robust_scaling", "WITH s AS (SELECT quantile_cont(o_totalprice, 0.25) AS a, quantile_cont(o_totalprice, 0.5) AS m, quantile_cont(o_totalprice, 0.75) AS z FROM orders WHERE year(o_orderdate) < 1996) SELECT o_orderkey, round((o_totalprice - m) / (z - a), 6) AS z FROM orders, s")
+def r3b(spark, sf):
+    o = load(spark, sf, "orders").select("o_orderkey", F.col("o_totalprice").alias("z"), F.year("o_orderdate").alias("yr"))
+    return rounded(f.normalize(o, F.col("yr") < 1996, ["z"], "robust").drop("yr"), "z")
+
+
 @query("r4_assign_folds", """WITH u AS (SELECT o_custkey, max((o_orderstatus = 'P')::INT) AS y, ('0x' || substr(md5('f:' || o_custkey::VARCHAR), 1, 12))::BIGINT::DOUBLE / 281474976710656.0::DOUBLE AS h FROM orders GROUP BY 1)
 SELECT o_custkey, ((row_number() OVER (PARTITION BY y, floor(h * 256) ORDER BY h, o_custkey) + floor(h * 256)::BIGINT) % 5)::INT AS fold FROM u""")
 def r4(spark, sf):

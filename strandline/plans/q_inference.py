@@ -85,6 +85,19 @@ def n6(spark, sf):
     return rounded(rounded(n.anova(ev(spark, sf), "value", "event_type"), "ss_between", "ss_within", to=3), "f")
 
 
+@query("n5c_signed_rank")
+def n5c(spark, sf):
+    e = ev(spark, sf)
+    d = e.groupBy("user_id").agg((F.avg(F.when(F.col("event_type") == "click", F.col("value"))) - F.avg(F.when(F.col("event_type") == "view", F.col("value")))).alias("d"))
+    return rounded(n.signed_rank(d, F.col("d")), "z", "p")
+
+
+@query("n6b_welch_anova", """WITH g AS (SELECT event_type, count(*)::DOUBLE AS n, avg(value) AS m, count(*) / var_samp(value) AS w FROM events GROUP BY 1), t AS (SELECT count(*) AS k, sum(w) AS w, sum(w * m) / sum(w) AS m FROM g), s AS (SELECT any_value(t.k) AS k, sum(g.w * pow(g.m - t.m, 2)) AS b, sum(pow(1 - g.w / t.w, 2) / (n - 1)) AS l FROM g, t)
+SELECT k AS groups, round(b / (k - 1) / (1 + 2 * (k - 2) / (k * k - 1) * l), 6) AS f, k - 1 AS df1, round((k * k - 1) / (3 * l), 4) AS df2 FROM s""")
+def n6b(spark, sf):
+    return rounded(n.welch_anova(ev(spark, sf), "value", "event_type"), "f").withColumn("df2", F.round("df2", 4))
+
+
 @query("n7_permutation_test")
 def n7(spark, sf):
     return n.permutation_test(ev(spark, sf), "user_id", "value", F.col("user_id") % 2 == 0, 99)
@@ -252,7 +265,18 @@ def _bal(v):
 @query("q5_balance", f"WITH {PSQ}, b AS ({_bal('x')} UNION ALL {_bal('z')}) SELECT variable, round(a, 6) AS smd_raw, round(b, 6) AS smd_weighted, abs(b) > 0.1 AS flagged FROM b")
 def q5(spark, sf):
     d = treated(spark, sf)
-    return rounded(ca.balance(d, F.col("t"), ["x", "z"], ca.weight(F.col("t"), F.col("ps"), "ATE")), "smd_raw", "smd_weighted")
+    return rounded(ca.balance(d, F.col("t"), ["x", "z"], ca.weight(F.col("t"), F.col("ps"), "ATE")).select("variable", "smd_raw", "smd_weighted", "flagged"), "smd_raw", "smd_weighted")
+
+
+def _ratio(v):
+    w = lambda g: f"(sum(w * {v} * {v}) FILTER ({g}) / sum(w) FILTER ({g}) - pow(sum(w * {v}) FILTER ({g}) / sum(w) FILTER ({g}), 2))"
+    return f"SELECT '{v}' AS variable, round(var_samp({v}) FILTER (t) / var_samp({v}) FILTER (NOT t), 6) AS variance_ratio_raw, round({w('t')} / {w('NOT t')}, 6) AS variance_ratio_weighted FROM w"
+
+
+@query("q5b_variance_ratio", f"WITH {PSQ} {_ratio('x')} UNION ALL {_ratio('z')}")
+def q5b(spark, sf):
+    d = treated(spark, sf)
+    return rounded(ca.balance(d, F.col("t"), ["x", "z"], ca.weight(F.col("t"), F.col("ps"), "ATE")).select("variable", "variance_ratio_raw", "variance_ratio_weighted"), "variance_ratio_raw", "variance_ratio_weighted")
 
 
 @query("q6_aipw", f"WITH {PSQ}, p AS (SELECT z * 2 + 1 - z + t::INT::DOUBLE * (x / 1000 - z * 2 - 1) / ps - (1 - t::INT::DOUBLE) * (x / 1000 - z) / (1 - ps) AS p FROM w) SELECT round(avg(p), 6) AS ate, round(stddev_samp(p) / sqrt(count(p)), 6) AS se FROM p")

@@ -127,3 +127,84 @@ def test_elastic_net_minimises(spark, family):
                 break
         assert got[pen] == pytest.approx(b, abs=1e-5)
     assert family == "poisson" or 0.0 in got[0.3]
+
+
+def test_signed_rank_is_enumeration(spark):
+    from itertools import product
+
+    from strandline.operators import inference
+
+    rng = random.Random(5)
+    for n in (1, 4, 9, 13):
+        d = [rng.choice([-3, -2, -1, 1, 2, 3, 4, 0.5]) for _ in range(n)]
+        a = sorted(abs(x) for x in d)
+        rank = {v: np.mean([k + 1 for k, x in enumerate(a) if x == v]) for v in a}
+        w = sum(rank[abs(x)] for x in d if x > 0)
+        sums = np.array([sum(r for r, s in zip((rank[abs(x)] for x in d), signs) if s) for signs in product((0, 1), repeat=n)])
+        want = min(1, 2 * min((sums <= w + 1e-9).mean(), (sums >= w - 1e-9).mean()))
+        got = inference.signed_rank(spark.createDataFrame([(float(x),) for x in [*d, 0.0]] + [(None,)], "d double"), F.col("d")).first()
+        assert (got["n"], got["w_plus"], got["exact"]) == (n, pytest.approx(w), True) and got["p"] == pytest.approx(want)
+    big = spark.range(60).select((F.col("id") - 20.5).alias("d"))
+    got = inference.signed_rank(big, F.col("d")).first()
+    assert not got["exact"] and got["p"] < 0.01 and inference.signed_rank(big.where("false"), F.col("d")).first()["p"] is None
+
+
+def measures(y, s, w):
+    """AUROC, AUPRC and Brier by loops over weighted rows."""
+    pos, neg = w[y == 1].sum(), w[y == 0].sum()
+    auc = sum(w[i] * w[j] * ((s[i] > s[j]) + 0.5 * (s[i] == s[j])) for i in np.flatnonzero(y == 1) for j in np.flatnonzero(y == 0)) / (pos * neg)
+    ap = sum(w[(y == 1) & (s == v)].sum() * w[(y == 1) & (s >= v)].sum() / w[s >= v].sum() for v in set(s) if w[s >= v].sum()) / pos
+    return auc, ap, (w * (s - y) ** 2).sum() / w.sum()
+
+
+def test_intervals_of_fifty_replicates(spark):
+    from strandline.operators import assess, inference
+
+    rng = np.random.default_rng(6)
+    c, y, era = rng.integers(0, 15, 120), rng.integers(0, 2, 120), rng.integers(0, 2, 120)
+    p = np.round(np.clip(0.3 + 0.3 * y + rng.normal(0, 0.2, 120), 0, 1), 1)
+    q = np.round(rng.random(120), 1)
+    rows = [(int(c[i]), int(y[i]), int(era[i]), float(p[i]), float(q[i])) for i in range(120)]
+    df = spark.createDataFrame(rows, "c long, y int, era int, p double, q double").repartition(4)
+    times = np.zeros((50, 15))
+    for r in inference.draws(df.select(F.col("c").alias("_c")).distinct(), "_c", 50, 3).collect():
+        times[r["rep"], r["_c"]] = r["times"]
+    got = {r["metric"]: r for r in assess.metric_intervals(df, "c", "p", F.col("y"), 50, 3).collect()}
+    pair = {r["metric"]: r for r in assess.paired_intervals(df, "c", "p", "q", F.col("y"), 50, 3).collect()}
+    own, other = (np.array([measures(y, s, t[c]) for t in times]) for s in (p, q))
+    one, two = measures(y, p, np.ones(120)), measures(y, q, np.ones(120))
+    for k, m in enumerate(("auroc", "auprc", "brier")):
+        assert (got[m]["estimate"], got[m]["low"], got[m]["high"]) == pytest.approx((one[k], *np.quantile(own[:, k], [0.025, 0.975])))
+        assert (pair[m]["estimate"], pair[m]["low"], pair[m]["high"]) == pytest.approx((one[k] - two[k], *np.quantile(own[:, k] - other[:, k], [0.025, 0.975])))
+    by = {(r["era"], r["metric"]): r["estimate"] for r in assess.metric_intervals(df, "c", "p", F.col("y"), 5, 3, ["era"]).collect()}
+    assert all(by[e, "auroc"] == pytest.approx(measures(y[era == e], p[era == e], np.ones((era == e).sum()))[0]) for e in (0, 1))
+
+
+def test_spearman_of_complete_pairs(spark):
+    from strandline.operators import inference
+
+    rng = np.random.default_rng(7)
+    x = np.round(rng.normal(size=(200, 3)) + rng.normal(size=(200, 1)), 1)
+    x[rng.random((200, 3)) < 0.2] = np.nan
+    df = spark.createDataFrame([tuple(None if np.isnan(v) else float(v) for v in r) for r in x], "a double, b double, c double")
+    mean_rank = lambda v: np.array([(v < t).sum() + ((v == t).sum() + 1) / 2 for t in v])
+    for r in inference.spearman_matrix(df, ["a", "b", "c"]).collect():
+        i, j = "abc".index(r["a"]), "abc".index(r["b"])
+        both = ~np.isnan(x[:, i]) & ~np.isnan(x[:, j])
+        assert r["n"] == both.sum() and r["rho"] == pytest.approx(np.corrcoef(mean_rank(x[both, i]), mean_rank(x[both, j]))[0, 1])
+    assert inference.spearman_matrix(df.limit(3), ["a", "b"]).first()["rho"] is None
+
+
+def test_one_fit_serves_all_features(spark, monkeypatch):
+    from strandline.operators import features, models
+
+    rng = random.Random(3)
+    rows = [(n, rng.gauss(0, 1), rng.gauss(0, 1), int(rng.random() < 0.5)) for n in range(400)]
+    df = spark.createDataFrame([(n, x, z, int(x + rng.gauss(0, 0.5) > 0)) for n, x, z, _ in rows], "n long, x double, z double, y int")
+    fits, real = [], models.baseline
+    monkeypatch.setattr(models, "baseline", lambda *a, **k: fits.append(1) or real(*a, **k))
+    drop = {r["feature"]: r["drop"] for r in models.permutation_importance(df, df, "n", ["x", "z"], "y").collect()}
+    assert drop["x"] > 0.2 > abs(drop["z"]) and len(fits) == 1
+    whole = features.auroc(real(df, ["x", "z"], "y")(df), "p", F.col("y").cast("boolean")).first()["auroc"]
+    got = {r["feature"]: r for r in models.audit_robustness(df, df, "n", ["x", "z"], "y").collect()}
+    assert got["x"]["auroc_missing"] < whole and len(fits) == 2
