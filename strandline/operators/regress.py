@@ -9,10 +9,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strandline.operators.causal import ols
+from strandline.operators.causal import ols, propensity, weight
 from strandline.operators.phenotypes import Z95
 from strandline.operators.sums import lookup, prefix_sums
-from strandline.sources.tables import persisted
+from strandline.sources.tables import append_ledger, persisted
 
 Sums = Callable[[np.ndarray, np.ndarray, np.ndarray], tuple[float, np.ndarray, np.ndarray]]
 
@@ -42,7 +42,7 @@ def newton(df: DataFrame, y: str, xs: list[str], of: Sums, beta: np.ndarray, rou
     """(estimate, its covariance, log likelihood); steps are halved while the likelihood falls. Not settling raises."""
     ll, g, h = summed(df, y, xs, of, beta)
     for _ in range(rounds):
-        step = np.linalg.solve(h, g)
+        step = np.linalg.solve(h if np.diag(h).min() > 0 else h + np.diag(np.maximum(0, np.abs(g) - np.diag(h))), g)  # far from the maximum an observed information may be negative
         for _ in range(20):
             new = summed(df, y, xs, of, beta + step)
             if np.isfinite(new[0]) and new[0] >= ll - 1e-9 * abs(ll):
@@ -112,6 +112,49 @@ def negative_binomial(df: DataFrame, y: str, xs: list[str], rounds: int = 50) ->
     raise RuntimeError("the dispersion did not settle")
 
 
+def gammas(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Log gamma, digamma and trigamma of positive numbers: the series at x + 8, brought down by the recurrence."""
+    low = [x + i for i in range(8)]
+    z = x + 8
+    i, s = 1 / z, 1 / (z * z)
+    log = (z - 0.5) * np.log(z) - z + 0.5 * np.log(2 * np.pi) + i * (1 / 12 - s * (1 / 360 - s * (1 / 1260 - s / 1680)))
+    first = np.log(z) - i / 2 - s * (1 / 12 - s * (1 / 120 - s * (1 / 252 - s / 240)))
+    second = i + s / 2 + i * s * (1 / 6 - s * (1 / 30 - s * (1 / 42 - s / 30)))
+    return log - sum(np.log(t) for t in low), first - sum(1 / t for t in low), second + sum(1 / (t * t) for t in low)
+
+
+def negative_binomial_ml(df: DataFrame, y: str, xs: list[str]) -> DataFrame:
+    """term, coefficient, se of a log-linear model of counts with variance mu + alpha mu^2, coefficients and (alpha) by maximum likelihood together. Counts without more spread than Poisson, before or behind the covariates, have no maximum in alpha > 0 and raise."""
+
+    def of(y: np.ndarray, z: np.ndarray, theta: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
+        x = np.column_stack([np.ones(len(y)), z])
+        mu, r = np.exp(np.clip(x @ theta[:-1], -30, 30)), np.exp(-np.clip(theta[-1], -30, 30))
+        (l1, d1, t1), (l0, d0, t0), (lf, _, _) = gammas(y + r), gammas(np.array([r])), gammas(y + 1)
+        ll = l1 - l0 - lf + r * np.log(r / (r + mu)) + y * np.log(mu / (r + mu))
+        g = d1 - d0 + np.log(r / (r + mu)) + 1 - (r + y) / (r + mu)
+        gg = t1 - t0 + 1 / r - 2 / (r + mu) + (r + y) / (r + mu) ** 2
+        w = mu * r / (r + mu)
+        score = np.r_[x.T @ ((y - mu) * r / (r + mu)), -r * g.sum()]
+        info = np.zeros((len(theta), len(theta)))
+        info[:-1, :-1] = (x * w[:, None]).T @ x
+        info[-1, -1] = -(r * r * gg + r * g).sum()
+        return float(ll.sum()), score, info
+
+    base = persisted(df.select(y, *xs).dropna(), "counts")
+    mean, var = base.agg(F.avg(y), F.var_pop(y)).first()
+    if mean is None or var <= mean:
+        raise ValueError("the counts have no more spread than Poisson")
+    start = np.r_[np.log(max(mean, 1e-9)), np.zeros(len(xs)), np.log(max((var - mean) / mean**2, 1e-3))]
+
+    theta, cov, _ = newton(base, y, xs, of, start)
+    alpha = float(np.exp(theta[-1]))
+    if alpha < 1e-6:
+        raise ValueError("the counts have no more spread than Poisson")
+    se = np.sqrt(np.diag(cov))
+    rows = [(t, float(b), float(e)) for t, b, e in zip(["(intercept)", *xs], theta, se, strict=False)]
+    return df.sparkSession.createDataFrame([*rows, ("(alpha)", alpha, alpha * float(se[-1]))], "term string, coefficient double, se double")
+
+
 def working(family: str, eta: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Log likelihood, residual and weight of each row at its linear predictor."""
     if family == "gaussian":
@@ -325,6 +368,52 @@ def negative_control(df: DataFrame, controls: list[str], treated: Column) -> Dat
     return t.withColumn("flagged", (F.col("low") > 0) | (F.col("high") < 0))
 
 
+def refuse_late_outcomes(df: DataFrame, ends: str, index: str) -> DataFrame:
+    """``df``; raises where the window of a control outcome, which must lie before treatment, ends after the index time."""
+    late = df.where(F.col(ends) > F.col(index)).count()
+    if late:
+        raise ValueError(f"the outcome window of {late} rows ends after their index time")
+    return df
+
+
+def specification_grid(df: DataFrame, y: str, treated: Column, ps: str, specs: list[dict]) -> DataFrame:
+    """spec, n, n_treated, mean1, mean0, difference, ess: every specification over one fit's propensities in one pass over the rows.
+
+    A specification has estimand (ATE, ATT, ATO) and may have trim (low, high: rows outside leave) and truncate (low, high: weights use the nearest bound); its name is its place in the list. A row goes once to
+    each specification that keeps it, and is added up before the shuffle.
+    """
+    p = F.col(ps)
+    cells = []
+    for k, s in enumerate(specs):
+        low, high = s.get("truncate", (0.0, 1.0))
+        w = weight(treated, p, s["estimand"], low, high)
+        keep = p.between(*s["trim"]) if "trim" in s else F.lit(True)
+        cells.append(F.when(keep & (p > 0) & (p < 1) if low == 0.0 or high == 1.0 else keep, F.struct(F.lit(k).alias("spec"), w.alias("w"))))
+    each = df.where(F.col(y).isNotNull() & p.isNotNull()).select(F.col(y).cast("double").alias("_y"), treated.alias("_t"), F.explode(F.array_compact(F.array(*cells))).alias("x")).select("_y", "_t", "x.*")
+    of = lambda t: F.sum(F.when(F.col("_t") == t, F.col("w") * F.col("_y"))) / F.sum(F.when(F.col("_t") == t, F.col("w")))
+    s = each.groupBy("spec").agg(F.count("*").alias("n"), F.count_if("_t").alias("n_treated"), of(True).alias("mean1"), of(False).alias("mean0"), (F.sum("w") ** 2 / F.sum(F.col("w") ** 2)).alias("ess"))
+    return s.select("spec", "n", "n_treated", "mean1", "mean0", (F.col("mean1") - F.col("mean0")).alias("difference"), "ess")
+
+
+def leave_one_out(df: DataFrame, y: str, treated: str, xs: list[str], estimand: str, ledger: str) -> DataFrame:
+    """left_out ('(none)': no covariate), difference, ess: the weighted difference with the propensity fitted without each covariate. A fit is added to the ``ledger`` folder as soon as it is known, and fits found there aren't made again."""
+    spark = df.sparkSession
+    kind = "left_out string, difference double, ess double"
+    try:
+        known = {r["left_out"]: r for r in spark.read.schema(kind).json(ledger).collect()}  # a row a covariate
+    except Exception as missing:  # noqa: BLE001 no ledger yet
+        if "PATH_NOT_FOUND" not in str(missing):
+            raise
+        known = {}
+    base = persisted(df, "grid")
+    for out in ("(none)", *xs):
+        if out not in known:
+            fit = propensity(base, treated, [x for x in xs if x != out])
+            one = specification_grid(fit, y, F.col(treated).cast("boolean"), "ps", [{"estimand": estimand, "truncate": (0.01, 0.99)}])
+            append_ledger(one.select(F.lit(out).alias("left_out"), "difference", "ess"), ledger)
+    return spark.read.schema(kind).json(ledger)
+
+
 def sensitivity_grid(effects: DataFrame, rr: str, with_treatment: list[float], with_outcome: list[float]) -> DataFrame:
     """``effects`` with treatment_rr, outcome_rr, adjusted, explained: the ratio after the largest bias that a confounder of such strength can make, and whether none is left."""
     grid = F.explode(F.array(*[F.struct(F.lit(float(a)).alias("a"), F.lit(float(b)).alias("b")) for a in with_treatment for b in with_outcome]))

@@ -351,3 +351,32 @@ SELECT yr, sum(n)::BIGINT AS n, round((sum((cn - (n - 1) / 2) * k) - sum(k) * (s
 def r6h(spark, sf):
     r = a.replicated_metrics(rivals(spark, sf), "o_custkey", "p", F.col("y"), 1, by=["yr"]).where("rep < 0").drop("rep")
     return rounded(r, "auroc", "auprc", "brier")
+
+
+@query("o3d_negative_binomial_ml")
+def o3d(spark, sf):
+    d = load(spark, sf, "orders").groupBy("o_custkey").agg(F.count("*").alias("n")).join(load(spark, sf, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+    return rounded(r.negative_binomial_ml(d.select("n", (F.col("c_acctbal") / 10_000).alias("x")), "n", ["x"]), "coefficient", "se", to=4)
+
+
+SPECS = [{"estimand": e, **t} for e in ("ATE", "ATT", "ATO") for t in ({}, {"trim": (0.15, 0.75)}, {"truncate": (0.2, 0.7)})]
+
+
+def _spec_sql(k, s):
+    a, z = s.get("truncate", (0, 1))
+    p = f"least(greatest(ps, {a}), {z})"
+    w = {"ATE": f"CASE WHEN t THEN 1 / {p} ELSE 1 / (1 - {p}) END", "ATT": f"CASE WHEN t THEN 1 ELSE {p} / (1 - {p}) END", "ATO": f"CASE WHEN t THEN 1 - {p} ELSE {p} END"}[s["estimand"]]
+    keep = f"WHERE ps BETWEEN {s['trim'][0]} AND {s['trim'][1]}" if "trim" in s else ""
+    return f"SELECT {k} AS spec, x, t, {w} AS w FROM d {keep}"
+
+
+@query("q7f_specification_grid", f"WITH {PSQ}, g AS ({' UNION ALL '.join(_spec_sql(k, s) for k, s in enumerate(SPECS))}) SELECT spec, count(*) AS n, count(*) FILTER (t) AS n_treated, round(sum(w * x) FILTER (t) / sum(w) FILTER (t) - sum(w * x) FILTER (NOT t) / sum(w) FILTER (NOT t), 4) AS difference, round(pow(sum(w), 2) / sum(w * w), 4) AS ess FROM g GROUP BY 1")
+def q7f(spark, sf):
+    g = r.specification_grid(treated(spark, sf), "x", F.col("t"), "ps", SPECS).select("spec", "n", "n_treated", "difference", "ess")
+    return rounded(g, "difference", "ess", to=4)
+
+
+@query("q7g_leave_one_out")
+def q7g(spark, sf):
+    d = treated(spark, sf).drop("ps").withColumn("x", F.col("x") / 1e5)
+    return rounded(r.leave_one_out(d.withColumn("y", F.col("x") + F.col("z")), "y", "t", ["x", "z"], "ATE", src.scratch(spark, "ledger")), "difference", "ess", to=3)

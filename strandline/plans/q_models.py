@@ -123,3 +123,21 @@ r AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY query ORDER BY s D
 def t6(spark, sf):
     e = load(spark, sf, "embeddings")
     return rounded(m.neighbour_agreement(e, e.where("vec_id % 20 = 0"), "vec_id", "embedding", "label", 5), "share", "expected", "lift")
+
+
+@query("r14c_sparse_svd")
+def r14c(spark, sf):
+    """Orders by parts: which parts are ordered together, by the five largest singular values."""
+    from strandline.operators.sparse import sparse_svd
+
+    return rounded(sparse_svd(load(spark, sf, "lineitem"), "l_orderkey", "l_partkey", "l_quantity", 5)[0], "sigma", to=3).withColumn("share", F.round("share", 6))
+
+
+@query("r22b_one_look")
+def r22b(spark, sf):
+    from strandline.operators.holdout import Protocol, one_look
+
+    o = load(spark, sf, "orders")
+    d = o.select("o_orderdate", (F.col("o_totalprice") / 1e5).alias("price"), (F.col("o_orderkey") % 7).cast("double").alias("k"), (F.col("o_totalprice") + F.col("o_orderkey") % 7 * 20000 > 300000).cast("int").alias("y"))
+    p = Protocol("late orders", "o_orderdate", ("1992-01-01", "1995-01-01"), ("1995-01-01", "1996-01-01"), ("price", "k"), "y")
+    return rounded(one_look(d, p, lambda dev: m.baseline(dev, list(p.features), p.label), scratch(spark, "ledger")), "auroc", to=4)
