@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from strandline.llm.shared import HOT_SHARE, lookup, table, written
+from strandline.llm.shared import HOT_SHARE, hot_keys, lookup, salted, table, written
 
 #: A region of at most so many documents and shingles is joined by one task; larger ones are split.
 LEAF, LEAF_SHINGLES = 1024, 2_000_000
@@ -179,7 +179,7 @@ def maybe_linked(pairs: DataFrame, sets: DataFrame, likeness: Likeness) -> DataF
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), pa.array(maybe, pa.bool_())], names=["pivot", "doc", "n", "maybe"])
 
     x, p = sets.select("doc", "n", "sketch"), sets.select(F.col("doc").alias("pivot"), F.col("n").alias("m"), F.col("sketch").alias("other"))
-    return pairs.join(x, "doc").join(p, "pivot").select("pivot", "doc", "n", "sketch", "m", "other").mapInArrow(compare, "pivot long, doc long, n long, maybe boolean")
+    return salted(pairs.join(x, "doc"), p, "pivot", "doc", hot_keys(pairs, "pivot")).select("pivot", "doc", "n", "sketch", "m", "other").mapInArrow(compare, "pivot long, doc long, n long, maybe boolean")
 
 
 def measured(pairs: DataFrame, sets: DataFrame, likeness: Likeness) -> DataFrame:
@@ -198,7 +198,7 @@ def measured(pairs: DataFrame, sets: DataFrame, likeness: Likeness) -> DataFrame
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(size, pa.int64()), pa.array(linked, pa.bool_()), pa.array(ring, pa.int32())], names=["pivot", "doc", "n", "linked", "ring"])
 
     p, x = sets.select(F.col("doc").alias("pivot"), F.col("items").alias("a")), sets.select("doc", F.col("items").alias("b"))
-    return pairs.join(x, "doc").join(p, "pivot").select("pivot", "doc", "a", "b").mapInArrow(measure, "pivot long, doc long, n long, linked boolean, ring int")
+    return salted(pairs.join(x, "doc"), p, "pivot", "doc", hot_keys(pairs, "pivot")).select("pivot", "doc", "a", "b").mapInArrow(measure, "pivot long, doc long, n long, linked boolean, ring int")
 
 
 def overlap(a: np.ndarray, b: np.ndarray) -> int:
@@ -378,14 +378,15 @@ def region_links(members: DataFrame, sets: DataFrame, likeness: Likeness, leaf:
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """node, component (its smallest node) of an undirected graph given as a, b: least labels of neighbours, then labels of labels, until nothing changes."""
+    """node, component (its smallest node) of an undirected graph given as a, b: least labels of neighbours, then labels of labels, until nothing changes. Hubs and the roots of giant components are salted."""
     both = written(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).where("a <> b").distinct(), "edges")
     labels = written(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("component")), "labels")
+    hubs = hot_keys(both, "b")
     while True:
-        offered = both.join(labels.withColumnRenamed("node", "b"), "b").groupBy(F.col("a").alias("node")).agg(F.min("component").alias("offer"))
+        offered = salted(both, labels.withColumnRenamed("node", "b"), "b", "a", hubs).groupBy(F.col("a").alias("node")).agg(F.min("component").alias("offer"))
         lower = written(labels.join(offered, "node").select("node", "component", F.least("component", "offer").alias("next")), "labels")
         hop = lower.select(F.col("node").alias("next"), F.col("next").alias("beyond"))
-        after = written(lower.join(hop, "next", "left").select("node", F.least("next", F.coalesce("beyond", "next")).alias("component"), F.col("component").alias("before")), "labels")
+        after = written(salted(lower, hop, "next", "node", hot_keys(lower, "next")).select("node", F.least("next", "beyond").alias("component"), F.col("component").alias("before")), "labels")
         labels = after.select("node", "component")
         if after.where("component <> before").limit(1).count() == 0:
             return labels
@@ -433,7 +434,8 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     near = written(measured(told.where("maybe").select("pivot", "doc"), sets, likeness), "measured")
     members = written(told.join(near.select("pivot", "doc", "linked"), ["pivot", "doc"], "left").select(F.col("pivot").alias("region"), "doc", "n", F.coalesce("linked", F.lit(False)).alias("linked")), "members")
     living = written(alive(members, sets, likeness, leaf, leaf_shingles), "alive")
-    far = measured(living.join(members.where("not linked"), ["region", "doc"]).select(F.col("region").alias("pivot"), "doc"), sets, likeness)
+    beyond = written(living.join(members.where("not linked"), ["region", "doc"]).select(F.col("region").alias("pivot"), "doc"), "far-pairs")
+    far = measured(beyond, sets, likeness)
     known = near.where("linked").join(living.withColumnRenamed("region", "pivot"), ["pivot", "doc"], "left_semi")
     inside = region_links(written(known.unionByName(far).withColumnRenamed("pivot", "region"), "living"), sets, likeness, leaf, leaf_shingles)
     labels = components(near.where("linked").select(F.col("pivot").alias("a"), F.col("doc").alias("b")).unionByName(inside))
