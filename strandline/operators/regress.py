@@ -141,11 +141,19 @@ def negative_binomial_ml(df: DataFrame, y: str, xs: list[str]) -> DataFrame:
         return float(ll.sum()), score, info
 
     base = persisted(df.select(y, *xs).dropna(), "counts")
-    mean, var = base.agg(F.avg(y), F.var_pop(y)).first()
-    if mean is None or var <= mean:
-        raise ValueError("the counts have no more spread than Poisson")
-    start = np.r_[np.log(max(mean, 1e-9)), np.zeros(len(xs)), np.log(max((var - mean) / mean**2, 1e-3))]
 
+    def poisson(y: np.ndarray, z: np.ndarray, beta: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
+        x = np.column_stack([np.ones(len(y)), z])
+        mu = np.exp(np.clip(x @ beta, -30, 30))
+        return float((y * (x @ beta) - mu).sum()), x.T @ (y - mu), (x * mu[:, None]).T @ x
+
+    mean = base.agg(F.avg(y)).first()[0]
+    beta = newton(base, y, xs, poisson, np.r_[np.log(max(mean or 0.0, 1e-9)), np.zeros(len(xs))])[0]
+    mu = F.exp(sum((F.col(x) * float(b) for x, b in zip(xs, beta[1:], strict=True)), F.lit(float(beta[0]))))
+    extra, square = base.agg(F.sum((F.col(y) - mu) ** 2 - F.col(y)), F.sum(mu * mu)).first()
+    if extra <= 0:  # the score of alpha at 0
+        raise ValueError("the counts have no more spread than Poisson")
+    start = np.r_[beta, np.log(max(extra / square, 1e-6))]
     theta, cov, _ = newton(base, y, xs, of, start)
     alpha = float(np.exp(theta[-1]))
     if alpha < 1e-6:

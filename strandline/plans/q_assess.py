@@ -355,8 +355,8 @@ def r6h(spark, sf):
 
 @query("o3d_negative_binomial_ml")
 def o3d(spark, sf):
-    d = load(spark, sf, "orders").groupBy("o_custkey").agg(F.count("*").alias("n")).join(load(spark, sf, "customer"), F.col("o_custkey") == F.col("c_custkey"))
-    return rounded(r.negative_binomial_ml(d.select("n", (F.col("c_acctbal") / 10_000).alias("x")), "n", ["x"]), "coefficient", "se", to=4)
+    d = load(spark, sf, "lineitem").select(F.col("l_quantity").cast("long").alias("n"), (F.col("l_discount") * 10).alias("x"))
+    return rounded(r.negative_binomial_ml(d, "n", ["x"]), "coefficient", "se", to=4)
 
 
 SPECS = [{"estimand": e, **t} for e in ("ATE", "ATT", "ATO") for t in ({}, {"trim": (0.15, 0.75)}, {"truncate": (0.2, 0.7)})]
