@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
@@ -14,7 +13,6 @@ from pyspark.sql import functions as F
 from strandline.functions.timesem import md5_unit
 from strandline.operators.inference import ks, psi, rank_table
 from strandline.operators.sums import column_quantiles, prefix_sums
-from strandline.sources.tables import persisted
 
 
 def build_features(aligned: DataFrame, keys: list[str], item: str, value: str, tiebreak: str, items: list[str], low: float, high: float) -> DataFrame:
@@ -140,8 +138,8 @@ def cosine(a: Column, b: Column) -> Column:
     return F.try_divide(dot(a, b), F.sqrt(dot(a, a)) * F.sqrt(dot(b, b)))
 
 
-#: A pass of a search by cosine takes so many queries on average; a task scores so many of them against so many rows at a time.
-PASS, QUERIES, ROWS = 8192, 256, 4096
+#: A search by cosine deals about so many queries to a block and so many rows to a tile; a task scores so many queries against so many rows at a time.
+BLOCK, TILE, QUERIES, ROWS = 8192, 65_536, 256, 4096
 
 
 def dense(vectors: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -156,64 +154,54 @@ def dense(vectors: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return out, np.where(known, n, -1)
 
 
-def nearest(base: DataFrame, queries: DataFrame, unit: str, vector: str, value: Column, k: int, per_pass: int = PASS) -> DataFrame:
+def nearest(base: DataFrame, queries: DataFrame, unit: str, vector: str, value: Column, k: int, block: int = BLOCK, tile: int = TILE) -> DataFrame:
     """query, _u, _s, _v: of every query the k rows of ``base`` of another ``unit`` (an integer) with the highest cosine, ties to smaller units, with their ``value``.
 
     Terms are added one by one, as SQL does, so equal vectors score equally. Like ``cosine``, vectors of different length, or with a null or of zero length give NULL, which comes last.
-    Queries go in passes of about ``per_pass``, broadcast; every row of the base is scored against them, and a task keeps k rows a query before these meet. A unit is one query (its smallest vector).
+    Hashes deal queries to blocks and rows to tiles; every block meets every tile in a group of its own, of that bounded size, which keeps k rows a query before these meet. Nothing but two counts
+    reaches the driver. A unit is one query (its smallest vector).
     """
-    spark = base.sparkSession
-    asked = persisted(queries.select(F.col(unit).cast("long").alias("id"), F.col(vector).alias("v")).where("id is not null").groupBy("id").agg(F.min("v").alias("v")), "queries")
-    passes = max(-(-asked.count() // per_pass), 1)
+    asked = queries.select(F.col(unit).cast("long").alias("id"), F.col(vector).alias("v")).where("id is not null").groupBy("id").agg(F.min("v").alias("v"))
     rows = base.select(F.col(unit).cast("long").alias("_u"), F.col(vector).alias("v"), value.alias("_v")).where("_u is not null")
     kind = rows.schema["_v"].dataType.simpleString()
-    parts = []
-    for n in range(passes):
-        part = asked.where(F.pmod(F.xxhash64("id"), F.lit(passes)) == n).toArrow().combine_chunks()
-        block = spark.sparkContext.broadcast((part.column("id").to_numpy(), *dense(pa.concat_arrays(part.column("v").chunks)))) if part.num_rows else None
-        if block is None:
-            continue
-
-        def search(batches: Iterator[pa.RecordBatch], block=block) -> Iterator[pa.RecordBatch]:
-            own, asks, long = block.value
-            norms = lengths(asks)
-            kept, payload = [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0), np.zeros(0, np.int64)], None  # query number, unit, cosine, row of payload
-            for b in batches:
-                payload = b.column(2).slice(0, 0) if payload is None else payload
-                for at in range(0, b.num_rows, ROWS):
-                    tile = b.slice(at, ROWS)
-                    values, n = dense(tile.column(1))
-                    sizes, units = lengths(values), tile.column(0).to_numpy()
-                    start = len(payload)
-                    payload = pa.concat_arrays([payload, tile.column(2)])
-                    for a in range(0, len(own), QUERIES):
-                        e = slice(a, a + QUERIES)
-                        s = np.zeros((len(own[e]), len(n)))
-                        for term in range(min(asks.shape[1], values.shape[1])):
-                            s += asks[e, term][:, None] * values[:, term]
-                        under = norms[e][:, None] * sizes
-                        with np.errstate(all="ignore"):
-                            s = s / under
-                        s[(under == 0) | (long[e][:, None] != n) | (n < 0)] = -np.inf  # NULL
-                        s[np.isnan(s)] = np.inf  # as in SQL, above all numbers
-                        s, other = np.where(own[e][:, None] != units, s, -np.inf), own[e][:, None] != units
-                        take = min(k + int((~other).sum(axis=1).max(initial=0)), len(n))
-                        bound = np.partition(s, len(n) - take, axis=1)[:, len(n) - take]
-                        q, r = np.nonzero((s >= bound[:, None]) & other)
-                        kept = [np.concatenate(x) for x in zip(kept, highest(q + a, units[r], s[q, r], r + start, k), strict=True)]
-                    kept = highest(*kept, k)
-                    use, at_new = np.unique(kept[3], return_inverse=True)
-                    payload, kept[3] = payload.take(pa.array(use)), at_new
-            q, u, s, r = kept
-            if payload is not None:
-                scores = pa.array(np.where(s == np.inf, np.nan, s), mask=s == -np.inf)
-                yield pa.RecordBatch.from_arrays([pa.array(own[q]), pa.array(u), scores, payload.take(pa.array(r))], names=["query", "_u", "_s", "_v"])
-
-        parts.append(rows.mapInArrow(search, f"query long, _u long, _s double, _v {kind}"))
-    if not parts:
-        return spark.createDataFrame([], f"query long, _u long, _s double, _v {kind}")
+    n = rows.count()
+    blocks, tiles = max(-(-asked.count() // block), 1), max(-(-n // tile), min(int(base.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-n // ROWS)), 1)
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    left = asked.withColumn("_b", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int")).withColumn("_t", every(tiles))
+    right = rows.withColumn("_t", F.pmod(F.xxhash64("_u", F.monotonically_increasing_id()), F.lit(tiles)).cast("int")).withColumn("_b", every(blocks))
+
+    def search(queries: pa.Table, rows: pa.Table) -> pa.Table:
+        own, (asks, long) = queries.column("id").to_numpy(), dense(queries.column("v").combine_chunks())
+        rows = rows.combine_chunks()
+        norms = lengths(asks)
+        kept = [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0), np.zeros(0, np.int64)]  # query number, unit, cosine, row
+        for at in range(0, rows.num_rows if len(own) else 0, ROWS):
+            part = rows.slice(at, ROWS)
+            values, n = dense(pa.concat_arrays(part.column("v").chunks))
+            sizes, units = lengths(values), part.column("_u").to_numpy()
+            for a in range(0, len(own), QUERIES):
+                e = slice(a, a + QUERIES)
+                s = np.zeros((len(own[e]), len(n)))
+                for term in range(min(asks.shape[1], values.shape[1])):
+                    s += asks[e, term][:, None] * values[:, term]
+                under = norms[e][:, None] * sizes
+                with np.errstate(all="ignore"):
+                    s = s / under
+                s[(under == 0) | (long[e][:, None] != n) | (n < 0)] = -np.inf  # NULL
+                s[np.isnan(s)] = np.inf  # as in SQL, above all numbers
+                s, other = np.where(own[e][:, None] != units, s, -np.inf), own[e][:, None] != units
+                take = min(k + int((~other).sum(axis=1).max(initial=0)), len(n))
+                bound = np.partition(s, len(n) - take, axis=1)[:, len(n) - take]
+                q, r = np.nonzero((s >= bound[:, None]) & other)
+                kept = [np.concatenate(x) for x in zip(kept, highest(q + a, units[r], s[q, r], r + at, k), strict=True)]
+            kept = highest(*kept, k)
+        q, u, s, r = kept
+        score = np.where(np.isposinf(s), np.nan, s)
+        return pa.table({"query": pa.array(own[q] if len(q) else q, pa.int64()), "_u": pa.array(u, pa.int64()), "_s": pa.array(score, pa.float64(), mask=np.isneginf(s)), "_v": pa.concat_arrays(rows.column("_v").chunks or [pa.nulls(0, rows.schema.field("_v").type)]).take(pa.array(r, pa.int64()))})
+
+    found = left.groupBy("_b", "_t").cogroup(right.groupBy("_b", "_t")).applyInArrow(search, f"query long, _u long, _s double, _v {kind}")
     order = Window.partitionBy("query").orderBy(F.desc("_s"), "_u", "_v")
-    return reduce(DataFrame.unionByName, parts).withColumn("_r", F.row_number().over(order)).where(F.col("_r") <= k).drop("_r")
+    return found.withColumn("_r", F.row_number().over(order)).where(F.col("_r") <= k).drop("_r")
 
 
 def lengths(vectors: np.ndarray) -> np.ndarray:
@@ -245,8 +233,6 @@ def audit_features(df: DataFrame, features: list[str], label: Column, most: floa
 
 def audit_drift(df: DataFrame, features: dict[str, list[float]], later: Column) -> DataFrame:
     """feature, psi, ks between the earlier and the later rows."""
-    from functools import reduce
-
     d = df.withColumn("_g", later)
     rows = [psi(d, f, F.col("_g"), cuts).crossJoin(ks(d, f, F.col("_g"))).select(F.lit(f).alias("feature"), "psi", F.col("d").alias("ks")) for f, cuts in features.items()]  # one row each
     return reduce(DataFrame.unionByName, rows)

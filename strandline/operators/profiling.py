@@ -36,14 +36,22 @@ def top_k(df: DataFrame, col: str, k: int) -> DataFrame:
     return df.groupBy(col).agg(F.count("*").alias("n")).orderBy(F.desc("n"), F.col(col)).limit(k)
 
 
+def distinct_counts(df: DataFrame) -> DataFrame:
+    """k, n_distinct: different known values of the k-th column, told apart by 64-bit hashes of type and value. Hashes are made distinct where the rows are, so neither whole texts nor rows times columns are shuffled."""
+    each = F.explode(F.array(*[F.struct(F.lit(k).alias("k"), F.when(F.col(c).isNotNull(), F.xxhash64(c)).alias("h")) for k, c in enumerate(df.columns)])).alias("x")
+    return df.select(each).select("x.*").where("h is not null").distinct().groupBy("k").agg(F.count("*").alias("n_distinct"))
+
+
 def profile_external(df: DataFrame, low: int, high: int, long_text: int = 64) -> DataFrame:
     """column, n_null, n_distinct, max_length, mean_length, in_band, free_text, candidate_key of every column of a source not known yet."""
     aggs = []
     for k, (c, kind) in enumerate(df.dtypes):
         size = F.length(F.col(c).cast("string"))
         band = F.count_if(F.col(c).between(low, high)) if kind in ("int", "bigint", "smallint") else F.lit(0)
-        aggs.append(F.struct(F.lit(c).alias("column"), F.count_if(F.col(c).isNull()).alias("n_null"), F.countDistinct(c).alias("n_distinct"), F.max(size).alias("max_length"), F.avg(size).alias("mean_length"), (band > 0).alias("in_band"), (F.lit(kind == "string") & (F.avg(size) > long_text)).alias("free_text"), (F.countDistinct(c) == F.count(F.lit(1))).alias("candidate_key")).alias(f"c{k}"))
-    return df.agg(*aggs).select(F.explode(F.array(*[f"c{k}" for k in range(len(df.columns))])).alias("x")).select("x.*")
+        aggs.append(F.struct(F.lit(k).alias("k"), F.lit(c).alias("column"), F.count_if(F.col(c).isNull()).alias("n_null"), F.count(F.lit(1)).alias("n"), F.max(size).alias("max_length"), F.avg(size).alias("mean_length"), (band > 0).alias("in_band"), (F.lit(kind == "string") & (F.avg(size) > long_text)).alias("free_text")).alias(f"c{k}"))
+    told = df.agg(*aggs).select(F.explode(F.array(*[f"c{k}" for k in range(len(df.columns))])).alias("x")).select("x.*")
+    d = told.join(distinct_counts(df), "k", "left").withColumn("n_distinct", F.coalesce("n_distinct", F.lit(0)))
+    return d.select("column", "n_null", "n_distinct", "max_length", "mean_length", "in_band", "free_text", (F.col("n_distinct") == F.col("n")).alias("candidate_key"))
 
 
 def item_dictionary(dictionaries: list[DataFrame], curated: DataFrame, key: str) -> DataFrame:
