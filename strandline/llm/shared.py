@@ -60,19 +60,3 @@ def lookup(df: DataFrame, found: DataFrame, keys: list[str], rows: str, total: i
     met = df.join(F.broadcast(hot), keys, "left")
     plain = met.where(F.col("_hot").isNull()).drop("_hot").join(cold, keys, "left")
     return plain.unionByName(met.where(F.col("_hot").isNotNull()).select(*df.columns, *[F.col("_hot")[c].alias(c) for c in gets]))
-
-
-def hot_keys(df: DataFrame, key: str) -> DataFrame:
-    """``key`` of those that over 1/HOT_SHARE of the rows hold, HOT_SHARE at most; rows are counted before they are shuffled."""
-    floor = max(df.count() // HOT_SHARE, 1000)
-    return written(df.groupBy(key).agg(F.count("*").alias("_n")).where(F.col("_n") > floor).select(key), "hot-keys")
-
-
-def salted(df: DataFrame, found: DataFrame, key: str, by: str, hot: DataFrame, parts: int = 64) -> DataFrame:
-    """``df`` joined to ``found`` (one row a key) on ``key``. Rows of ``hot`` keys are dealt to ``parts`` tasks by a hash of ``by``, and found's rows of these keys go to each of them; only the hot keys themselves are broadcast."""
-    if not hot.limit(1).count():
-        return df.join(found, key)
-    marked = F.broadcast(hot.select(key, F.lit(True).alias("_hot")))
-    left = df.join(marked, key, "left").withColumn("_salt", F.when(F.col("_hot"), F.pmod(F.xxhash64(by), F.lit(parts)).cast("int")).otherwise(0)).drop("_hot")
-    right = found.join(marked, key, "left").withColumn("_salt", F.explode(F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(parts - 1))).otherwise(F.array(F.lit(0))))).drop("_hot")
-    return left.join(right, [key, "_salt"]).drop("_salt")
