@@ -22,7 +22,8 @@ PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 NAMESPACE = uuid.UUID("6ba7b811-9dad-11d1-80b4-00c04fd430c8")
 
 
-def capture_urn(page_id: int | None, digest: str) -> str:
+def response_id(page_id: int | None, digest: str) -> str:
+    """The record id of a page's response; revisits name it."""
     return f"<urn:uuid:{uuid.uuid5(NAMESPACE, f'{page_id}/{digest}')}>"
 
 
@@ -32,16 +33,17 @@ def record(headers: list[tuple[str, str | None]], block: str) -> str:
     return "\r\n".join(lines) + END + block
 
 
-def capture_records(page_id: int | None, url: str | None, html: str, digest: str, first: int | None, revisit: bool, position: str) -> list[str]:
-    """The records of one capture. ``position`` tells rows apart that repeat page and payload; ``first`` is the page whose response a revisit refers to."""
+def capture_records(page_id: int | None, url: str | None, html: str, digest: str, first: int | None, revisit: bool, position: str, named: bool = True) -> list[str]:
+    """The records of one capture. ``first`` is the page whose response a revisit refers to; ``position`` tells rows apart that repeat page and payload, of whose responses one is ``named`` by page and digest alone."""
     own = lambda part: f"<urn:uuid:{uuid.uuid5(NAMESPACE, f'{page_id}/{digest}/{position}/{part}')}>"
     payload = len(html.encode())
     about = [("WARC-Target-URI", url), ("WARC-Date", DATE)]
     http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {payload}{END}"
     sha1 = f"sha1:{digest}"
-    main = [("WARC-Type", "revisit" if revisit else "response"), ("WARC-Record-ID", own("main")), *about, ("Content-Type", "application/http; msgtype=response"), ("WARC-Payload-Digest", sha1)]
-    main += [("WARC-Profile", PROFILE), ("WARC-Refers-To", capture_urn(first, digest))] if revisit else [("WARC-Capture-ID", capture_urn(page_id, digest))]
-    link = ("WARC-Concurrent-To", own("main"))
+    name = own("main") if revisit or not named else response_id(page_id, digest)
+    main = [("WARC-Type", "revisit" if revisit else "response"), ("WARC-Record-ID", name), *about, ("Content-Type", "application/http; msgtype=response"), ("WARC-Payload-Digest", sha1)]
+    main += [("WARC-Profile", PROFILE), ("WARC-Refers-To", response_id(first, digest))] if revisit else []
+    link = ("WARC-Concurrent-To", name)
     request = [("WARC-Type", "request"), ("WARC-Record-ID", own("request")), *about, ("Content-Type", "application/http; msgtype=request"), link]
     metadata = [("WARC-Type", "metadata"), ("WARC-Record-ID", own("metadata")), *about, ("Content-Type", "application/warc-fields"), link]
     known = f"page_id: {page_id}\r\n" if page_id is not None else "page: unnamed\r\n"
@@ -53,14 +55,16 @@ def write_archives(pages: DataFrame, path: str, least: int = 0) -> None:
 
     Among pages with equal payloads of at least ``least`` bytes, the one with the largest page_id (nulls lowest) is the response and the others revisit it.
     A null html is an empty payload; a null url leaves its header out; a row that repeats page_id and payload is another response.
+    A response's record id follows from page and digest (of alike rows, for one of them), so what a revisit refers to is the id of a record.
     Files hold about FILE_BYTES (before compression) each, in folders by their number in the writing task.
     Equal payloads meet through their digest and size alone: the page text isn't shuffled unless over SMALL digests repeat, and then hot digests are broadcast.
     """
     full = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.coalesce("html", F.lit("")).alias("html"))
     full = full.withColumn("sha", F.sha1(F.col("html").cast("binary"))).withColumn("bytes", F.octet_length("html"))
-    groups = full.where(F.col("bytes") >= least).groupBy("sha", "bytes").agg(F.max("page_id").alias("first"), F.count("*").alias("n"))
-    repeated = groups.where("n > 1").drop("bytes").dropDuplicates(["sha"])
-    total = pages.count()
+    full = written(full.withColumn("row", F.monotonically_increasing_id()), "payloads")  # so that a row has one number, whatever is asked of it
+    groups = full.where(F.col("bytes") >= least).groupBy("sha", "bytes").agg(F.max(F.struct("page_id", (-F.col("row")).alias("row"))).alias("top"), F.count("*").alias("n"))
+    repeated = groups.where("n > 1").select("sha", F.col("top.page_id").alias("first"), (-F.col("top.row")).alias("named"), "n").dropDuplicates(["sha"])
+    total = full.count()
     rows = lookup(full, repeated.withColumn("again", F.lit(True)), ["sha"], "n", total)
 
     def compose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -71,21 +75,21 @@ def write_archives(pages: DataFrame, path: str, least: int = 0) -> None:
             for at in range(0, b.num_rows, 256):
                 out: list[str] = []
                 files: list[int] = []
-                for page_id, url, html, sha, first, again, size in zip(*(c.to_pylist() for c in b.slice(at, 256).columns), strict=True):
+                for page_id, url, html, sha, first, again, size, row, named in zip(*(c.to_pylist() for c in b.slice(at, 256).columns), strict=True):
                     digest = base64.b32encode(bytes.fromhex(sha)).decode()
                     revisit = bool(again) and size >= least and page_id != first
-                    made = capture_records(page_id, url, html, digest, first, revisit, f"{task}.{n}")
+                    made = capture_records(page_id, url, html, digest, first, revisit, f"{task}.{n}", size >= least and (not again or row == named))
                     out += made
                     files += [written_bytes // FILE_BYTES] * len(made)
                     written_bytes += sum(map(len, made)) if revisit else size + 1024
                     n += 1
                 yield pa.RecordBatch.from_arrays([pa.array(out, pa.string()), pa.array(files, pa.int32())], names=["value", "file"])
 
-    texts = rows.select("page_id", "url", "html", "sha", "first", "again", "bytes").mapInArrow(compose, "value string, file int")
+    texts = rows.select("page_id", "url", "html", "sha", "first", "again", "bytes", "row", "named").mapInArrow(compose, "value string, file int")
     texts.write.partitionBy("file").option("lineSep", END).option("compression", "gzip").text(path)
 
 
-RECORD = "type string, record_id string, concurrent_to string, refers_to string, capture_id string, target_uri string, stated_digest string, payload_bytes long, payload_digest string, fields string"
+RECORD = "type string, record_id string, concurrent_to string, refers_to string, target_uri string, stated_digest string, payload_bytes long, payload_digest string, fields string"
 
 
 def parse_records(data: bytes) -> Iterator[tuple]:
@@ -106,14 +110,14 @@ def parse_records(data: bytes) -> Iterator[tuple]:
         elif kind == "metadata":
             fields = block.decode()
         get = headers.get
-        yield kind, get("WARC-Record-ID"), get("WARC-Concurrent-To"), get("WARC-Refers-To"), get("WARC-Capture-ID"), get("WARC-Target-URI"), get("WARC-Payload-Digest"), size, digest, fields
+        yield kind, get("WARC-Record-ID"), get("WARC-Concurrent-To"), get("WARC-Refers-To"), get("WARC-Target-URI"), get("WARC-Payload-Digest"), size, digest, fields
 
 
 def read_records(spark: SparkSession, path: str) -> DataFrame:
     """One row a record of the archives under ``path``, compressed or not."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kinds = [pa.string()] * 7 + [pa.int64()] + [pa.string()] * 2
+        kinds = [pa.string()] * 6 + [pa.int64()] + [pa.string()] * 2
         names = [x.split()[0] for x in RECORD.split(", ")]
         for b in batches:
             for k in range(b.num_rows):
@@ -149,7 +153,7 @@ def with_referred(captures: DataFrame) -> DataFrame:
     page = F.regexp_extract(F.col("metadata.fields"), r"page_id: (-?\d+)", 1).try_cast("long")
     paged = written(captures.withColumn("page_id", page).withColumn("named", F.col("response.refers_to")), "captures")
     asked = paged.where("named is not null").groupBy("named").agg(F.count("*").alias("n"))
-    offered = paged.where("response.capture_id is not null").select(F.col("response.capture_id").alias("named"), F.col("page_id").alias("refers_to"), F.col("response.payload_digest").alias("named_digest"))
+    offered = paged.where("response.type = 'response'").select(F.col("response.record_id").alias("named"), F.col("page_id").alias("refers_to"), F.col("response.payload_digest").alias("named_digest"))
     offered = offered.groupBy("named").agg(F.first("refers_to").alias("refers_to"), F.max("named_digest").alias("named_digest"))  # repeated rows name one capture
     found = asked.join(offered, "named")
     met = lookup(paged, found, ["named"], "n", paged.count())
