@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from strandline.functions import distributions as dist
 from strandline.operators.phenotypes import Z95
-from strandline.operators.sums import with_quantiles
+from strandline.operators.sums import quantiles_of, same_keys, with_quantiles
 from strandline.sources.tables import persisted
 
 BOUNDS = T.StructType([T.StructField("low", T.DoubleType()), T.StructField("high", T.DoubleType())])
@@ -98,6 +98,33 @@ def subgroups(df: DataFrame, dims: list[str], outcome: str) -> DataFrame:
     return s.withColumn("share", F.col("events") / F.col("n"))
 
 
+def subgroup_means(df: DataFrame, dims: list[str], outcome: str) -> DataFrame:
+    """dim, level, n, n_known, mean, sd, p25, median, p75 of a continuous outcome for every level of every dimension, and dim 'overall'. A null level is a level; values of a level are ranked by ranges."""
+    pairs = F.explode(F.array(F.struct(F.lit("overall").alias("dim"), F.lit("all").alias("level")), *[F.struct(F.lit(d).alias("dim"), F.col(d).cast("string").alias("level")) for d in dims]))
+    each = df.select(F.col(outcome).cast("double").alias("_y"), pairs.alias("p")).groupBy("p.dim", "p.level", "_y").agg(F.count("*").alias("_n"))  # one pass over the rows
+    each = persisted(each.withColumnRenamed("_y", "_v"), "levels")
+    known, n, v = F.col("_v").isNotNull(), F.col("_n"), F.col("_v")
+    m = F.when(known, n)
+    s = each.groupBy("dim", "level").agg(F.sum(n).alias("n"), F.coalesce(F.sum(m), F.lit(0)).alias("n_known"), F.try_divide(F.sum(n * v), F.sum(m)).alias("mean"), F.sum(n * v).alias("_s"), F.sum(n * v * v).alias("_q"))
+    sd = F.sqrt(F.greatest(F.try_divide(F.col("_q") - F.col("_s") * F.col("_s") / F.col("n_known"), F.col("n_known") - 1), F.lit(0.0)))
+    q = quantiles_of(each.where(known), [0.25, 0.5, 0.75], ["dim", "level"])
+    return s.join(q, same_keys(s, q, ["dim", "level"]), "left").select(s["dim"], s["level"], "n", "n_known", "mean", F.when(F.col("n_known") > 1, sd).alias("sd"), q["q"][0].alias("p25"), q["q"][1].alias("median"), q["q"][2].alias("p75"))
+
+
+def table_groups(df: DataFrame, group: str, continuous: list[str], categorical: list[str]) -> DataFrame:
+    """variable, level, group, n, share, mean, sd, p25, median, p75: table one for any number of groups. Continuous variables have no level and no share; levels of categorical ones have neither mean nor quantiles."""
+    out = []
+    for v in continuous:
+        s = subgroup_means(df, [group], v).where("dim <> 'overall'")
+        out.append(s.select(F.lit(v).alias("variable"), F.lit(None).cast("string").alias("level"), F.col("level").alias("group"), F.col("n_known").alias("n"), F.lit(None).cast("double").alias("share"), "mean", "sd", "p25", "median", "p75"))
+    none = [F.lit(None).cast("double").alias(c) for c in ("mean", "sd", "p25", "median", "p75")]
+    for v in categorical:
+        n = df.groupBy(F.col(v).cast("string").alias("level"), F.col(group).cast("string").alias("group")).agg(F.count("*").alias("n"))
+        share = F.col("n") / F.sum("n").over(Window.partitionBy("group"))  # a row a level
+        out.append(n.select(F.lit(v).alias("variable"), "level", "group", "n", share.alias("share"), *none))
+    return reduce(DataFrame.unionByName, out)
+
+
 def overlap(df: DataFrame, flags: list[str]) -> DataFrame:
     """a, b, n of rows that have both flags, for a <= b in the given order."""
     pairs = [(a, b) for i, a in enumerate(flags) for b in flags[i:]]

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from strandline.operators.checks import check_fk, check_not_null, check_unique, graded
 from strandline.operators.joins import interval_join
+from strandline.operators.sums import prefix_sums
 
 
 def validate_keys(source: DataFrame, name: str, key: str, core: DataFrame, core_key: str, warn: float = 0.001, fail: float = 0.05) -> DataFrame:
@@ -27,6 +28,18 @@ def infer_key_by_time(events: DataFrame, stays: DataFrame, by: str, time: str, s
     return interval_join(events, stays, [by], time, start, end, stay)
 
 
+def match_counts(events: DataFrame, stays: DataFrame, by: str, time: str, start: str, end: str) -> DataFrame:
+    """n_stays, n: how many events lie in so many stays [start, end) of their key. No event meets a stay: the stays open at a time are those begun less those ended, by running counts of the key, so overlapping stays make no pairs. Null keys and times lie in none."""
+    edge = lambda df, at, kind, up: df.where(F.col(by).isNotNull()).select(F.col(by).alias("_k"), F.col(at).alias("_t"), F.lit(kind).alias("_kind"), F.lit(up).alias("_up"))
+    real = stays.where(F.col(start) < F.col(end))
+    each = edge(real, end, 0, -1).unionByName(edge(real, start, 1, 1)).unionByName(edge(events.where(F.col(time).isNotNull()), time, 2, 0))
+    counted = each.groupBy("_k", "_t", "_kind").agg(F.sum("_up").alias("_up"), F.count("*").alias("_n"))
+    open_ = prefix_sums(counted, ["_t", "_kind"], ["_up"], keys=["_k"]).where("_kind = 2")
+    told = open_.groupBy(F.col("cum__up").alias("n_stays")).agg(F.sum("_n").alias("n"))
+    lost = events.where(F.col(by).isNull() | F.col(time).isNull()).agg(F.lit(0).cast("long").alias("n_stays"), F.count("*").alias("n"))
+    return told.unionByName(lost).groupBy("n_stays").agg(F.sum("n").alias("n")).where("n > 0")
+
+
 def reference_coverage(dictionary: DataFrame, reference: DataFrame, events: DataFrame, code: str) -> DataFrame:
     """One row: shares of the dictionary's codes and of event rows that the reference maps."""
     r = reference.select(code).distinct().withColumn("_m", F.lit(1))

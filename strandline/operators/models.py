@@ -157,7 +157,7 @@ def robust_z(df: DataFrame, cols: list[str]) -> DataFrame:
 
 
 def mahalanobis(df: DataFrame, cols: list[str]) -> DataFrame:
-    """Adds distance2 from the mean under the sample covariance, whose few sums come from one aggregate."""
+    """Adds distance2 from the mean under the sample covariance, whose few sums come from one aggregate, and part_<column>, what each column adds to it: the parts sum up to the distance."""
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
     one = df.agg(*[F.avg(c).alias(f"m_{c}") for c in cols], *[F.covar_samp(a, b).alias(f"c_{a}_{b}") for a, b in pairs]).first()
     cov = np.zeros((len(cols), len(cols)))
@@ -166,7 +166,16 @@ def mahalanobis(df: DataFrame, cols: list[str]) -> DataFrame:
         cov[i, j] = cov[j, i] = one[f"c_{a}_{b}"]
     inv = np.linalg.inv(cov)
     x = [F.col(c) - float(one[f"m_{c}"]) for c in cols]
-    return df.withColumn("distance2", sum((x[i] * x[j] * float(inv[i, j]) for i in range(len(cols)) for j in range(len(cols))), F.lit(0.0)))
+    part = [x[i] * sum((x[j] * float(inv[i, j]) for j in range(len(cols))), F.lit(0.0)) for i in range(len(cols))]
+    return df.select("*", sum(part, F.lit(0.0)).alias("distance2"), *[p.alias(f"part_{c}") for c, p in zip(cols, part, strict=True)])
+
+
+def flagged_by_era(scored: DataFrame, era: str, distance: str, cut: float, parts: list[str] = ()) -> DataFrame:
+    """era, n, flagged (distance over ``cut``), share, and for each column of ``parts`` the flagged rows to whose distance it adds most."""
+    over = F.coalesce(F.col(distance) > cut, F.lit(False))
+    top = F.greatest(*parts) if len(parts) > 1 else F.col(parts[0]) if parts else None
+    led = [F.count_if(over & (F.col(p) == top)).alias(f"led_by_{p.removeprefix('part_')}") for p in parts]
+    return scored.groupBy(era).agg(F.count("*").alias("n"), F.count_if(over).alias("flagged"), *led).withColumn("share", F.col("flagged") / F.col("n"))
 
 
 def latent_classes(df: DataFrame, flags: list[str], k: int, rounds: int = 20_000, tolerance: float = 1e-9) -> DataFrame:

@@ -98,6 +98,23 @@ def j4b(spark, sf):
     return x.overlap(load(spark, sf, "lineitem").select((F.col("l_quantity") > 40).alias("big"), (F.col("l_discount") > 0.05).alias("off")), ["big", "off"])
 
 
+def _level(d, lv):
+    return f"SELECT '{d}' AS dim, {lv} AS level, count(*) AS n, count(y) AS n_known, round(avg(y), 4) AS mean, round(stddev_samp(y), 4) AS sd, round(quantile_cont(y, 0.25), 4) AS p25, round(quantile_cont(y, 0.5), 4) AS median, round(quantile_cont(y, 0.75), 4) AS p75 FROM h GROUP BY {lv}"
+
+
+@query("j4c_subgroup_means", "WITH h AS (SELECT *, CASE WHEN l_linenumber <> 3 OR l_tax > 0.02 THEN l_extendedprice END AS y FROM lineitem) " + " UNION ALL ".join([_level("l_linestatus", "l_linestatus"), _level("l_linenumber", "l_linenumber::VARCHAR"), _level("overall", "'all'")]))
+def j4c(spark, sf):
+    li = load(spark, sf, "lineitem").withColumn("y", F.when((F.col("l_linenumber") != 3) | (F.col("l_tax") > 0.02), F.col("l_extendedprice")))
+    return rounded(x.subgroup_means(li, ["l_linestatus", "l_linenumber"], "y"), "mean", "sd", "p25", "median", "p75", to=4)
+
+
+@query("j5b_table_groups", """SELECT 'o_totalprice' AS variable, NULL AS level, o_orderstatus AS "group", count(o_totalprice) AS n, NULL::DOUBLE AS share, round(avg(o_totalprice), 4) AS mean, round(stddev_samp(o_totalprice), 4) AS sd, round(quantile_cont(o_totalprice, 0.25), 4) AS p25, round(quantile_cont(o_totalprice, 0.5), 4) AS median, round(quantile_cont(o_totalprice, 0.75), 4) AS p75 FROM orders GROUP BY o_orderstatus
+UNION ALL SELECT 'o_orderpriority', o_orderpriority, o_orderstatus, count(*), round(count(*) / sum(count(*)) OVER (PARTITION BY o_orderstatus), 6), NULL, NULL, NULL, NULL, NULL FROM orders GROUP BY o_orderpriority, o_orderstatus""")
+def j5b(spark, sf):
+    t = x.table_groups(load(spark, sf, "orders"), "o_orderstatus", ["o_totalprice"], ["o_orderpriority"])
+    return rounded(rounded(t, "mean", "sd", "p25", "median", "p75", to=4), "share")
+
+
 @query("j5_table1", """WITH g AS (SELECT o_totalprice AS v, o_orderpriority AS c, o_orderstatus AS s FROM orders WHERE o_orderstatus IN ('F', 'O')),
 n AS (SELECT c, count(*) FILTER (s = 'F') AS na, count(*) FILTER (s = 'O') AS nb FROM g GROUP BY 1), q AS (SELECT *, na / sum(na) OVER () AS pa, nb / sum(nb) OVER () AS pb FROM n)
 SELECT 'o_totalprice' AS variable, NULL AS level, count(v) FILTER (s = 'F') AS n_a, round(avg(v) FILTER (s = 'F'), 4) AS stat_a, count(v) FILTER (s = 'O') AS n_b, round(avg(v) FILTER (s = 'O'), 4) AS stat_b, 0::BIGINT AS missing, round((avg(v) FILTER (s = 'F') - avg(v) FILTER (s = 'O')) / sqrt((var_samp(v) FILTER (s = 'F') + var_samp(v) FILTER (s = 'O')) / 2), 6) AS smd FROM g

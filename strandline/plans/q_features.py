@@ -184,6 +184,13 @@ def s3(spark, sf):
     return k.infer_key_by_time(e, encounters(spark, sf), "subject", "t", "start", "stop", "hadm").select("event_id", "hadm")
 
 
+@query("s3b_match_counts", "WITH v AS (SELECT o_custkey, o_orderdate AS a, o_orderdate + INTERVAL 200 DAY AS z FROM orders WHERE o_orderkey % 3 = 0), e AS (SELECT o_orderkey, o_custkey, o_orderdate AS t FROM orders), m AS (SELECT e.o_orderkey, count(v.a) AS n_stays FROM e LEFT JOIN v ON v.o_custkey = e.o_custkey AND v.a <= e.t AND e.t < v.z GROUP BY 1) SELECT n_stays, count(*) AS n FROM m GROUP BY 1")
+def s3b(spark, sf):
+    o = load(spark, sf, "orders")
+    v = o.where("o_orderkey % 3 = 0").select("o_custkey", F.col("o_orderdate").alias("a"), (F.col("o_orderdate") + F.expr("interval 200 days")).alias("z"))
+    return k.match_counts(o, v, "o_custkey", "o_orderdate", "a", "z")
+
+
 @query("s4_reference_coverage", "WITH r AS (SELECT DISTINCT p_brand FROM part WHERE p_size > 48), d AS (SELECT DISTINCT p_brand FROM part) SELECT round((SELECT count(*) FROM d WHERE p_brand IN (SELECT p_brand FROM r)) / (SELECT count(*) FROM d), 6) AS dictionary_share, round(count(*) FILTER (p_brand IN (SELECT p_brand FROM r)) / count(*), 6) AS event_share FROM lineitem JOIN part ON l_partkey = p_partkey")
 def s4(spark, sf):
     p = load(spark, sf, "part")

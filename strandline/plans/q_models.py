@@ -66,6 +66,14 @@ def r11b(spark, sf):
     return rounded(m.mahalanobis(load(spark, sf, "lineitem"), ["l_quantity", "l_discount"]), "distance2", to=4).select("l_orderkey", "l_linenumber", "distance2")
 
 
+@query("r11c_flagged_by_era", """WITH s AS (SELECT avg(l_quantity) AS a, avg(l_discount) AS b, var_samp(l_quantity) AS v, var_samp(l_discount) AS w, covar_samp(l_quantity, l_discount) AS c FROM lineitem),
+d AS (SELECT year(l_shipdate) AS yr, ((l_quantity - a) * (l_quantity - a) * w - (l_quantity - a) * (l_discount - b) * c) / (v * w - c * c) AS p, ((l_discount - b) * (l_discount - b) * v - (l_quantity - a) * (l_discount - b) * c) / (v * w - c * c) AS q FROM lineitem, s)
+SELECT yr, count(*) AS n, count(*) FILTER (p + q > 4) AS flagged, count(*) FILTER (p + q > 4 AND p >= q) AS led_by_l_quantity, count(*) FILTER (p + q > 4 AND q >= p) AS led_by_l_discount, round(count(*) FILTER (p + q > 4) / count(*), 6) AS share FROM d GROUP BY 1""")
+def r11c(spark, sf):
+    d = m.mahalanobis(load(spark, sf, "lineitem").withColumn("yr", F.year("l_shipdate")), ["l_quantity", "l_discount"])
+    return rounded(m.flagged_by_era(d, "yr", "distance2", 4.0, ["part_l_quantity", "part_l_discount"]), "share")
+
+
 @query("r14_pca")
 def r14(spark, sf):
     return m.pca(load(spark, sf, "embeddings"), "embedding", 3).select("component", F.round("explained", 4).alias("explained"))
