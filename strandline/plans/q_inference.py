@@ -199,7 +199,8 @@ def p5(spark, sf):
 
 @query("p7_aft_weibull")
 def p7(spark, sf):
-    return rounded(s.aft_weibull(surv(spark, sf), "days", F.col("code") == 1, ["grp"]), "coefficient", to=3)
+    d = surv(spark, sf).withColumn("days", F.greatest("days", F.lit(1 / 86400)))  # a follow-up without length counts as one second
+    return rounded(s.aft_weibull(d, "days", F.col("code") == 1, ["grp"]), "coefficient", to=3)
 
 
 @query("p8_landmark", f"WITH {TTE} SELECT user_id, round(days - 2, 6) AS days, code FROM tte WHERE days > 2")

@@ -147,5 +147,5 @@ def r22b(spark, sf):
 
     o = load(spark, sf, "orders")
     d = o.select("o_orderdate", (F.col("o_totalprice") / 1e5).alias("price"), (F.col("o_orderkey") % 7).cast("double").alias("k"), (F.col("o_totalprice") + F.col("o_orderkey") % 7 * 20000 > 300000).cast("int").alias("y"))
-    p = Protocol("late orders", "o_orderdate", ("1992-01-01", "1995-01-01"), ("1995-01-01", "1996-01-01"), ("price", "k"), "y")
+    p = Protocol("late orders", "o_orderdate", ("1995-01-01", "1998-01-01"), ("1998-01-01", "1999-01-01"), ("price", "k"), "y")
     return rounded(one_look(d, p, lambda dev: m.baseline(dev, list(p.features), p.label), scratch(spark, "ledger")), "auroc", to=4)
