@@ -268,6 +268,26 @@ def build_sequences(filled: DataFrame, by: str, at: str, value: str) -> DataFram
     return g.select(by, F.col("x.v").alias("values"), F.col("x.m").alias("mask"), F.col("x.s").alias("since"))
 
 
+def sequence_channels(filled: DataFrame, by: str, at: str, variables: list[str], train: Column) -> DataFrame:
+    """by and, for each variable, a struct of arrays in order of ``at``: values, mask, since.
+
+    values: distance from the mean in deviations, both of the measured values of the training rows alone (``train`` over the rows of ``filled``), carried on, 0 before the first; mask: whether it was measured; since: bins since it last was, -1 before the first.
+    A variable without spread in the training rows, or not measured there, gives 0 throughout. NaN counts as not measured. One row of statistics goes to every task; a window is a unit's fixed grid."""
+    known = {v: F.when(~F.isnan(F.col(v).cast("double")), F.col(v).cast("double")) for v in variables}
+    stats = filled.where(train).agg(*[f(x).alias(f"_{n}{k}") for k, x in enumerate(known.values()) for n, f in (("m", F.avg), ("s", F.stddev_samp))])
+    w = Window.partitionBy(by).orderBy(at).rowsBetween(Window.unboundedPreceding, 0)
+    d = filled.select(by, at, *[x.alias(f"_x{k}") for k, x in enumerate(known.values())]).crossJoin(F.broadcast(stats))  # one row of statistics
+    cols = [F.col(at).alias("at")]
+    for k in range(len(variables)):
+        x, mean, spread = F.col(f"_x{k}"), F.col(f"_m{k}"), F.col(f"_s{k}")
+        z = F.when(x.isNotNull(), F.when(spread > 0, (x - mean) / spread).otherwise(0.0))
+        last = F.last(F.when(x.isNotNull(), F.col(at)), ignorenulls=True).over(w)
+        cols += [F.coalesce(F.last(z, ignorenulls=True).over(w), F.lit(0.0)).alias(f"v{k}"), x.isNotNull().cast("int").alias(f"m{k}"), F.coalesce(F.col(at) - last, F.lit(-1)).alias(f"s{k}")]
+    rows = d.select(F.col(by).alias("_u"), F.struct(*cols).alias("r")).groupBy("_u").agg(F.array_sort(F.collect_list("r")).alias("x"))
+    channels = [F.struct(F.col(f"x.v{k}").alias("values"), F.col(f"x.m{k}").alias("mask"), F.col(f"x.s{k}").alias("since")).alias(v) for k, v in enumerate(variables)]
+    return rows.select(F.col("_u").alias(by), *channels)
+
+
 def temporal_holdout(df: DataFrame, era: Column, dev: int, holdout: int) -> DataFrame:
     """part, n: rows of the development eras (up to ``dev``), of the holdout era, and sealed ones, which are counted and never read further."""
     part = F.when(era <= dev, "dev").when(era <= holdout, "holdout").otherwise("sealed")

@@ -316,6 +316,27 @@ def era_classifier(df: DataFrame, xs: list[str], later: Column, subject: str, se
     return auroc(fit_baseline(d.where(half), d.where(~half), xs, "_later"), "p", F.col("_later").cast("boolean")).select("n", "auroc")
 
 
+def era_refits(df: DataFrame, xs: list[str], label: str, era: str, subject: str, seed: str = "refit") -> DataFrame:
+    """era, n, positives, auroc_own, auroc_others, auroc_mixed on each era's hashed test half of the subjects: of a model fitted on the era's own training half, on the training halves of all other eras, and on those of all eras. A fall from own to others says that what was learned doesn't carry over. 2 E + 1 fits over a table written once; an era whose training half, or whose others, hold one class alone gives a null there. Rows without era or label are left out. Eras are few (years, protocols): more than 50 raise."""
+    d = persisted(df.where(F.col(era).isNotNull() & F.col(label).isNotNull()).withColumn("_train", md5_unit(F.col(subject), seed) < 0.5), "refits")
+    n = {(r["e"], r["t"]): (r["n"], r["k"]) for r in d.groupBy(F.col(era).alias("e"), F.col("_train").alias("t")).agg(F.count("*").alias("n"), F.sum(F.col(label).cast("long")).alias("k")).collect()}
+    eras = sorted({e for e, _ in n})
+    if len(eras) > 50:
+        raise ValueError(f"{len(eras)} eras")
+    two = lambda names: 0 < (k := sum(n.get((e, True), (0, 0))[1] for e in names)) < sum(n.get((e, True), (0, 0))[0] for e in names)
+    mixed = baseline(d.where("_train"), xs, label) if two(eras) else None
+    out = []
+    for e in eras:
+        test = d.where(~F.col("_train") & (F.col(era) == e))
+        others = [x for x in eras if x != e]
+        fits = {"own": baseline(d.where(F.col("_train") & (F.col(era) == e)), xs, label) if two([e]) else None, "others": baseline(d.where(F.col("_train") & (F.col(era) != e)), xs, label) if two(others) else None, "mixed": mixed}
+        got = {k: auroc(f(test), "p", F.col(label).cast("boolean")).first()["auroc"] if f and (e, False) in n else None for k, f in fits.items()}
+        size, positives = n.get((e, False), (0, 0))
+        out.append((e, size, positives, got["own"], got["others"], got["mixed"]))
+    kind = df.schema[era].dataType.simpleString()
+    return d.sparkSession.createDataFrame(out, f"era {kind}, n long, positives long, auroc_own double, auroc_others double, auroc_mixed double")
+
+
 def neighbour_agreement(base: DataFrame, queries: DataFrame, unit: str, vector: str, label: str, k: int) -> DataFrame:
     """share, expected, lift: how often a query's k nearest by cosine carry its label, against the label's overall share. All rows of ``queries`` count."""
     from strandline.operators.features import nearest

@@ -87,6 +87,31 @@ def kdigo_stage(df: DataFrame, by: str, time: str, creatinine: str) -> DataFrame
     return d.withColumn("stage", stage).drop("_r", "_d")
 
 
+def urine_stage(df: DataFrame, by: str, time: str, volume: str, weight: str) -> DataFrame:
+    """by, time, stage 0 to 3 by the published urine criteria: under 0.5 ml a kg and hour for 6 h (1) or 12 h (2), under 0.3 for 24 h or none at all for 12 h (3).
+
+    A row's volume is what came since the unit's row before, so a rate is volume over weight and the time between rows; the first row has no such time and starts the watch. A criterion of h hours asks for h observed hours or more.
+    Rows of one time are one row; rows without time, volume or a positive weight say nothing and are left out."""
+    known = df.where(F.col(time).isNotNull() & F.col(volume).isNotNull() & (F.col(weight) > 0))
+    rows = known.groupBy(by, time).agg(F.sum(F.col(volume) / F.col(weight)).alias("_v")).withColumn("_t", F.unix_micros(F.col(time).cast("timestamp")))
+    d = rows.withColumn("_h", (F.col("_t") - F.lag("_t").over(Window.partitionBy(by).orderBy("_t"))) / 3600e6).withColumn("_v", F.when(F.col("_h").isNotNull(), F.col("_v")))
+    rate = {}
+    for h in (6, 12, 24):
+        w = Window.partitionBy(by).orderBy("_t").rangeBetween(1 - h * 3600 * 1_000_000, 0)
+        seen = F.sum("_h").over(w)
+        d = d.withColumn(f"_r{h}", F.when(seen >= h, F.sum("_v").over(w) / seen))
+        rate[h] = F.col(f"_r{h}")
+    stage = F.when((rate[24] < 0.3) | (rate[12] == 0), 3).when(rate[12] < 0.5, 2).when(rate[6] < 0.5, 1).otherwise(0)
+    return d.select(by, time, stage.alias("stage"))
+
+
+def injury_stage(creatinine: DataFrame, urine: DataFrame, by: str, time: str, carry_hours: float = 6) -> DataFrame:
+    """by, time, stage: at each time of either table (by, time, stage) the worst stage of both over the hours up to it. Times that several rows share are one."""
+    each = creatinine.select(by, time, "stage").unionByName(urine.select(by, time, "stage")).groupBy(by, time).agg(F.max("stage").alias("stage"))
+    w = Window.partitionBy(by).orderBy(F.unix_micros(F.col(time).cast("timestamp"))).rangeBetween(-int(carry_hours * 3600e6), 0)
+    return each.select(by, time, F.max("stage").over(w).alias("stage"))
+
+
 def worst_score_24h(df: DataFrame, by: str, time: str, components: list[str]) -> DataFrame:
     """Adds score: the sum of each component's worst (largest) value over the 24 hours up to the row; missing components give 0."""
     w = Window.partitionBy(by).orderBy(F.unix_micros(F.col(time).cast("timestamp"))).rangeBetween(-24 * 3600 * 1_000_000, 0)
@@ -115,6 +140,20 @@ def weighted_groups(flags: DataFrame, grain: str, group: str, weights: dict[str,
     return wide.select(grain, sum(terms[1:], terms[0]).cast("int").alias("score"))
 
 
+def dual_groups(dx: DataFrame, grain: str, code: str, system: str, sets: DataFrame) -> DataFrame:
+    """grain, group: each group that a row's code belongs to, once a grain. ``sets`` (group, system, prefix) holds both code systems' prefixes; a code is upper-cased, loses its dots and meets the prefixes of its own system alone.
+
+    An equi-join on system and leading part, one for each prefix length in use (a handful of numbers); a null code or system belongs to none."""
+    s = sets.select("group", F.col("system").alias("_s"), F.regexp_replace(F.upper("prefix"), r"\.", "").alias("_p")).where(F.length("_p") > 0).distinct()
+    lengths = [r[0] for r in s.select(F.length("_p")).distinct().collect()]
+    if not lengths:
+        return dx.select(grain, F.lit(None).cast("string").alias("group")).limit(0)
+    c = F.regexp_replace(F.upper(F.col(code)), r"\.", "")
+    seen = dx.select(grain, F.col(system).alias("_s"), c.alias("_c")).distinct()
+    parts = seen.withColumn("_p", F.explode(F.array_distinct(F.array(*[F.substring("_c", 1, n) for n in lengths]))))
+    return parts.join(s, ["_s", "_p"]).select(grain, "group").distinct()
+
+
 def state_episodes(df: DataFrame, by: str, time: str, tiebreak: str, state: str, gap_hours: float) -> DataFrame:
     """by, state, episode, start, stop, n: runs of one state, broken by another state or a longer gap."""
     w = Window.partitionBy(by).orderBy(time, tiebreak)
@@ -192,7 +231,7 @@ def organ_points(pao2_fio2: Column, ventilated: Column, platelets: Column, bilir
     }
 
 
-#: The published acute-physiology bands, as (cuts, points). The acid-base, oxygenation and nervous-system matrices aren't among them.
+#: The published acute-physiology bands, as (cuts, points).
 PHYSIOLOGY = {
     "heart_rate": ([40, 50, 100, 110, 120, 140, 155], [8, 5, 0, 1, 5, 7, 13, 17]),
     "pressure": ([40, 60, 70, 80, 100, 120, 130, 140], [23, 15, 7, 6, 0, 4, 7, 9, 10]),
@@ -214,3 +253,45 @@ def physiology_points(values: dict[str, Column]) -> Column:
     """Sum of the banded points of the named measures; one that isn't known gives none."""
     terms = [banded(x, *PHYSIOLOGY[name]) for name, x in values.items()]
     return sum(terms[1:], terms[0])
+
+
+#: The published acid-base matrix. Cuts of pH, then for each band of pH the (cuts, points) of carbon-dioxide pressure.
+ACID_BASE = (
+    [7.2, 7.3, 7.35, 7.45, 7.5, 7.6],
+    [([50], [12, 4]), ([30, 40, 50], [9, 6, 3, 2]), ([30, 45], [9, 0, 1]), ([30, 45], [5, 0, 1]), ([30, 35, 45], [5, 0, 2, 12]), ([40], [3, 12]), ([25, 40], [0, 3, 12])],
+)
+#: The published oxygenation points, by arterial oxygen pressure, or by the alveolar gradient of ventilated patients on half oxygen or more.
+OXYGENATION = {"pao2": ([50, 70, 80], [15, 5, 2, 0]), "gradient": ([100, 250, 350, 500], [0, 7, 9, 11, 14])}
+#: The published nervous-system matrix, eyes shut or open. Cuts of the verbal response, then for each band of it the (cuts, points) of the motor response; what can't occur with shut eyes has no points.
+NERVOUS = {
+    "shut": ([2, 4], [([3, 5], [48, 33, 16]), ([3, 5], [29, 24, 0]), ([], [0])]),
+    "open": ([2, 4, 5], [([3, 5], [29, 24, 15]), ([3, 5, 6], [29, 24, 13, 10]), ([5, 6], [13, 8, 3]), ([6], [3, 0])]),
+}
+
+
+def matrix(x: Column, y: Column, cuts: list[float], rows: list[tuple[list[float], list[int]]]) -> Column:
+    """Points of y in the row of bands that x's band names. An unknown x or y gives 0."""
+    out = banded(y, *rows[0])
+    for c, row in zip(cuts, rows[1:], strict=True):
+        out = F.when(x >= c, banded(y, *row)).otherwise(out)
+    return F.when(x.isNull(), 0).otherwise(out)
+
+
+def acid_base_points(ph: Column, paco2: Column) -> Column:
+    return matrix(ph, paco2, *ACID_BASE)
+
+
+def alveolar_gradient(fio2: Column, pao2: Column, paco2: Column, barometric: float = 760.0, vapour: float = 47.0, quotient: float = 0.8) -> Column:
+    """Alveolar less arterial oxygen pressure; fio2 is a share."""
+    return fio2 * (barometric - vapour) - paco2 / quotient - pao2
+
+
+def oxygenation_points(pao2: Column, paco2: Column, fio2: Column, ventilated: Column) -> Column:
+    """By the gradient if ventilated with a share of oxygen of 0.5 or more, else by the pressure; 0 where the one that counts isn't known."""
+    rich = F.coalesce(ventilated & (fio2 >= 0.5), F.lit(False))
+    return F.when(rich, banded(alveolar_gradient(fio2, pao2, paco2), *OXYGENATION["gradient"])).otherwise(banded(pao2, *OXYGENATION["pao2"]))
+
+
+def nervous_points(eyes: Column, verbal: Column, motor: Column) -> Column:
+    """Of the coma scale's three responses; 0 if one isn't known."""
+    return F.when(eyes.isNull(), 0).when(eyes > 1, matrix(verbal, motor, *NERVOUS["open"])).otherwise(matrix(verbal, motor, *NERVOUS["shut"]))

@@ -124,6 +124,54 @@ def write_bucketed(df: DataFrame, key: str, path: str, sort: tuple[str, ...] = (
     laid.write.option("partitionOverwriteMode", "dynamic").option("compression", "zstd").mode("overwrite").partitionBy("subject_bucket").parquet(path)
 
 
+def write_committed(df: DataFrame, key: str, path: str, source: str, sort: tuple[str, ...] = (), buckets: int = 100, sweep: int | None = None) -> list[int]:
+    """As ``write_bucketed``, with a commit for each bucket once its rows have been read back and counted; gives the buckets written now.
+
+    Buckets are written in sweeps of ``sweep`` (all at once if None), lowest first, each by one pass over the source; a broken run loses the sweep it was in, and a rerun writes the buckets without a commit.
+    Commits (source, bucket, n_rows; at most a line a bucket) lie under ``path``/_commits, which readers of the table don't see. A path holds one ``source``: another raises. A sweep whose counts don't agree raises and isn't committed. A bucket without rows is committed too; a null key has no bucket and raises."""
+    spark = df.sparkSession
+    done = {r["bucket"]: r["source"] for r in commits(spark, path).collect()}
+    if other := set(done.values()) - {source}:
+        raise ValueError(f"{path} holds {sorted(other)[0]}, not {source}")
+    open_ = [b for b in range(buckets) if b not in done]
+    if not open_:
+        return []
+    bucketed = df.withColumn("subject_bucket", F.pmod(F.col(key), F.lit(buckets)).cast("int"))
+    wanted = {r[0]: r[1] for r in bucketed.groupBy("subject_bucket").count().collect()}
+    if None in wanted:
+        raise ValueError(f"{wanted[None]} rows without {key}")
+    step = sweep or len(open_)
+    for at in range(0, len(open_), step):
+        part = open_[at : at + step]
+        rows = bucketed if len(part) == buckets else bucketed.where(F.col("subject_bucket").isin(part))
+        laid = rows.repartition("subject_bucket").sortWithinPartitions("subject_bucket", *(sort or (key,)))
+        laid.write.option("partitionOverwriteMode", "dynamic").option("compression", "zstd").mode("overwrite").partitionBy("subject_bucket").parquet(path)
+        full = [b for b in part if wanted.get(b)]
+        got = {r[0]: r[1] for r in spark.read.parquet(path).where(F.col("subject_bucket").isin(full)).groupBy("subject_bucket").count().collect()} if full else {}
+        if wrong := [b for b in part if got.get(b, 0) != wanted.get(b, 0)]:
+            raise ValueError(f"buckets {wrong} of {path} don't hold the rows of {source}")
+        spark.createDataFrame([(source, b, wanted.get(b, 0)) for b in part], COMMIT).coalesce(1).write.mode("append").parquet(f"{path}/_commits")
+    return open_
+
+
+COMMIT = "source string, bucket int, n_rows long"
+
+
+def commits(spark: SparkSession, path: str) -> DataFrame:
+    """source, bucket, n_rows of the buckets committed under ``path``; none where nothing is there yet."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/_commits")
+    there = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at)
+    return spark.read.schema(COMMIT).parquet(f"{path}/_commits") if there else spark.createDataFrame([], COMMIT)
+
+
+def read_committed(spark: SparkSession, path: str, buckets: list[int]) -> DataFrame:
+    """The named buckets, pruned at the scan; raises if one of them isn't committed."""
+    have = {r[0] for r in commits(spark, path).select("bucket").collect()}
+    if lacking := sorted(set(buckets) - have):
+        raise ValueError(f"buckets {lacking} of {path} are not committed")
+    return spark.read.parquet(path).where(F.col("subject_bucket").isin(sorted(buckets)))
+
+
 def write_dim(df: DataFrame, keys: list[str], path: str) -> None:
     """A dimension, unpartitioned and ordered by its key."""
     df.orderBy(*keys).write.option("compression", "zstd").mode("overwrite").parquet(path)
