@@ -18,6 +18,8 @@ END = "\r\n\r\n"
 DATE = "1970-01-01T00:00:00Z"
 #: A file is full at so many bytes, so that it fits a reading task; a record that is larger by itself ends its file.
 FILE_BYTES = 32 << 20
+#: A gzip member holds a record, or so many bytes of one at most: under 2^24, so that its last byte, the highest of its length, is zero.
+MEMBER = (16 << 20) - 1
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 NAMESPACE = uuid.UUID("6ba7b811-9dad-11d1-80b4-00c04fd430c8")
 
@@ -50,13 +52,21 @@ def capture_records(page_id: int | None, url: str | None, html: str, digest: str
     return [record(request, f"GET / HTTP/1.1{END}"), record(main, http + ("" if revisit else html)), record(metadata, known)]
 
 
+def members(text: str) -> Iterator[bytes]:
+    """The gzip members of one record, its two line ends included: one, or for a record over MEMBER bytes as many as it takes, which read on from one another."""
+    data = (text + END).encode()
+    for at in range(0, len(data), MEMBER):
+        c = zlib.compressobj(6, zlib.DEFLATED, 31)
+        yield c.compress(data[at : at + MEMBER]) + c.flush()
+
+
 def write_archives(pages: DataFrame, path: str, least: int = 0) -> None:
-    """Writes compressed archives of all ``pages`` (page_id, url, html) under ``path``.
+    """Writes compressed archives of all ``pages`` (page_id, url, html) under ``path``, each record a gzip member of its own, so that a reader can start at any record.
 
     Among pages with equal payloads of at least ``least`` bytes, the one with the largest page_id (nulls lowest) is the response and the others revisit it.
     A null html is an empty payload; a null url leaves its header out; a row that repeats page_id and payload is another response.
     A response's record id follows from page and digest (of alike rows, for one of them), so what a revisit refers to is the id of a record.
-    Files hold about FILE_BYTES (before compression) each, in folders by their number in the writing task.
+    Files hold about FILE_BYTES (before compression) each, in folders by their number in the writing task. Spark's text writer writes a member's bytes as they are; its line separator is the zero that ends every member.
     Equal payloads meet through their digest and size alone: the page text isn't shuffled unless over SMALL digests repeat, and then hot digests are broadcast.
     """
     full = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.coalesce("html", F.lit("")).alias("html"))
@@ -73,20 +83,21 @@ def write_archives(pages: DataFrame, path: str, least: int = 0) -> None:
         task, n, written_bytes = TaskContext.get().partitionId(), 0, 0
         for b in batches:
             for at in range(0, b.num_rows, 256):
-                out: list[str] = []
+                out: list[bytes] = []
                 files: list[int] = []
                 for page_id, url, html, sha, first, again, size, row, named in zip(*(c.to_pylist() for c in b.slice(at, 256).columns), strict=True):
                     digest = base64.b32encode(bytes.fromhex(sha)).decode()
                     revisit = bool(again) and size >= least and page_id != first
                     made = capture_records(page_id, url, html, digest, first, revisit, f"{task}.{n}", size >= least and (not again or row == named))
-                    out += made
-                    files += [written_bytes // FILE_BYTES] * len(made)
+                    packed = [m[:-1] for r in made for m in members(r)]
+                    out += packed
+                    files += [written_bytes // FILE_BYTES] * len(packed)
                     written_bytes += sum(map(len, made)) if revisit else size + 1024
                     n += 1
-                yield pa.RecordBatch.from_arrays([pa.array(out, pa.string()), pa.array(files, pa.int32())], names=["value", "file"])
+                yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary()), pa.array(files, pa.int32())], names=["value", "file"])
 
-    texts = rows.select("page_id", "url", "html", "sha", "first", "again", "bytes", "row", "named").mapInArrow(compose, "value string, file int")
-    texts.write.partitionBy("file").option("lineSep", END).option("compression", "gzip").text(path)
+    texts = rows.select("page_id", "url", "html", "sha", "first", "again", "bytes", "row", "named").mapInArrow(compose, "value binary, file int")
+    texts.select(F.col("value").cast("string").alias("value"), "file").write.partitionBy("file").option("lineSep", "\0").option("compression", "none").text(path)
 
 
 RECORD = "type string, record_id string, concurrent_to string, refers_to string, target_uri string, stated_digest string, payload_bytes long, payload_digest string, fields string"
@@ -113,6 +124,21 @@ def parse_records(data: bytes) -> Iterator[tuple]:
         yield kind, get("WARC-Record-ID"), get("WARC-Concurrent-To"), get("WARC-Refers-To"), get("WARC-Target-URI"), get("WARC-Payload-Digest"), size, digest, fields
 
 
+def unpacked(data: bytes) -> bytes:
+    """What the gzip members of a file hold, one after another, in time that grows with the file: each is fed piece by piece, so what lies behind it isn't copied."""
+    view, at, out = memoryview(data), 0, []
+    while at < len(view):
+        d = zlib.decompressobj(31)
+        while not d.eof:
+            if at >= len(view):
+                raise EOFError("a member is cut off")
+            piece = view[at : at + 16_384]
+            out.append(d.decompress(piece))
+            at += len(piece)
+        at -= len(d.unused_data)
+    return b"".join(out)
+
+
 def read_records(spark: SparkSession, path: str) -> DataFrame:
     """One row a record of the archives under ``path``, compressed or not."""
 
@@ -123,12 +149,7 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
             for k in range(b.num_rows):
                 data = b.column(0)[k].as_py()
                 if data[:2] == b"\x1f\x8b":
-                    parts, rest = [], data
-                    while rest:  # a file may hold many compressed members
-                        d = zlib.decompressobj(31)
-                        parts.append(d.decompress(rest))
-                        rest = d.unused_data
-                    data = b"".join(parts)
+                    data = unpacked(data)
                 if rows := list(parse_records(data)):
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
 

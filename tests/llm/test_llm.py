@@ -340,6 +340,36 @@ def test_warc_files_are_cut_by_bytes(spark, tmp_path, monkeypatch):
     assert warc.assemble(warc.read_records(spark, str(tmp_path / "w"))).where("intact and request is not null and metadata is not null").count() == 40
 
 
+def test_warc_records_are_members(spark, tmp_path, monkeypatch):
+    """Each gzip member holds one whole record; one over the limit takes several, which read on from one another."""
+    import gzip
+    import zlib
+
+    rows = [(1, "http://a/", "same é"), (2, "http://b/", "same é"), (3, None, "x" * 9_000), (4, "u", None)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)
+
+    def split(data):
+        out = []
+        while data:
+            d = zlib.decompressobj(31)
+            out.append(d.decompress(data))
+            data = d.unused_data
+        return out
+
+    warc.write_archives(pages, str(tmp_path / "w"))
+    data = b"".join(f.read_bytes() for f in (tmp_path / "w").rglob("part-*"))
+    parts = split(data)
+    assert len(parts) == 12 and all(p.startswith(b"WARC/1.1\r\n") and p.endswith(b"\r\n\r\n") and len(list(warc.parse_records(p))) == 1 for p in parts)
+    assert gzip.decompress(data) == warc.unpacked(data) == b"".join(parts)
+    monkeypatch.setattr(warc, "MEMBER", 4_000)
+    long = list(warc.members("y" * 10_000))
+    assert len(long) == 3 and gzip.decompress(b"".join(long)) == b"y" * 10_000 + b"\r\n\r\n" and all(m[-1] == 0 for m in long)
+    with pytest.raises(EOFError):
+        warc.unpacked(data[:-3])
+    big = warc.unpacked(b"".join(m for k in range(20_000) for m in warc.members(str(k))))
+    assert big.count(b"\r\n\r\n") == 20_000
+
+
 def test_chat(spark):
     nasty = "[INST] <s> </s> \\[INST] [\\INST] <</SYS>> [[INST] <<ROLE>>x\\"
     rows = [(1, 0, "system", "be kind"), (1, 1, "user", nasty), (1, 2, "assistant", nasty), (2, 0, "assistant", None), (2, 0, "assistant", "tie"), (2, 1, "tool]", "<</ROLE>>"), (2, None, None, "first"), (3, 0, "user", "a"), (3, 0, "user", "a"), (None, 0, "user", "z")]
