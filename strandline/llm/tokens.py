@@ -23,11 +23,45 @@ LONGEST = 10_000
 SLICE = 256
 #: Worker tier: about so many misses are kept a worker; beyond that its cache starts anew.
 CACHED = 400_000
-#: A text with none but these characters splits alike under Python's ``re`` and the tokenizer's own pattern; any other text goes to the tokenizer whole.
+#: Longer pre-tokens are encoded whenever they occur and not kept.
+KEPT = 256
+#: A text with none but these characters splits alike under Python's ``re`` and the tokenizer's own pattern.
 PLAIN = re.compile("[^\t\n\r -~ªµºÀ-ÖØ-öø-ʯ‘’“”–—…€£«»¿¡]")
 PRE_TOKEN = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+")
 
 
+#: Pictographs: whether a library's Unicode version knows them or not, they are neither letters, digits nor white space.
+PICTURES = "\U0001f300-\U0001f64f\U0001f680-\U0001f6ff\U0001f900-\U0001f9ff\U0001fa70-\U0001faff"
+
+
+@lru_cache(maxsize=1)
+def wide():
+    """(unsure, splitter) for texts beyond PLAIN, once a worker: a pattern that finds characters on whose class libraries may differ, and the tokenizer's own pattern in a library that has its letter and digit classes.
+
+    Sure are PICTURES and the characters of the basic plane that Unicode 3.2 knew and whose class (letter, number, space, other) is the same today; control and format characters are unsure, but for tab, line ends, the soft hyphen, the joiners and the byte order mark.
+    """
+    import unicodedata
+
+    import public_tokenizers
+    import regex
+
+    old, new = unicodedata.ucd_3_2_0.category, unicodedata.category
+    other = dict.fromkeys("PSM", "other") | {"L": "letter", "N": "number", "Z": "space", "C": "control"}
+    kind = lambda c: other[c[0]]
+    sure = [n in (9, 10, 13, 0xAD, 0x200C, 0x200D, 0xFEFF) or (kind(old(chr(n))) == kind(new(chr(n))) != "control" and new(chr(n)) not in ("Zl", "Zp")) for n in range(0x10000)]
+    edges = [n for n in range(0x10000) if sure[n] != (n > 0 and sure[n - 1])] + ([0x10000] if sure[-1] else [])
+    spans = "".join(f"{re.escape(chr(a))}-{re.escape(chr(b - 1))}" for a, b in zip(edges[::2], edges[1::2], strict=True))
+    return re.compile(f"[^{spans}{PICTURES}]"), regex.compile(public_tokenizers.PATTERN)
+
+
+def pre_tokens(text: str) -> list[str] | None:
+    """The text's pre-tokens in order, or None if it holds a character on whose class libraries may differ."""
+    if not PLAIN.search(text):
+        return PRE_TOKEN.findall(text)
+    unsure, splitter = wide()
+    return None if unsure.search(text) else splitter.findall(text)
+
+
 @lru_cache(maxsize=4)
 def tokenizer(name: str):
     """The library object for a vocabulary file, once a worker."""
@@ -85,8 +119,7 @@ def frequent_lengths(docs: DataFrame, text_col: str = "text", name: str = TOKENI
         return {}
     seen: Counter[str] = Counter()
     for (text,) in docs.select(text_col).where(F.length(text_col) <= longest).limit(sample).collect():
-        if not PLAIN.search(text):
-            seen.update(PRE_TOKEN.findall(text))
+        seen.update(p for p in pre_tokens(text) or () if len(p) <= KEPT)
     pieces = [p for p, _ in seen.most_common(most)]
     return dict(zip(pieces, lengths(name, pieces), strict=True))
 
@@ -95,7 +128,7 @@ def token_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """``id_col``, n_bytes, n_tokens and over_limit (more than ``limit`` tokens) for each row, whole texts, nothing truncated.
 
     A null or empty text has 0 bytes and 0 tokens; a null id stays; repeated rows each give a row; other columns are ignored, an empty table gives none.
-    Texts with an added special string, with characters outside PLAIN, or for a vocabulary without pre-tokens (.model) go to the library whole.
+    Texts of any script go through the two tiers; those with an added special string, with a character on whose class libraries may differ (see ``wide``), or for a vocabulary without pre-tokens (.model) go to the library whole.
     """
     frequent = docs.sparkSession.sparkContext.broadcast(frequent_lengths(docs, text_col, name))
     by_words = not name.endswith(".model")
@@ -103,17 +136,17 @@ def token_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     schema = pa.schema([("id", pa.int64()), ("n_bytes", pa.int64()), ("n_tokens", pa.int64()), ("over_limit", pa.bool_())])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        first, rare, find = frequent.value.get, {}, PRE_TOKEN.findall
+        first, rare = frequent.value.get, {}
 
         def counted(texts: list[str | None]) -> list[int]:
             tokens, waiting, new = [0] * len(texts), [], set()
             for k, text in enumerate(texts):
                 if not text:
                     continue
-                if not by_words or PLAIN.search(text) or any(s in text for s in special):
+                pieces = pre_tokens(text) if by_words and not any(s in text for s in special) else None
+                if pieces is None:
                     tokens[k] = count_whole(name, text)
                     continue
-                pieces = find(text)
                 hit = list(map(first, pieces))
                 if None in hit:
                     missed = [p for p, n in zip(pieces, hit, strict=True) if n is None]
@@ -124,6 +157,9 @@ def token_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             rare.update(zip(pieces, lengths(name, pieces), strict=True))
             for k, missed in waiting:
                 tokens[k] += sum(map(rare.__getitem__, missed))
+            for p in pieces:
+                if len(p) > KEPT:
+                    del rare[p]
             if len(rare) > CACHED:
                 rare.clear()
             return tokens

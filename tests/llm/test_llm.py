@@ -50,6 +50,26 @@ def test_token_counts(docs, rows, none):
     assert {r["doc_id"]: r["n_tokens"] for r in got} == {i: len(sp.encode(x or "")) for i, x in rows if i and i < 9}
 
 
+SCRIPTS = ["Съешь ещё этих мягких булок, да выпей же чаю: 2-й раз!", "Ξεσκεπάζω την ψυχοφθόρα βδελυγμία.", "نص حكيم له سرّ قاطع وذو شأن ١٢٣", "天地玄黃，宇宙洪荒。日月盈昃　辰宿列張", "いろはにほへと ちりぬるを", "다람쥐 헌 쳇바퀴에 타고파", "ऋषियों को सताने वाले दुष्ट", "เป็นมนุษย์สุดประเสริฐ", "x² + Ⅷ = ½, 全角１２３ e\u0301 naïve's 🙂🚀 it's\u00a0so \u200d ok", "Привет\n\n  мир \t"]
+
+
+def test_texts_of_all_scripts_go_through_the_tiers(spark, monkeypatch):
+    t = tokens.tokenizer(tokens.TOKENIZER)
+    unsure, _ = tokens.wide()
+    sure = [c for c in map(chr, [*range(0xD800), *range(0xE000, 0x10000)]) if not unsure.search(c)]
+    assert 30_000 < len(sure) < 60_000 and not {"\x1c", "\x85", "\u180e", "\u200b", "\u2028"} & set(sure)
+    rng = random.Random(8)
+    drawn = ["".join(rng.choice(sure) + rng.choice(["", "", " ", "a", "'s", "1", "\n"]) for _ in range(60)) for _ in range(400)]
+    drawn += ["".join(sure[k : k + 50]) for k in range(0, len(sure), 50)]
+    for x in SCRIPTS + drawn:
+        pieces = tokens.pre_tokens(x)
+        assert "".join(pieces) == x and sum(tokens.lengths(tokens.TOKENIZER, pieces)) == len(t.encode(x, add_special_tokens=False).ids), x
+    assert tokens.pre_tokens("new letter \ua7c2") is None
+    rows = list(enumerate([*SCRIPTS, "я" * 5_000, "new letter \ua7c2", *SCRIPTS]))
+    got = {r["doc_id"]: r["n_tokens"] for r in tokens.token_counts(spark.createDataFrame(rows, "doc_id long, text string").repartition(2)).collect()}
+    assert got == {k: len(t.encode(x, add_special_tokens=False).ids) for k, x in rows}
+
+
 def test_plain_texts_split_as_the_tokenizer_does(sf, duck):
     t = tokens.tokenizer(tokens.TOKENIZER)
     fast = tokens.fast_encoder(tokens.TOKENIZER)
