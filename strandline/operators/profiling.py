@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 NUMBERS = ("tinyint", "smallint", "int", "bigint", "float", "double")
@@ -16,6 +16,12 @@ def profile_tables(tables: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, each)
 
 
+def table_sizes(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
+    """table, n_files, bytes of the files under each path, from their listing: no content is read."""
+    each = [spark.read.format("binaryFile").option("recursiveFileLookup", True).load(at).agg(F.count("path").alias("n_files"), F.coalesce(F.sum("length"), F.lit(0)).alias("bytes")).select(F.lit(name).alias("table"), "n_files", "bytes") for name, at in paths.items()]
+    return reduce(DataFrame.unionByName, each)
+
+
 def profile_columns(df: DataFrame, identifiers: tuple[str, ...] = (), exact: bool = False) -> DataFrame:
     """column, n_null, n_distinct, low, high, p01, p50, p99 from one aggregate over the table; no bounds and quantiles of identifiers. ``exact`` counts and ranks exactly."""
     aggs = [F.count(F.lit(1)).alias("n_rows")]
@@ -42,6 +48,18 @@ def distinct_counts(df: DataFrame) -> DataFrame:
     return df.select(each).select("x.*").where("h is not null").distinct().groupBy("k").agg(F.count("*").alias("n_distinct"))
 
 
+def level_counts(df: DataFrame, most: int = 50, top: int = 10) -> DataFrame:
+    """column, level, n, rank: the ``top`` most frequent values (as text, ties to the smaller) of each column with at most ``most`` known values; a column with more has no rows. Nulls are no level.
+
+    Columns are chosen by their distinct counts, one number a column; the second pass counts at most ``most`` levels a column before anything is shuffled."""
+    few = sorted(r["k"] for r in distinct_counts(df).where(F.col("n_distinct") <= most).collect())
+    if not few:
+        return df.select(F.lit("").alias("column"), F.lit("").alias("level"), F.lit(0).cast("long").alias("n"), F.lit(0).alias("rank")).where("false")
+    pairs = F.explode(F.array(*[F.struct(F.lit(df.columns[k]).alias("column"), F.col(df.columns[k]).cast("string").alias("level")) for k in few])).alias("x")
+    counted = df.select(pairs).select("x.*").where("level is not null").groupBy("column", "level").agg(F.count("*").alias("n"))
+    return counted.withColumn("rank", F.row_number().over(Window.partitionBy("column").orderBy(F.desc("n"), "level"))).where(F.col("rank") <= top)
+
+
 def profile_external(df: DataFrame, low: int, high: int, long_text: int = 64) -> DataFrame:
     """column, n_null, n_distinct, max_length, mean_length, in_band, free_text, candidate_key of every column of a source not known yet."""
     aggs = []

@@ -8,6 +8,7 @@ from strandline.operators import features as f
 from strandline.operators import linkage as k
 from strandline.operators import models as m
 from strandline.operators import phenotypes as p
+from strandline.operators import profiling as pr
 from strandline.operators.timeline import fill_bins
 from strandline.plans.q_assess import _band
 from strandline.plans.q_cohorts import DX, dx
@@ -142,3 +143,16 @@ def s5c(spark, sf):
 def r18d(spark, sf):
     d = scored(spark, sf).withColumn("label", F.col("y").cast("int")).withColumn("era", F.when(F.col("yr") < 1996, "early").when(F.col("yr") < 1999, "middle").otherwise("late"))
     return rounded(m.era_refits(d.withColumnRenamed("p", "risk"), ["risk", "o_totalprice"], "label", "era", "o_orderkey"), "auroc_own", "auroc_others", "auroc_mixed", to=2)
+
+
+@query("d1b_table_sizes")
+def d1b(spark, sf):
+    return pr.table_sizes(spark, {t: f"{sf}/{t}.parquet" for t in ("orders", "events", "documents", "pages")})
+
+
+_LEVELS = ("doc_id", "lang", "source", "n_chars")
+
+
+@query("d4b_level_counts", "WITH l AS (" + " UNION ALL ".join(f"SELECT '{c}' AS c, {c}::VARCHAR AS level, count(*) AS n FROM documents WHERE {c} IS NOT NULL AND (SELECT count(DISTINCT {c}) FROM documents) <= 50 GROUP BY 2" for c in _LEVELS) + ") SELECT c AS \"column\", level, n, (row_number() OVER (PARTITION BY c ORDER BY n DESC, level))::INT AS rank FROM l QUALIFY rank <= 10")
+def d4b(spark, sf):
+    return pr.level_counts(load(spark, sf, "documents").select(*_LEVELS))

@@ -161,3 +161,22 @@ def test_refits_tell_that_a_sign_turned(spark):
     got = {r["era"]: r for r in models.era_refits(df, ["x"], "y", "era", "n").collect()}
     assert got["c"]["auroc_own"] > 0.9 > 0.1 > got["c"]["auroc_others"] and got["a"]["auroc_own"] > 0.9 and got["a"]["auroc_mixed"] > 0.9
     assert got["d"]["auroc_own"] is None and got["d"]["auroc_mixed"] is None and set(got) == set("abcd")
+
+
+def test_sizes_are_those_of_the_files(spark, tmp_path):
+    from strandline.operators import profiling as p
+
+    spark.range(1000).repartition(3).write.parquet(str(tmp_path / "a"))
+    files = [f.stat().st_size for f in (tmp_path / "a").glob("part-*")]
+    got = p.table_sizes(spark, {"a": str(tmp_path / "a")}).first()
+    assert tuple(got) == ("a", 3, sum(files)) and len(files) == 3
+
+
+def test_levels_of_columns_with_few_values(spark):
+    from strandline.operators import profiling as p
+
+    rows = [(n, "x" if n % 3 else "y", None if n % 2 else n % 8 // 2) for n in range(60)]
+    df = spark.createDataFrame(rows, "id long, a string, b int").repartition(3)
+    got = sorted((r["column"], r["rank"], r["level"], r["n"]) for r in p.level_counts(df, 50, 3).collect())
+    assert got == [("a", 1, "x", 40), ("a", 2, "y", 20), ("b", 1, "0", 8), ("b", 2, "1", 8), ("b", 3, "2", 7)]
+    assert p.level_counts(df.select("id"), 50, 3).count() == 0 == p.level_counts(df.limit(0), 50, 3).count()
