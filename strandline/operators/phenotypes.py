@@ -70,10 +70,15 @@ def phenotype_summary(p: DataFrame, by: list[str], k: int = 11) -> DataFrame:
     return suppress(s, ["n", "positives"], k)
 
 
+def over(x: Column, y: Column) -> Column:
+    """x / y of doubles as IEEE 754 has it, where Spark would raise: over zero it is infinite, and NaN if both are zero. NaN is above all numbers in comparisons, as in DuckDB."""
+    return F.when(y == 0, F.when(x == 0, float("nan")).otherwise(x * float("inf"))).otherwise(F.try_divide(x, y))
+
+
 def ratio_to_rolling_min(df: DataFrame, by: str, time: str, value: str, hours: float) -> Column:
     """Value over the key's smallest value in the hours before and at its time."""
     w = Window.partitionBy(by).orderBy(F.unix_micros(F.col(time).cast("timestamp"))).rangeBetween(-int(hours * 3600e6), 0)
-    return F.col(value) / F.min(value).over(w)
+    return over(F.col(value), F.min(value).over(w))
 
 
 def kdigo_stage(df: DataFrame, by: str, time: str, creatinine: str) -> DataFrame:
@@ -81,7 +86,7 @@ def kdigo_stage(df: DataFrame, by: str, time: str, creatinine: str) -> DataFrame
     w = lambda h: Window.partitionBy(by).orderBy(F.unix_micros(F.col(time).cast("timestamp"))).rangeBetween(-h * 3600 * 1_000_000, 0)
     x = F.col(creatinine)
     low7, low48 = F.min(x).over(w(168)), F.min(x).over(w(48))
-    d = df.withColumn("_r", x / low7).withColumn("_d", x - low48)
+    d = df.withColumn("_r", over(x, low7)).withColumn("_d", x - low48)
     acute = (F.col("_d") >= 0.3) | (F.col("_r") >= 1.5)
     stage = F.when((F.col("_r") >= 3) | ((x >= 4.0) & acute), 3).when(F.col("_r") >= 2, 2).when(acute, 1).otherwise(0)
     return d.withColumn("stage", stage).drop("_r", "_d")
