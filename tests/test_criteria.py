@@ -44,6 +44,8 @@ def test_ratio_over_a_minimum_of_zero(spark):
 
     df = spark.createDataFrame([(1, T0 + timedelta(hours=h), v) for h, v in ((0, 1.0), (1, 0.0), (2, 0.2), (3, None), (300, 0.2))], "u int, t timestamp_ntz, x double")
     assert [r["stage"] for r in p.kdigo_stage(df, "u", "t", "x").orderBy("t").collect()] == [0, 3, 3, 0, 0]
+    dry = df.select("u", "t", F.lit(0).alias("stage")).where("false")
+    assert [r["stage"] for r in p.injury_stage(p.kdigo_stage(df, "u", "t", "x"), dry, "u", "t").orderBy("t").collect()] == [0, 3, 3, 3, 0]
     ratios = [r["r"] for r in df.select("t", p.ratio_to_rolling_min(df, "u", "t", "x", 168).alias("r")).orderBy("t").collect()]
     assert ratios[0] == 1 and math.isnan(ratios[1]) and ratios[2:] == [math.inf, None, 1]
 
