@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from strandline.sources.tables import TableSpec
 
 RESULT = ["check_id", "table", "column", "n_affected", "n_total", "status"]
+#: Rows that lie behind one another are compared in runs of 2^RUN; a task has about 2^TASK rows of whatever is dealt by their number.
+RUN, TASK = 17, 20
 
 
 def _row(df: DataFrame, check: str, table: str, column: str, affected: Column, total: Column | None = None) -> DataFrame:
@@ -73,10 +75,15 @@ def check_pair(df: DataFrame, table: str, pair: list[str], parent: DataFrame, pa
 
 
 def check_sorted(df: DataFrame, table: str, keys: list[str]) -> DataFrame:
-    """Rows that lie before their predecessor in the same file by ``keys``; rows are numbered as they are read, so each file is one window."""
-    placed = df.select(F.struct(*keys).alias("k"), F.input_file_name().alias("file"), F.monotonically_increasing_id().alias("at"))
-    before = F.lag("k").over(Window.partitionBy("file").orderBy("at"))
-    return _row(placed.withColumn("p", before), "sorted", table, ",".join(keys), F.count_if(F.col("p") > F.col("k")))
+    """Rows that lie before their predecessor in the same file by ``keys``; rows are numbered as they are read. Runs of up to 2^RUN rows are compared each alone, then a run's first row with the last of the run before it: no task holds a file, and tasks grow in number, not in size."""
+    placed = df.select(F.struct(*keys).alias("k"), F.input_file_name().alias("file"), F.input_file_block_start().alias("start"), F.monotonically_increasing_id().alias("at"))
+    run = ["file", "start", "piece"]
+    placed = placed.withColumn("piece", F.shiftright("at", RUN)).repartition((df.count() >> TASK) + 1, *run)  # ids have their partition from bit 33 on
+    each = placed.withColumn("p", F.lag("k").over(Window.partitionBy(*run).orderBy("at")))
+    runs = each.groupBy(*run).agg(F.count_if(F.col("p") > F.col("k")).alias("bad"), F.count("*").alias("n"), F.min_by("k", "at").alias("first"), F.max_by("k", "at").alias("last"))
+    before = F.lag("last").over(Window.partitionBy("file").orderBy("start", "piece"))
+    met = runs.withColumn("bad", F.col("bad") + F.coalesce((before > F.col("first")).cast("int"), F.lit(0)))
+    return _row(met, "sorted", table, ",".join(keys), F.sum("bad"), F.coalesce(F.sum("n"), F.lit(0)))
 
 
 def check_order(df: DataFrame, table: str, first: str, then: str) -> DataFrame:
