@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -194,18 +196,35 @@ def p_adjust(df: DataFrame, p: str, panel: list[str] = ()) -> DataFrame:
     return d.select(*df.columns, one(F.col(p) * F.col("_n")).alias("bonferroni"), one(F.max(F.col(p) * (F.col("_n") - F.col("_r") + 1)).over(rising)).alias("holm"), one(bh).alias("bh"), one(F.min(F.col(p) * F.col("_n") * F.col("_h") / F.col("_r")).over(falling)).alias("by"))
 
 
-def draws(units: DataFrame, key: str, replicates: int, seed: int) -> DataFrame:
-    """rep, key, times: a bootstrap of units: each of the n draws of a replicate picks a unit by a hash, so results don't depend on the partitioning."""
-    n = units.count()
-    numbered = persisted(prefix_sums(units.select(key).withColumn("_one", F.lit(1)), key, ["_one"]).select(key, (F.col("cum__one") - 1).alias("_i")), "units")
-    picks = numbered.select(F.col("_i").alias("_j")).withColumn("rep", F.explode(F.sequence(F.lit(0), F.lit(replicates - 1)))).select(F.col("rep").cast("long"), F.pmod(F.xxhash64(F.lit(seed), "rep", "_j"), F.lit(n)).alias("_i"))
-    return picks.groupBy("rep", "_i").agg(F.count("*").alias("times")).join(numbered, "_i").select("rep", key, "times")
+#: Draws that one task counts.
+DRAWS = 1 << 20
+
+
+def _picks(units: DataFrame, key: str, replicates: int, seed: int, carry: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """(rep, _i of every draw, dealt by _i into slices of about DRAWS) and the numbered units. Draws are numbers of a range, so that a task's share grows neither with units nor with replicates."""
+    numbered = persisted(prefix_sums(units.select(key, *carry).withColumn("_one", F.lit(1)), key, ["_one"]).withColumn("_i", F.col("cum__one") - 1).select("_i", key, *carry), "units")
+    n = numbered.count()
+    slices = max(n * replicates // DRAWS, 1)
+    grid = units.sparkSession.range(0, n * replicates, 1, slices).select(F.expr(f"int(id div {max(n, 1)})").alias("rep"), F.expr(f"id % {max(n, 1)}").alias("_j"))
+    return grid.select("rep", F.pmod(F.xxhash64(F.lit(seed), "rep", "_j"), F.lit(n)).alias("_i")).withColumn("rep", F.col("rep").cast("long")).repartition(slices, "_i"), numbered
+
+
+def draws(units: DataFrame, key: str, replicates: int, seed: int, carry: Sequence[str] = ()) -> DataFrame:
+    """rep, key, carry, times: a bootstrap of units: each of the n draws of a replicate picks a unit by a hash, so results don't depend on the partitioning. ``units`` has a row a unit, whose columns ``carry`` go along."""
+    picks, numbered = _picks(units, key, replicates, seed, carry)
+    return picks.groupBy("rep", "_i").agg(F.count("*").alias("times")).join(numbered, "_i").select("rep", key, *carry, "times")
+
+
+def drawn_in(units: DataFrame, key: str, replicates: int, seed: int) -> DataFrame:
+    """key, reps: the draws of ``draws`` as one row a unit, with the replicates that pick it, each as often as it does; a unit that none picks has no row."""
+    picks, numbered = _picks(units, key, replicates, seed, ())
+    return picks.groupBy("_i").agg(F.collect_list(F.col("rep").cast("int")).alias("reps")).join(numbered, "_i").select(key, "reps")
 
 
 def cluster_bootstrap(df: DataFrame, cluster: str, total: Column, count: Column, replicates: int = 200, seed: int = 1, level: float = 0.95) -> DataFrame:
     """estimate, low, high (percentile), se of sum(total) / sum(count): whole clusters are drawn, and only their two sums are replicated."""
     c = persisted(df.groupBy(cluster).agg(F.sum(total).alias("_x"), F.sum(count).alias("_n")), "clusters")
-    r = draws(c, cluster, replicates, seed).join(c, cluster).groupBy("rep").agg((F.sum(F.col("_x") * F.col("times")) / F.sum(F.col("_n") * F.col("times"))).alias("s"))
+    r = draws(c, cluster, replicates, seed, ["_x", "_n"]).groupBy("rep").agg((F.sum(F.col("_x") * F.col("times")) / F.sum(F.col("_n") * F.col("times"))).alias("s"))
     a = (1 - level) / 2
     est = c.agg((F.sum("_x") / F.sum("_n")).alias("estimate"))
     return r.agg(F.percentile("s", a).alias("low"), F.percentile("s", 1 - a).alias("high"), F.stddev_samp("s").alias("se")).crossJoin(F.broadcast(est)).select("estimate", "low", "high", "se")
