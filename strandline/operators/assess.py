@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from statistics import NormalDist
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strandline.functions.timesem import md5_unit
-from strandline.operators.inference import draws
+from strandline.operators.inference import draws, drawn_in
 from strandline.operators.phenotypes import Z95
 from strandline.operators.sums import prefix_sums, same_keys
 from strandline.sources.tables import persisted
@@ -73,12 +76,67 @@ def learning_curve(train: DataFrame, test: DataFrame, unit: str, xs: list[str],
     return test.sparkSession.createDataFrame(rows, "share double, n long, auroc double")
 
 
-def replicated_metrics(df: DataFrame, cluster: str, score: str, label: Column, replicates: int, seed: int = 1, by: list[str] = ()) -> DataFrame:
-    """by, rep (-1: all rows once), n, auroc, auprc, brier. Clusters are drawn, not rows: a draw's multiplicities weigh the table of scores by cluster, whose scores are then ranked within each replicate. No model is fitted again."""
+#: Cells (a score of a group by a replicate) that a task adds up before it hands them on.
+CELLS = 1 << 20
+
+
+def weighted_counts(rows: DataFrame, keys: list[str], replicates: int) -> DataFrame:
+    """keys, rep, n, p: of ``rows`` (keys, n, p, reps) the sums of n and p over every replicate that drew them. Tasks add up before anything is shuffled, so few distinct keys give few rows; the sums of a key may come in several parts."""
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at: dict[tuple, int] = {}
+        most = max(CELLS // replicates, 1)
+        sums: list[np.ndarray] = []
+
+        def out() -> pa.RecordBatch:
+            n, p = (np.concatenate([x[k] for x in sums]).reshape(-1, replicates) for k in (0, 1))
+            g, rep = np.nonzero(n)
+            cols = list(zip(*at, strict=True))
+            return pa.RecordBatch.from_arrays([*[pa.array(c, kinds[k]).take(pa.array(g)) for k, c in enumerate(cols)], pa.array(rep.astype(np.int64)), pa.array(n[g, rep]), pa.array(p[g, rep])], names=names)
+
+        for b in batches:
+            codes = np.zeros(b.num_rows, np.int64)
+            for k in range(len(keys)):
+                d = b.column(k).dictionary_encode(null_encoding="encode")
+                codes = np.unique(codes * (len(d.dictionary) + 1) + d.indices.to_numpy(zero_copy_only=False), return_inverse=True)[1]
+            first, group = np.unique(codes, return_index=True, return_inverse=True)[1:]
+            lists = b.column(len(keys) + 2)
+            size = np.diff(lists.offsets.to_numpy())
+            cell = np.repeat(group * replicates, size) + lists.flatten().to_numpy()
+            width = len(first) * replicates
+            new = [np.bincount(cell, np.repeat(b.column(len(keys) + k).to_numpy(), size), width).astype(np.int64).reshape(-1, replicates) for k in (0, 1)]
+            mine = list(zip(*[b.column(k).take(pa.array(first)).to_pylist() for k in range(len(keys))], strict=True))
+            fresh = [j for j, x in enumerate(mine) if x not in at]
+            old = [j for j, x in enumerate(mine) if x in at]
+            if old:
+                if len(sums) > 1:
+                    sums[:] = [tuple(np.concatenate([x[k] for x in sums]) for k in (0, 1))]
+                where = [at[mine[j]] for j in old]
+                for k in (0, 1):
+                    sums[0][k][where] += new[k][old]
+            if fresh:
+                at.update(zip((mine[j] for j in fresh), range(len(at), len(at) + len(fresh)), strict=True))
+                sums.append(tuple(x[fresh] for x in new))
+            if len(at) >= most:
+                yield out()
+                at.clear(), sums.clear()
+        if at:
+            yield out()
+
+    d = rows.select(*keys, F.col("n").cast("double"), F.col("p").cast("double"), "reps")
+    kinds = [f.type for f in d.limit(0).select(*keys).toArrow().schema]
+    names = [*keys, "rep", "n", "p"]
+    return d.mapInArrow(add, ", ".join([*[f"`{f.name}` {f.dataType.simpleString()}" for f in d.select(*keys).schema], "rep long", "n long", "p long"]))
+
+
+def replicated_metrics(df: DataFrame, cluster: str, score: str, label: Column, replicates: int, seed: int = 1, by: list[str] = (), reps: DataFrame | None = None) -> DataFrame:
+    """by, rep (-1: all rows once), n, auroc, auprc, brier. Clusters are drawn, not rows: the replicates that drew a cluster (``reps``, from ``drawn_in``, where several scores share them) weigh the table of scores by cluster, whose scores are then ranked within each replicate. No model is fitted again."""
     d = df.select(F.col(cluster).alias("_c"), *by, F.col(score).cast("double").alias("_s"), label.cast("int").alias("_y")).where("_s is not null and _y is not null and _c is not null")
     t = persisted(d.groupBy("_c", *by, "_s").agg(F.count("*").alias("n"), F.sum("_y").alias("p")), "scores")
     every = t.select(*by, "_s", F.lit(-1).cast("long").alias("rep"), "n", "p")
-    drawn = draws(t.select("_c").distinct(), "_c", replicates, seed).join(t, "_c").select(*by, "_s", "rep", (F.col("n") * F.col("times")).alias("n"), (F.col("p") * F.col("times")).alias("p"))
+    if reps is None:
+        reps = drawn_in(t.select("_c").distinct(), "_c", replicates, seed)
+    drawn = weighted_counts(t.join(reps, "_c"), [*by, "_s"], replicates).select(*by, "_s", "rep", "n", "p")
     keys = [*by, "rep"]
     r = prefix_sums(every.unionByName(drawn).groupBy(*keys, "_s").agg(F.sum("n").alias("n"), F.sum("p").alias("p")), "_s", ["n", "p"], keys=keys, totals=True)
     n, p = F.col("n").cast("double"), F.col("p").cast("double")
@@ -109,7 +167,8 @@ def metric_intervals(df: DataFrame, cluster: str, score: str, label: Column, rep
 def paired_intervals(df: DataFrame, cluster: str, a: str, b: str, label: Column, replicates: int = 200, seed: int = 1, by: list[str] = (), level: float = 0.95) -> DataFrame:
     """by, metric, estimate of score ``a`` less score ``b``, low, high, se: both are measured on the same draws. Rows must have both scores; others are left out of both."""
     d = df.where(F.col(a).isNotNull() & F.col(b).isNotNull())
-    one, two = (replicated_metrics(d, cluster, s, label, replicates, seed, list(by)) for s in (a, b))
+    reps = persisted(drawn_in(d.where(label.isNotNull() & F.col(cluster).isNotNull()).select(F.col(cluster).alias("_c")).distinct(), "_c", replicates, seed), "draws")
+    one, two = (replicated_metrics(d, cluster, s, label, replicates, seed, list(by), reps) for s in (a, b))
     keys = [*by, "rep"]
     two = persisted(two.select(*keys, *[F.col(m).alias(f"_{m}") for m in METRICS]), "metrics")
     one = persisted(one, "metrics")
@@ -164,7 +223,7 @@ def require_whole_subjects(df: DataFrame, subject: str, fold: str) -> DataFrame:
 def bootstrap_intervals(df: DataFrame, cluster: str, total: Column, count: Column, replicates: int = 200, seed: int = 1, level: float = 0.95) -> DataFrame:
     """kind (percentile, basic, bca), estimate, low, high of sum(total) / sum(count) over whole clusters. Only the clusters' two sums are replicated; the acceleration comes from leaving each out once."""
     c = persisted(df.groupBy(cluster).agg(F.sum(total).alias("_x"), F.sum(count).alias("_n")), "clusters")
-    reps = persisted(draws(c, cluster, replicates, seed).join(c, cluster).groupBy("rep").agg((F.sum(F.col("_x") * F.col("times")) / F.sum(F.col("_n") * F.col("times"))).alias("s")), "replicates")
+    reps = persisted(draws(c, cluster, replicates, seed, ["_x", "_n"]).groupBy("rep").agg((F.sum(F.col("_x") * F.col("times")) / F.sum(F.col("_n") * F.col("times"))).alias("s")), "replicates")
     all_x, all_n = c.agg(F.sum("_x"), F.sum("_n")).first()
     est = all_x / all_n
     left = c.select(F.try_divide(all_x - F.col("_x"), all_n - F.col("_n")).alias("j")).where("j is not null")
