@@ -8,11 +8,12 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from strandline.operators.sums import dealt
 from strandline.sources.tables import TableSpec
 
 RESULT = ["check_id", "table", "column", "n_affected", "n_total", "status"]
-#: Rows that lie behind one another are compared in runs of 2^RUN; a task has about 2^TASK rows of whatever is dealt by their number.
-RUN, TASK = 17, 20
+#: Rows that lie behind one another are compared in runs of 2^RUN.
+RUN = 17
 
 
 def _row(df: DataFrame, check: str, table: str, column: str, affected: Column, total: Column | None = None) -> DataFrame:
@@ -52,8 +53,9 @@ def check_unique(df: DataFrame, table: str, keys: list[str], check: str = "uniqu
 
 def check_fk(child: DataFrame, table: str, columns: list[str], parent: DataFrame, parent_columns: list[str], check: str = "fk") -> DataFrame:
     """Distinct non-null child keys without a parent, of the distinct non-null child keys."""
-    keys = child.select(*columns).dropna().distinct()
-    parents = parent.select(*[F.col(p).alias(c) for p, c in zip(parent_columns, columns, strict=True)]).distinct().withColumn("_there", F.lit(1))
+    n = max(child.count(), parent.count())  # both sides are dealt alike: neither distinct nor join shuffles again
+    keys = dealt(child.select(*columns).dropna(), n, *columns).distinct()
+    parents = dealt(parent.select(*[F.col(p).alias(c) for p, c in zip(parent_columns, columns, strict=True)]), n, *columns).distinct().withColumn("_there", F.lit(1))
     return _row(keys.join(parents, columns, "left"), check, table, ",".join(columns), F.count_if(F.col("_there").isNull()))
 
 
@@ -78,7 +80,7 @@ def check_sorted(df: DataFrame, table: str, keys: list[str]) -> DataFrame:
     """Rows that lie before their predecessor in the same file by ``keys``; rows are numbered as they are read. Runs of up to 2^RUN rows are compared each alone, then a run's first row with the last of the run before it: no task holds a file, and tasks grow in number, not in size."""
     placed = df.select(F.struct(*keys).alias("k"), F.input_file_name().alias("file"), F.input_file_block_start().alias("start"), F.monotonically_increasing_id().alias("at"))
     run = ["file", "start", "piece"]
-    placed = placed.withColumn("piece", F.shiftright("at", RUN)).repartition((df.count() >> TASK) + 1, *run)  # ids have their partition from bit 33 on
+    placed = dealt(placed.withColumn("piece", F.shiftright("at", RUN)), df.count(), *run)  # ids have their partition from bit 33 on
     each = placed.withColumn("p", F.lag("k").over(Window.partitionBy(*run).orderBy("at")))
     runs = each.groupBy(*run).agg(F.count_if(F.col("p") > F.col("k")).alias("bad"), F.count("*").alias("n"), F.min_by("k", "at").alias("first"), F.max_by("k", "at").alias("last"))
     before = F.lag("last").over(Window.partitionBy("file").orderBy("start", "piece"))

@@ -11,6 +11,15 @@ from pyspark.sql import functions as F
 from strandline.sources.tables import persisted
 
 
+#: Rows that a task gets where rows are dealt by their number.
+TASK = 1 << 20
+
+
+def dealt(df: DataFrame, rows: int, *keys: str) -> DataFrame:
+    """``df`` by hashes of ``keys`` in as many partitions as its ``rows`` ask for: tasks grow in number, not in size, whatever the session's shuffle partitions are. Groups and joins on the keys that follow need no further shuffle."""
+    return df.repartition(rows // TASK + 1, *keys)
+
+
 def same_keys(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> Column:
     """Rows agree in all keys, null agreeing with null."""
     return reduce(lambda x, y: x & y, [a[k].eqNullSafe(b[k]) for k in keys])
