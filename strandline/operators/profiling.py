@@ -7,6 +7,9 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from strandline.operators.sums import dealt, quantiles_of
+from strandline.sources.tables import persisted
+
 NUMBERS = ("tinyint", "smallint", "int", "bigint", "float", "double")
 
 
@@ -23,18 +26,31 @@ def table_sizes(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
 
 
 def profile_columns(df: DataFrame, identifiers: tuple[str, ...] = (), exact: bool = False) -> DataFrame:
-    """column, n_null, n_distinct, low, high, p01, p50, p99 from one aggregate over the table; no bounds and quantiles of identifiers. ``exact`` counts and ranks exactly."""
+    """column, n_null, n_distinct, low, high, p01, p50, p99; no bounds and quantiles of identifiers. One aggregate over the table; ``exact`` counts distinct values column by column and reads quantiles off at running counts of values, so that no buffer holds a column's values."""
     aggs = [F.count(F.lit(1)).alias("n_rows")]
     kinds = dict(df.dtypes)
+    shown = [c for c in df.columns if kinds[c] in NUMBERS and c not in identifiers]
+    if exact and len(df.columns) > 8:
+        df = persisted(df, "profile")  # it is read once a column
     for k, c in enumerate(df.columns):
-        n = F.countDistinct(c) if exact else F.approx_count_distinct(c)
-        shown = kinds[c] in NUMBERS and c not in identifiers
-        quantile = (lambda q: F.percentile(c, q)) if exact else (lambda q: F.percentile_approx(c, q).cast("double"))  # noqa: B023
         text = kinds[c] in ("string", "timestamp_ntz", "timestamp", "date") and c not in identifiers
-        bound = (lambda f: f(c).cast("string")) if shown or text else (lambda f: F.lit(None).cast("string"))  # noqa: B023
-        p = [quantile(q) if shown else F.lit(None).cast("double") for q in (0.01, 0.5, 0.99)]
+        bound = (lambda f: f(c).cast("string")) if c in shown or text else (lambda f: F.lit(None).cast("string"))  # noqa: B023
+        n = F.lit(None).cast("long") if exact else F.approx_count_distinct(c)
+        p = [F.percentile_approx(c, q).cast("double") if c in shown and not exact else F.lit(None).cast("double") for q in (0.01, 0.5, 0.99)]
         aggs.append(F.struct(F.lit(c).alias("column"), F.count_if(F.col(c).isNull()).alias("n_null"), n.alias("n_distinct"), bound(F.min).alias("low"), bound(F.max).alias("high"), p[0].alias("p01"), p[1].alias("p50"), p[2].alias("p99")).alias(f"c{k}"))
-    return df.agg(*aggs).select("n_rows", F.explode(F.array(*[f"c{k}" for k in range(len(df.columns))])).alias("x")).select("n_rows", "x.*")
+    told = df.agg(*aggs).select("n_rows", F.explode(F.array(*[f"c{k}" for k in range(len(df.columns))])).alias("x")).select("n_rows", "x.*")
+    if not exact:
+        return told
+    rows = df.count()
+    several = [dealt(df.select(c).where(F.col(c).isNotNull()), rows, c).distinct().agg(F.count("*").alias("n_distinct")).select(F.lit(c).alias("column"), "n_distinct") for c in df.columns]
+    known = told.drop("n_distinct", "p01", "p50", "p99").join(F.broadcast(reduce(DataFrame.unionByName, several)), "column")
+    if shown:
+        each = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("_v")) for c in shown])).alias("x")).select("x.*").where("_v is not null")
+        counts = dealt(each, rows * len(shown), "column", "_v").groupBy("column", "_v").agg(F.count("*").alias("_n"))
+        known = known.join(F.broadcast(quantiles_of(counts, [0.01, 0.5, 0.99], ["column"])), "column", "left")
+    else:
+        known = known.withColumn("q", F.lit(None).cast("array<double>"))
+    return known.select("n_rows", "column", "n_null", "n_distinct", "low", "high", *[F.col("q")[k].alias(c) for k, c in enumerate(("p01", "p50", "p99"))])
 
 
 def top_k(df: DataFrame, col: str, k: int) -> DataFrame:
