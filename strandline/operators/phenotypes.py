@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from strandline.functions.timesem import seconds
 from strandline.operators.disclosure import suppress
 from strandline.operators.joins import window_join
+from strandline.operators.sums import dealt
+from strandline.sources.tables import persisted
 
 Z95 = 1.959963984540054
 
@@ -148,15 +150,17 @@ def weighted_groups(flags: DataFrame, grain: str, group: str, weights: dict[str,
 def dual_groups(dx: DataFrame, grain: str, code: str, system: str, sets: DataFrame) -> DataFrame:
     """grain, group: each group that a row's code belongs to, once a grain. ``sets`` (group, system, prefix) holds both code systems' prefixes; a code is upper-cased, loses its dots and meets the prefixes of its own system alone.
 
-    An equi-join on system and leading part, one for each prefix length in use (a handful of numbers); a null code or system belongs to none."""
+    Distinct codes meet the sets in an equi-join on system and leading part, one for each prefix length in use (a handful of numbers); rows then meet the codes that have a group. The pairs found are written and dealt by their number, so no task grows with the rows. A null code or system belongs to none."""
     s = sets.select("group", F.col("system").alias("_s"), F.regexp_replace(F.upper("prefix"), r"\.", "").alias("_p")).where(F.length("_p") > 0).distinct()
     lengths = [r[0] for r in s.select(F.length("_p")).distinct().collect()]
     if not lengths:
         return dx.select(grain, F.lit(None).cast("string").alias("group")).limit(0)
-    c = F.regexp_replace(F.upper(F.col(code)), r"\.", "")
-    seen = dx.select(grain, F.col(system).alias("_s"), c.alias("_c")).distinct()
-    parts = seen.withColumn("_p", F.explode(F.array_distinct(F.array(*[F.substring("_c", 1, n) for n in lengths]))))
-    return parts.join(s, ["_s", "_p"]).select(grain, "group").distinct()
+    rows = dx.select(grain, F.col(system).alias("_s"), F.col(code).alias("_k"))
+    codes = rows.select("_s", "_k").distinct().withColumn("_c", F.regexp_replace(F.upper("_k"), r"\.", ""))
+    parts = codes.withColumn("_p", F.explode(F.array_distinct(F.array(*[F.substring("_c", 1, n) for n in lengths]))))
+    known = persisted(parts.join(s, ["_s", "_p"]).groupBy("_s", "_k").agg(F.collect_set("group").alias("groups")), "codes")
+    pairs = persisted(rows.join(known, ["_s", "_k"]).select(grain, F.explode("groups").alias("group")), "groups")
+    return dealt(pairs, pairs.count(), grain).distinct()
 
 
 def state_episodes(df: DataFrame, by: str, time: str, tiebreak: str, state: str, gap_hours: float) -> DataFrame:
