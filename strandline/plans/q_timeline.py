@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from strandline.operators import disclosure as d
 from strandline.operators import timeline as t
+from strandline.operators.sums import dealt
 from strandline.plans.q_temporal import HOUR, STAY, stays
 from strandline.plans.registry import query
 from strandline.sources.tables import load
@@ -72,7 +73,7 @@ def spine(spark, sf):
     o, li, e = load(spark, sf, "orders"), load(spark, sf, "lineitem"), load(spark, sf, "events")
     c = F.col
     a = t.event_source(o, "orders", c("o_custkey"), c("o_orderkey"), c("o_orderdate"), [F.lit("ORDER"), c("o_orderpriority")], c("o_totalprice"), c("o_orderstatus"))
-    two = li.join(o.select(c("o_orderkey").alias("l_orderkey"), "o_custkey"), "l_orderkey").withColumn("x", F.explode(F.array(F.struct(F.lit("amount").alias("k"), c("l_quantity").alias("v")), F.struct(F.lit("rate").alias("k"), c("l_extendedprice").alias("v")))))
+    two = dealt(li, li.count(), "l_orderkey").join(o.select(c("o_orderkey").alias("l_orderkey"), "o_custkey"), "l_orderkey").withColumn("x", F.explode(F.array(F.struct(F.lit("amount").alias("k"), c("l_quantity").alias("v")), F.struct(F.lit("rate").alias("k"), c("l_extendedprice").alias("v")))))
     b = t.event_source(two, "lineitem", c("o_custkey"), c("l_orderkey"), c("l_shipdate"), [F.lit("PART"), c("l_partkey").cast("string"), c("x.k")], c("x.v"))
     return t.build_spine([a, b, t.event_source(e, "events", c("user_id"), F.lit(None), c("ts"), [F.lit("EVENT"), c("event_type")], c("value"), c("props"))])
 
