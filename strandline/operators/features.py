@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from strandline.functions.timesem import md5_unit
 from strandline.operators.inference import ks, psi, rank_table
 from strandline.operators.sums import column_quantiles, prefix_sums
+from strandline.sources.tables import persisted
 
 
 def build_features(aligned: DataFrame, keys: list[str], item: str, value: str, tiebreak: str, items: list[str], low: float, high: float) -> DataFrame:
@@ -119,16 +120,18 @@ def adjusted_rand(df: DataFrame, a: str, b: str) -> DataFrame:
 
 
 def pair_rules(df: DataFrame, basket: str, item: str, support: int = 11) -> DataFrame:
-    """antecedent, consequent, n, confidence, lift of ordered pairs of items in at least ``support`` baskets, from frequent item sets of up to two items."""
-    from pyspark.ml.fpm import FPGrowth
+    """antecedent, consequent, n, confidence, lift of ordered pairs of items in at least ``support`` baskets.
 
-    b = df.groupBy(basket).agg(F.collect_set(item).alias("items"))
+    Only pairs are counted, never larger sets, whose number would grow with the baskets: a basket's items of enough baskets pair up where they lie, and tasks add pairs up before they are shuffled."""
+    b = persisted(df.groupBy(F.col(basket).alias("k")).agg(F.sort_array(F.collect_set(item)).alias("items")), "baskets")
     n = b.count()
-    if not n:
-        return df.sparkSession.createDataFrame([], "antecedent string, consequent string, n long, confidence double, lift double")
-    f = FPGrowth(itemsCol="items", minSupport=max(support - 0.5, 0.5) / n, minConfidence=0.0).fit(b).freqItemsets
-    one, two = f.where("size(items) = 1").select(F.col("items")[0].alias("i"), F.col("freq").alias("f")), f.where("size(items) = 2")
-    both = two.select("freq", F.explode(F.array(F.struct(F.col("items")[0].alias("a"), F.col("items")[1].alias("c")), F.struct(F.col("items")[1].alias("a"), F.col("items")[0].alias("c")))).alias("r")).select("freq", "r.a", "r.c")
+    items = persisted(b.select(F.explode("items").alias("i")).groupBy("i").agg(F.count("*").alias("f")), "items")
+    one = items.where(F.col("f") >= support)
+    if items.where(F.col("f") < support).limit(1).count():
+        b = b.select("k", F.explode("items").alias("i")).join(one, "i", "left_semi").groupBy("k").agg(F.sort_array(F.collect_set("i")).alias("items"))
+    left = b.select(F.posexplode("items").alias("at", "a"), "items")
+    two = left.select("a", F.explode(F.slice("items", F.col("at") + 2, F.size("items"))).alias("c")).groupBy("a", "c").agg(F.count("*").alias("freq")).where(F.col("freq") >= support)
+    both = two.select("freq", F.explode(F.array(F.struct("a", "c"), F.struct(F.col("c").alias("a"), F.col("a").alias("c")))).alias("r")).select("freq", "r.a", "r.c")
     j = both.join(one.withColumnRenamed("i", "a").withColumnRenamed("f", "fa"), "a").join(one.withColumnRenamed("i", "c").withColumnRenamed("f", "fc"), "c")
     return j.select(F.col("a").alias("antecedent"), F.col("c").alias("consequent"), F.col("freq").alias("n"), (F.col("freq") / F.col("fa")).alias("confidence"), (F.col("freq") / F.col("fa") / (F.col("fc") / n)).alias("lift"))
 
