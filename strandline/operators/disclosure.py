@@ -87,7 +87,19 @@ def safe_aggregate(df: DataFrame, keys: list[str], aggs: dict[str, tuple[str, st
 
 
 def filter_vocabulary(docs: DataFrame, doc: str, subject: str, text: str, least_docs: int = K, least_subjects: int = K) -> DataFrame:
-    """term, n_docs, n_subjects of terms in at least so many texts of so many subjects; no blanked-out terms, no numbers of five or more digits."""
-    terms = docs.select(doc, subject, F.explode(F.array_distinct(F.split(F.lower(text), r"[^\p{L}\p{N}_]+"))).alias("term"))
+    """term, n_docs, n_subjects of terms in at least so many texts of so many subjects; no blanked-out terms, no numbers of five or more digits.
+
+    A text's terms are distinct where it lies, so texts with one row are counted by term and subject before anything is shuffled; only those with several rows are told apart by their terms."""
+    several = persisted(docs.where(F.col(doc).isNotNull()).groupBy(doc).agg(F.count("*").alias("_n")).where("_n > 1").select(F.col(doc).alias("_d")), "several")
     ok = (F.col("term") != "") & ~F.col("term").rlike(r"^_+$") & ~F.col("term").rlike(r"^\d{5,}$")
-    return terms.where(ok).groupBy("term").agg(F.countDistinct(doc).alias("n_docs"), F.countDistinct(subject).alias("n_subjects")).where((F.col("n_docs") >= least_docs) & (F.col("n_subjects") >= least_subjects))
+    rows = docs.select(F.col(doc).alias("_d"), F.col(subject).alias("_s"), F.col(text).alias("_t"))
+    terms = lambda d: d.select("_d", "_s", F.explode(F.array_distinct(F.split(F.lower("_t"), r"[^\p{L}\p{N}_]+"))).alias("term")).where(ok)
+    pairs = lambda d: terms(d).groupBy("term", "_s").agg(F.count("_d").alias("n"))
+    found = pairs(rows)
+    if several.limit(1).count():
+        again = terms(rows.join(several, "_d", "left_semi"))
+        subjects = again.select("term", "_s").distinct().withColumn("n", F.lit(0).cast("long"))
+        rest = again.groupBy("term").agg(F.countDistinct("_d").alias("n")).select("term", F.lit(None).cast(docs.schema[subject].dataType).alias("_s"), "n")
+        found = pairs(rows.join(several, "_d", "left_anti")).unionByName(subjects).groupBy("term", "_s").agg(F.sum("n").alias("n")).unionByName(rest)
+    found = found.groupBy("term").agg(F.sum("n").alias("n_docs"), F.count("_s").alias("n_subjects"))
+    return found.where((F.col("n_docs") >= least_docs) & (F.col("n_subjects") >= least_subjects))
