@@ -293,10 +293,13 @@ def ablation_cells(windows: dict[str, tuple[DataFrame, DataFrame]], groups: dict
     known = spark.read.schema(kind).json(ledger)
     done = {(r["window"], r["group"], r["model"]) for r in known.collect()}  # a row a cell
     every = [x for xs in groups.values() for x in xs]
-    for window, (train, test) in windows.items():
-        for group, xs in {"(none)": every, **{g: [x for x in every if x not in left_out] for g, left_out in groups.items()}}.items():
+    cells = {"(none)": every, **{g: [x for x in every if x not in left_out] for g, left_out in groups.items()}}
+    for window, sides in windows.items():
+        known_sides = None
+        for group, xs in cells.items():
             for model, fit in fits.items():
                 if xs and (window, group, model) not in done:
+                    train, test = known_sides = known_sides or tuple(persisted(d, "window") for d in sides)  # each cell reads them several times
                     a = auroc(fit(train, test, xs, label), "p", F.col(label).cast("boolean"))
                     append_ledger(a.select(F.lit(window).alias("window"), F.lit(group).alias("group"), F.lit(model).alias("model"), "n", "auroc"), ledger)
     return spark.read.schema(kind).json(ledger)
