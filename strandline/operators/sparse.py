@@ -1,113 +1,331 @@
-"""Truncated singular values of sparse row-by-code tables by block Krylov iteration; nothing as large as codes by codes is ever made."""
+"""Truncated singular values of sparse row-by-code tables by block Krylov iteration; nothing as large as codes by codes is ever made, and no task or driver holds all codes or all rows."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strandline.sources.tables import persisted
+from strandline.operators.sums import prefix_sums
+from strandline.sources.tables import persisted, scratch
 
-#: Numbers of a basis (codes by columns) that the driver and each task hold at most.
-BASIS = 50_000_000
+#: Codes of a tile: a block of vectors is stored in tiles of whole codes.
+TILE = 1 << 14
+#: Entries of a part: rows are dealt to parts by ranges, a row with more entries is split by tiles of codes.
+PART = 1 << 19
+#: Tiles that a task gets.
+DEAL = 4
+
+
+def _batch(**columns) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c) for c in columns.values()], names=list(columns))
+
+
+def _matrix(data, columns: int) -> np.ndarray:
+    return np.frombuffer(data, np.float64).reshape(-1, columns)
+
+
+def _cells(table: pa.Table, name: str) -> list:
+    """Buffers of a binary column, not copied."""
+    return [x.as_buffer() for chunk in table.column(name).chunks for x in chunk]
+
+
+def _sum_by(at: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct places and the sums of their rows of values."""
+    order = np.argsort(at, kind="stable")
+    at = at[order]
+    starts = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
+    return at[starts], np.add.reduceat(values[order], starts, axis=0)
+
+
+def _pieces(codes: np.ndarray, tile: int) -> Iterator[tuple[int, int, int]]:
+    """(tile, first, end) of the runs of sorted codes that lie in one tile."""
+    tiles = codes // tile
+    edges = np.concatenate([np.flatnonzero(np.concatenate([[True], tiles[1:] != tiles[:-1]])), [len(codes)]])
+    return ((int(tiles[a]), int(a), int(b)) for a, b in zip(edges[:-1], edges[1:], strict=True))
+
+
+class _Blocks:
+    """Blocks of vectors over codes, each a table (tile, m) of which m holds the tile's codes by vectors as doubles; tables lie in the shared folder by tile, so that blocks meet without a shuffle."""
+
+    def __init__(self, n_codes: int):
+        self.n_codes, self.tiles = n_codes, -(-n_codes // TILE)
+        self.tasks = -(-self.tiles // DEAL)
+
+    def keep(self, df: DataFrame, tasks: int | None = None, key: str = "tile") -> DataFrame:
+        """``df`` by ``key`` in the shared folder, without its lineage. A checkpoint keeps what is known of its partitions, if the plan isn't an adaptive one."""
+        spark, adaptive = df.sparkSession, "spark.sql.adaptive.enabled"
+        if not spark.sparkContext.getCheckpointDir():
+            spark.sparkContext.setCheckpointDir(scratch(spark, "checkpoints"))
+        before = spark.conf.get(adaptive)
+        spark.conf.set(adaptive, "false")
+        try:
+            return df.repartition(tasks or self.tasks, key).checkpoint()
+        finally:
+            spark.conf.set(adaptive, before)
+
+    def together(self, blocks: list[tuple[DataFrame, int]], new: DataFrame) -> DataFrame:
+        parts = [b.select("tile", F.col("m").alias(f"m{j}")) for j, (b, _) in enumerate(blocks)]
+        return reduce(lambda a, b: a.join(b.hint("merge"), "tile"), parts, new.select("tile", F.col("m").alias("new")))
+
+    def each(self, blocks: list[tuple[DataFrame, int]], new: DataFrame, columns: int, step: Callable, schema: str) -> DataFrame:
+        """``step`` over an iterator of (tile, basis, new) of a task's tiles; it gives record batches."""
+        widths = [w for _, w in blocks]
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            def tiles():
+                for b in batches:
+                    for r in range(b.num_rows):
+                        new = _matrix(b.column("new")[r].as_buffer(), columns)
+                        basis = [_matrix(b.column(f"m{j}")[r].as_buffer(), w) for j, w in enumerate(widths)]
+                        yield b.column("tile")[r].as_py(), np.column_stack(basis) if basis else np.zeros((len(new), 0)), new
+
+            yield from step(tiles())
+
+        return self.together(blocks, new).mapInArrow(run, schema)
+
+    def gathered(self, blocks: list[tuple[DataFrame, int]], new: DataFrame, columns: int, begin: Callable, add: Callable) -> list[np.ndarray]:
+        """One small matrix for each task: begin() carried on by add(matrix, basis, new)."""
+
+        def step(tiles):
+            out = begin()
+            for _, basis, now in tiles:
+                out = add(out, basis, now)
+            yield _batch(rows=pa.array([len(out)], pa.int32()), m=pa.array([np.ascontiguousarray(out).tobytes()], pa.binary()))
+
+        got = self.each(blocks, new, columns, step, "rows int, m binary").collect()
+        return [np.frombuffer(r["m"], np.float64).reshape(r["rows"], -1) for r in got if r["rows"]]
+
+
+def _orthonormal(at: _Blocks, blocks: list[tuple[DataFrame, int]], new: DataFrame, columns: int, most: int) -> tuple[DataFrame | None, int, np.ndarray]:
+    """(block, its width, products of the basis with ``new``): the span of ``new`` that is orthogonal to the basis, at most ``most`` vectors. Directions under 1e-12 of the largest are rounding and go."""
+    wide = sum(w for _, w in blocks)
+    gram = sum(at.gathered(blocks, new, columns, lambda: np.zeros((wide + columns, columns)), lambda out, k, w: out + np.column_stack([k, w]).T @ w))
+    g, size = gram[:wide], np.sqrt(max(np.trace(gram[wide:]), 0))
+    if most <= 0 or not size:
+        return None, 0, g
+    top = np.linalg.qr(np.vstack(at.gathered(blocks, new, columns, lambda: np.zeros((columns, columns)), lambda r, k, w: np.linalg.qr(np.vstack([r, w - k @ g]), mode="r"))), mode="r")
+    _, s, vt = np.linalg.svd(top)
+    keep = int((s > 1e-12 * size).sum())
+    width = min(keep, most)
+    if not width:
+        return None, 0, g
+    # as a QR of the columns in their order would: where only some find room, the first ones do
+    turn = vt[:keep].T / s[:keep] if keep < columns or width == columns else np.linalg.inv(top)[:, :width]
+    turn = turn[:, :width]
+    both = sum(at.gathered(blocks, new, columns, lambda: np.zeros((wide + width, width)), lambda out, k, w: out + np.column_stack([k, (w - k @ g) @ turn]).T @ ((w - k @ g) @ turn)))
+    g2 = both[:wide]
+    last = np.linalg.inv(np.linalg.cholesky(both[wide:] - g2.T @ g2)).T
+
+    def write(tiles):
+        for tile, k, w in tiles:
+            yield _batch(tile=pa.array([tile], pa.int32()), m=pa.array([(((w - k @ g) @ turn - k @ g2) @ last).tobytes()], pa.binary()))
+
+    return at.keep(at.each(blocks, new, columns, write, "tile int, m binary")), width, g
 
 
 def sparse_svd(pairs: DataFrame, row: str, code: str, value: str, k: int, steps: int = 6, extra: int = 10, seed: int = 1) -> tuple[DataFrame, DataFrame]:
     """(component, sigma, share of the squared total) and (code, component, loading) of the ``k`` largest singular values of the table of (row, code, value); repeated pairs add up, nulls are left out.
 
-    A pass multiplies a block of k + extra vectors over codes by the table and back: tasks stream whole rows and add up their own block, whose rows are summed by code. ``steps`` such blocks span the Krylov space
-    in which the small problem is solved. Codes times its width must not exceed BASIS numbers; more raises. A row's codes meet in one task, no row does twice. Signs: the largest loading of a component is positive.
+    A pass multiplies a block of k + extra vectors over codes by the table and back; ``steps`` such blocks span the Krylov space in which the small problem is solved. Rows are dealt to parts of about PART entries by ranges,
+    and a part gets the vectors' rows of its own codes only and returns their sums, so what moves is at most the block for each part, and less where neighbouring rows share codes. A row with over PART entries is summed tile of codes by tile of codes.
+    Vectors stay in tiles of TILE codes; matrices of the width of the basis reach the driver, one for each task. Signs: the largest loading of a component is positive.
     """
     spark = pairs.sparkSession
+    kinds = "component int, sigma double, share double", "code string, component int, loading double"
     each = pairs.select(F.col(row).alias("r"), F.col(code).cast("string").alias("c"), F.col(value).cast("double").alias("v")).dropna().groupBy("r", "c").agg(F.sum("v").alias("v"))
     each = persisted(each, "pairs")
-    n_codes = each.select("c").distinct().count()
-    block = min(k + extra, max(n_codes, 1))
-    width = min(block * (steps + 1), n_codes)
-    if n_codes * max(width, 1) > BASIS:
-        raise ValueError(f"{n_codes} codes by {width} vectors are over {BASIS} numbers")
-    codes = sorted(r["c"] for r in each.select("c").distinct().collect())  # bounded above
-    index = spark.createDataFrame([(c, i) for i, c in enumerate(codes)], "c string, i int")
-    table = persisted(each.join(F.broadcast(index) if len(codes) <= 1_000_000 else index, "c").select("r", "i", "v").repartition("r").sortWithinPartitions("r"), "table")
-
-    def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        """(first entry of each row, codes, values) of runs of whole rows; a row that goes over a batch's end is carried on."""
-        rest: tuple | None = None
-        for b in batches:
-            r, i, v = b.column(0).dictionary_encode(), b.column(1).to_numpy(), b.column(2).to_numpy()
-            key = np.asarray(r.dictionary.to_pylist(), object)[r.indices.to_numpy()] if len(r) else np.zeros(0, object)
-            if rest is not None:
-                key, i, v = np.concatenate([rest[0], key]), np.concatenate([rest[1], i]), np.concatenate([rest[2], v])
-            if not len(key):
-                continue
-            starts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
-            cut = starts[-1]
-            if cut:
-                yield starts[:-1], i[:cut], v[:cut]
-            rest = key[cut:], i[cut:], v[cut:]
-        if rest is not None and len(rest[0]):
-            yield np.array([0]), rest[1], rest[2]
-
-    def product(basis: np.ndarray) -> np.ndarray:
-        """A'A basis."""
-        share = spark.sparkContext.broadcast(basis)
-
-        def back(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            q = share.value
-            out, seen = np.zeros_like(q), np.zeros(len(q), bool)
-            for starts, i, v in rows_of(batches):
-                y = np.add.reduceat(q[i] * v[:, None], starts, axis=0)
-                np.add.at(out, i, np.repeat(y, np.diff(np.append(starts, len(i))), axis=0) * v[:, None])
-                seen[i] = True
-            at = np.flatnonzero(seen)
-            yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), *[pa.array(out[at, j]) for j in range(q.shape[1])]], names=["i", *[f"w{j}" for j in range(q.shape[1])]])
-
-        names = [f"w{j}" for j in range(basis.shape[1])]
-        got = table.mapInArrow(back, ", ".join(["i int", *[f"{w} double" for w in names]])).groupBy("i").agg(*[F.sum(w).alias(w) for w in names]).toArrow()
-        out = np.zeros_like(basis)
-        out[got["i"].to_numpy()] = np.column_stack([got[w].to_numpy() for w in names])
-        return out
-
-    def small(basis: np.ndarray) -> np.ndarray:
-        """(A basis)'(A basis)."""
-        share, m = spark.sparkContext.broadcast(basis), basis.shape[1]
-
-        def gram(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            out = np.zeros((m, m))
-            for starts, i, v in rows_of(batches):
-                y = np.add.reduceat(share.value[i] * v[:, None], starts, axis=0)
-                out += y.T @ y
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(m * m)), pa.array(out.ravel())], names=["k", "v"])
-
-        got = table.mapInArrow(gram, "k long, v double").groupBy("k").agg(F.sum("v").alias("v")).toArrow()
-        out = np.zeros(m * m)
-        out[got["k"].to_numpy()] = got["v"].to_numpy()
-        return out.reshape(m, m)
-
-    square = each.agg(F.sum(F.col("v") * F.col("v"))).first()[0] or 0.0
-    kinds = "component int, sigma double, share double", "code string, component int, loading double"
-    if not codes:
+    n, square = each.agg(F.count("*"), F.sum(F.col("v") * F.col("v"))).first()
+    if not n:
         return spark.createDataFrame([], kinds[0]), spark.createDataFrame([], kinds[1])
-    block_now = np.linalg.qr(np.random.default_rng(seed).normal(size=(n_codes, block)))[0]
-    basis = block_now
-    for _ in range(steps):
-        if basis.shape[1] >= width:
-            break
-        new = product(block_now)
-        for _ in range(2):
-            new -= basis @ (basis.T @ new)
-        q, r = np.linalg.qr(new)
-        q = q[:, np.abs(np.diag(r)) > 1e-12 * max(np.abs(r).max(), 1e-300)][:, : width - basis.shape[1]]
-        if not q.shape[1]:
+    codes = persisted(prefix_sums(each.select("c").distinct().withColumn("one", F.lit(1)), "c", ["one"]).select("c", (F.col("cum_one") - 1).alias("i")), "codes")
+    n_codes = codes.count()
+    block = min(k + extra, n_codes)
+    width = min(block * (steps + 1), n_codes)
+    at = _Blocks(n_codes)
+    multiply = _product(at, each.join(codes, "c").select("r", "i", "v"), n)
+    q, w, _ = _orthonormal(at, [], _drawn(at, spark, block, seed), block, block)
+    blocks, wide = [(q, w)], w
+    small = np.zeros((width, width))
+    while blocks[-1][1]:
+        q, w = blocks[-1]
+        new = at.keep(multiply(q, w))
+        more, m, g = _orthonormal(at, blocks, new, w, width - wide if len(blocks) <= steps else 0)
+        small[:wide, wide - w : wide] = g
+        if not m:
             break
-        block_now, basis = q, np.column_stack([basis, q])
-    values, vectors = np.linalg.eigh(small(basis))
+        blocks.append((more, m))
+        wide += m
+    small = np.triu(small[:wide, :wide])  # what lies below is the same by symmetry
+    values, vectors = np.linalg.eigh(small + np.triu(small, 1).T)
     order = np.argsort(-values)[:k]
-    sigma, v = np.sqrt(np.maximum(values[order], 0)), basis @ vectors[:, order]
-    v *= np.sign(v[np.abs(v).argmax(axis=0), np.arange(v.shape[1])])
+    sigma, turn = np.sqrt(np.maximum(values[order], 0)), vectors[:, order]
     one = spark.createDataFrame([(j, float(s), float(s * s / square) if square else None) for j, s in enumerate(sigma)], kinds[0])
-    two = spark.createDataFrame(pa.table({"code": pa.array(np.repeat(codes, v.shape[1]).tolist(), pa.string()), "component": pa.array(np.tile(np.arange(v.shape[1]), len(codes)), pa.int32()), "loading": pa.array(v.ravel())}))
-    return one, two
+    return one, _loadings(at, blocks, turn, codes)
+
+
+def _drawn(at: _Blocks, spark, block: int, seed: int) -> DataFrame:
+    """The start, normal numbers in the order of codes. They are one stream, so they don't depend on tiles or tasks: a task runs through it up to its own tiles, tile by tile."""
+    n_codes, tile = at.n_codes, TILE
+
+    def draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        stream, done = np.random.default_rng(seed), 0
+        for b in batches:
+            for t in b.column(0).to_pylist():
+                while done <= t:
+                    m = stream.normal(size=(min(tile, n_codes - done * tile), block))
+                    done += 1
+                yield _batch(tile=pa.array([t], pa.int32()), m=pa.array([m.tobytes()], pa.binary()))
+
+    return at.keep(spark.range(0, at.tiles, 1, min(at.tasks, 64)).mapInArrow(draw, "tile int, m binary"))
+
+
+def _product(at: _Blocks, table: DataFrame, n: int) -> Callable[[DataFrame, int], DataFrame]:
+    """A function that gives A'A q of a block q and its width."""
+    tile, parts = TILE, n // PART + 1
+    long = persisted(table.groupBy("r").count().where(F.col("count") > PART).select("r"), "long")  # n / PART rows at most
+    n_long = long.count()
+    short = table.join(F.broadcast(long), "r", "left_anti") if n_long else table
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """A part as one row: its codes, and for each entry, by rows, its code's place and value; rows by their first entries."""
+        from pyspark import TaskContext
+
+        every = list(batches)
+        if not sum(b.num_rows for b in every):
+            return
+        got = pa.Table.from_batches(every)
+        r = pa.concat_arrays(got.column("r").chunks).dictionary_encode().indices.to_numpy()
+        i, v = got.column("i").to_numpy(), got.column("v").to_numpy()
+        own, place = np.unique(i, return_inverse=True)
+        starts = np.flatnonzero(np.concatenate([[True], r[1:] != r[:-1]]))
+        yield _batch(part=pa.array([TaskContext.get().partitionId()], pa.int32()), **{c: pa.array([x.tobytes()], pa.binary()) for c, x in (("own", own.astype(np.int64)), ("place", place.astype(np.int32)), ("starts", starts.astype(np.int32)), ("v", v))})
+
+    packed = persisted(short.repartitionByRange(parts, "r").sortWithinPartitions("r").mapInArrow(pack, "part int, own binary, place binary, starts binary, v binary"), "parts")
+
+    def asks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for part, own in zip(b.column("part").to_pylist(), b.column("own"), strict=True):
+                codes = np.frombuffer(own.as_buffer(), np.int64)
+                for t, first, end in _pieces(codes, tile):
+                    yield _batch(tile=pa.array([t], pa.int32()), part=pa.array([part], pa.int32()), first=pa.array([first], pa.int32()), at=pa.array([(codes[first:end] - t * tile).astype(np.int32).tobytes()], pa.binary()))
+
+    asked = at.keep(packed.select("part", "own").mapInArrow(asks, "tile int, part int, first int, at binary"))
+    packed = at.keep(packed, parts, "part")
+    split = None
+    if n_long:
+        number = F.broadcast(persisted(prefix_sums(long.withColumn("one", F.lit(1)), "r", ["one"]).select("r", (F.col("cum_one") - 1).cast("int").alias("h")), "long"))
+
+        def pack_long(key, got):
+            i = got.column("i").to_numpy() - key[0].as_py() * tile
+            return pa.table({"tile": pa.array([key[0].as_py()], pa.int32()), **{c: pa.array([x.tobytes()], pa.binary()) for c, x in (("h", got.column("h").to_numpy()), ("at", i.astype(np.int32)), ("v", got.column("v").to_numpy()))}})
+
+        each = table.join(number, "r").select(F.expr(f"int(i div {tile})").alias("tile"), "h", "i", "v")  # a tile's codes by n / PART rows at most
+        split = at.keep(each.groupBy("tile").applyInArrow(pack_long, "tile int, h binary, at binary, v binary"))
+
+    def multiply(q: DataFrame, w: int) -> DataFrame:
+        def cut(tiles: pa.Table, asked: pa.Table) -> pa.Table:
+            """Each part's rows of the tile, which no part may hold."""
+            m = _matrix(_cells(tiles, "m")[0], w)
+            rows = [m[np.frombuffer(x, np.int32)].tobytes() for x in _cells(asked, "at")]
+            return pa.table({"part": asked.column("part"), "first": asked.column("first"), "m": pa.array(rows, pa.binary())})
+
+        def through(packed: pa.Table, given: pa.Table) -> pa.Table:
+            """The part's share of A'A q, by tiles."""
+            own, place, starts, v = (np.frombuffer(_cells(packed, c)[0], t) for c, t in (("own", np.int64), ("place", np.int32), ("starts", np.int32), ("v", np.float64)))
+            x = np.empty((len(own), w))
+            for first, m in zip(given.column("first").to_pylist(), _cells(given, "m"), strict=True):
+                m = _matrix(m, w)
+                x[first : first + len(m)] = m
+            y = np.add.reduceat(x[place] * v[:, None], starts, axis=0)
+            row = np.repeat(np.arange(len(starts), dtype=np.int32), np.diff(np.append(starts, len(v))))
+            order = np.argsort(place, kind="stable")
+            firsts = np.flatnonzero(np.concatenate([[True], np.diff(place[order]) > 0]))
+            x = np.add.reduceat(y[row[order]] * v[order, None], firsts, axis=0)
+            cuts = list(_pieces(own, tile))
+            return pa.table({"tile": pa.array([t for t, _, _ in cuts], pa.int32()), "at": pa.array([(own[a:b] - t * tile).astype(np.int32).tobytes() for t, a, b in cuts], pa.binary()), "m": pa.array([x[a:b].tobytes() for _, a, b in cuts], pa.binary())})
+
+        n_codes = at.n_codes
+
+        def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            """Pieces, sorted by tile, to tiles."""
+            now, out = None, None
+            for b in batches:
+                for t, places, m in zip(b.column("tile").to_pylist(), b.column("at"), b.column("m"), strict=True):
+                    if t != now:
+                        if now is not None:
+                            yield _batch(tile=pa.array([now], pa.int32()), m=pa.array([out.tobytes()], pa.binary()))
+                        now, out = t, np.zeros((min(tile, n_codes - t * tile), w))
+                    out[np.frombuffer(places.as_buffer(), np.int32)] += _matrix(m.as_buffer(), w)  # a piece's places are distinct
+            if now is not None:
+                yield _batch(tile=pa.array([now], pa.int32()), m=pa.array([out.tobytes()], pa.binary()))
+
+        given = q.groupBy("tile").cogroup(asked.groupBy("tile")).applyInArrow(lambda a, b: cut(a, b), "part int, first int, m binary")
+        pieces = packed.groupBy("part").cogroup(given.groupBy("part")).applyInArrow(lambda a, b: through(a, b), "tile int, at binary, m binary")
+        if split is not None:
+            pieces = pieces.unionByName(_split_product(at, q, w, split, n_long))
+        return pieces.repartition(at.tasks, "tile").sortWithinPartitions("tile").mapInArrow(add, "tile int, m binary")
+
+    return multiply
+
+
+def _split_product(at: _Blocks, q: DataFrame, w: int, split: DataFrame, n_long: int) -> DataFrame:
+    """Pieces of A'A q of the rows that no part holds whole: their sums by tile come together first, n_long by w numbers."""
+
+    def entries(given: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        return tuple(np.frombuffer(_cells(given, c)[0], t) for c, t in (("h", np.int32), ("at", np.int32), ("v", np.float64)))
+
+    def ahead(tiles: pa.Table, given: pa.Table) -> pa.Table:
+        if not given.num_rows:
+            return pa.table({"h": pa.array([], pa.int32()), **{f"y{j}": pa.array([], pa.float64()) for j in range(w)}})
+        h, places, v = entries(given)
+        rows, y = _sum_by(h, _matrix(_cells(tiles, "m")[0], w)[places] * v[:, None])
+        return pa.table({"h": pa.array(rows, pa.int32()), **{f"y{j}": pa.array(y[:, j]) for j in range(w)}})
+
+    got = q.groupBy("tile").cogroup(split.groupBy("tile")).applyInArrow(lambda a, b: ahead(a, b), ", ".join(["h int", *[f"y{j} double" for j in range(w)]])).groupBy("h").agg(*[F.sum(f"y{j}").alias(f"y{j}") for j in range(w)]).toArrow()
+    y = np.zeros((n_long, w))
+    y[got["h"].to_numpy()] = np.column_stack([got[f"y{j}"].to_numpy() for j in range(w)])
+
+    def back(key, given):
+        h, places, v = entries(given)
+        codes, m = _sum_by(places, y[h] * v[:, None])
+        return pa.table({"tile": pa.array([key[0].as_py()], pa.int32()), "at": pa.array([codes.tobytes()], pa.binary()), "m": pa.array([m.tobytes()], pa.binary())})
+
+    return split.groupBy("tile").applyInArrow(back, "tile int, at binary, m binary")
+
+
+def _loadings(at: _Blocks, blocks: list[tuple[DataFrame, int]], turn: np.ndarray, codes: DataFrame) -> DataFrame:
+    """(code, component, loading), signed so that a component's first largest loading is positive."""
+    k, tile = turn.shape[1], TILE
+    rest, (last, w) = blocks[:-1], blocks[-1]
+
+    def largest(tiles):
+        """For each component the largest size, where, and the sign there."""
+        best = np.zeros((3, k))
+        for t, basis, new in tiles:
+            v = np.column_stack([basis, new]) @ turn
+            row = np.abs(v).argmax(axis=0)
+            found = np.vstack([np.abs(v)[row, np.arange(k)], t * tile + row, np.sign(v[row, np.arange(k)])])
+            best = np.where((found[0] > best[0]) | ((found[0] == best[0]) & (found[1] < best[1])), found, best)
+        yield _batch(m=pa.array([best.tobytes()], pa.binary()))
+
+    found = np.stack([np.frombuffer(r["m"], np.float64).reshape(3, k) for r in at.each(rest, last, w, largest, "m binary").collect()])
+    sign = np.array([min(((-size, place, s) for size, place, s in found[:, :, j] if size), default=(0, 0, 1))[2] for j in range(k)])
+
+    def write(tiles):
+        for t, basis, new in tiles:
+            yield _batch(tile=pa.array([t], pa.int32()), m=pa.array([(np.column_stack([basis, new]) @ turn * sign).tobytes()], pa.binary()))
+
+    stored = persisted(at.each(rest, last, w, write, "tile int, m binary"), "loadings")
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for t, m in zip(b.column("tile").to_pylist(), b.column("m"), strict=True):
+                v = _matrix(m.as_buffer(), k)
+                yield _batch(i=np.repeat(np.arange(t * tile, t * tile + len(v)), k), component=pa.array(np.tile(np.arange(k), len(v)), pa.int32()), loading=v.ravel())
+
+    return stored.mapInArrow(spread, "i long, component int, loading double").join(codes, "i").select(F.col("c").alias("code"), "component", "loading")

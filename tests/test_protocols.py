@@ -53,6 +53,27 @@ def test_sparse_singular_values(spark):
     assert len(values) == 3 and values == sorted(values, reverse=True)
 
 
+def test_sparse_singular_values_in_tiles_and_parts(spark, monkeypatch):
+    for name, n in (("BASIS", 100), ("TILE", 16), ("PART", 40), ("DEAL", 2)):
+        monkeypatch.setattr(sparse, name, n, raising=False)
+    rng = np.random.default_rng(5)
+    a = rng.random((90, 70)) * (rng.random((90, 70)) < 0.1)
+    a[[7, 50], :] = rng.random((2, 70)) + 0.5  # over 40 codes: no part holds them
+    a[:, 5] = 0.3
+    df = spark.createDataFrame([(int(i), f"c{j:02}", float(a[i, j])) for i, j in zip(*np.nonzero(a))], "r long, c string, v double").repartition(3)
+    one, two = sparse.sparse_svd(df, "r", "c", "v", 5)
+    _, s, vt = np.linalg.svd(a)
+    got = one.orderBy("component").collect()
+    assert [r["sigma"] for r in got] == pytest.approx(s[:5], rel=1e-6) and [r["share"] for r in got] == pytest.approx(s[:5] ** 2 / (s**2).sum(), rel=1e-6)
+    v = np.zeros((70, 5))
+    for r in two.collect():
+        v[int(r["code"][1:]), r["component"]] = r["loading"]
+    want = vt[:5].T * np.sign(vt[:5].T[np.abs(vt[:5]).argmax(axis=1), np.arange(5)])
+    assert v == pytest.approx(want, abs=1e-5)
+    few = spark.createDataFrame([(1, "a", 3.0), (2, "b", 4.0)], "r long, c string, v double")
+    assert [r["sigma"] for r in sparse.sparse_svd(few, "r", "c", "v", 5)[0].orderBy("component").collect()] == pytest.approx([4, 3])
+
+
 def test_dispersion_by_maximum_likelihood(spark):
     rng = np.random.default_rng(3)
     x = rng.normal(size=1500)
