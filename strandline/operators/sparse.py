@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strandline.operators.sums import prefix_sums
-from strandline.sources.tables import persisted, scratch
+from strandline.sources.tables import checkpointed, persisted
 
 #: Codes of a tile: a block of vectors is stored in tiles of whole codes.
 TILE = 1 << 14
@@ -59,12 +59,10 @@ class _Blocks:
     def keep(self, df: DataFrame, tasks: int | None = None, key: str = "tile") -> DataFrame:
         """``df`` by ``key`` in the shared folder, without its lineage. A checkpoint keeps what is known of its partitions, if the plan isn't an adaptive one."""
         spark, adaptive = df.sparkSession, "spark.sql.adaptive.enabled"
-        if not spark.sparkContext.getCheckpointDir():
-            spark.sparkContext.setCheckpointDir(scratch(spark, "checkpoints"))
         before = spark.conf.get(adaptive)
         spark.conf.set(adaptive, "false")
         try:
-            return df.repartition(tasks or self.tasks, key).checkpoint()
+            return checkpointed(df.repartition(tasks or self.tasks, key))
         finally:
             spark.conf.set(adaptive, before)
 

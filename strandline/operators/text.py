@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from strandline.sources.tables import checkpointed
+
 TOKEN = r"[^\p{L}\p{N}]+"
 
 
@@ -90,11 +92,13 @@ def classify_text(train: DataFrame, test: DataFrame, text: str, label: str, feat
 
 
 def topic_clusters(df: DataFrame, doc: str, text: str, k: int, features: int = 1 << 14, seed: int = 1) -> DataFrame:
-    """doc, topic: k-means on TF-IDF of hashed words, scaled to unit length; ``class_terms`` names a topic's words."""
+    """doc, topic: k-means on TF-IDF of hashed words, scaled to unit length; ``class_terms`` names a topic's words. Texts are split once; all later passes read their counts."""
     from pyspark.ml import Pipeline
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.feature import IDF, HashingTF, Normalizer, RegexTokenizer
 
     d = df.select(doc, F.coalesce(text, F.lit("")).alias("_text"))
-    stages = [RegexTokenizer(inputCol="_text", outputCol="_w", pattern=r"\W+"), HashingTF(inputCol="_w", outputCol="_h", numFeatures=features), IDF(inputCol="_h", outputCol="_x", minDocFreq=2), Normalizer(inputCol="_x", outputCol="_u"), KMeans(k=k, seed=seed, featuresCol="_u", predictionCol="topic", maxIter=10)]
-    return Pipeline(stages=stages).fit(d).transform(d).select(doc, "topic")
+    words = RegexTokenizer(inputCol="_text", outputCol="_w", pattern=r"\W+").transform(d)
+    h = checkpointed(HashingTF(inputCol="_w", outputCol="_h", numFeatures=features).transform(words).select(doc, "_h"))
+    stages = [IDF(inputCol="_h", outputCol="_x", minDocFreq=2), Normalizer(inputCol="_x", outputCol="_u"), KMeans(k=k, seed=seed, featuresCol="_u", predictionCol="topic", maxIter=10)]
+    return Pipeline(stages=stages).fit(h).transform(h).select(doc, "topic")

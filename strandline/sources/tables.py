@@ -55,6 +55,14 @@ def persisted(df: DataFrame, what: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def checkpointed(df: DataFrame) -> DataFrame:
+    """``df`` computed once, in the shared folder, without its lineage; partitions and their order stay, for steps whose results or shuffles depend on them."""
+    sc = df.sparkSession.sparkContext
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(scratch(df.sparkSession, "checkpoints"))
+    return df.checkpoint()
+
+
 def header_report(spark: SparkSession, spec: TableSpec, path: str) -> dict[str, list[str]]:
     """Columns of a CSV's header against the contract: missing, extra, and whether the order differs."""
     seen = spark.read.option("header", True).csv(path).columns

@@ -325,6 +325,18 @@ def test_text_models(spark):
     assert topics.count() == 121 and features.adjusted_rand(topics.join(df, "d"), "y", "topic").first()["ari"] > 0.95
 
 
+def test_topics_read_texts_once(spark):
+    read = spark.sparkContext.accumulator(0)
+
+    def seen(t):
+        read.add(1)
+        return t
+
+    df = spark.createDataFrame([(n, "sun moon star" if n % 2 else "goal ball team") for n in range(40)], "d int, t string").withColumn("t", F.udf(seen, "string")("t"))
+    assert text.topic_clusters(df, "d", "t", 2).groupBy("topic").count().count() == 2
+    assert read.value == 40
+
+
 def test_plans_refuse_split_subjects(spark):
     df = spark.createDataFrame([(1, 0), (1, 1), (2, 0)], "s int, f int")
     with pytest.raises(ValueError):
