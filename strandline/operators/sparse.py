@@ -54,7 +54,7 @@ class _Blocks:
 
     def __init__(self, n_codes: int):
         self.n_codes, self.tiles = n_codes, -(-n_codes // TILE)
-        self.tasks = -(-self.tiles // DEAL)
+        self.tasks = self.tiles // DEAL + 2  # of one partition no key is known
 
     def keep(self, df: DataFrame, tasks: int | None = None, key: str = "tile") -> DataFrame:
         """``df`` by ``key`` in the shared folder, without its lineage. A checkpoint keeps what is known of its partitions, if the plan isn't an adaptive one."""
