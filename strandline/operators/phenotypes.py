@@ -73,8 +73,8 @@ def phenotype_summary(p: DataFrame, by: list[str], k: int = 11) -> DataFrame:
 
 
 def over(x: Column, y: Column) -> Column:
-    """x / y of doubles as IEEE 754 has it, where Spark would raise: over zero it is infinite, and NaN if both are zero. NaN is above all numbers in comparisons, as in DuckDB."""
-    return F.when(y == 0, F.when(x == 0, float("nan")).otherwise(x * float("inf"))).otherwise(F.try_divide(x, y))
+    """x / y of doubles as IEEE 754 has it, where Spark would raise: over zero it is infinite, its sign that of both signs (a zero's too), and NaN if both are zero. NaN is above all numbers in comparisons, as in DuckDB."""
+    return F.when(y == 0, x * F.pow(y, F.lit(-1.0))).otherwise(F.try_divide(x, y))
 
 
 def ratio_to_rolling_min(df: DataFrame, by: str, time: str, value: str, hours: float) -> Column:
