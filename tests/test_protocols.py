@@ -2,6 +2,7 @@
 
 import math
 import threading
+import time
 
 import numpy as np
 import pytest
@@ -74,6 +75,35 @@ def test_sparse_singular_values_in_tiles_and_parts(spark, monkeypatch):
     assert [r["sigma"] for r in sparse.sparse_svd(few, "r", "c", "v", 5)[0].orderBy("component").collect()] == pytest.approx([4, 3])
 
 
+def test_sparse_blocks_are_written_once_and_shuffles_go(spark, monkeypatch):
+    from pathlib import Path
+
+    kept, real, name = [], sparse.checkpointed, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    monkeypatch.setattr(sparse, "checkpointed", lambda df: kept.append(df.columns) or real(df))
+    folders = [Path(d.toString()) for d in spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()]
+    shuffled = lambda: {x.name for d in folders for x in d.rglob("shuffle_*.data")}
+    rng = np.random.default_rng(8)
+    a = rng.random((80, 50)) * (rng.random((80, 50)) < 0.2)
+    rows = [(-0.0 if not i and n % 2 else float(i), f"c{j:02}", float(a[i, j])) for n, (i, j) in enumerate(zip(*np.nonzero(a)))]
+    df = spark.createDataFrame(rows, "r double, c string, v double").repartition(3)
+    before, was = shuffled(), spark.conf.get(name)
+    one = sorted(sparse.sparse_svd(df, "r", "c", "v", 3, steps=3, extra=2)[0].collect())
+    for _ in range(50):
+        if not (left := shuffled() - before):
+            break
+        time.sleep(0.2)
+    assert not left and spark.conf.get(name) == was
+    assert kept.count(["tile", "m"]) == 5  # the start and four products, not the vectors made of them
+    s = np.linalg.svd(a)[1]
+    assert one[0]["sigma"] == pytest.approx(s[0], rel=1e-4)
+    for names in ({"MOVE": 1, "PART": 60}, {"HOLD": 100}, {"ONCE": 7}):  # vectors in turns, a part's rows in turns
+        with monkeypatch.context() as m:
+            for x, n in names.items():
+                m.setattr(sparse, x, n)
+            again = sorted(sparse.sparse_svd(df, "r", "c", "v", 3, steps=3, extra=2)[0].collect())
+        assert [r["sigma"] for r in again] == pytest.approx([r["sigma"] for r in one], rel=1e-9)
+
+
 def test_dispersion_by_maximum_likelihood(spark):
     rng = np.random.default_rng(3)
     x = rng.normal(size=1500)
