@@ -22,7 +22,7 @@ TILE = 1 << 14
 PART = 1 << 20
 #: Tiles that a task gets.
 DEAL = 4
-#: A pass moves this many rows of vectors for each code at most, and no part gets over HOLD numbers; where parts ask for more, a block's vectors go in turns.
+#: A pass moves this many rows of vectors for each code at most (or PART rows, if that is more), and no part gets over HOLD numbers; where parts ask for more, a block's vectors go in turns.
 MOVE, HOLD = 4, 1 << 23
 #: Pairs of a part that are multiplied at once.
 ONCE = 1 << 16
@@ -359,7 +359,7 @@ def _product(at: _Blocks, packed: DataFrame, parts: int, places: DataFrame, far:
 
     def multiply(blocks: list[_Block]) -> DataFrame:
         w = blocks[-1].width
-        turns = max(1, min(w, max(-(-(moved or 0) // (MOVE * at.n_codes)), -(-(most or 0) * w // HOLD))))
+        turns = max(1, min(w, max(-(-(moved or 0) // max(MOVE * at.n_codes, PART)), -(-(most or 0) * w // HOLD))))
         cuts = [w * j // turns for j in range(turns + 1)]
         got = [at.keep(columns(blocks, a, z)) for a, z in zip(cuts[:-1], cuts[1:], strict=True)]
         if turns == 1:
